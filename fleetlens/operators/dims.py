@@ -7,10 +7,59 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import DEFAULT_COLUMNS, FleetColumns
 from fleetlens.functions.columns import capacity_class, day_of_week_sunday0, non_sentinel, normalize_model, quarter_label
-from fleetlens.operators.spans import censoring_status, span_aggregates
+from fleetlens.operators.spans import censoring_status, decode_day_flag, encode_day_flag
 
 
-# --------------------------------------------------------------------------- model capacity
+# --------------------------------------------------------------------------- shared partials
+
+
+def drive_model_partials(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """One row per (serial_number, normalized model): the only full pass over staged rows.
+
+    Every drive and model aggregate of the dimensions merges from these partials
+    (min, max, sum and count all merge), so dim_drive, dim_model and the capacity
+    fallback read drive-sized rows, not drive-day rows. All buffers are fixed-width
+    (the model is a grouping key, the last-day flag an encoded long), so Spark plans
+    a hash aggregate with map-side partials, which absorbs a hot drive or model.
+    """
+    d = F.col(cols.date)
+    return stg.groupBy(
+        F.col(cols.entity).alias("serial_number"), normalize_model(cols.model).alias("model")
+    ).agg(
+        F.min(d).alias("first_seen"),
+        F.max(d).alias("last_seen"),
+        F.count(F.lit(1)).alias("rows"),
+        F.max(encode_day_flag(d, F.col(cols.failure))).alias("last_day_code"),
+        F.count(cols.slot).alias("slot_rows"),
+        F.max(non_sentinel(F.col(cols.capacity), F.col(cols.sentinel))).alias("capacity_bytes"),
+    )
+
+
+def model_rollup(partials: DataFrame) -> DataFrame:
+    """Per normalized model (NULL included): fleet_drive_count, observations, slot_observations, capacity_bytes.
+
+    ``capacity_bytes`` is the max non-sentinel capacity over the model's rows (the
+    capacity fallback); ``fleet_drive_count`` counts distinct non-NULL serials,
+    exact because the partials are unique per (serial, model).
+    """
+    return partials.groupBy("model").agg(
+        F.count("serial_number").alias("fleet_drive_count"),
+        F.sum("rows").alias("observations"),
+        F.sum("slot_rows").alias("slot_observations"),
+        F.max("capacity_bytes").alias("capacity_bytes"),
+    )
+
+
+def drive_rollup(partials: DataFrame) -> DataFrame:
+    """Per serial (NULL included): span aggregates, its model (max) and own non-sentinel capacity."""
+    return partials.groupBy("serial_number").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.sum("rows").alias("observed_days"),
+        F.coalesce(decode_day_flag(F.max("last_day_code")), F.lit(0)).cast("int").alias("final_day_failure_flag"),
+        F.max("model").alias("model"),
+        F.max("capacity_bytes").alias("drive_capacity_bytes"),
+    )
 
 
 def model_capacity(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
@@ -29,37 +78,17 @@ def model_capacity(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> Data
 # --------------------------------------------------------------------------- dim_drive
 
 
-def drive_attributes(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """One pass per drive: span aggregates plus its model and own non-sentinel capacity.
-
-    ``max`` of the normalized model is the lexicographic max if a serial carries more
-    than one model; ``max`` of the capacity equals the modal value while capacity is
-    constant per drive (``mode`` is a holistic aggregate and is avoided on the full table).
-    """
-    return stg.groupBy(cols.entity).agg(
-        *span_aggregates(cols),
-        F.max(normalize_model(cols.model)).alias("model"),
-        F.max(non_sentinel(F.col(cols.capacity), F.col(cols.sentinel))).alias("drive_capacity_bytes"),
-    )
-
-
-def dim_drive(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """serial_number, model, capacity_bytes (repaired), first_seen, last_seen, drive_days, status.
-
-    The reference builds spans and attributes in two scans plus an inner join; both
-    are ``groupBy(serial)`` of the same rows, so here they are one aggregate. The
-    inner join's effect (a NULL serial never matches) is the ``isNotNull`` filter.
-    Capacity repair: the drive's own value, else its model's, else NULL.
-    """
-    attrs = drive_attributes(stg, cols)
-    bounds = attrs.agg(F.max("last_seen").alias("dataset_max_date"))
-    mc = model_capacity(stg, cols)
+def dim_drive_from_partials(partials: DataFrame) -> DataFrame:
+    """dim_drive from (serial, model) partials; see ``dim_drive``."""
+    drives = drive_rollup(partials)
+    bounds = drives.agg(F.max("last_seen").alias("dataset_max_date"))
+    fallback = model_rollup(partials).select("model", F.col("capacity_bytes").alias("model_capacity_bytes"))
     return (
-        attrs.where(F.col(cols.entity).isNotNull())
+        drives.where(F.col("serial_number").isNotNull())
         .crossJoin(F.broadcast(bounds))
-        .join(mc, "model", "left")
+        .join(fallback, "model", "left")
         .select(
-            F.col(cols.entity).alias("serial_number"),
+            "serial_number",
             "model",
             F.coalesce("drive_capacity_bytes", "model_capacity_bytes").alias("capacity_bytes"),
             "first_seen",
@@ -72,19 +101,27 @@ def dim_drive(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame
     )
 
 
+def dim_drive(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """serial_number, model, capacity_bytes (repaired), first_seen, last_seen, drive_days, status.
+
+    The reference builds spans and drive attributes in two scans plus an inner join,
+    and the model fallback in a third; here all three merge from one set of
+    (serial, model) partials. The inner join's effect (a NULL serial never matches)
+    is the ``isNotNull`` filter. Capacity repair: the drive's own non-sentinel value,
+    else its model's, else NULL. The fallback is model-sized; AQE broadcasts it when
+    its measured size is under the threshold, else it is a sort-merge join.
+    """
+    return dim_drive_from_partials(drive_model_partials(stg, cols))
+
+
 def repair_capacity(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
     """(serial_number, model, drive_capacity_bytes, model_capacity_bytes, capacity_bytes, repair_source)."""
-    attrs = (
-        stg.groupBy(cols.entity)
-        .agg(
-            F.max(normalize_model(cols.model)).alias("model"),
-            F.max(non_sentinel(F.col(cols.capacity), F.col(cols.sentinel))).alias("drive_capacity_bytes"),
-        )
-        .where(F.col(cols.entity).isNotNull())
-    )
-    out = attrs.join(model_capacity(stg, cols), "model", "left")
+    partials = drive_model_partials(stg, cols)
+    drives = drive_rollup(partials).where(F.col("serial_number").isNotNull())
+    fallback = model_rollup(partials).select("model", F.col("capacity_bytes").alias("model_capacity_bytes"))
+    out = drives.join(fallback, "model", "left")
     return out.select(
-        F.col(cols.entity).alias("serial_number"),
+        "serial_number",
         "model",
         "drive_capacity_bytes",
         "model_capacity_bytes",
@@ -137,23 +174,12 @@ def longest_prefix_match(
 
 
 def model_stats(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """Per normalized model: fleet_drive_count, row and slot counts, non-sentinel capacity.
+    """Per normalized model: fleet_drive_count, observations, slot_observations, capacity_bytes.
 
-    Two-level aggregation: first per (model, serial), which also makes the distinct
-    drive count a plain count, then per model. Both levels are algebraic, so a model
-    holding a third of all rows costs one partial-aggregate row per map task.
+    Two levels: (serial, model) partials, then per model; both algebraic, so a model
+    holding a third of all rows costs one partial row per map task and drive.
     """
-    per_drive = stg.groupBy(normalize_model(cols.model).alias("model"), F.col(cols.entity).alias("_entity")).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count(cols.slot).alias("_slot_rows"),
-        F.max(non_sentinel(F.col(cols.capacity), F.col(cols.sentinel))).alias("_cap"),
-    )
-    return per_drive.groupBy("model").agg(
-        F.count("_entity").alias("fleet_drive_count"),
-        F.sum("_rows").alias("observations"),
-        F.sum("_slot_rows").alias("slot_observations"),
-        F.max("_cap").alias("capacity_bytes"),
-    )
+    return model_rollup(drive_model_partials(stg, cols))
 
 
 def drive_type(slot_observations: Column, observations: Column) -> Column:
@@ -167,7 +193,12 @@ def dim_model(stg: DataFrame, seed: DataFrame, cols: FleetColumns = DEFAULT_COLU
     One row per non-NULL normalized model. ``broadcast_seed`` is for the built-in
     15-row seed; pass False for a seed of unknown size and let AQE decide.
     """
-    stats = model_stats(stg, cols).where(F.col("model").isNotNull())
+    return dim_model_from_partials(drive_model_partials(stg, cols), seed, broadcast_seed)
+
+
+def dim_model_from_partials(partials: DataFrame, seed: DataFrame, broadcast_seed: bool = True) -> DataFrame:
+    """dim_model from (serial, model) partials; see ``dim_model``."""
+    stats = model_rollup(partials).where(F.col("model").isNotNull())
     maker = longest_prefix_match(stats, "model", seed, broadcast_table=broadcast_seed)
     return stats.join(maker, "model").select(
         "model",

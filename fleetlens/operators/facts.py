@@ -9,10 +9,11 @@ from fleetlens.config import DEFAULT_COLUMNS, SMART_COLUMNS, FleetColumns
 from fleetlens.functions.columns import surrogate_key
 
 
-def fct_drive_daily(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+def fct_drive_daily(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per staged row (no filter, no dedupe): key, serial, date, failure flag, 7 SMART.
 
-    A narrow projection: no shuffle, stays in the scan's codegen stage.
+    A narrow projection: no shuffle, stays in the scan's codegen stage. ``keep`` adds
+    staged columns after the contract (e.g. the partition column when writing).
     """
     return stg.select(
         surrogate_key(cols.entity, cols.date).alias("drive_day_key"),
@@ -20,6 +21,7 @@ def fct_drive_daily(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> Dat
         F.col(cols.date).alias("snapshot_date"),
         F.col(cols.failure).alias("failure_flag"),
         *SMART_COLUMNS,
+        *keep,
     )
 
 

@@ -18,6 +18,34 @@ def last_day_value(date: Column, value: Column) -> Column:
     return F.max(F.when(date.isNotNull(), F.struct(date.alias("d"), value.alias("v"))))["v"]
 
 
+# Encoding of (date, small integer flag) into one long so that "flag on the last
+# day" is a plain max() over a fixed-width value (HashAggregate) instead of a max
+# over a struct (sort-based aggregate). flag + 129 lies in 1..256 for a TINYINT,
+# 0 stands for a NULL flag; dates before 1970 work because decoding uses pmod.
+_FLAG_BASE = 512
+_FLAG_OFFSET = 129
+
+
+def encode_day_flag(date: Column, flag: Column) -> Column:
+    """unix_date(date) * 512 + (flag + 129), flag NULL -> + 0; NULL date -> NULL."""
+    code = F.coalesce(flag.cast("int") + F.lit(_FLAG_OFFSET), F.lit(0))
+    return F.when(date.isNotNull(), F.unix_date(date).cast("long") * F.lit(_FLAG_BASE) + code)
+
+
+def decode_day_flag(encoded: Column) -> Column:
+    """The flag part of ``encode_day_flag``; NULL when the flag (or every date) was NULL."""
+    r = F.pmod(encoded, F.lit(_FLAG_BASE))
+    return F.when(r > 0, r - F.lit(_FLAG_OFFSET))
+
+
+def last_day_flag(date: Column, flag: Column) -> Column:
+    """Aggregate: max(flag) over the rows on the latest non-NULL date of the group.
+
+    Same result as ``last_day_value`` for TINYINT flags, but hash-aggregatable.
+    """
+    return decode_day_flag(F.max(encode_day_flag(date, flag)))
+
+
 def censoring_status(final_flag: Column, last_seen: Column, dataset_max: Column) -> Column:
     """'failed' first, then 'exited_without_failure' if last_seen < dataset max, else 'active'.
 
@@ -36,7 +64,7 @@ def span_aggregates(cols: FleetColumns = DEFAULT_COLUMNS) -> list[Column]:
         F.min(d).alias("first_seen"),
         F.max(d).alias("last_seen"),
         F.count(F.lit(1)).alias("observed_days"),
-        F.coalesce(last_day_value(d, F.col(cols.failure)), F.lit(0)).cast("int").alias("final_day_failure_flag"),
+        F.coalesce(last_day_flag(d, F.col(cols.failure)), F.lit(0)).cast("int").alias("final_day_failure_flag"),
     ]
 
 

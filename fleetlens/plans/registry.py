@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens.config import PUBLISHED_THRESHOLDS, TEST_SCALE_THRESHOLDS
-from fleetlens.operators import afr, contract, dims, facts, spans
+from fleetlens.operators import afr, contract, dims, facts, fleet, spans, survival, trend
 from fleetlens.plans import oracle as O
 from fleetlens.sources.seed import manufacturer_seed
 from fleetlens.sources.telemetry import raw_drive_stats
@@ -79,9 +79,26 @@ QUERIES: dict[str, Query] = {
     "afr_published_cutoff": _wh(lambda w: w.mart(PUBLISHED_THRESHOLDS)),
     "afr_all_data_model_quarters": _wh(lambda w: w.mart(None)),
     "fleet_afr": _wh(lambda w: afr.fleet_afr(w.mart(TEST_SCALE_THRESHOLDS))),
+    "afr_top10_by_drive_days": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 10, "drive_days")),
+    "afr_bottom5_by_afr": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 5, "afr_pct", descending=False)),
+    "afr_top5_by_afr": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 5, "afr_pct")),
+    "afr_yoy": _wh(lambda w: afr.yoy_afr(w.mart(None))),
+    "rolling_30d_failure_rate": _wh(lambda w: trend.rolling_failure_rate(w.fct_drive_daily, w.dim_drive, 30)),
+    "rolling_90d_failure_rate": _wh(lambda w: trend.rolling_failure_rate(w.fct_drive_daily, w.dim_drive, 90)),
+    "rolling_90d_failure_rate_expand": _wh(
+        lambda w: trend.rolling_failure_rate(w.fct_drive_daily, w.dim_drive, 90, method="expand")
+    ),
+    "trend_anomaly": _wh(lambda w: trend.trend_anomaly(w.fct_drive_daily, w.dim_drive)),
+    "temperature_anomaly": _wh(lambda w: trend.temperature_anomaly(w.fct_drive_daily)),
+    "cohort_survival": _wh(lambda w: survival.cohort_survival(w.dim_drive)),
+    "cohort_survival_by_vintage": _wh(lambda w: survival.cohort_survival(w.dim_drive, by_vintage=True)),
+    "fleet_daily": _wh(lambda w: fleet.fleet_daily(w.stg)),
+    "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg)),
 }
 
 
+_MART = O.mart_rows_sql(TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days)
+
 ORACLE: dict[str, str] = {
     "raw_drive_stats": f"{O.with_ctes(*O.BASE[:1])} select * from raw_drive_stats",
     "stg_drive_stats": f"{O.with_ctes(*O.BASE)} select * from stg",
@@ -107,4 +124,17 @@ select quarter_label, count(*) as models, cast(sum(drive_count) as bigint) as dr
   cast(sum(drive_days) as bigint) as drive_days, cast(sum(failures) as bigint) as failures,
   {O.AFR.format(f='sum(failures)', d='sum(drive_days)')} as afr_pct
 from mart group by quarter_label""",
+    "afr_top10_by_drive_days": O.top_sql(_MART, 10, "drive_days desc"),
+    "afr_bottom5_by_afr": O.top_sql(_MART, 5, "afr_pct asc"),
+    "afr_top5_by_afr": O.top_sql(_MART, 5, "afr_pct desc"),
+    "afr_yoy": O.yoy_sql(O.mart_rows_sql(None, None)),
+    "rolling_30d_failure_rate": O.rolling_sql(30),
+    "rolling_90d_failure_rate": O.rolling_sql(90),
+    "rolling_90d_failure_rate_expand": O.rolling_sql(90),
+    "trend_anomaly": O.TREND_SQL,
+    "temperature_anomaly": O.TEMPERATURE_SQL,
+    "cohort_survival": O.survival_sql(False),
+    "cohort_survival_by_vintage": O.survival_sql(True),
+    "fleet_daily": O.FLEET_DAILY_SQL,
+    "dedupe_drive_days": O.DEDUPE_SQL,
 }
