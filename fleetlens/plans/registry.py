@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens.config import PUBLISHED_THRESHOLDS, TEST_SCALE_THRESHOLDS
-from fleetlens.operators import afr, contract, dims, facts, fleet, spans, survival, trend
+from fleetlens.operators import afr, checks, contract, dims, facts, fleet, spans, survival, trend
 from fleetlens.plans import oracle as O
+from fleetlens.session import checkpoint_dir
 from fleetlens.sources.seed import manufacturer_seed
 from fleetlens.sources.telemetry import raw_drive_stats
 
@@ -58,6 +59,41 @@ class Warehouse:
         return afr.afr_quarterly(self.fct_drive_daily, self.dim_drive, self.dim_model, thresholds)
 
 
+FRESHNESS_AS_OF = "2002-06-30"
+
+
+def check_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The warehouse tables for the check suite, with lineage cut after the raw zone and the
+    (serial, model) partials: reliable checkpoints in the session's checkpoint folder, so ~70
+    checks do not each re-derive the tables, and a lost executor recomputes from the
+    checkpoint, not from the source tables."""
+    checkpoint_dir(spark)
+    raw = raw_drive_stats(spark, sf_dir).checkpoint()
+    stg = contract.stage_contract(raw)
+    partials = dims.drive_model_partials(stg).checkpoint()
+    from fleetlens.plans.warehouse import spans_from_partials
+
+    dim_drive = dims.dim_drive_from_partials(partials)
+    dim_model = dims.dim_model_from_partials(partials, manufacturer_seed(spark))
+    fct = facts.fct_drive_daily(stg)
+    tables = {
+        "stg_drive_stats": stg,
+        "int_drive_spans": spans_from_partials(partials),
+        "dim_drive": dim_drive,
+        "dim_model": dim_model,
+        "dim_date": dims.dim_date(stg),
+        "fct_drive_daily": fct,
+        "fct_failures": facts.fct_failures(stg),
+        "mart_model_afr_quarterly": afr.afr_quarterly(fct, dim_drive, dim_model, TEST_SCALE_THRESHOLDS),
+    }
+    return tables, raw
+
+
+def _data_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables, raw = check_tables(spark, sf_dir)
+    return checks.checks_suite_with_singular(tables, raw)
+
+
 def _wh(fn: Callable[[Warehouse], DataFrame]) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Warehouse(spark, sf_dir))
@@ -94,6 +130,15 @@ QUERIES: dict[str, Query] = {
     "cohort_survival_by_vintage": _wh(lambda w: survival.cohort_survival(w.dim_drive, by_vintage=True)),
     "fleet_daily": _wh(lambda w: fleet.fleet_daily(w.stg)),
     "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg)),
+    "data_checks": _data_checks,
+    "source_freshness": _wh(lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF)),
+    "failure_only_on_last_seen": _wh(lambda w: checks.failure_only_on_last_seen(w.stg, w.spans)),
+    "model_manufacturer": _wh(
+        lambda w: dims.longest_prefix_match(
+            dims.model_rollup(dims.drive_model_partials(w.stg)), "model", manufacturer_seed(w.spark),
+            broadcast_table=True,
+        )
+    ),
 }
 
 
@@ -137,4 +182,10 @@ from mart group by quarter_label""",
     "cohort_survival_by_vintage": O.survival_sql(True),
     "fleet_daily": O.FLEET_DAILY_SQL,
     "dedupe_drive_days": O.DEDUPE_SQL,
+    "data_checks": O.checks_sql(
+        checks.WAREHOUSE_SUITE, TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days
+    ),
+    "source_freshness": O.freshness_sql(FRESHNESS_AS_OF),
+    "failure_only_on_last_seen": O.LAST_SEEN_SQL,
+    "model_manufacturer": O.MANUFACTURER_SQL,
 }
