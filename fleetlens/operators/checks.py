@@ -91,6 +91,10 @@ WAREHOUSE_SUITE: list[CheckSpec] = (
                   predicate="afr_pct < 0 or afr_pct > 50", name="afr_pct_reasonable"),
         CheckSpec("expression", "dim_drive", "capacity_bytes", "error",
                   predicate="capacity_bytes is null or capacity_bytes <= 0", name="dim_drive_capacity_positive"),
+        CheckSpec("expression", "stg_drive_stats", "quarter", "warn",
+                  predicate="quarter <> concat(cast(year(snapshot_date) as string), 'Q', "
+                  "cast(quarter(snapshot_date) as string))",
+                  name="quarter_label_matches_partition"),
         CheckSpec("expression", "stg_drive_stats", "smart_194_temperature_celsius_raw", "warn",
                   predicate=f"smart_194_temperature_celsius_raw < {TEMPERATURE_BOUNDS[0]} "
                   f"or smart_194_temperature_celsius_raw > {TEMPERATURE_BOUNDS[1]}",
@@ -117,11 +121,23 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
 
 
 def relationship_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Non-NULL child keys with no parent row (left-anti join)."""
+    """Non-NULL child rows with no parent row (left-anti join)."""
     keys = parent.select(F.col(parent_column).alias(column))
     return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
+def orphan_row_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """One row: the number of non-NULL child rows whose key has no parent.
+
+    The child is first reduced to (key, rows) with map-side partial counts, so a
+    fact-to-dimension check shuffles one row per key and map task, not every fact
+    row; the anti-join then runs at dimension size.
+    """
+    per_key = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    keys = parent.select(F.col(parent_column).alias(column))
+    return per_key.join(keys, column, "left_anti").agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_orphans"))
+
+
 def failure_only_on_last_seen(stg: DataFrame, spans_df: DataFrame) -> DataFrame:
     """Failure rows dated before the drive's last_seen."""
     s = spans_df.select("serial_number", "last_seen")
@@ -177,8 +193,8 @@ def run_checks(tables: dict[str, DataFrame], suite: list[CheckSpec] = WAREHOUSE_
             d = unique_failures(tables[spec.table], spec.column)
             parts.append(_summary_row(d, spec, F.count(F.lit(1))))
         elif spec.kind == "relationships":
-            d = relationship_failures(tables[spec.table], spec.column, tables[spec.to_table], spec.to_column)
-            parts.append(_summary_row(d, spec, F.count(F.lit(1))))
+            d = orphan_row_count(tables[spec.table], spec.column, tables[spec.to_table], spec.to_column)
+            parts.append(_summary_row(d, spec, F.sum("_orphans")))
         else:
             raise ValueError(f"unknown check kind {spec.kind}")
     for table, items in by_table.items():

@@ -78,11 +78,26 @@ def model_capacity(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> Data
 # --------------------------------------------------------------------------- dim_drive
 
 
-def dim_drive_from_partials(partials: DataFrame) -> DataFrame:
-    """dim_drive from (serial, model) partials; see ``dim_drive``."""
+def dim_drive_from_partials(
+    partials: DataFrame,
+    grace_days: int = 0,
+    drive_capacity: DataFrame | None = None,
+    model_capacity_df: DataFrame | None = None,
+) -> DataFrame:
+    """dim_drive from (serial, model) partials; see ``dim_drive``.
+
+    ``drive_capacity`` (serial_number, drive_capacity_bytes) and ``model_capacity_df``
+    (model, model_capacity_bytes) replace the max-based capacities when given
+    (the modal rule).
+    """
     drives = drive_rollup(partials)
     bounds = drives.agg(F.max("last_seen").alias("dataset_max_date"))
-    fallback = model_rollup(partials).select("model", F.col("capacity_bytes").alias("model_capacity_bytes"))
+    if model_capacity_df is None:
+        fallback = model_rollup(partials).select("model", F.col("capacity_bytes").alias("model_capacity_bytes"))
+    else:
+        fallback = model_capacity_df
+    if drive_capacity is not None:
+        drives = drives.drop("drive_capacity_bytes").join(drive_capacity, "serial_number", "left")
     return (
         drives.where(F.col("serial_number").isNotNull())
         .crossJoin(F.broadcast(bounds))
@@ -94,14 +109,32 @@ def dim_drive_from_partials(partials: DataFrame) -> DataFrame:
             "first_seen",
             "last_seen",
             F.col("observed_days").alias("drive_days"),
-            censoring_status(F.col("final_day_failure_flag"), F.col("last_seen"), F.col("dataset_max_date")).alias(
-                "status"
-            ),
+            censoring_status(
+                F.col("final_day_failure_flag"), F.col("last_seen"), F.col("dataset_max_date"), grace_days
+            ).alias("status"),
         )
     )
 
 
-def dim_drive(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+def modal_value(df: DataFrame, key: Column, key_name: str, value: str, out: str) -> DataFrame:
+    """(key_name, out): the most frequent non-NULL ``value`` per key; ties go to the larger value.
+
+    Two steps instead of the holistic ``mode`` aggregate (per-group hash maps, which
+    hung the reference's build): a hash aggregate of (key, value) counts with
+    map-side partials, then a max of (count, value) over those reduced rows. A hot
+    key costs one partial row per distinct value and map task.
+    """
+    counts = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(key.alias(key_name), F.col(value).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return counts.groupBy(key_name).agg(F.max(F.struct("_n", "_v"))["_v"].alias(out))
+
+
+def dim_drive(
+    stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, capacity_rule: str = "max", grace_days: int = 0
+) -> DataFrame:
     """serial_number, model, capacity_bytes (repaired), first_seen, last_seen, drive_days, status.
 
     The reference builds spans and drive attributes in two scans plus an inner join,
@@ -110,8 +143,20 @@ def dim_drive(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame
     is the ``isNotNull`` filter. Capacity repair: the drive's own non-sentinel value,
     else its model's, else NULL. The fallback is model-sized; AQE broadcasts it when
     its measured size is under the threshold, else it is a sort-merge join.
+
+    ``capacity_rule='mode'`` uses the modal non-sentinel capacity (per drive, and per
+    model for the fallback) instead of the max; both agree while capacity is
+    constant per drive and model, as in the reference's data.
     """
-    return dim_drive_from_partials(drive_model_partials(stg, cols))
+    partials = drive_model_partials(stg, cols)
+    if capacity_rule == "max":
+        return dim_drive_from_partials(partials, grace_days)
+    if capacity_rule != "mode":
+        raise ValueError("capacity_rule must be 'max' or 'mode'")
+    ok = stg.where(~F.col(cols.sentinel))
+    per_drive = modal_value(ok, F.col(cols.entity), "serial_number", cols.capacity, "drive_capacity_bytes")
+    per_model = modal_value(ok, normalize_model(cols.model), "model", cols.capacity, "model_capacity_bytes")
+    return dim_drive_from_partials(partials, grace_days, per_drive, per_model)
 
 
 def repair_capacity(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
@@ -187,13 +232,44 @@ def drive_type(slot_observations: Column, observations: Column) -> Column:
     return F.when(slot_observations * 2 >= observations, F.lit("data")).otherwise(F.lit("boot"))
 
 
-def dim_model(stg: DataFrame, seed: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, broadcast_seed: bool = True) -> DataFrame:
+def dim_model(
+    stg: DataFrame,
+    seed: DataFrame,
+    cols: FleetColumns = DEFAULT_COLUMNS,
+    broadcast_seed: bool = True,
+    drive_type_scope: str = "all",
+) -> DataFrame:
     """model, manufacturer, capacity_bytes, capacity_class, fleet_drive_count, drive_type.
 
     One row per non-NULL normalized model. ``broadcast_seed`` is for the built-in
     15-row seed; pass False for a seed of unknown size and let AQE decide.
+
+    ``drive_type_scope='slot_quarters'`` counts slot share only over partitions
+    (quarters) in which any row carries a slot, so a quarter loaded before the slot
+    column existed cannot flip data models to 'boot'. The set of such quarters is
+    one row per quarter (calendar-bounded), broadcast by a proven bound.
     """
-    return dim_model_from_partials(drive_model_partials(stg, cols), seed, broadcast_seed)
+    partials = drive_model_partials(stg, cols)
+    if drive_type_scope == "all":
+        return dim_model_from_partials(partials, seed, broadcast_seed)
+    if drive_type_scope != "slot_quarters":
+        raise ValueError("drive_type_scope must be 'all' or 'slot_quarters'")
+    slot_quarters = stg.groupBy(cols.partition).agg(F.count(cols.slot).alias("_s")).where(F.col("_s") > 0)
+    scoped = stg.join(F.broadcast(slot_quarters.select(cols.partition)), cols.partition, "left_semi")
+    shares = scoped.groupBy(normalize_model(cols.model).alias("model")).agg(
+        F.count(F.lit(1)).alias("observations"), F.count(cols.slot).alias("slot_observations")
+    )
+    base = dim_model_from_partials(partials, seed, broadcast_seed)
+    return (
+        base.join(shares, "model", "left")
+        .withColumn(
+            "drive_type",
+            F.when(F.col("observations").isNull(), F.col("drive_type")).otherwise(
+                drive_type(F.col("slot_observations"), F.col("observations"))
+            ),
+        )
+        .select(*base.columns)
+    )
 
 
 def dim_model_from_partials(partials: DataFrame, seed: DataFrame, broadcast_seed: bool = True) -> DataFrame:

@@ -46,14 +46,17 @@ def last_day_flag(date: Column, flag: Column) -> Column:
     return decode_day_flag(F.max(encode_day_flag(date, flag)))
 
 
-def censoring_status(final_flag: Column, last_seen: Column, dataset_max: Column) -> Column:
+def censoring_status(final_flag: Column, last_seen: Column, dataset_max: Column, grace_days: int = 0) -> Column:
     """'failed' first, then 'exited_without_failure' if last_seen < dataset max, else 'active'.
 
-    A NULL last_seen falls through to 'active', as a CASE does.
+    A NULL last_seen falls through to 'active', as a CASE does. ``grace_days`` > 0
+    keeps a drive 'active' when it is missing only from the last few days of the
+    data (a known source gap), i.e. exited means last_seen < max - grace_days.
     """
+    cutoff = dataset_max if grace_days == 0 else F.date_sub(dataset_max, grace_days)
     return (
         F.when(final_flag == 1, F.lit(STATUS_FAILED))
-        .when(last_seen < dataset_max, F.lit(STATUS_EXITED))
+        .when(last_seen < cutoff, F.lit(STATUS_EXITED))
         .otherwise(F.lit(STATUS_ACTIVE))
     )
 
@@ -68,7 +71,7 @@ def span_aggregates(cols: FleetColumns = DEFAULT_COLUMNS) -> list[Column]:
     ]
 
 
-def observation_spans(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+def observation_spans(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, grace_days: int = 0) -> DataFrame:
     """One row per drive: first_seen, last_seen, observed_days, final_day_failure_flag, censoring_status.
 
     One shuffle (``groupBy(entity)``, partial aggregation absorbs hot drives). The
@@ -84,7 +87,7 @@ def observation_spans(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> D
         "last_seen",
         "observed_days",
         "final_day_failure_flag",
-        censoring_status(F.col("final_day_failure_flag"), F.col("last_seen"), F.col("dataset_max_date")).alias(
-            "censoring_status"
-        ),
+        censoring_status(
+            F.col("final_day_failure_flag"), F.col("last_seen"), F.col("dataset_max_date"), grace_days
+        ).alias("censoring_status"),
     )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetlens.config import PUBLISHED_THRESHOLDS, TEST_SCALE_THRESHOLDS
 from fleetlens.operators import afr, checks, contract, dims, facts, fleet, spans, survival, trend
 from fleetlens.plans import oracle as O
+from fleetlens.plans.export import month_drive_days
 from fleetlens.session import checkpoint_dir
 from fleetlens.sources.seed import manufacturer_seed
 from fleetlens.sources.telemetry import raw_drive_stats
@@ -60,6 +61,7 @@ class Warehouse:
 
 
 FRESHNESS_AS_OF = "2002-06-30"
+MONTH = (1996, 5)  # the partition-pruning query's month (O25)
 
 
 def check_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -73,18 +75,18 @@ def check_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame]
     partials = dims.drive_model_partials(stg).checkpoint()
     from fleetlens.plans.warehouse import spans_from_partials
 
-    dim_drive = dims.dim_drive_from_partials(partials)
-    dim_model = dims.dim_model_from_partials(partials, manufacturer_seed(spark))
+    dim_drive = dims.dim_drive_from_partials(partials).checkpoint()
+    dim_model = dims.dim_model_from_partials(partials, manufacturer_seed(spark)).checkpoint()
     fct = facts.fct_drive_daily(stg)
     tables = {
         "stg_drive_stats": stg,
-        "int_drive_spans": spans_from_partials(partials),
+        "int_drive_spans": spans_from_partials(partials).checkpoint(),
         "dim_drive": dim_drive,
         "dim_model": dim_model,
-        "dim_date": dims.dim_date(stg),
+        "dim_date": dims.dim_date(stg).checkpoint(),
         "fct_drive_daily": fct,
         "fct_failures": facts.fct_failures(stg),
-        "mart_model_afr_quarterly": afr.afr_quarterly(fct, dim_drive, dim_model, TEST_SCALE_THRESHOLDS),
+        "mart_model_afr_quarterly": afr.afr_quarterly(fct, dim_drive, dim_model, TEST_SCALE_THRESHOLDS).checkpoint(),
     }
     return tables, raw
 
@@ -130,6 +132,13 @@ QUERIES: dict[str, Query] = {
     "cohort_survival_by_vintage": _wh(lambda w: survival.cohort_survival(w.dim_drive, by_vintage=True)),
     "fleet_daily": _wh(lambda w: fleet.fleet_daily(w.stg)),
     "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg)),
+    "afr_by_model": _wh(lambda w: afr.afr_by_model(w.mart(TEST_SCALE_THRESHOLDS))),
+    "drive_modal_capacity": _wh(lambda w: dims.dim_drive(w.stg, capacity_rule="mode")),
+    "int_drive_spans_grace_30d": _wh(lambda w: spans.observation_spans(w.stg, grace_days=30)),
+    "dim_model_slot_quarters": _wh(
+        lambda w: dims.dim_model(w.stg, manufacturer_seed(w.spark), drive_type_scope="slot_quarters")
+    ),
+    "month_drive_days": lambda spark, sf_dir: month_drive_days(raw_drive_stats(spark, sf_dir), *MONTH),
     "data_checks": _data_checks,
     "source_freshness": _wh(lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF)),
     "failure_only_on_last_seen": _wh(lambda w: checks.failure_only_on_last_seen(w.stg, w.spans)),
@@ -182,6 +191,11 @@ from mart group by quarter_label""",
     "cohort_survival_by_vintage": O.survival_sql(True),
     "fleet_daily": O.FLEET_DAILY_SQL,
     "dedupe_drive_days": O.DEDUPE_SQL,
+    "afr_by_model": O.by_model_sql(_MART),
+    "drive_modal_capacity": O.MODAL_DIM_DRIVE_SQL,
+    "int_drive_spans_grace_30d": f"{O.with_ctes(*O.BASE, O.spans_cte(30))} select * from spans",
+    "dim_model_slot_quarters": O.SLOT_SCOPED_DIM_MODEL_SQL,
+    "month_drive_days": O.month_sql(*MONTH),
     "data_checks": O.checks_sql(
         checks.WAREHOUSE_SUITE, TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days
     ),

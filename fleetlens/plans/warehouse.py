@@ -93,7 +93,7 @@ class WarehouseBuild:
         return self.result
 
 
-def spans_from_partials(partials: DataFrame) -> DataFrame:
+def spans_from_partials(partials: DataFrame, grace_days: int = 0) -> DataFrame:
     """int_drive_spans merged from the (serial, model) partials (NULL serial kept, as in the spans model)."""
     from fleetlens.operators.spans import censoring_status
 
@@ -105,7 +105,7 @@ def spans_from_partials(partials: DataFrame) -> DataFrame:
         "last_seen",
         "observed_days",
         "final_day_failure_flag",
-        censoring_status(F.col("final_day_failure_flag"), F.col("last_seen"), F.col("dataset_max_date")).alias(
-            "censoring_status"
-        ),
+        censoring_status(
+            F.col("final_day_failure_flag"), F.col("last_seen"), F.col("dataset_max_date"), grace_days
+        ).alias("censoring_status"),
     )

@@ -310,8 +310,16 @@ def ingest_quarter(
     csv_dir: str,
     raw_root: str,
     meta_root: str,
+    staged_publish: bool = False,
 ) -> IngestReport:
-    """CSV directory of one quarter -> ``raw_root/quarter=Q`` (see module doc). Raises on mismatch."""
+    """CSV directory of one quarter -> ``raw_root/quarter=Q`` (see module doc). Raises on mismatch.
+
+    With ``staged_publish`` the quarter is first written under ``meta_root/_staging``,
+    reconciled there, and only on PASS copied into the raw zone (dynamic partition
+    overwrite), so a failed load never replaces a good partition. It costs one more
+    write of the quarter; without it a mismatching partition stays written but the
+    job raises.
+    """
     parse_quarter(quarter)
     t0 = time.perf_counter()
     files = list_csv_files(spark, csv_dir)
@@ -325,14 +333,26 @@ def ingest_quarter(
     csv_rows = strings.count()
     csv_lines = count_data_lines(spark, files)
     typed = apply_types(strings, types).withColumn("quarter", F.lit(quarter))
-    (
-        typed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy("quarter")
-        .parquet(raw_root)
-    )
-    pq_rows = spark.read.parquet(f"{raw_root.rstrip('/')}/quarter={quarter}").count()
+
+    def publish(df: DataFrame) -> None:
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy("quarter")
+            .parquet(raw_root)
+        )
+
+    if staged_publish:
+        stage = f"{meta_root.rstrip('/')}/_staging/quarter={quarter}"
+        typed.drop("quarter").write.mode("overwrite").option("compression", "zstd").parquet(stage)
+        pq_rows = spark.read.parquet(stage).count()
+        if csv_rows == pq_rows == csv_lines:
+            publish(spark.read.parquet(stage).withColumn("quarter", F.lit(quarter)))
+            pq_rows = spark.read.parquet(f"{raw_root.rstrip('/')}/quarter={quarter}").count()
+    else:
+        publish(typed)
+        pq_rows = spark.read.parquet(f"{raw_root.rstrip('/')}/quarter={quarter}").count()
     report = IngestReport(
         quarter, len(files), csv_rows, csv_lines, pq_rows, time.perf_counter() - t0, columns, types, drift
     )
