@@ -43,7 +43,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drive_days_from_tables(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Map (lineitem, part) to the raw drive-day table, columns in RAW_COLUMNS order."""
+    """Map (lineitem, part) to the raw drive-day table, columns in RAW_COLUMNS order.
+
+    Types follow the raw-zone contract of the CSV ingest (date DATE, failure TINYINT,
+    capacity BIGINT, integers BIGINT), so the staging casts are no-ops and a
+    predicate on the staged failure flag is pushed into the Parquet scan.
+    """
     li = (
         lineitem.select(
             F.col("l_partkey").alias("k"),
@@ -92,7 +97,7 @@ def drive_days_from_tables(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.concat(F.lit("S"), k.cast("string")).alias("serial_number"),
         F.concat(family, m.cast("string")).alias("model"),
         capacity.cast("bigint").alias("capacity_bytes"),
-        F.when(last_day & (k % 10 == 3), 1).otherwise(0).alias("failure"),
+        F.when(last_day & (k % 10 == 3), 1).otherwise(0).cast("tinyint").alias("failure"),
         q.alias("smart_5_raw"),
         dc.alias("smart_187_raw"),
         ln.cast("bigint").alias("smart_188_raw"),

@@ -11,6 +11,7 @@ from conftest import SF001
 
 
 def _plan(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
