@@ -13,7 +13,7 @@ GoldQuery = Callable[[SparkSession, BuildResult], DataFrame]
 
 
 def _t(spark: SparkSession, r: BuildResult, name: str) -> DataFrame:
-    return r.read(spark, name)
+    return r.read(spark, name)  # catalog table when the build is bucketed, else the Parquet path
 
 
 GOLD_QUERIES: dict[str, GoldQuery] = {

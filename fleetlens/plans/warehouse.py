@@ -23,15 +23,27 @@ from fleetlens.sources.seed import manufacturer_seed
 FACT_PARTITION = "quarter"
 
 
+# Tables keyed by drive: with ``buckets`` they are bucketed on serial_number with one
+# bucket count, so per-drive aggregates and fact-to-drive joins need no exchange.
+SERIAL_BUCKETED = ("int_drive_model_partials", "int_drive_spans", "dim_drive", "fct_drive_daily")
+
+
 @dataclass
 class BuildResult:
     root: str
     tables: dict[str, str] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
+    catalog: dict[str, str] = field(default_factory=dict)  # table name -> catalog name (bucketed builds)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
+        if name in self.catalog:
+            return spark.table(self.catalog[name])
         return spark.read.parquet(self.tables[name])
 
+    def staged(self, spark: SparkSession, raw_root: str) -> DataFrame:
+        """The staging view over the raw zone (staging is a view, never materialized)."""
+        return contract.stage_contract(read_raw(spark, raw_root))
+
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, dynamic: bool = False) -> str:
     """Overwrite a Parquet table (zstd). ``dynamic`` replaces only the partitions present in ``df``."""
@@ -50,7 +62,16 @@ def read_raw(spark: SparkSession, raw_root: str) -> DataFrame:
 
 
 class WarehouseBuild:
-    """Builds the tables in dependency order; each step is one or two Spark jobs."""
+    """Builds the tables in dependency order; each step is one or two Spark jobs.
+
+    ``buckets``: write the drive-keyed tables (SERIAL_BUCKETED) as catalog tables
+    bucketed by serial_number into that many buckets, under ``database``. Each is
+    repartitioned by serial first, so a bucket is one file per partition. This pays
+    one shuffle of the fact when it is written and removes it from every later read:
+    the per-drive rollups of the partials, and the fact-to-dim_drive joins of the AFR
+    mart and the daily model counts, then run without any exchange on the fact
+    (checked in tests/test_plans.py). Needs a session catalog (a metastore on a cluster).
+    """
 
     def __init__(
         self,
@@ -59,23 +80,47 @@ class WarehouseBuild:
         root: str,
         thresholds: AfrThresholds | None = TEST_SCALE_THRESHOLDS,
         seed: DataFrame | None = None,
+        buckets: int | None = None,
+        database: str = "fleetlens",
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.stg = contract.stage_contract(raw)
         self.thresholds = thresholds
         self.seed = seed if seed is not None else manufacturer_seed(spark)
+        self.buckets = buckets
+        self.database = database
         self.result = BuildResult(self.root)
+        if buckets:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _write_bucketed(self, df: DataFrame, name: str, partition_by: str | None) -> str:
+        table = f"{self.database}.{name}"
+        w = (
+            df.repartition(self.buckets, "serial_number")
+            .write.mode("overwrite")
+            .option("compression", "zstd")
+            .option("path", self.path(name))
+        )
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.bucketBy(self.buckets, "serial_number").sortBy("serial_number").saveAsTable(table)
+        self.result.catalog[name] = table
+        return table
+
     def _step(self, name: str, make: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
         t0 = time.perf_counter()
-        p = write_table(make(), self.path(name), partition_by)
+        if self.buckets and name in SERIAL_BUCKETED:
+            self._write_bucketed(make(), name, partition_by)
+            p = self.path(name)
+        else:
+            p = write_table(make(), self.path(name), partition_by)
         self.result.tables[name] = p
         self.result.seconds[name] = time.perf_counter() - t0
-        return self.spark.read.parquet(p)
+        return self.result.read(self.spark, name)
 
     def run(self) -> BuildResult:
         partials = self._step("int_drive_model_partials", lambda: dims.drive_model_partials(self.stg))
