@@ -40,6 +40,17 @@ class BuildResult:
             return spark.table(self.catalog[name])
         return spark.read.parquet(self.tables[name])
 
+    def register_views(self, spark: SparkSession, raw_root: str | None = None) -> list[str]:
+        """Temp views over the built tables (and the staging view) for SQL users."""
+        names = []
+        for name in self.tables:
+            self.read(spark, name).createOrReplaceTempView(name)
+            names.append(name)
+        if raw_root is not None:
+            self.staged(spark, raw_root).createOrReplaceTempView("stg_drive_stats")
+            names.append("stg_drive_stats")
+        return names
+
     def staged(self, spark: SparkSession, raw_root: str) -> DataFrame:
         """The staging view over the raw zone (staging is a view, never materialized)."""
         return contract.stage_contract(read_raw(spark, raw_root))

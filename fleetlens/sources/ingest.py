@@ -214,6 +214,27 @@ def append_audit(spark: SparkSession, audit_path: str, report: IngestReport) ->
 HISTORY_SCHEMA = "quarter string, ordinal int, column_name string, data_type string"
 
 
+DRIFT_LOG_SCHEMA = (
+    "logged_at string, quarter string, status string, prior_quarter string, prior_columns bigint, "
+    "columns bigint, added array<string>, removed array<string>"
+)
+
+
+def append_drift_log(spark: SparkSession, log_path: str, drift: dict) -> None:
+    """Append one drift entry (baseline or changed quarters only) to the Parquet drift log."""
+    row = [(
+        datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
+        drift["quarter"],
+        drift["status"],
+        drift.get("prior_quarter"),
+        drift.get("prior_columns"),
+        drift["columns"],
+        drift.get("added", []),
+        drift.get("removed", []),
+    )]
+    spark.createDataFrame(row, DRIFT_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
+
+
 def record_schema(
     spark: SparkSession, history_path: str, quarter: str, columns: list[str], types: dict[str, str]
 ) -> dict:
@@ -329,6 +350,8 @@ def ingest_quarter(
     present_fixed = {c: t for c, t in INGEST_CASTS.items() if c in columns}
     types = resolve_types(strings, present_fixed)
     drift = record_schema(spark, f"{meta_root}/schema_history", quarter, columns, types)
+    if drift["status"] != "unchanged":
+        append_drift_log(spark, f"{meta_root}/schema_drift_log", drift)
 
     csv_rows = strings.count()
     csv_lines = count_data_lines(spark, files)

@@ -1,13 +1,17 @@
 """Landing-folder loader on Structured Streaming.
 
 New CSV files dropped into a landing folder are picked up by a file stream with
-a fixed string schema, typed, tagged with their calendar quarter and appended to
-the Hive-partitioned raw zone through ``foreachBatch``. With
+a fixed string schema, typed, tagged with their calendar quarter and written to
+a quarter-partitioned Parquet table by the streaming FILE SINK. With
 ``trigger(availableNow=True)`` each run processes whatever has landed since the
-last run and stops, so it is a restartable, exactly-once batch loader: the
-stream's checkpoint (in the session's shared checkpoint folder) records which
-files were committed, and a restarted run after a lost executor or driver does
-not load a file twice.
+last run and stops, so it is a restartable batch loader.
+
+Exactly-once: the source offsets (which files were read) and the sink's
+``_spark_metadata`` commit log (which output files belong to a committed batch)
+both live in durable folders; a run that dies mid-batch is replayed on restart
+and its half-written files are never listed, because readers of the table go
+through the commit log. (A ``foreachBatch`` append would be at-least-once.)
+The checkpoint lives in the session's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -39,32 +43,25 @@ def typed_rows(df: DataFrame, types: dict[str, str]) -> DataFrame:
 def load_available(
     spark: SparkSession,
     landing: str,
-    raw_root: str,
+    table_root: str,
     columns: list[str],
     types: dict[str, str],
     name: str = "landing_loader",
 ) -> int:
-    """Process every file landed so far into ``raw_root`` (append per quarter) and stop.
+    """Process every file landed so far into ``table_root`` (partitioned by quarter) and stop.
 
-    Returns the number of rows written by this run.
+    Returns the number of rows this run read (and committed).
     """
-    written = {"rows": 0}
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        n = batch.count()
-        if n:
-            batch.write.mode("append").option("compression", "zstd").partitionBy("quarter").parquet(raw_root)
-        batch.unpersist()
-        written["rows"] += n
-
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     q = (
         typed_rows(landing_stream(spark, landing, columns), types)
-        .writeStream.foreachBatch(write_batch)
+        .writeStream.format("parquet")
+        .option("path", table_root)
         .option("checkpointLocation", ckpt)
+        .option("compression", "zstd")
+        .partitionBy("quarter")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return written["rows"]
+    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))

@@ -85,6 +85,9 @@ def test_drift_added_removed_and_null_then_typed_column(spark, raw_pdf, scratch)
     both = ingest.read_raw_zone(spark, f"{scratch}/raw")
     got = {r.quarter: r.s for r in both.groupBy("quarter").agg(F.sum("smart_200_raw").alias("s")).collect()}
     assert got[q1] is None and got[q2] == 7 * len(p2)
+    log = {r.quarter: r for r in spark.read.parquet(f"{scratch}/meta/schema_drift_log").collect()}
+    assert log[q1].status == "baseline" and log[q2].status == "changed"
+    assert log[q2].added == ["smart_9_raw"] and log[q2].removed == ["smart_188_raw"]
     rep = ingest.drift_report(spark.read.parquet(f"{scratch}/meta/schema_history")).collect()
     row = {r.quarter: r for r in rep}[q2]
     assert row.prior_quarter == q1 and row.added == ["smart_9_raw"] and row.removed == ["smart_188_raw"]

@@ -99,3 +99,7 @@ def test_export_gold_parquet_and_csv(spark, scratch):
     assert back.count() == spark.read.parquet(res.tables["dim_model"]).count()
     daily = spark.read.parquet(out["fct_model_daily"])
     assert daily.groupBy().sum("drive_days").first()[0] > 0
+    views = res.register_views(spark, raw_root)
+    assert "stg_drive_stats" in views and "mart_model_afr_quarterly" in views
+    n_sql = spark.sql("select count(*) from fct_drive_daily f join dim_drive d using (serial_number)").first()[0]
+    assert n_sql == spark.sql("select count(*) from stg_drive_stats where serial_number is not null").first()[0]
