@@ -65,7 +65,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = local_session(cpus, max(2 * int(cpus), 8), app="fleetlens-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # a scratch folder for Spark's event log (stage/task times)
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = local_session(cpus, max(2 * int(cpus), 8), app="fleetlens-bench", extra_conf=extra)
     spark.sparkContext.setLogLevel("ERROR")
     out = tempfile.mkdtemp(prefix="fleetlens-bench-", dir=os.environ.get("BENCH_OUT", "/tmp"))
 

@@ -63,7 +63,12 @@ def afr_quarterly(
     data model-quarter. The model dimension is model-sized; AQE broadcasts it when
     its runtime size is under the broadcast threshold.
     """
-    counts = model_quarter_counts(fct_daily, dim_drive)
+    return afr_from_counts(model_quarter_counts(fct_daily, dim_drive), dim_model, thresholds)
+
+
+def afr_from_counts(counts: DataFrame, dim_model: DataFrame, thresholds: AfrThresholds | None) -> DataFrame:
+    """The mart from (model, quarter_label, drive_count, drive_days, failures): data drives,
+    strict cutoff, AFR, surrogate key. Shared by the full and the incremental builds."""
     models = dim_model.where(F.col("drive_type") == "data").select("model", "manufacturer", "capacity_class")
     out = counts.join(models, "model")
     if thresholds is not None:

@@ -178,6 +178,22 @@ def repair_capacity(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> Dat
     )
 
 
+def spans_from_partials(partials: DataFrame, grace_days: int = 0) -> DataFrame:
+    """int_drive_spans merged from the (serial, model) partials (NULL serial kept, as in the spans model)."""
+    drives = drive_rollup(partials)
+    bounds = drives.agg(F.max("last_seen").alias("dataset_max_date"))
+    return drives.crossJoin(F.broadcast(bounds)).select(
+        "serial_number",
+        "first_seen",
+        "last_seen",
+        "observed_days",
+        "final_day_failure_flag",
+        censoring_status(
+            F.col("final_day_failure_flag"), F.col("last_seen"), F.col("dataset_max_date"), grace_days
+        ).alias("censoring_status"),
+    )
+
+
 # --------------------------------------------------------------------------- longest prefix
 
 

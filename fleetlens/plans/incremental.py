@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.config import DEFAULT_COLUMNS, AfrThresholds, TEST_SCALE_THRESHOLDS, FleetColumns
-from fleetlens.functions.columns import afr_pct, non_sentinel, normalize_model, quarter_label, surrogate_key
-from fleetlens.operators import contract, dims, facts
+from fleetlens.functions.columns import non_sentinel, normalize_model, quarter_label
+from fleetlens.operators import afr, contract, dims, facts
 from fleetlens.operators.spans import encode_day_flag
-from fleetlens.plans.warehouse import spans_from_partials, write_table
+from fleetlens.plans.warehouse import write_table
 from fleetlens.sources.ingest import read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
 
@@ -88,23 +88,7 @@ def mart_from_counts(
             F.sum("failures").alias("failures"),
         )
     )
-    models = dim_model.where(F.col("drive_type") == "data").select("model", "manufacturer", "capacity_class")
-    out = mq.join(models, "model")
-    if thresholds is not None:
-        out = out.where(
-            (F.col("drive_count") > thresholds.min_drive_count) & (F.col("drive_days") > thresholds.min_drive_days)
-        )
-    return out.select(
-        surrogate_key("model", "quarter_label").alias("model_quarter_key"),
-        "model",
-        "quarter_label",
-        "manufacturer",
-        "capacity_class",
-        "drive_count",
-        "drive_days",
-        "failures",
-        afr_pct(F.col("failures"), F.col("drive_days")).alias("afr_pct"),
-    )
+    return afr.afr_from_counts(mq, dim_model, thresholds)
 
 
 def refresh_quarters(
@@ -138,7 +122,7 @@ def refresh_quarters(
         "int_drive_quarter_counts")
 
     partials = merge_quarter_partials(spark.read.parquet(paths["int_drive_model_quarter_partials"]))
-    write_table(spans_from_partials(partials), paths["int_drive_spans"])
+    write_table(dims.spans_from_partials(partials), paths["int_drive_spans"])
     write_table(dims.dim_drive_from_partials(partials), paths["dim_drive"])
     write_table(dims.dim_model_from_partials(partials, seed), paths["dim_model"])
     bounds = partials.agg(F.min("first_seen").alias("min_date"), F.max("last_seen").alias("max_date"))

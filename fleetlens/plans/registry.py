@@ -73,14 +73,12 @@ def check_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame]
     raw = raw_drive_stats(spark, sf_dir).checkpoint()
     stg = contract.stage_contract(raw)
     partials = dims.drive_model_partials(stg).checkpoint()
-    from fleetlens.plans.warehouse import spans_from_partials
-
     dim_drive = dims.dim_drive_from_partials(partials).checkpoint()
     dim_model = dims.dim_model_from_partials(partials, manufacturer_seed(spark)).checkpoint()
     fct = facts.fct_drive_daily(stg)
     tables = {
         "stg_drive_stats": stg,
-        "int_drive_spans": spans_from_partials(partials).checkpoint(),
+        "int_drive_spans": dims.spans_from_partials(partials).checkpoint(),
         "dim_drive": dim_drive,
         "dim_model": dim_model,
         "dim_date": dims.dim_date(stg).checkpoint(),

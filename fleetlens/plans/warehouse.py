@@ -135,7 +135,7 @@ class WarehouseBuild:
 
     def run(self) -> BuildResult:
         partials = self._step("int_drive_model_partials", lambda: dims.drive_model_partials(self.stg))
-        self._step("int_drive_spans", lambda: spans_from_partials(partials))
+        self._step("int_drive_spans", lambda: dims.spans_from_partials(partials))
         dim_drive = self._step("dim_drive", lambda: dims.dim_drive_from_partials(partials))
         dim_model = self._step("dim_model", lambda: dims.dim_model_from_partials(partials, self.seed))
         self._step("dim_date", lambda: dims.dim_date(self.stg))
@@ -149,19 +149,4 @@ class WarehouseBuild:
         return self.result
 
 
-def spans_from_partials(partials: DataFrame, grace_days: int = 0) -> DataFrame:
-    """int_drive_spans merged from the (serial, model) partials (NULL serial kept, as in the spans model)."""
-    from fleetlens.operators.spans import censoring_status
-
-    drives = dims.drive_rollup(partials)
-    bounds = drives.agg(F.max("last_seen").alias("dataset_max_date"))
-    return drives.crossJoin(F.broadcast(bounds)).select(
-        "serial_number",
-        "first_seen",
-        "last_seen",
-        "observed_days",
-        "final_day_failure_flag",
-        censoring_status(
-            F.col("final_day_failure_flag"), F.col("last_seen"), F.col("dataset_max_date"), grace_days
-        ).alias("censoring_status"),
-    )
+spans_from_partials = dims.spans_from_partials  # re-export (used by the incremental refresh)

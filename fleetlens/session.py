@@ -8,12 +8,20 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int | None = None, app: str = "fleetlens") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int | None = None,
+    app: str = "fleetlens",
+    extra_conf: dict[str, str] | None = None,
+) -> SparkSession:
     """A local session for tests and benchmarks: AQE on, UI off, UTC."""
     n = os.cpu_count() if cores == "*" else int(cores)
     parts = shuffle_partitions or max(2 * int(n or 8), 8)
+    b = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        b = b.config(k, v)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        b.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
