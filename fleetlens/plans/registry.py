@@ -6,17 +6,20 @@ through the telemetry mapping, so its work grows with the tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens.config import PUBLISHED_THRESHOLDS, TEST_SCALE_THRESHOLDS
 from fleetlens.operators import afr, checks, contract, dims, facts, fleet, spans, survival, trend
 from fleetlens.plans import oracle as O
 from fleetlens.plans.export import month_drive_days
 from fleetlens.session import checkpoint_dir
+from fleetlens.sources.ingest import ingest_landing, read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
-from fleetlens.sources.telemetry import raw_drive_stats
+from fleetlens.sources.telemetry import RAW_COLUMNS, raw_drive_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +97,32 @@ def _data_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.checks_suite_with_singular(tables, raw)
 
 
+def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV drops -> batch ingest -> raw zone -> staging, over every row of the derived telemetry.
+
+    The telemetry is landed as one folder per quarter (``quarter=YYYYQn``) in a new
+    folder under the session's checkpoint directory. Quarters 3 and 4 of every year
+    are landed with a drifted header (columns in reverse order, ``pod_slot_num``
+    absent), so the ingest must join files by name and the raw zone must merge the
+    quarters' schemas. Every quarter is then ingested in one batch (reconciled, or
+    it raises) and the staged raw zone is returned.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-ingest-{uuid.uuid4().hex}"
+    raw = raw_drive_stats(spark, sf_dir)
+    qn = F.substring("quarter", 6, 1)
+    raw.where(qn.isin("1", "2")).write.partitionBy("quarter").option("header", True).csv(f"{root}/landing/a")
+    drifted = [c for c in reversed(RAW_COLUMNS) if c not in ("quarter", "pod_slot_num")] + ["quarter"]
+    (
+        raw.where(qn.isin("3", "4"))
+        .select(*drifted)
+        .write.partitionBy("quarter")
+        .option("header", True)
+        .csv(f"{root}/landing/b")
+    )
+    ingest_landing(spark, f"{root}/landing", f"{root}/raw", f"{root}/meta")
+    return contract.stage_contract(read_raw_zone(spark, f"{root}/raw"))
+
+
 def _wh(fn: Callable[[Warehouse], DataFrame]) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Warehouse(spark, sf_dir))
@@ -137,6 +166,7 @@ QUERIES: dict[str, Query] = {
         lambda w: dims.dim_model(w.stg, manufacturer_seed(w.spark), drive_type_scope="slot_quarters")
     ),
     "month_drive_days": lambda spark, sf_dir: month_drive_days(raw_drive_stats(spark, sf_dir), *MONTH),
+    "ingest_roundtrip": ingest_roundtrip,
     "data_checks": _data_checks,
     "source_freshness": _wh(lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF)),
     "failure_only_on_last_seen": _wh(lambda w: checks.failure_only_on_last_seen(w.stg, w.spans)),
@@ -194,6 +224,9 @@ from mart group by quarter_label""",
     "int_drive_spans_grace_30d": f"{O.with_ctes(*O.BASE, O.spans_cte(30))} select * from spans",
     "dim_model_slot_quarters": O.SLOT_SCOPED_DIM_MODEL_SQL,
     "month_drive_days": O.month_sql(*MONTH),
+    "ingest_roundtrip": f"""{O.with_ctes(*O.BASE)}
+select * replace (case when substr(quarter, 6, 1) in ('3', '4') then null else pod_slot_num end as pod_slot_num)
+from stg""",
     "data_checks": O.checks_sql(
         checks.WAREHOUSE_SUITE, TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days
     ),

@@ -76,7 +76,7 @@ def test_staged_publish_keeps_good_partition_on_failure(spark, scratch, monkeypa
     rep = ingest.ingest_quarter(spark, q, f"{scratch}/csv", f"{scratch}/raw", f"{scratch}/meta", staged_publish=True)
     assert rep.ok and rep.parquet_rows == len(part)
     # A later load whose line count disagrees must not replace the good partition.
-    monkeypatch.setattr(ingest, "count_data_lines", lambda spark, files: -1)
+    monkeypatch.setattr(ingest, "count_data_lines_by_quarter", lambda spark, sources: {q: -1 for q in sources})
     try:
         ingest.ingest_quarter(spark, q, f"{scratch}/csv", f"{scratch}/raw", f"{scratch}/meta", staged_publish=True)
         raise AssertionError("expected ReconciliationError")
