@@ -91,7 +91,7 @@ def dim_drive_from_partials(
     (the modal rule).
     """
     drives = drive_rollup(partials)
-    bounds = drives.agg(F.max("last_seen").alias("dataset_max_date"))
+    dataset_max = drives.agg(F.max("last_seen")).scalar()  # scalar subquery, inlined once
     if model_capacity_df is None:
         fallback = model_rollup(partials).select("model", F.col("capacity_bytes").alias("model_capacity_bytes"))
     else:
@@ -100,7 +100,7 @@ def dim_drive_from_partials(
         drives = drives.drop("drive_capacity_bytes").join(drive_capacity, "serial_number", "left")
     return (
         drives.where(F.col("serial_number").isNotNull())
-        .crossJoin(F.broadcast(bounds))
+        .withColumn("dataset_max_date", dataset_max)
         .join(fallback, "model", "left")
         .select(
             "serial_number",
@@ -181,8 +181,8 @@ def repair_capacity(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> Dat
 def spans_from_partials(partials: DataFrame, grace_days: int = 0) -> DataFrame:
     """int_drive_spans merged from the (serial, model) partials (NULL serial kept, as in the spans model)."""
     drives = drive_rollup(partials)
-    bounds = drives.agg(F.max("last_seen").alias("dataset_max_date"))
-    return drives.crossJoin(F.broadcast(bounds)).select(
+    dataset_max = drives.agg(F.max("last_seen")).scalar()
+    return drives.withColumn("dataset_max_date", dataset_max).select(
         "serial_number",
         "first_seen",
         "last_seen",

@@ -76,12 +76,12 @@ def observation_spans(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, grac
 
     One shuffle (``groupBy(entity)``, partial aggregation absorbs hot drives). The
     dataset max date is the max of the per-drive last_seen (the NULL-entity group
-    included), so it re-reads the reduced span rows, not the staged rows; it is one
-    row, attached by a broadcast cross join whose build side is exactly one row.
+    included), a scalar subquery over the reduced span rows: Catalyst runs it once
+    and inlines the value, so no join is planned (AQE reuses the span shuffle).
     """
     spans = stg.groupBy(cols.entity).agg(*span_aggregates(cols))
-    bounds = spans.agg(F.max("last_seen").alias("dataset_max_date"))
-    return spans.crossJoin(F.broadcast(bounds)).select(
+    dataset_max = spans.agg(F.max("last_seen")).scalar()
+    return spans.withColumn("dataset_max_date", dataset_max).select(
         cols.entity,
         "first_seen",
         "last_seen",
