@@ -50,3 +50,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="fleetlens-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scale_settings(input_bytes: int, target_partition_mb: int = 256, min_partitions: int = 200) -> dict[str, str]:
+    """Spark SQL settings for a run over ``input_bytes`` of input (e.g. 100 TB on a cluster).
+
+    Shuffle partitions are sized so that a post-shuffle partition of the largest
+    shuffle (at most the input) is about ``target_partition_mb``; AQE then coalesces
+    small ones and splits skewed ones to the same advisory size. File splits use the
+    same size, so scan tasks and shuffle tasks are alike.
+    """
+    target = target_partition_mb * 1024 * 1024
+    parts = max(min_partitions, -(-int(input_bytes) // target))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * target_partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.parquet.compression.codec": "zstd",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str], overwrite: bool = False) -> dict[str, str]:
+    """Set each setting unless the session already has a value (the cluster's own config wins)."""
+    applied = {}
+    for k, v in settings.items():
+        current = spark.conf.get(k, None)
+        if overwrite or current is None:
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied

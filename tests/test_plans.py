@@ -69,7 +69,34 @@ def test_bucketed_warehouse_joins_fact_without_exchange(spark, scratch):
     join_side = plan.split("SortMergeJoin")[1]
     # below the fact-to-drive join there is no exchange: both inputs are bucketed by serial
     assert "Exchange" not in join_side
+    from fleetlens.operators import checks
+
+    spec = next(c for c in checks.WAREHOUSE_SUITE if c.kind == "unique" and c.table == "fct_drive_daily")
+    uniq = _plan(checks.unique_failures(fct, spec.column, spec.via))
+    assert "Exchange" not in uniq  # the grain test runs inside the buckets
+    assert checks.unique_failures(fct, spec.column, spec.via).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rel = _plan(checks.orphan_row_count(fct, "serial_number", dd, "serial_number"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    below_join = rel.split("SortMergeJoin")[1]
+    assert "Exchange" not in below_join  # fact -> dim_drive referential check inside the buckets
     for name in ("dim_drive", "dim_model", "int_drive_spans", "mart_model_afr_quarterly"):
         a = sorted(tuple(r) for r in res.read(spark, name).collect())
         b = sorted(tuple(r) for r in plain.read(spark, name).collect())
         assert a == b, name
+
+
+def test_scale_settings_size_partitions(spark):
+    from fleetlens.session import apply_settings, scale_settings
+
+    s = scale_settings(100 * 1024**4)  # 100 TB
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(1024)["spark.sql.shuffle.partitions"] == "200"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    applied = apply_settings(spark, {"spark.sql.shuffle.partitions": "7", "spark.sql.files.maxPartitionBytes": "64m"})
+    assert "spark.sql.shuffle.partitions" not in applied  # already set by the session: kept
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    if "spark.sql.files.maxPartitionBytes" in applied:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
