@@ -17,7 +17,7 @@ from fleetlens.operators import afr, checks, contract, dims, facts, fleet, spans
 from fleetlens.plans import oracle as O
 from fleetlens.plans.export import month_drive_days
 from fleetlens.session import checkpoint_dir
-from fleetlens.sources.ingest import ingest_landing, read_raw_zone
+from fleetlens.sources.ingest import drift_report, ingest_landing, read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
 from fleetlens.sources.telemetry import RAW_COLUMNS, raw_drive_stats
 
@@ -97,15 +97,14 @@ def _data_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.checks_suite_with_singular(tables, raw)
 
 
-def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV drops -> batch ingest -> raw zone -> staging, over every row of the derived telemetry.
-
-    The telemetry is landed as one folder per quarter (``quarter=YYYYQn``) in a new
-    folder under the session's checkpoint directory. Quarters 3 and 4 of every year
-    are landed with a drifted header (columns in reverse order, ``pod_slot_num``
-    absent), so the ingest must join files by name and the raw zone must merge the
-    quarters' schemas. Every quarter is then ingested in one batch (reconciled, or
-    it raises) and the staged raw zone is returned.
+def land_and_ingest(spark: SparkSession, sf_dir: str) -> str:
+    """Land the derived telemetry as quarterly CSV drops and batch-ingest them; returns the folder.
+
+    The landing is a new folder under the session's checkpoint directory. Quarters 3
+    and 4 of every year are landed with a drifted header (columns in reverse order,
+    ``pod_slot_num`` absent), so the ingest must join files by name and the raw
+    zone must merge the quarters' schemas. Every quarter is ingested in one batch
+    (reconciled, or it raises). Layout: ``landing/``, ``raw/``, ``meta/``.
     """
     root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-ingest-{uuid.uuid4().hex}"
     raw = raw_drive_stats(spark, sf_dir)
@@ -120,9 +119,28 @@ def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         .csv(f"{root}/landing/b")
     )
     ingest_landing(spark, f"{root}/landing", f"{root}/raw", f"{root}/meta")
+    return root
+
+
+def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV drops -> batch ingest -> raw zone -> staging, over every row of the derived telemetry."""
+    root = land_and_ingest(spark, sf_dir)
     return contract.stage_contract(read_raw_zone(spark, f"{root}/raw"))
 
 
+def schema_drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drift report of the landed quarters (each vs the previous stored quarter)."""
+    root = land_and_ingest(spark, sf_dir)
+    rep = drift_report(spark.read.parquet(f"{root}/meta/schema_history"))
+    return rep.select(
+        "quarter",
+        "prior_quarter",
+        F.col("columns").cast("bigint").alias("columns"),
+        F.array_join("added", ",").alias("added"),
+        F.array_join("removed", ",").alias("removed"),
+    )
+
+
 def _wh(fn: Callable[[Warehouse], DataFrame]) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Warehouse(spark, sf_dir))
@@ -167,6 +185,7 @@ QUERIES: dict[str, Query] = {
     ),
     "month_drive_days": lambda spark, sf_dir: month_drive_days(raw_drive_stats(spark, sf_dir), *MONTH),
     "ingest_roundtrip": ingest_roundtrip,
+    "schema_drift_report": schema_drift_report,
     "data_checks": _data_checks,
     "source_freshness": _wh(lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF)),
     "failure_only_on_last_seen": _wh(lambda w: checks.failure_only_on_last_seen(w.stg, w.spans)),
@@ -227,6 +246,16 @@ from mart group by quarter_label""",
     "ingest_roundtrip": f"""{O.with_ctes(*O.BASE)}
 select * replace (case when substr(quarter, 6, 1) in ('3', '4') then null else pod_slot_num end as pod_slot_num)
 from stg""",
+    "schema_drift_report": f"""{O.with_ctes(O.RAW_CTE)},
+lq as (select distinct quarter from raw_drive_stats),
+lp as (select quarter, lag(quarter) over (order by quarter) as prior_quarter from lq)
+select quarter, prior_quarter,
+  cast(case when substr(quarter, 6, 1) in ('3', '4') then 12 else 13 end as bigint) as columns,
+  case when substr(quarter, 6, 1) in ('1', '2') and substr(prior_quarter, 6, 1) in ('3', '4')
+       then 'pod_slot_num' else '' end as added,
+  case when substr(quarter, 6, 1) in ('3', '4') and substr(prior_quarter, 6, 1) in ('1', '2')
+       then 'pod_slot_num' else '' end as removed
+from lp""",
     "data_checks": O.checks_sql(
         checks.WAREHOUSE_SUITE, TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days
     ),
