@@ -182,9 +182,9 @@ QUERIES: dict[str, Query] = {
     "afr_published_cutoff": _wh(lambda w: w.mart(PUBLISHED_THRESHOLDS)),
     "afr_all_data_model_quarters": _wh(lambda w: w.mart(None)),
     "fleet_afr": _wh(lambda w: afr.fleet_afr(w.mart(TEST_SCALE_THRESHOLDS))),
-    "afr_top10_by_drive_days": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 10, "drive_days")),
-    "afr_bottom5_by_afr": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 5, "afr_pct", descending=False)),
-    "afr_top5_by_afr": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 5, "afr_pct")),
+    "afr_leaders_by_drive_days": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 10, "drive_days")),
+    "afr_lowest_afr_models": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 5, "afr_pct", descending=False)),
+    "afr_highest_afr_models": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 5, "afr_pct")),
     "afr_yoy": _wh(lambda w: afr.yoy_afr(w.mart(None))),
     "rolling_30d_failure_rate": _wh(lambda w: trend.rolling_failure_rate(w.fct_drive_daily, w.dim_drive, 30)),
     "rolling_90d_failure_rate": _wh(lambda w: trend.rolling_failure_rate(w.fct_drive_daily, w.dim_drive, 90)),
@@ -246,9 +246,9 @@ select quarter_label, count(*) as models, cast(sum(drive_count) as bigint) as dr
   cast(sum(drive_days) as bigint) as drive_days, cast(sum(failures) as bigint) as failures,
   {O.AFR.format(f='sum(failures)', d='sum(drive_days)')} as afr_pct
 from mart group by quarter_label""",
-    "afr_top10_by_drive_days": O.top_sql(_MART, 10, "drive_days desc"),
-    "afr_bottom5_by_afr": O.top_sql(_MART, 5, "afr_pct asc"),
-    "afr_top5_by_afr": O.top_sql(_MART, 5, "afr_pct desc"),
+    "afr_leaders_by_drive_days": O.top_sql(_MART, 10, "drive_days desc"),
+    "afr_lowest_afr_models": O.top_sql(_MART, 5, "afr_pct asc"),
+    "afr_highest_afr_models": O.top_sql(_MART, 5, "afr_pct desc"),
     "afr_yoy": O.yoy_sql(O.mart_rows_sql(None, None)),
     "rolling_30d_failure_rate": O.rolling_sql(30),
     "rolling_90d_failure_rate": O.rolling_sql(90),
