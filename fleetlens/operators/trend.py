@@ -30,6 +30,23 @@ def control_limits(value: Column, order_day: Column, partition: list[str], basel
     return mean, sd, n
 
 
+def exact_limits(value: Column, order_day: Column, partition: list[str], baseline_days: int, scale: int = 100):
+    """(mean, sd, n) like ``control_limits``, for values with a fixed number of decimals.
+
+    The values are taken as exact integers k = round(value * scale); the window sums
+    k and k*k as BIGINT (exact, so independent of summation order) and
+    mean = sum(k) / n / scale, sd = sqrt((n * sum(k^2) - sum(k)^2) / (n (n - 1))) / scale,
+    i.e. the sample standard deviation. Any engine computing this gets the same bits.
+    """
+    w = Window.partitionBy(*partition).orderBy(order_day).rangeBetween(-baseline_days, -1)
+    k = F.round(value * F.lit(scale)).cast("bigint")
+    s1, s2, n = F.sum(k).over(w), F.sum(k * k).over(w), F.count(k).over(w)
+    mean = s1.cast("double") / n / F.lit(float(scale))
+    var = (n * s2 - s1 * s1).cast("double") / (n * (n - 1)) / F.lit(float(scale * scale))
+    sd = F.when(n > 1, F.sqrt(var))
+    return mean, sd, n
+
+
 def _flag(value: Column, mean: Column, sd: Column, n: Column, min_points: int, sigmas: float) -> Column:
     ok = F.coalesce((n >= min_points) & (sd > 0) & value.isNotNull(), F.lit(False))
     level = (
@@ -52,7 +69,8 @@ def trend_anomaly(
 
     Columns: model, snapshot_date, drive_days, failures, window_drive_days,
     window_failures, rolling_afr_pct, baseline_mean, baseline_sd, baseline_points,
-    anomaly ('high' / 'low' / 'normal' / NULL). Doubles rounded to 6 places.
+    anomaly ('high' / 'low' / 'normal' / NULL). The baseline mean and sample standard
+    deviation come from exact integer sums (``exact_limits``); reported rounded to 6 places.
     """
     daily = model_daily_counts(fct_daily, dim_drive).withColumn("_day", _day())
     w = Window.partitionBy("model").orderBy("_day").rangeBetween(-(window_days - 1), 0)
@@ -65,7 +83,8 @@ def trend_anomaly(
         F.sum("drive_days").over(w).alias("window_drive_days"),
         F.sum("failures").over(w).alias("window_failures"),
     ).withColumn("rolling_afr_pct", afr_pct(F.col("window_failures"), F.col("window_drive_days")))
-    mean, sd, n = control_limits(F.col("rolling_afr_pct"), F.col("_day"), ["model"], baseline_days, min_points, sigmas)
+    # rolling_afr_pct has exactly 2 decimals: exact integer window sums, order-independent
+    mean, sd, n = exact_limits(F.col("rolling_afr_pct"), F.col("_day"), ["model"], baseline_days, 100)
     r = r.select("*", mean.alias("_m"), sd.alias("_s"), n.alias("baseline_points"))
     return r.select(
         "model",
