@@ -38,7 +38,7 @@ def exact_limits(value: Column, order_day: Column, partition: list[str], baselin
     mean = sum(k) / n / scale, sd = sqrt((n * sum(k^2) - sum(k)^2) / (n (n - 1))) / scale,
     i.e. the sample standard deviation. Any engine computing this gets the same bits.
     """
-    w = Window.partitionBy(*partition).orderBy(order_day).rangeBetween(-baseline_days, -1)
+    w = (Window.partitionBy(*partition) if partition else Window).orderBy(order_day).rangeBetween(-baseline_days, -1)
     k = F.round(value * F.lit(scale)).cast("bigint")
     s1, s2, n = F.sum(k).over(w), F.sum(k * k).over(w), F.count(k).over(w)
     mean = s1.cast("double") / n / F.lit(float(scale))
@@ -108,24 +108,28 @@ def temperature_anomaly(
 ) -> DataFrame:
     """Fleet-average SMART 194 temperature per day against its trailing control limits.
 
-    The per-day average is one row per calendar day (bounded by the calendar span), so
-    the un-partitioned window over days is a small single-task step.
+    The daily average is reported to 1e-4 degrees (sensors report whole degrees) and the
+    limits use exact integer sums of those values (``exact_limits``), so the result
+    does not depend on summation order. The per-day series is one row per calendar
+    day (bounded by the calendar span), so the un-partitioned window is a small
+    single-task step.
     """
     t = "smart_194_temperature_celsius_raw"
     daily = (
         fct_daily.where(F.col("snapshot_date").isNotNull())
         .groupBy("snapshot_date")
-        .agg(F.count(t).alias("readings"), F.avg(t).alias("avg_temperature"))
+        .agg(F.count(t).alias("readings"), F.avg(t).alias("_avg"))
         .where(F.col("readings") > 0)
         .withColumn("_day", _day())
+        .withColumn("avg_temperature", round_to(F.col("_avg"), 4))
     )
-    w = Window.orderBy("_day").rangeBetween(-baseline_days, -1)
     v = F.col("avg_temperature")
-    r = daily.select("*", F.avg(v).over(w).alias("_m"), F.stddev_samp(v).over(w).alias("_s"), F.count(v).over(w).alias("baseline_points"))
+    mean, sd, n = exact_limits(v, F.col("_day"), [], baseline_days, 10_000)
+    r = daily.select("*", mean.alias("_m"), sd.alias("_s"), n.alias("baseline_points"))
     return r.select(
         "snapshot_date",
         "readings",
-        round_to(v).alias("avg_temperature"),
+        "avg_temperature",
         round_to(F.col("_m")).alias("baseline_mean"),
         round_to(F.col("_s")).alias("baseline_sd"),
         "baseline_points",

@@ -113,3 +113,27 @@ def test_dedupe_keeps_one_row_per_grain_by_rule(spark, rows):
         assert r.failure_flag == best_f
         if any(c > 0 for f, c in cands if f == best_f):
             assert r.capacity_bytes > 0
+
+
+@SETTINGS
+@given(st.lists(st.integers(-50_000, 500_000), min_size=1, max_size=40), st.sampled_from([3, 10, 90]))
+def test_exact_limits_match_sample_statistics(spark, cents, baseline):
+    import statistics
+
+    from fleetlens.operators.trend import exact_limits
+
+    data = [(BASE + dt.timedelta(days=i), c / 100.0) for i, c in enumerate(cents)]
+    df = spark.createDataFrame(data, "d date, v double").withColumn("_day", F.unix_date("d"))
+    mean, sd, n = exact_limits(F.col("v"), F.col("_day"), [], baseline, 100)
+    rows = df.select("d", mean.alias("m"), sd.alias("s"), n.alias("n")).orderBy("d").collect()
+    for i, r in enumerate(rows):
+        prior = [c / 100.0 for c in cents[max(0, i - baseline):i]]
+        assert r.n == len(prior)
+        if not prior:
+            assert r.m is None
+            continue
+        assert abs(r.m - statistics.fmean(prior)) < 1e-9 * max(1.0, abs(r.m))
+        if len(prior) > 1:
+            assert abs(r.s - statistics.stdev(prior)) < 1e-6 * max(1.0, r.s)
+        else:
+            assert r.s is None
