@@ -12,6 +12,10 @@ both live in durable folders; a run that dies mid-batch is replayed on restart
 and its half-written files are never listed, because readers of the table go
 through the commit log. (A ``foreachBatch`` append would be at-least-once.)
 The checkpoint lives in the session's shared checkpoint folder.
+
+The table root belongs to the stream: readers list it through the sink's commit
+log, so files written there by batch jobs (e.g. ``ingest_quarters``) would be
+invisible. Use a separate root per loader, or the batch ingest alone.
 """
 
 from __future__ import annotations
