@@ -252,13 +252,14 @@ def dim_model(
     stg: DataFrame,
     seed: DataFrame,
     cols: FleetColumns = DEFAULT_COLUMNS,
-    broadcast_seed: bool = True,
+    broadcast_seed: bool | None = None,
     drive_type_scope: str = "all",
 ) -> DataFrame:
     """model, manufacturer, capacity_bytes, capacity_class, fleet_drive_count, drive_type.
 
-    One row per non-NULL normalized model. ``broadcast_seed`` is for the built-in
-    15-row seed; pass False for a seed of unknown size and let AQE decide.
+    One row per non-NULL normalized model. ``broadcast_seed=None`` broadcasts the
+    seed only when it is a driver-side local relation (its size is known, e.g. the
+    built-in 15 rows); a seed read from files is left to the planner / AQE size check.
 
     ``drive_type_scope='slot_quarters'`` counts slot share only over partitions
     (quarters) in which any row carries a slot, so a quarter loaded before the slot
@@ -288,8 +289,15 @@ def dim_model(
     )
 
 
-def dim_model_from_partials(partials: DataFrame, seed: DataFrame, broadcast_seed: bool = True) -> DataFrame:
+def is_local_relation(df: DataFrame) -> bool:
+    """True when the frame's rows already sit on the driver (a LocalRelation): a proven size."""
+    return df._jdf.queryExecution().optimizedPlan().getClass().getSimpleName() == "LocalRelation"
+
+
+def dim_model_from_partials(partials: DataFrame, seed: DataFrame, broadcast_seed: bool | None = None) -> DataFrame:
     """dim_model from (serial, model) partials; see ``dim_model``."""
+    if broadcast_seed is None:
+        broadcast_seed = is_local_relation(seed)
     stats = model_rollup(partials).where(F.col("model").isNotNull())
     maker = longest_prefix_match(stats, "model", seed, broadcast_table=broadcast_seed)
     return stats.join(maker, "model").select(

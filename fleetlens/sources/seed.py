@@ -30,9 +30,13 @@ MANUFACTURER_SEED = [
 
 
 def manufacturer_seed(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The seed as a DataFrame: the built-in list, or a header CSV with the same two columns."""
+    """The seed as a DataFrame: the built-in list, or a header CSV with the same two columns.
+
+    The built-in seed is an inline VALUES table (a local relation with a known size),
+    so the planner can decide to broadcast it from its statistics.
+    """
     if path is None:
-        return spark.createDataFrame(MANUFACTURER_SEED, SEED_SCHEMA)
+        return spark.sql(f"SELECT model_prefix, manufacturer FROM {seed_sql_values()}")
     return spark.read.schema(SEED_SCHEMA).option("header", True).csv(path)
 
 
