@@ -4,8 +4,8 @@
 (a backfill of forty quarters costs the same number of jobs as one):
 
 1. list the CSV files, recursively, through the Hadoop FileSystem of the path (any
-   FS Spark can read); read the header line of each file (one line per file reaches
-   the driver, never data);
+   FS Spark can read); read the header line of each file, concurrently (one line
+   per file reaches the driver, never data);
 2. per quarter, group its files by header and read each group with an all-string
    schema for exactly its columns, tag it with the quarter, and
    ``unionByName(allowMissingColumns=True)`` everything: files whose columns differ
@@ -87,11 +87,23 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return [c.strip().strip('"') for c in line.lstrip("﻿").split(",")]
 
 
+def read_headers(spark: SparkSession, files: list[str], threads: int = 32) -> dict[str, list[str]]:
+    """The header of every file, fetched concurrently (one small read per file; on an
+    object store each open is a round trip, so thousands of files are read in parallel)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if len(files) <= 1:
+        return {f: read_header(spark, f) for f in files}
+    with ThreadPoolExecutor(max_workers=min(threads, len(files))) as pool:
+        return dict(zip(files, pool.map(lambda f: read_header(spark, f), files)))
+
+
 def union_by_name_csv(spark: SparkSession, files: list[str]) -> tuple[DataFrame, list[str]]:
     """All files read by header name, as strings. Returns (frame, union column list in scan order)."""
     groups: dict[tuple[str, ...], list[str]] = {}
+    headers = read_headers(spark, files)
     for f in files:
-        groups.setdefault(tuple(read_header(spark, f)), []).append(f)
+        groups.setdefault(tuple(headers[f]), []).append(f)
     columns: list[str] = []
     frames = []
     for header, paths in groups.items():
@@ -426,9 +438,10 @@ def ingest_quarters(
     file_quarter = _file_quarter_table(spark, sources)
     q_columns: dict[str, list[str]] = {q: [] for q in sources}
     groups: dict[tuple[str, ...], list[str]] = {}
+    headers = read_headers(spark, [f for fs in sources.values() for f in fs])
     for q, files in sorted(sources.items()):
         for f in files:
-            header = tuple(read_header(spark, f))
+            header = tuple(headers[f])
             groups.setdefault(header, []).append(f)
             q_columns[q] += [c for c in header if c not in q_columns[q]]
     frames = []
