@@ -66,13 +66,26 @@ def month_drive_days(raw: DataFrame, year: int, month: int, prune_partitions: bo
     )
 
 
-def sample_drives(df: DataFrame, fraction: float, seed: int = 42, entity: str = "serial_number") -> DataFrame:
-    """Deterministic sample of whole drive histories: keep a drive iff hash(serial, seed) falls
-    in the first ``fraction`` of the hash range. Every row of a kept drive is kept, so spans
-    and censoring stay valid on the sample; no row-level sampling, no shuffle.
-    """
+SAMPLE_HEX_DIGITS = 6
+
+
+def sample_threshold(fraction: float) -> str:
+    """The hex prefix bound of ``sample_drives`` for a fraction in (0, 1]."""
     if not 0.0 < fraction <= 1.0:
         raise ValueError("fraction must be in (0, 1]")
-    buckets = 1_000_000
-    h = F.pmod(F.xxhash64(F.col(entity), F.lit(seed)), F.lit(buckets))
-    return df.where(h < F.lit(int(fraction * buckets)))
+    return format(int(fraction * 16**SAMPLE_HEX_DIGITS), f"0{SAMPLE_HEX_DIGITS}x")
+
+
+def sample_drives(df: DataFrame, fraction: float, seed: int = 42, entity: str = "serial_number") -> DataFrame:
+    """Deterministic sample of whole drive histories (the CI fixture): keep a drive iff the
+    first 6 hex digits of md5(serial || '|' || seed) are below ``fraction`` of the hex range.
+
+    Every row of a kept drive is kept, so spans and censoring stay valid on the
+    sample; a narrow filter, no shuffle. md5 gives the same sample in any engine (the
+    DuckDB oracle computes it with the same expression).
+    """
+    bound = sample_threshold(fraction)
+    if fraction >= 1.0:  # the bound would need a 7th digit: every drive is kept
+        return df.where(F.col(entity).isNotNull())
+    h = F.substring(F.md5(F.concat(F.col(entity), F.lit(f"|{seed}"))), 1, SAMPLE_HEX_DIGITS)
+    return df.where(h < F.lit(bound))

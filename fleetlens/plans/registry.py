@@ -16,7 +16,7 @@ from fleetlens.config import PUBLISHED_THRESHOLDS, TEST_SCALE_THRESHOLDS
 from fleetlens.operators import afr, checks, contract, dims, facts, fleet, spans, survival, trend
 from fleetlens.functions.columns import normalize_model, quarter_label, surrogate_key
 from fleetlens.plans import oracle as O
-from fleetlens.plans.export import month_drive_days
+from fleetlens.plans.export import month_drive_days, sample_drives, sample_threshold
 from fleetlens.session import checkpoint_dir
 from fleetlens.sources.ingest import drift_report, ingest_landing, read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
@@ -66,6 +66,7 @@ class Warehouse:
 
 FRESHNESS_AS_OF = "2002-06-30"
 MONTH = (1996, 5)  # the partition-pruning query's month (O25)
+SAMPLE_FRACTION = 0.25  # the CI sample's share of drives (A16)
 
 
 def check_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -204,6 +205,7 @@ QUERIES: dict[str, Query] = {
         lambda w: dims.dim_model(w.stg, manufacturer_seed(w.spark), drive_type_scope="slot_quarters")
     ),
     "month_drive_days": lambda spark, sf_dir: month_drive_days(raw_drive_stats(spark, sf_dir), *MONTH),
+    "ci_sample_drives": _wh(lambda w: sample_drives(w.stg, SAMPLE_FRACTION)),
     "afr_reconciliation": _wh(afr_reconciliation),
     "ingest_roundtrip": ingest_roundtrip,
     "schema_drift_report": schema_drift_report,
@@ -264,6 +266,9 @@ from mart group by quarter_label""",
     "int_drive_spans_grace_30d": f"{O.with_ctes(*O.BASE, O.spans_cte(30))} select * from spans",
     "dim_model_slot_quarters": O.SLOT_SCOPED_DIM_MODEL_SQL,
     "month_drive_days": O.month_sql(*MONTH),
+    "ci_sample_drives": f"""{O.with_ctes(*O.BASE)}
+select * from stg
+where substr(md5(serial_number || '|42'), 1, 6) < '{sample_threshold(SAMPLE_FRACTION)}'""",
     "ingest_roundtrip": f"""{O.with_ctes(*O.BASE)}
 select * replace (case when substr(quarter, 6, 1) in ('3', '4') then null else pod_slot_num end as pod_slot_num)
 from stg""",
