@@ -98,6 +98,34 @@ def fleet_afr(mart: DataFrame) -> DataFrame:
     ).withColumn("afr_pct", afr_pct(F.col("failures"), F.col("drive_days")))
 
 
+def fleet_summary(mart: DataFrame) -> DataFrame:
+    """One row over the whole mart: model-quarters, models, summed drive_count, drive-days,
+    failures, and the fleet AFR of the sums (the headline reconciliation figure)."""
+    return mart.agg(
+        F.count(F.lit(1)).alias("model_quarters"),
+        F.countDistinct("model").alias("models"),
+        F.sum("drive_count").alias("drive_count"),
+        F.sum("drive_days").alias("drive_days"),
+        F.sum("failures").alias("failures"),
+    ).withColumn("afr_pct", afr_pct(F.col("failures"), F.col("drive_days")))
+
+
+def excluded_models_above_cutoff(
+    fct_daily: DataFrame, dim_drive: DataFrame, dim_model: DataFrame, thresholds: AfrThresholds | None
+) -> DataFrame:
+    """Model-quarters that pass the cutoff but are left out of the mart as boot drives:
+    (model, quarter_label, manufacturer, drive_count, drive_days, failures). Explains a
+    gap between the fleet's drive count and the mart's."""
+    counts = model_quarter_counts(fct_daily, dim_drive)
+    boot = dim_model.where(F.col("drive_type") == "boot").select("model", "manufacturer")
+    out = counts.join(boot, "model")
+    if thresholds is not None:
+        out = out.where(
+            (F.col("drive_count") > thresholds.min_drive_count) & (F.col("drive_days") > thresholds.min_drive_days)
+        )
+    return out.select("model", "quarter_label", "manufacturer", "drive_count", "drive_days", "failures")
+
+
 def afr_by_model(mart: DataFrame) -> DataFrame:
     """AFR per model over all quarters of the mart (summed days and failures)."""
     return mart.groupBy("model", "manufacturer").agg(

@@ -199,6 +199,10 @@ QUERIES: dict[str, Query] = {
     "fleet_daily": _wh(lambda w: fleet.fleet_daily(w.stg)),
     "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg)),
     "afr_by_model": _wh(lambda w: afr.afr_by_model(w.mart(TEST_SCALE_THRESHOLDS))),
+    "fleet_summary": _wh(lambda w: afr.fleet_summary(w.mart(TEST_SCALE_THRESHOLDS))),
+    "excluded_boot_models": _wh(
+        lambda w: afr.excluded_models_above_cutoff(w.fct_drive_daily, w.dim_drive, w.dim_model, TEST_SCALE_THRESHOLDS)
+    ),
     "drive_modal_capacity": _wh(lambda w: dims.dim_drive(w.stg, capacity_rule="mode")),
     "int_drive_spans_grace_30d": _wh(lambda w: spans.observation_spans(w.stg, grace_days=30)),
     "dim_model_slot_quarters": _wh(
@@ -262,6 +266,15 @@ from mart group by quarter_label""",
     "fleet_daily": O.FLEET_DAILY_SQL,
     "dedupe_drive_days": O.DEDUPE_SQL,
     "afr_by_model": O.by_model_sql(_MART),
+    "fleet_summary": f"""select count(*) as model_quarters, count(distinct model) as models,
+  cast(sum(drive_count) as bigint) as drive_count, cast(sum(drive_days) as bigint) as drive_days,
+  cast(sum(failures) as bigint) as failures, {O.AFR.format(f='sum(failures)', d='sum(drive_days)')} as afr_pct
+from {_MART} m""",
+    "excluded_boot_models": f"""{O.with_ctes(*O.WAREHOUSE, O.MQ_CTE)}
+select mq.model, mq.quarter_label, dm.manufacturer, mq.drive_count, mq.drive_days, mq.failures
+from mq join dim_model dm on dm.model = mq.model
+where dm.drive_type = 'boot' and mq.drive_count > {TEST_SCALE_THRESHOLDS.min_drive_count}
+  and mq.drive_days > {TEST_SCALE_THRESHOLDS.min_drive_days}""",
     "drive_modal_capacity": O.MODAL_DIM_DRIVE_SQL,
     "int_drive_spans_grace_30d": f"{O.with_ctes(*O.BASE, O.spans_cte(30))} select * from spans",
     "dim_model_slot_quarters": O.SLOT_SCOPED_DIM_MODEL_SQL,
