@@ -310,6 +310,36 @@ def dim_model_from_partials(partials: DataFrame, seed: DataFrame, broadcast_seed
     )
 
 
+def manufacturer_fleet(dim_model_df: DataFrame) -> DataFrame:
+    """Per manufacturer: models, data models and drives (the sum of fleet_drive_count, which
+    equals the fleet's drive count when every drive maps to one model)."""
+    return dim_model_df.groupBy("manufacturer").agg(
+        F.count(F.lit(1)).alias("models"),
+        F.count(F.when(F.col("drive_type") == "data", 1)).alias("data_models"),
+        F.sum("fleet_drive_count").alias("drives"),
+    )
+
+
+def attribute_consistency(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """One row: drives carrying more than one normalized model, drives and models carrying more
+    than one non-sentinel capacity. All zero means ``max`` equals the modal value.
+
+    Each count is a two-level hash aggregate ((key, value) then key), never a set per group.
+    """
+    ent, model = F.col(cols.entity), normalize_model(cols.model)
+    cap = non_sentinel(F.col(cols.capacity), F.col(cols.sentinel))
+
+    def multi(key: Column, value: Column, name: str) -> Column:
+        pairs = stg.where(key.isNotNull() & value.isNotNull()).select(key.alias("_k"), value.alias("_v")).distinct()
+        return pairs.groupBy("_k").count().where(F.col("count") > 1).agg(F.count(F.lit(1))).scalar().alias(name)
+
+    return stg.sparkSession.range(1).select(
+        multi(ent, model, "drives_with_several_models"),
+        multi(ent, cap, "drives_with_several_capacities"),
+        multi(model, cap, "models_with_several_capacities"),
+    )
+
+
 # --------------------------------------------------------------------------- dim_date
 
 

@@ -91,3 +91,21 @@ def observation_spans(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, grac
             F.col("final_day_failure_flag"), F.col("last_seen"), F.col("dataset_max_date"), grace_days
         ).alias("censoring_status"),
     )
+
+
+def observation_gaps(spans_df: DataFrame) -> DataFrame:
+    """Per drive with a dated span: calendar span, observed days and the days missing inside it
+    (source gaps, not defects). Drives observed every day of their span are left out."""
+    span_days = (F.datediff("last_seen", "first_seen") + 1).cast("bigint")
+    return (
+        spans_df.where(F.col("first_seen").isNotNull())
+        .select(
+            "serial_number",
+            "first_seen",
+            "last_seen",
+            span_days.alias("span_days"),
+            "observed_days",
+            (span_days - F.col("observed_days")).alias("missing_days"),
+        )
+        .where(F.col("missing_days") != 0)
+    )

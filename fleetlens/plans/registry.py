@@ -200,6 +200,9 @@ QUERIES: dict[str, Query] = {
     "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg)),
     "afr_by_model": _wh(lambda w: afr.afr_by_model(w.mart(TEST_SCALE_THRESHOLDS))),
     "fleet_summary": _wh(lambda w: afr.fleet_summary(w.mart(TEST_SCALE_THRESHOLDS))),
+    "manufacturer_fleet": _wh(lambda w: dims.manufacturer_fleet(w.dim_model)),
+    "observation_gaps": _wh(lambda w: spans.observation_gaps(w.spans)),
+    "attribute_consistency": _wh(lambda w: dims.attribute_consistency(w.stg)),
     "excluded_boot_models": _wh(
         lambda w: afr.excluded_models_above_cutoff(w.fct_drive_daily, w.dim_drive, w.dim_model, TEST_SCALE_THRESHOLDS)
     ),
@@ -266,6 +269,24 @@ from mart group by quarter_label""",
     "fleet_daily": O.FLEET_DAILY_SQL,
     "dedupe_drive_days": O.DEDUPE_SQL,
     "afr_by_model": O.by_model_sql(_MART),
+    "manufacturer_fleet": f"""{O.with_ctes(*O.BASE, O.DIM_MODEL_CTE)}
+select manufacturer, count(*) as models, count(*) filter (where drive_type = 'data') as data_models,
+  cast(sum(fleet_drive_count) as bigint) as drives
+from dim_model group by manufacturer""",
+    "observation_gaps": f"""{O.with_ctes(*O.BASE, O.SPANS_CTE)}
+select serial_number, first_seen, last_seen, datediff('day', first_seen, last_seen) + 1 as span_days,
+  observed_days, datediff('day', first_seen, last_seen) + 1 - observed_days as missing_days
+from spans where first_seen is not null and datediff('day', first_seen, last_seen) + 1 - observed_days <> 0""",
+    "attribute_consistency": f"""{O.with_ctes(*O.BASE)},
+n as (select serial_number as k, {O.NORM.format(c='model')} as m,
+        case when not is_capacity_sentinel then capacity_bytes end as c from stg)
+select
+  (select count(*) from (select k from (select distinct k, m from n where k is not null and m is not null)
+     group by k having count(*) > 1)) as drives_with_several_models,
+  (select count(*) from (select k from (select distinct k, c from n where k is not null and c is not null)
+     group by k having count(*) > 1)) as drives_with_several_capacities,
+  (select count(*) from (select m from (select distinct m, c from n where m is not null and c is not null)
+     group by m having count(*) > 1)) as models_with_several_capacities""",
     "fleet_summary": f"""select count(*) as model_quarters, count(distinct model) as models,
   cast(sum(drive_count) as bigint) as drive_count, cast(sum(drive_days) as bigint) as drive_days,
   cast(sum(failures) as bigint) as failures, {O.AFR.format(f='sum(failures)', d='sum(drive_days)')} as afr_pct
