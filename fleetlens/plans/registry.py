@@ -17,6 +17,7 @@ from fleetlens.operators import afr, checks, contract, dims, facts, fleet, spans
 from fleetlens.functions.columns import normalize_model, quarter_label, surrogate_key
 from fleetlens.plans import oracle as O
 from fleetlens.plans.export import month_drive_days, sample_drives, sample_threshold
+from fleetlens.plans.warehouse import write_table
 from fleetlens.session import checkpoint_dir
 from fleetlens.sources.ingest import drift_report, ingest_landing, read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
@@ -29,12 +30,32 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.stage_contract(raw_drive_stats(spark, sf_dir))
 
 
+def materialized_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived raw zone, written once as Parquet in a new folder of the session's shared
+    checkpoint directory and read back.
+
+    A query whose plan reads the staged rows along several branches (facts, partials,
+    bounds) would otherwise derive the telemetry from lineitem once per branch, since
+    the branches prune different columns and no exchange is shared. The written table
+    is derived once, keeps column pruning and statistics, and cuts the lineage: a lost
+    executor re-reads the table instead of re-deriving it.
+    """
+    path = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-raw-{uuid.uuid4().hex}"
+    write_table(raw_drive_stats(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 class Warehouse:
-    """Lazy frames of the warehouse DAG for one input directory (no action is run)."""
+    """Frames of the warehouse DAG for one input directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``materialize``: write the derived raw zone once first (``materialized_raw``); for
+    queries that read the staged rows more than once. Otherwise everything stays lazy.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
-        self.stg = staged(spark, sf_dir)
+        raw = materialized_raw(spark, sf_dir) if materialize else raw_drive_stats(spark, sf_dir)
+        self.stg = contract.stage_contract(raw)
 
     @property
     def spans(self) -> DataFrame:
@@ -70,12 +91,12 @@ SAMPLE_FRACTION = 0.25  # the CI sample's share of drives (A16)
 
 
 def check_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The warehouse tables for the check suite, with lineage cut after the raw zone and the
-    (serial, model) partials: reliable checkpoints in the session's checkpoint folder, so ~70
-    checks do not each re-derive the tables, and a lost executor recomputes from the
-    checkpoint, not from the source tables."""
+    """The warehouse tables for the check suite, with lineage cut after the raw zone (a written
+    table) and after the (serial, model) partials and the small tables (reliable checkpoints),
+    all in the session's checkpoint folder, so ~70 checks do not each re-derive the tables,
+    and a lost executor recomputes from them, not from the source tables."""
     checkpoint_dir(spark)
-    raw = raw_drive_stats(spark, sf_dir).checkpoint()
+    raw = materialized_raw(spark, sf_dir)
     stg = contract.stage_contract(raw)
     partials = dims.drive_model_partials(stg).checkpoint()
     dim_drive = dims.dim_drive_from_partials(partials).checkpoint()
@@ -162,9 +183,12 @@ def afr_reconciliation(w: "Warehouse") -> DataFrame:
     return checks.reconcile_published(computed, published, key="model_quarter_key")
 
 
-def _wh(fn: Callable[[Warehouse], DataFrame]) -> Query:
+def _wh(fn: Callable[[Warehouse], DataFrame], materialize: bool = True) -> Query:
+    """A registered query over the warehouse frames; ``materialize=False`` for queries that
+    read the staged rows once (a projection or a single aggregate), which stay lazy."""
+
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Warehouse(spark, sf_dir))
+        return fn(Warehouse(spark, sf_dir, materialize))
 
     return q
 
@@ -177,8 +201,8 @@ QUERIES: dict[str, Query] = {
     "capacity_repair": _wh(lambda w: dims.repair_capacity(w.stg)),
     "dim_model": _wh(lambda w: w.dim_model),
     "dim_date": _wh(lambda w: w.dim_date),
-    "fct_drive_daily": _wh(lambda w: w.fct_drive_daily),
-    "fct_failures": _wh(lambda w: w.fct_failures),
+    "fct_drive_daily": _wh(lambda w: w.fct_drive_daily, materialize=False),
+    "fct_failures": _wh(lambda w: w.fct_failures, materialize=False),
     "mart_model_afr_quarterly": _wh(lambda w: w.mart(TEST_SCALE_THRESHOLDS)),
     "afr_published_cutoff": _wh(lambda w: w.mart(PUBLISHED_THRESHOLDS)),
     "afr_all_data_model_quarters": _wh(lambda w: w.mart(None)),
@@ -196,8 +220,8 @@ QUERIES: dict[str, Query] = {
     "temperature_anomaly": _wh(lambda w: trend.temperature_anomaly(w.fct_drive_daily)),
     "cohort_survival": _wh(lambda w: survival.cohort_survival(w.dim_drive)),
     "cohort_survival_by_vintage": _wh(lambda w: survival.cohort_survival(w.dim_drive, by_vintage=True)),
-    "fleet_daily": _wh(lambda w: fleet.fleet_daily(w.stg)),
-    "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg)),
+    "fleet_daily": _wh(lambda w: fleet.fleet_daily(w.stg), materialize=False),
+    "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg), materialize=False),
     "afr_by_model": _wh(lambda w: afr.afr_by_model(w.mart(TEST_SCALE_THRESHOLDS))),
     "fleet_summary": _wh(lambda w: afr.fleet_summary(w.mart(TEST_SCALE_THRESHOLDS))),
     "manufacturer_fleet": _wh(lambda w: dims.manufacturer_fleet(w.dim_model)),
@@ -212,12 +236,14 @@ QUERIES: dict[str, Query] = {
         lambda w: dims.dim_model(w.stg, manufacturer_seed(w.spark), drive_type_scope="slot_quarters")
     ),
     "month_drive_days": lambda spark, sf_dir: month_drive_days(raw_drive_stats(spark, sf_dir), *MONTH),
-    "ci_sample_drives": _wh(lambda w: sample_drives(w.stg, SAMPLE_FRACTION)),
+    "ci_sample_drives": _wh(lambda w: sample_drives(w.stg, SAMPLE_FRACTION), materialize=False),
     "afr_reconciliation": _wh(afr_reconciliation),
     "ingest_roundtrip": ingest_roundtrip,
     "schema_drift_report": schema_drift_report,
     "data_checks": _data_checks,
-    "source_freshness": _wh(lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF)),
+    "source_freshness": _wh(
+        lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF), materialize=False
+    ),
     "failure_only_on_last_seen": _wh(lambda w: checks.failure_only_on_last_seen(w.stg, w.spans)),
     "model_manufacturer": _wh(
         lambda w: dims.longest_prefix_match(
