@@ -140,4 +140,9 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    main()
+    try:
+        main()
+    except Exception as exc:  # still print the one JSON line the driver reads
+        print(json.dumps({"metric": "warehouse_end_to_end", "value": None, "unit": "sec", "queries": {},
+                          "error": f"{type(exc).__name__}: {str(exc)[:500]}"}))
+        raise SystemExit(1)
