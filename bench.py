@@ -49,6 +49,7 @@ def land_csv(spark, sf_dir: str, out: str) -> str:
 
 
 COUNTS: dict[str, int] = {}  # non-time facts of the timed run (reported outside "queries")
+TIMES: dict[str, float] = {}  # seconds per step of the timed run
 
 
 def run_all(spark, landing: str, out: str, times: dict[str, float]) -> BuildResult:
@@ -98,7 +99,7 @@ def main() -> None:
     landing = land_csv(spark, sf_dir, f"{out}/run")
     prep = time.perf_counter() - t0
 
-    times: dict[str, float] = {}
+    times = TIMES
     t_all = time.perf_counter()
     result = run_all(spark, landing, f"{out}/run", times)
     total = time.perf_counter() - t_all
@@ -143,6 +144,7 @@ if __name__ == "__main__":
     try:
         main()
     except Exception as exc:  # still print the one JSON line the driver reads
-        print(json.dumps({"metric": "warehouse_end_to_end", "value": None, "unit": "sec", "queries": {},
+        print(json.dumps({"metric": "warehouse_end_to_end", "value": None, "unit": "sec",
+                          "queries": {k: round(v, 3) for k, v in TIMES.items()},
                           "error": f"{type(exc).__name__}: {str(exc)[:500]}"}))
         raise SystemExit(1)
