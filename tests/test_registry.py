@@ -20,3 +20,13 @@ def test_query_names():
 def test_oracles_read_the_given_tables():
     for name, sql in E.oracle_sql().items():
         assert "from lineitem" in sql and "from part" in sql, name
+
+
+def test_multi_branch_queries_read_the_written_raw_zone(spark):
+    from conftest import SF001
+
+    mart = E.queries()["mart_model_afr_quarterly"](spark, SF001)
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and "fleetlens-raw-" in plan  # derived once, read from the written table
+    fct = E.queries()["fct_drive_daily"](spark, SF001)
+    assert "lineitem" in fct._jdf.queryExecution().executedPlan().toString()  # single read: stays lazy
