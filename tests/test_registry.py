@@ -25,8 +25,10 @@ def test_oracles_read_the_given_tables():
 def test_multi_branch_queries_read_the_written_raw_zone(spark):
     from conftest import SF001
 
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     mart = E.queries()["mart_model_afr_quarterly"](spark, SF001)
     plan = mart._jdf.queryExecution().executedPlan().toString()
-    assert "lineitem" not in plan and "fleetlens-raw-" in plan  # derived once, read from the written table
+    assert "lineitem.parquet" not in plan  # derived once, read from the written table
+    assert "fleetlens-raw-" in plan
     fct = E.queries()["fct_drive_daily"](spark, SF001)
-    assert "lineitem" in fct._jdf.queryExecution().executedPlan().toString()  # single read: stays lazy
+    assert "lineitem.parquet" in fct._jdf.queryExecution().executedPlan().toString()  # single read: stays lazy
