@@ -32,6 +32,8 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local runs keep the catalog's folder out of the working directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="fleetlens-wh-", dir="/tmp"))
         .getOrCreate()
     )
 

@@ -22,6 +22,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="fleetlens-test-wh-", dir="/tmp"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
