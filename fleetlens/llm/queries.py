@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact_dedup
+from fleetlens.llm import exact_dedup, lang_id, near_dedup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": packing.pack_query,
     "op5_exact_dedup": exact_dedup.dedup_query,
+    "op6_near_dedup": near_dedup.near_query,
+    "op9_lang_id": lang_id.lang_query,
 }
 
 SQL: dict[str, str] = {
