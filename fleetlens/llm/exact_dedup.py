@@ -137,7 +137,7 @@ def exact_dedup(
     for more in batches[1:]:
         docs = docs.unionByName(more.select("doc_id", "text"))
     out = rows.join(groups.withColumnRenamed("rows_n", "group_size"), "digest")
-    clash = written(spark, _clashing(spark, docs, rows, groups, made).distinct(), "clashes")
+    clash = written(spark, _clashing(spark, docs, rows, groups, made), "clashes").distinct()
     if not clash.isEmpty():
         texts = with_key(docs).withColumn("digest", made).join(clash, "digest").withColumn("own_text", normalized())
         exact = texts.groupBy("digest", "own_text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
