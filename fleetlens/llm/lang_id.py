@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from fleetlens.llm.common import text_slices
 
@@ -152,7 +153,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
             )
 
     docs = docs.select(*kept)
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return docs.mapInArrow(scored, schema)
 
 
