@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact_dedup, lang_id, near_dedup, packing
+from fleetlens.llm import exact_dedup, lang_id, near_dedup, packing, suffix_dedup
+from fleetlens.llm.common import importable
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_packing": packing.pack_query,
-    "op5_exact_dedup": exact_dedup.dedup_query,
-    "op6_near_dedup": near_dedup.near_query,
-    "op9_lang_id": lang_id.lang_query,
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _ready(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    name: _ready(query)
+    for name, query in {
+        "op4_packing": packing.pack_query,
+        "op5_exact_dedup": exact_dedup.dedup_query,
+        "op6_near_dedup": near_dedup.near_query,
+        "op7_suffix_dedup": suffix_dedup.suffix_query,
+        "op9_lang_id": lang_id.lang_query,
+    }.items()
 }
 
 SQL: dict[str, str] = {
