@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact_dedup, lang_id, near_dedup, packing, suffix_dedup
+from fleetlens.llm import exact_dedup, lang_id, near_dedup, packing, substring_dedup, suffix_dedup
 from fleetlens.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def _ready(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     name: _ready(query)
     for name, query in {
+        "op1_substring_dedup": substring_dedup.substring_query,
         "op4_packing": packing.pack_query,
         "op5_exact_dedup": exact_dedup.dedup_query,
         "op6_near_dedup": near_dedup.near_query,
