@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact_dedup, lang_id, near_dedup, packing, substring_dedup, suffix_dedup
+from fleetlens.llm import exact_dedup, lang_id, near_dedup, packing, substring_dedup, suffix_dedup, topk
 from fleetlens.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,10 +30,12 @@ QUERIES: dict[str, Query] = {
         "op5_exact_dedup": exact_dedup.dedup_query,
         "op6_near_dedup": near_dedup.near_query,
         "op7_suffix_dedup": suffix_dedup.suffix_query,
+        "op8_topk": topk.topk_query,
         "op9_lang_id": lang_id.lang_query,
     }.items()
 }
 
 SQL: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.SQL,
+    "op8_topk": topk.SQL,
 }
