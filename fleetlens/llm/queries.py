@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import chat, exact_dedup, lang_id, near_dedup, packing, substring_dedup, suffix_dedup, topk
+from fleetlens.llm import chat, exact_dedup, lang_id, near_dedup, packing, quality, substring_dedup, suffix_dedup, topk
 from fleetlens.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {
     for name, query in {
         "op1_substring_dedup": substring_dedup.substring_query,
         "op2_chat": chat.chat_query,
+        "op3_quality": quality.quality_query,
         "op4_packing": packing.pack_query,
         "op5_exact_dedup": exact_dedup.dedup_query,
         "op6_near_dedup": near_dedup.near_query,
