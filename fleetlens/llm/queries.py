@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import chat, exact_dedup, lang_id, near_dedup, packing, quality, substring_dedup, suffix_dedup, topk
+from fleetlens.llm import chat, exact_dedup, lang_id, near_dedup, packing, pieces, quality, substring_dedup, suffix_dedup, topk
 from fleetlens.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,7 @@ QUERIES: dict[str, Query] = {
         "op7_suffix_dedup": suffix_dedup.suffix_query,
         "op8_topk": topk.topk_query,
         "op9_lang_id": lang_id.lang_query,
+        "op10_sentencepiece": pieces.pieces_query,
     }.items()
 }
 
