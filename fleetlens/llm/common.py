@@ -97,13 +97,18 @@ def rows_of(docs: DataFrame, info: DataFrame) -> DataFrame:
     return maybe.join(info, KEY, "inner")
 
 
+def plain_names(docs: DataFrame) -> DataFrame:
+    """``docs`` with every column but doc_id and text renamed by its place, so that no name clashes
+    with an operator's own; ``.toDF(*docs.columns)`` restores them."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)])
+
+
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` (any columns, with doc_id and text) less the rows whose KEY is in ``dropped``."""
-    columns = docs.columns
-    keyed = docs.select("*", *row_key())
-    maybe, others = split_maybe(keyed, dropped)
+    plain = plain_names(docs)
+    maybe, others = split_maybe(plain.select("*", *row_key()), dropped)
     left = maybe.join(dropped.select(*KEY).distinct(), KEY, "left_anti")
-    return others.select(*columns).unionByName(left.select(*columns))
+    return others.select(*plain.columns).unionByName(left.select(*plain.columns)).toDF(*docs.columns)
 
 
 def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from fleetlens.llm.common import text_slices
+from fleetlens.llm.common import plain_names, text_slices
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -177,6 +177,5 @@ def lang_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_undetermined(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents whose language could be told, with all their columns."""
     model = train_on(docs)
-    names = [f"c{i}" for i in range(len(docs.columns))]  # the table may have columns called lang_pred or score
-    renamed = docs.toDF(*["text" if c == "text" else n for c, n in zip(docs.columns, names)])
-    return identify(spark, renamed, model).where(F.col("lang_pred") != UNDETERMINED).drop("lang_pred", "score").toDF(*docs.columns)
+    plain = plain_names(docs)  # the table may have columns called lang_pred or score
+    return identify(spark, plain, model).where(F.col("lang_pred") != UNDETERMINED).drop("lang_pred", "score").toDF(*docs.columns)

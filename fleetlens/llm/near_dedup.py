@@ -5,8 +5,9 @@ Each class has HASHES universal hash minima; classes that agree on all minima of
 in that band. First every class of a band is compared with the band's most central class (a
 star, not all pairs): estimated from the signatures, then confirmed on the full shingle sets.
 Confirmed links give components. Only bands whose classes still lie in several components are
-then compared within, between components, in bounded blocks of signatures, and again
-confirmed on full sets; no pair of classes that meets in a band is left unjudged.
+then compared within, in bounded blocks: by signature first, and what may be linked to another
+component by exact intersections of full sets. A block hands out the links that join its
+components, not its pairs; no pair of classes that meets in a band is left unjudged.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ HASHES = BANDS * ROWS
 #: deviations below 0.8 and 0.85 for 140 minima would be 0.53 and 0.61).
 LEAST_ESTIMATE = {80: 0.58, 85: 0.65}
 #: Classes of one band compared within one task; larger bands are split into pairs of blocks.
-BLOCK = 1024
+BLOCK = 2048
 
 _RNG = np.random.Generator(np.random.PCG64(71))
 _A = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -137,7 +138,7 @@ def _set_rows(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         for first in range(0, batch.num_rows, 256):
             part = batch.slice(first, 256)
             sets = [s.tobytes() for s in _row_shingles(part.column("text"), words)]
-            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.large_binary())], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.large_binary())], ["node", "set"])
 
 
 def _confirmed(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,26 +163,27 @@ class _Judge:
             pairs = pairs.join(table.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
         return pairs
 
+    def sets(self, nodes: DataFrame, name: str) -> DataFrame:
+        """node and set (sorted shingle hashes) of the classes named, from the text of one row each."""
+        words = self.words
+        wanted = written(self.spark, self.classes.join(nodes, "node").select(*KEY, "node"), f"{name}-wanted")
+        texts = rows_of(self.docs, wanted).dropDuplicates(["node"]).select("node", "text")
+        return written(self.spark, texts.mapInArrow(lambda x: _set_rows(words, x), "node long, set binary"), f"{name}-sets")
+
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (u, v) that are similar: by size, by signature, then on the full sets."""
         pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         sized = self._joined(pairs, self.classes, "n_shingles")
         small, large = F.least("n_shingles_u", "n_shingles_v"), F.greatest("n_shingles_u", "n_shingles_v")
         sized = sized.where(100 * small >= self.percent * large).select("u", "v")
-        least, percent, words = LEAST_ESTIMATE.get(self.percent, 0.0), self.percent, self.words
+        least, percent = LEAST_ESTIMATE.get(self.percent, 0.0), self.percent
         likely = written(
             self.spark,
             self._joined(sized, self.classes, "sig").mapInArrow(lambda x: _estimated(least, x), "u long, v long"),
             f"{name}-pairs",
         )
         nodes = likely.select(F.col("u").alias("node")).unionByName(likely.select(F.col("v").alias("node"))).distinct()
-        wanted = written(self.spark, self.classes.join(nodes, "node").select(*KEY, "node"), f"{name}-wanted")
-        sets = written(
-            self.spark,
-            rows_of(self.docs, wanted).select("node", "text").mapInArrow(lambda x: _set_rows(words, x), "node long, shingles binary"),
-            f"{name}-sets",
-        )
-        sets = sets.withColumnRenamed("shingles", "set")
+        sets = self.sets(nodes, name)
         return written(
             self.spark,
             self._joined(likely, sets, "set").mapInArrow(lambda x: _confirmed(percent, x), "u long, v long"),
@@ -189,18 +191,70 @@ class _Judge:
         )
 
 
-def _across(least: float, members: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of classes of different components in one block, or between two blocks, of a band."""
-    members = members.sort_values("node")
+def _meeting(members: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, places after i) of the pairs of one block, or between two blocks, whose components differ
+    and whose sizes allow a link."""
+    comps, sides, sizes = (members[c].to_numpy() for c in ("component", "side", "n_shingles"))
+    for i in range(len(members)):
+        c, s, n = comps[i + 1 :], sides[i + 1 :], sizes[i + 1 :]
+        ok = (c != comps[i]) & ((s != sides[i]) | (sides[i] == 0))
+        ok &= 100 * np.minimum(n, sizes[i]) >= percent * np.maximum(n, sizes[i])
+        yield i, np.flatnonzero(ok) + i + 1
+
+
+_SUSPECT = "band long, lo int, hi int, side int, node long, component long, n_shingles long"
+
+
+def _suspects(percent: int, least: float, members: pd.DataFrame) -> pd.DataFrame:
+    """The classes of a block that by signature may be linked with one of another component."""
     sigs = np.frombuffer(b"".join(members["sig"]), np.uint16).reshape(-1, HASHES)
-    nodes, comps, sides = (members[c].to_numpy() for c in ("node", "component", "side"))
+    near = np.zeros(len(members), bool)
+    for i, others in _meeting(members, percent):
+        if len(others):
+            likely = others[(sigs[others] == sigs[i]).sum(1) >= least * HASHES]
+            near[likely] = True
+            near[i] |= len(likely) > 0
+    return members.loc[near, [f.split()[0] for f in _SUSPECT.split(", ")]]
+
+
+def _intersections(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all pairwise intersections, by products of 0/1 matrices over the shingles met twice."""
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    again = count > 1
+    place = np.cumsum(again) - 1
+    rows, at = rows[again[at]], place[at[again[at]]]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(again.sum()), columns):
+        own = (at >= first) & (at < first + columns)
+        matrix = np.zeros((len(sets), columns), np.float32)
+        matrix[rows[own], at[own] - first] = 1
+        out += matrix @ matrix.T
+    return out
+
+
+def _links(percent: int, members: pd.DataFrame) -> pd.DataFrame:
+    """Links, confirmed on full sets, that join the components of a block: a forest of them is enough."""
+    sets = [np.frombuffer(x, np.uint64) for x in members["set"]]
+    both = _intersections(sets)
+    nodes, comps, sizes = (members[c].to_numpy() for c in ("node", "component", "n_shingles"))
+    parent: dict[int, int] = {int(c): int(c) for c in comps}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
     us, vs = [], []
-    for i in range(len(members)):
-        ok = np.flatnonzero((comps[i + 1 :] != comps[i]) & ((sides[i + 1 :] != sides[i]) | (sides[i] == 0))) + i + 1
-        if len(ok):
-            ok = ok[(sigs[ok] == sigs[i]).mean(1) >= least]
-            us += [nodes[i]] * len(ok)
-            vs += nodes[ok].tolist()
+    for i, others in _meeting(members, percent):
+        linked = others[100 * both[i, others] >= percent * (sizes[others] + sizes[i] - both[i, others])]
+        _, first = np.unique(comps[linked], return_index=True)
+        for j in linked[first]:
+            a, b = find(int(comps[i])), find(int(comps[j]))
+            if a != b:
+                parent[b] = a
+                us.append(nodes[i])
+                vs.append(nodes[j])
     return pd.DataFrame({"u": pd.array(us, "int64"), "v": pd.array(vs, "int64")})
 
 
@@ -243,8 +297,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, words: int = 5, percent: in
     open_bands = written(spark, placed.join(mixed, "band"), "open")
     blocks = F.ceil(F.col("count") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     members = (
-        open_bands.join(classes.select("node", "sig"), "node")
+        open_bands.join(classes.select("node", "n_shingles", "sig"), "node")
         .withColumn("blocks", blocks)
         .withColumn("own", own)
         # each block meets itself and, once, every other block
@@ -252,15 +307,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, words: int = 5, percent: in
         .withColumn("lo", F.least("own", "other"))
         .withColumn("hi", F.greatest("own", "other"))
         .withColumn("side", F.when(F.col("lo") == F.col("hi"), 0).when(F.col("own") == F.col("lo"), 1).otherwise(2))
+        .select("band", "lo", "hi", "side", "node", "component", "n_shingles", "sig")
+        .repartition(parts, "band", "lo", "hi")
     )
     least = LEAST_ESTIMATE.get(percent, 0.0)
-    rest = (
-        members.select("band", "lo", "hi", "side", "node", "component", "sig")
+    suspects = members.groupBy("band", "lo", "hi").applyInPandas(lambda pdf: _suspects(percent, least, pdf), _SUSPECT)
+    suspects = written(spark, suspects, "suspects")
+    sets = judge.sets(suspects.select("node").distinct(), "rest")
+    more = (
+        suspects.join(sets, "node")
+        .repartition(parts, "band", "lo", "hi")
         .groupBy("band", "lo", "hi")
-        .applyInPandas(lambda pdf: _across(least, pdf), "u long, v long")
+        .applyInPandas(lambda pdf: _links(percent, pdf), "u long, v long")
     )
-    more = judge.links(rest, "rest")
-    final = connected_components(spark, links.unionByName(more))
+    final = connected_components(spark, links.unionByName(written(spark, more, "rest-links")))
 
     least_of = (
         one.select("node", "least_id")

@@ -27,6 +27,7 @@ from fleetlens.llm.common import (
     KEY,
     POWERS,
     mix64,
+    plain_names,
     row_key,
     rows_of,
     split_maybe,
@@ -322,7 +323,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, length: int = 200) -> Data
         lambda x: _kept_text(length, x), "k_id long, k_text long, kept_text string"
     )
     cuts = written(spark, cuts.dropDuplicates(KEY), "cuts")
-    names = docs.columns
-    hit, others = split_maybe(docs.select("*", *row_key()), cuts)
-    new = [F.coalesce("kept_text", "text").alias("text") if c == "text" else F.col(c) for c in names]
-    return others.select(*names).unionByName(hit.join(cuts, KEY, "left").select(*new))
+    plain = plain_names(docs)
+    hit, others = split_maybe(plain.select("*", *row_key()), cuts)
+    new = [F.coalesce("kept_text", "text").alias("text") if c == "text" else F.col(c) for c in plain.columns]
+    return others.select(*plain.columns).unionByName(hit.join(cuts, KEY, "left").select(*new)).toDF(*docs.columns)
