@@ -28,6 +28,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from fleetlens.config import TEST_SCALE_THRESHOLDS  # noqa: E402
 from fleetlens.operators import checks  # noqa: E402
 from fleetlens.plans import analytics  # noqa: E402
 from fleetlens.plans.incremental import refresh_quarters  # noqa: E402
@@ -60,7 +61,7 @@ def run_all(spark, landing: str, out: str, times: dict[str, float]) -> BuildResu
     COUNTS["csv_ingest_quarters"] = len(reports)
 
     t0 = time.perf_counter()
-    result = WarehouseBuild(spark, read_raw(spark, raw_root), f"{out}/warehouse", buckets=BUCKETS).run()
+    result = WarehouseBuild(spark, read_raw(spark, raw_root), f"{out}/warehouse", TEST_SCALE_THRESHOLDS, buckets=BUCKETS).run()
     times["warehouse_build"] = time.perf_counter() - t0
     times.update(result.seconds)
 

@@ -1,6 +1,6 @@
 """Command line: ``python -m fleetlens {ingest,build,check} ...``.
 
-    ingest  --quarter 2026Q1 --csv DIR --raw RAW --meta META   one quarter (exit 2 on a row mismatch)
+    ingest  --quarter 2026Q1 --csv DIR --raw RAW --meta META   one quarter (exit 2 if it does not reconcile)
     ingest  --landing DIR --raw RAW --meta META                every quarter=YYYYQn folder, one batch
     build   --raw RAW --out WAREHOUSE [--buckets N] [--min-drive-count 100 --min-drive-days 10000]
     check   --raw RAW --out WAREHOUSE                          data tests; exit 1 if an error-level check fails
@@ -34,11 +34,11 @@ def _session() -> SparkSession:
 def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> int:
     try:
         if a.landing:
-            reports = ingest.ingest_landing(spark, a.landing, a.raw, a.meta, a.staged_publish)
+            reports = ingest.ingest_landing(spark, a.landing, a.raw, a.meta)
         else:
-            reports = [ingest.ingest_quarter(spark, a.quarter, a.csv, a.raw, a.meta, a.staged_publish)]
+            reports = [ingest.ingest_quarter(spark, a.quarter, a.csv, a.raw, a.meta)]
     except ingest.ReconciliationError as e:
-        print(f"RECONCILIATION FAIL: {e}", file=sys.stderr)
+        print(f"not loaded: {e}", file=sys.stderr)
         return 2
     for r in reports:
         print(json.dumps({"quarter": r.quarter, "files": r.files, "rows": r.parquet_rows,
@@ -74,7 +74,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     i.add_argument("--landing")
     i.add_argument("--raw", required=True)
     i.add_argument("--meta", required=True)
-    i.add_argument("--staged-publish", action="store_true")
     b = sub.add_parser("build")
     b.add_argument("--raw", required=True)
     b.add_argument("--out", required=True)
@@ -87,11 +86,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = p.parse_args(argv)
     if a.cmd == "ingest" and not a.landing and not (a.quarter and a.csv):
         p.error("ingest needs --landing, or --quarter and --csv")
-    if a.cmd == "ingest" and a.quarter:
-        try:
-            ingest.parse_quarter(a.quarter)
-        except ValueError as e:
-            p.error(str(e))
+    if a.cmd == "ingest" and a.quarter and not ingest.is_quarter(a.quarter):
+        p.error(f"--quarter must look like 2026Q1, got {a.quarter!r}")
     spark = spark or _session()
     return {"ingest": cmd_ingest, "build": cmd_build, "check": cmd_check}[a.cmd](spark, a)
 

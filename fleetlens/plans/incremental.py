@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.config import DEFAULT_COLUMNS, AfrThresholds, TEST_SCALE_THRESHOLDS, FleetColumns
+from fleetlens.config import DEFAULT_COLUMNS, AfrThresholds, PUBLISHED_THRESHOLDS, FleetColumns
 from fleetlens.functions.columns import non_sentinel, normalize_model, quarter_label
 from fleetlens.operators import afr, contract, dims, facts
 from fleetlens.operators.spans import encode_day_flag
@@ -96,7 +96,7 @@ def refresh_quarters(
     raw_root: str,
     root: str,
     quarters: list[str],
-    thresholds: AfrThresholds | None = TEST_SCALE_THRESHOLDS,
+    thresholds: AfrThresholds | None = PUBLISHED_THRESHOLDS,
     seed: DataFrame | None = None,
 ) -> dict[str, str]:
     """Load ``quarters`` of the raw zone into the warehouse at ``root``; rebuild the merged tables.

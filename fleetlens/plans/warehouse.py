@@ -16,8 +16,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.config import AfrThresholds, TEST_SCALE_THRESHOLDS
+from fleetlens.config import AfrThresholds, PUBLISHED_THRESHOLDS
 from fleetlens.operators import afr, contract, dims, facts
+from fleetlens.sources.ingest import read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
 
 FACT_PARTITION = "quarter"
@@ -68,8 +69,8 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, dynam
 
 
 def read_raw(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Hive-partitioned raw zone (``quarter=YYYYQn``); quarters may differ in columns."""
-    return spark.read.option("mergeSchema", "true").parquet(raw_root)
+    """Hive-partitioned raw zone (``quarter=YYYYQn``); quarters may differ in columns and types."""
+    return read_raw_zone(spark, raw_root)
 
 
 class WarehouseBuild:
@@ -89,7 +90,7 @@ class WarehouseBuild:
         spark: SparkSession,
         raw: DataFrame,
         root: str,
-        thresholds: AfrThresholds | None = TEST_SCALE_THRESHOLDS,
+        thresholds: AfrThresholds | None = PUBLISHED_THRESHOLDS,
         seed: DataFrame | None = None,
         buckets: int | None = None,
         database: str = "fleetlens",

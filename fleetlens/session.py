@@ -41,19 +41,26 @@ def local_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only where it is unset (local tests) a fresh scratch
-    folder is created and registered.
+    Read from the session. Where it is unset, a local session gets a fresh scratch folder; on a
+    cluster that is an error, since a folder of one machine is not seen by the others.
     """
     configured = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not is_local(spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="fleetlens-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def is_local(master: str) -> bool:
+    """True for ``local`` and ``local[...]``, whose tasks run in the driver."""
+    return master == "local" or master.startswith("local[")
+
+
 def scale_settings(input_bytes: int, target_partition_mb: int = 256, min_partitions: int = 200) -> dict[str, str]:
     """Spark SQL settings for a run over ``input_bytes`` of input (e.g. 100 TB on a cluster).
 

@@ -1,166 +1,190 @@
 """Quarterly CSV ingest into the Hive-partitioned raw zone, with reconciliation and drift history.
 
-``ingest_quarters`` loads any number of quarters in a FIXED number of Spark jobs
-(a backfill of forty quarters costs the same number of jobs as one):
-
-1. list the CSV files, recursively, through the Hadoop FileSystem of the path (any
-   FS Spark can read); read the header line of each file, concurrently (one line
-   per file reaches the driver, never data);
-2. per quarter, group its files by header and read each group with an all-string
-   schema for exactly its columns, tag it with the quarter, and
-   ``unionByName(allowMissingColumns=True)`` everything: files whose columns differ
-   in order or set are joined by NAME (one ``read.csv`` of a directory would apply
-   the first header by position and shift values);
-3. ONE aggregate grouped by quarter gives every quarter's row count and, per
-   column, the range of a per-value type code (full-file inference): BIGINT if
-   every value is an integer, else DOUBLE if every value is a number, else DATE or
-   BOOLEAN if every value is one, else STRING. The written
-   type is resolved over the whole batch, so quarters merge under ``mergeSchema``;
-   ``date``, ``failure`` and ``capacity_bytes`` get fixed casts;
-4. ONE text scan counts the data lines per quarter independently of the CSV parser;
-5. ONE write of all quarters (zstd, dynamic partition overwrite: a rerun replaces
-   only its quarters, other quarters stay untouched); optionally staged first and
-   published only for quarters that reconcile;
-6. ONE read-back count per quarter; audit rows appended to a Parquet run log; any
-   mismatch raises after logging;
-7. the column lists go to a schema-history table, each quarter diffed against the
-   latest earlier stored quarter (one read, one write of the small history).
+``ingest_quarters`` loads any number of quarters in a fixed number of Spark jobs:
+
+1. one text scan of the drops gives, per file, the header line, the data lines and the bytes:
+   a count of the rows that does not depend on the CSV parser;
+2. files of one quarter and one header are read together, all columns as strings, and
+   everything is joined by column name. The CSV is parsed once, into a staged Parquet
+   copy; a row with too few or too many fields is kept there as a corrupt record;
+3. one aggregate over the staged copy gives per quarter the rows, the corrupt rows and, per
+   column, the kinds of values met (one ``bit_or`` each). Values are recognised by strict
+   patterns; what fits none stays text;
+4. a quarter passes if lines and staged rows agree and no row is corrupt. Only quarters that
+   pass are published (zstd, dynamic partition overwrite, so a rerun replaces its quarters and
+   no other), and only after that do they enter the schema history and the drift log;
+5. every quarter gets a row in the run log; a quarter that failed raises after that.
+
+Types are those of the batch. ``read_raw_zone`` reads each quarter under its own schema and
+widens columns across quarters by name, so a later batch can never make the zone unreadable.
 """
 
 from __future__ import annotations
 
+import csv
 import re
 import time
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-QUARTER_RE = re.compile(r"^(\d{4})Q([1-4])$")
-
 # Fixed casts applied at ingest (everything else is inferred). Fixed values.
 INGEST_CASTS = {"date": "date", "failure": "tinyint", "capacity_bytes": "bigint"}
 
+CORRUPT = "_corrupt_record"
+
 
-def parse_quarter(quarter: str) -> tuple[int, int]:
-    """'2026Q1' -> (2026, 1); raises ValueError on any other shape."""
-    m = QUARTER_RE.match(quarter)
-    if not m:
-        raise ValueError(f"quarter must look like 2026Q1, got {quarter!r}")
-    return int(m.group(1)), int(m.group(2))
+def is_quarter(label: str) -> bool:
+    """True for a year of four ASCII digits, ``Q``, and 1 to 4."""
+    year, q, number = label[:4], label[4:5], label[5:]
+    return len(year) == 4 and year.isascii() and year.isdigit() and q == "Q" and number in ("1", "2", "3", "4")
 
 
-# --------------------------------------------------------------------------- file listing and headers
+def require_quarter(label: str) -> str:
+    if not is_quarter(label):
+        raise ValueError(f"not a quarter such as 2026Q1: {label!r}")
+    return label
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+# --------------------------------------------------------------------------- files, headers, lines
 
 
 def list_csv_files(spark: SparkSession, root: str) -> list[str]:
-    """All *.csv files under ``root``, recursively, sorted (metadata only)."""
-    fs, p = _fs(spark, root)
-    it = fs.listFiles(p, True)
-    out = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().toString()
-        if name.lower().endswith(".csv"):
-            out.append(name)
-    return sorted(out)
-
-
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """The first line of one file, split on commas (the header only; no data row is read)."""
-    jvm = spark.sparkContext._jvm
-    fs, p = _fs(spark, path)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
-    try:
-        line = reader.readLine() or ""
-    finally:
-        reader.close()
-    return [c.strip().strip('"') for c in line.lstrip("﻿").split(",")]
+    """All CSV files under ``root``, at any depth, sorted. A listing: no content is read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
+        .load(root)
+        .select("path")
+    )
+    return sorted(r.path for r in files.collect())
 
 
-def read_headers(spark: SparkSession, files: list[str], threads: int = 32) -> dict[str, list[str]]:
-    """The header of every file, fetched concurrently (one small read per file; on an
-    object store each open is a round trip, so thousands of files are read in parallel)."""
-    from concurrent.futures import ThreadPoolExecutor
+@dataclass
+class DropFile:
+    path: str
+    header: tuple[str, ...]
+    lines: int
+    size: int
 
-    if len(files) <= 1:
-        return {f: read_header(spark, f) for f in files}
-    with ThreadPoolExecutor(max_workers=min(threads, len(files))) as pool:
-        return dict(zip(files, pool.map(lambda f: read_header(spark, f), files)))
 
+def split_header(line: str | None) -> tuple[str, ...]:
+    """Column names of a header line; a comma inside quotes does not separate."""
+    return tuple(c.strip() for c in next(csv.reader([(line or "").lstrip("﻿")]), []))
 
-def union_by_name_csv(spark: SparkSession, files: list[str]) -> tuple[DataFrame, list[str]]:
-    """All files read by header name, as strings. Returns (frame, union column list in scan order)."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    headers = read_headers(spark, files)
+
+def scan_files(spark: SparkSession, files: list[str]) -> dict[str, DropFile]:
+    """Header, non-empty data lines and bytes of every file, from one text scan.
+
+    The header is the first line of a file: the one that its first split reads first. Quoted fields may not
+    span lines (they do not in telemetry drops).
+    """
+    lines = spark.read.text(files).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("size"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
+    )
+    per_file = lines.groupBy("path").agg(
+        F.min_by("value", "place").alias("header"),
+        F.sum((F.length(F.trim("value")) > 0).cast("long")).alias("lines"),
+        F.first("size").alias("size"),
+    )
+    rows = {_plain(r.path): r for r in per_file.collect()}
+    out = {}
     for f in files:
-        groups.setdefault(tuple(headers[f]), []).append(f)
-    columns: list[str] = []
+        r = rows.get(_plain(f))
+        out[f] = DropFile(f, split_header(r.header) if r else (), max(0, r.lines - 1) if r else 0, r.size if r else 0)
+    return out
+
+
+def _plain(path: str) -> str:
+    """A path without the spelling differences of local URIs (``file:///a`` and ``/a``)."""
+    return re.sub(r"^file:/*", "/", path)
+
+
+def read_by_header(spark: SparkSession, groups: dict[tuple[str, tuple[str, ...]], list[str]]) -> DataFrame:
+    """(quarter, header) -> files, read as strings and joined by name, with ``quarter`` and the corrupt record."""
     frames = []
-    for header, paths in groups.items():
-        for c in header:
-            if c not in columns:
-                columns.append(c)
-        schema = StructType([StructField(c, StringType(), True) for c in header])
-        frames.append(spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(paths))
-    if not frames:
-        raise FileNotFoundError("no CSV files to ingest")
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return df.select(*columns), columns
+    for (quarter, header), paths in sorted(groups.items()):
+        schema = StructType([StructField(c, StringType()) for c in (*header, CORRUPT)])
+        df = spark.read.option("header", True).option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(paths)
+        frames.append(df.withColumn("quarter", F.lit(quarter)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+# --------------------------------------------------------------------------- types
+
+# Kinds of values and the patterns that recognise them, in the order tried; a date or timestamp must also be valid.
+INTEGER, DECIMAL, DATE, TIMESTAMP, BOOLEAN, TEXT = 1, 2, 4, 8, 16, 32
+_DAY = r"\\d{4}-\\d{2}-\\d{2}"
+_PATTERNS = (
+    # no leading zero: it would be lost; at most 18 digits: always a bigint
+    (INTEGER, r"^-?(0|[1-9]\\d{0,17})$", None),
+    (DECIMAL, r"^-?(0|[1-9]\\d*)(\\.\\d+)?([eE][+-]?\\d+)?$", "double"),
+    (DATE, f"^{_DAY}$", "date"),
+    (TIMESTAMP, f"^{_DAY}[ T]\\\\d{{2}}:\\\\d{{2}}:\\\\d{{2}}(\\\\.\\\\d{{1,6}})?$", "timestamp_ntz"),
+    (BOOLEAN, r"^(true|false|True|False|TRUE|FALSE)$", None),
+)
 
 
-# --------------------------------------------------------------------------- type resolution
+def kind_of(column: str) -> Column:
+    """The kind of each value of a string column; NULL for NULL."""
+    v = f"`{column}`"
+    cases = " ".join(
+        f"WHEN {v} RLIKE '{p}'" + (f" AND try_cast({v} AS {t}) IS NOT NULL" if t else "") + f" THEN {k}" for k, p, t in _PATTERNS
+    )
+    return F.expr(f"CASE WHEN {v} IS NULL THEN NULL {cases} ELSE {TEXT} END")
 
 
-# An all-NULL column whose name starts with one of these prefixes gets this type
-# instead of string, so that a later quarter that does carry values (BIGINT) still
-# merges with it (Parquet schema merging rejects string vs bigint).
-NULL_COLUMN_TYPES = {"smart_": "bigint", "pod_slot_num": "bigint", "capacity_bytes": "bigint"}
+def type_of(kinds: int | None) -> str:
+    """Type that holds all values of these kinds (a bit set); void where there is no value."""
+    if not kinds:
+        return "void"
+    exact = {INTEGER: "bigint", DATE: "date", BOOLEAN: "boolean"}
+    if kinds in exact:
+        return exact[kinds]
+    if not kinds & ~(INTEGER | DECIMAL):
+        return "double"
+    if not kinds & ~(DATE | TIMESTAMP):
+        return "timestamp_ntz"
+    return "string"
 
 
-def resolve_types(
-    df: DataFrame, fixed: dict[str, str] | None = None, null_types: dict[str, str] | None = None
-) -> dict[str, str]:
-    """Column -> Spark SQL type from ONE aggregate pass over all rows (string input).
+def wider(a: str, b: str) -> str:
+    """The type that holds the values of both, text if nothing narrower does."""
+    if a == b or b == "void":
+        return a
+    if a == "void":
+        return b
+    numbers = ("tinyint", "smallint", "int", "bigint", "double")
+    if a in numbers and b in numbers:
+        return max(a, b, key=numbers.index)
+    if {a, b} == {"date", "timestamp_ntz"}:
+        return "timestamp_ntz"
+    return "string"
 
-    Per column, a short-circuit CASE gives each value a type code (integer, number,
-    ISO date, boolean, other); count / min / max of the codes decide: BIGINT if every
-    non-NULL value is an integer, DOUBLE if every value is a number, DATE or BOOLEAN
-    if every value is one, else STRING. An all-NULL column is STRING unless its name
-    matches ``null_types``. Only the one aggregate row reaches the driver.
-    """
-    fixed = fixed or {}
-    null_types = NULL_COLUMN_TYPES if null_types is None else null_types
-    todo = [c for c in df.columns if c not in fixed]
-    types = dict(fixed)
-    if todo:
-        aggs = []
-        for i, c in enumerate(todo):
-            code = _type_code(c)
-            aggs += [F.count(F.col(c)).alias(f"n{i}"), F.min(code).alias(f"lo{i}"), F.max(code).alias(f"hi{i}")]
-        row = df.agg(*aggs).first()
-        for i, c in enumerate(todo):
-            types[c] = _type_from_codes(c, row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], null_types)
-    return types
+
+def _stored(t: str) -> str:
+    """Parquet has no void column: text NULLs stand for it."""
+    return "string" if t == "void" else t
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast each column; fixed casts first, in their order, then the rest in scan order."""
     first = [c for c in INGEST_CASTS if c in df.columns]
     rest = [c for c in df.columns if c not in first]
-    return df.select(*[F.col(c).cast(types.get(c, "string")).alias(c) for c in first + rest])
+    return df.select(*[F.col(c).cast(_stored(types.get(c, "string"))).alias(c) for c in first + rest])
 
 
-# --------------------------------------------------------------------------- audit and reconciliation
+# --------------------------------------------------------------------------- run log
 
 
 @dataclass
@@ -169,7 +193,10 @@ class IngestReport:
     files: int
     csv_rows: int
     csv_lines: int
+    corrupt_rows: int
     parquet_rows: int
+    gb_in: float
+    gb_out: float
     seconds: float
     columns: list[str]
     types: dict[str, str]
@@ -177,83 +204,51 @@ class IngestReport:
 
     @property
     def ok(self) -> bool:
-        return self.csv_rows == self.parquet_rows == self.csv_lines
+        return self.corrupt_rows == 0 and self.csv_rows == self.parquet_rows == self.csv_lines
 
 
 class ReconciliationError(RuntimeError):
     pass
 
 
-def count_data_lines(spark: SparkSession, files: list[str]) -> int:
-    """Non-empty text lines minus one header per file: an independent count of the rows.
-
-    Assumes no quoted field spans lines (true of the telemetry CSVs).
-    """
-    lines = spark.read.text(files).where(F.length(F.trim("value")) > 0).count()
-    return lines - len(files)
-
-
-def _file_quarter_table(spark: SparkSession, sources: dict[str, list[str]]) -> DataFrame:
-    """(_file, quarter): one row per listed file, keyed like ``_metadata.file_path``.
-
-    Its size is exactly the number of files listed on the driver, so broadcasting it
-    is bounded by construction.
-    """
-    jvm = spark.sparkContext._jvm
-    rows = [(jvm.org.apache.hadoop.fs.Path(f).toUri().toString(), q) for q, files in sources.items() for f in files]
-    return spark.createDataFrame(rows, "_file string, quarter string")
-
-
-def count_data_lines_by_quarter(spark: SparkSession, sources: dict[str, list[str]]) -> dict[str, int]:
-    """``count_data_lines`` for every quarter of a batch in ONE text scan (grouped by quarter)."""
-    files = [f for fs in sources.values() for f in fs]
-    lines = spark.read.text(files).withColumn("_file", F.col("_metadata.file_path"))
-    allq = lines.join(F.broadcast(_file_quarter_table(spark, sources)), "_file")
-    counts = allq.where(F.length(F.trim("value")) > 0).groupBy("quarter").count().collect()
-    got = {r.quarter: r["count"] for r in counts}
-    return {q: got.get(q, 0) - len(files) for q, files in sources.items()}
-
-
 AUDIT_SCHEMA = (
-    "logged_at string, quarter string, files int, csv_rows bigint, csv_lines bigint, parquet_rows bigint, "
-    "delta bigint, result string, seconds double"
+    "logged_at string, quarter string, files int, csv_rows bigint, csv_lines bigint, corrupt_rows bigint, "
+    "parquet_rows bigint, delta bigint, result string, gb_in double, gb_out double, seconds double"
 )
 
 
+def _stamp() -> str:
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def append_audits(spark: SparkSession, audit_path: str, reports: list[IngestReport]) -> None:
-    """Append one reconciliation / benchmark row per quarter to the Parquet run log (one write)."""
-    stamp = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    """Append one row per quarter to the Parquet run log (one write). ``seconds`` is the quarter's
+    share of the batch by input bytes."""
+    stamp = _stamp()
     rows = [
-        (stamp, r.quarter, r.files, r.csv_rows, r.csv_lines, r.parquet_rows, r.parquet_rows - r.csv_rows,
-         "PASS" if r.ok else "FAIL", float(r.seconds))
+        (stamp, r.quarter, r.files, r.csv_rows, r.csv_lines, r.corrupt_rows, r.parquet_rows, r.parquet_rows - r.csv_lines,
+         "PASS" if r.ok else "FAIL", r.gb_in, r.gb_out, r.seconds)
         for r in reports
     ]
     spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(audit_path)
 
 
-def append_audit(spark: SparkSession, audit_path: str, report: IngestReport) -> None:
-    append_audits(spark, audit_path, [report])
-
-
 # --------------------------------------------------------------------------- schema history and drift
 
 
 HISTORY_SCHEMA = "quarter string, ordinal int, column_name string, data_type string"
 
-
 DRIFT_LOG_SCHEMA = (
     "logged_at string, quarter string, status string, prior_quarter string, prior_columns bigint, "
     "columns bigint, added array<string>, removed array<string>"
 )
 
 
-def append_drift_log(spark: SparkSession, log_path: str, drifts: dict | list[dict]) -> None:
-    """Append drift entries (baseline or changed quarters only) to the Parquet drift log, one write."""
-    drifts = [drifts] if isinstance(drifts, dict) else drifts
-    stamp = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+def append_drift_log(spark: SparkSession, log_path: str, drifts: list[dict]) -> None:
+    """Append the drift entries of quarters that are not unchanged to the Parquet drift log, one write."""
+    stamp = _stamp()
     rows = [
-        (stamp, d["quarter"], d["status"], d.get("prior_quarter"), d.get("prior_columns"), d["columns"],
-         d.get("added", []), d.get("removed", []))
+        (stamp, d["quarter"], d["status"], d["prior_quarter"], d["prior_columns"], d["columns"], d["added"], d["removed"])
         for d in drifts
         if d["status"] != "unchanged"
     ]
@@ -261,65 +256,63 @@ def append_drift_log(spark: SparkSession, log_path: str, drifts: dict | list[dic
         spark.createDataFrame(rows, DRIFT_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
 
 
-def record_schema(
-    spark: SparkSession, history_path: str, quarter: str, columns: list[str], types: dict[str, str]
-) -> dict:
-    """Store one quarter's column list and diff it against the latest earlier quarter.
-
-    Returns {quarter, status: baseline | changed | unchanged, prior_quarter,
-    prior_columns, columns, added, removed}. Unchanged snapshots are not rewritten;
-    a reorder alone is 'changed' with nothing added or removed. Only names are
-    compared; types are stored alongside.
-    """
-    return record_schemas(spark, history_path, {quarter: (columns, types)})[quarter]
+def read_history(spark: SparkSession, history_path: str) -> DataFrame | None:
+    """The stored schemas, or None where none was ever stored. Any other failure is raised."""
+    try:
+        return spark.read.schema(HISTORY_SCHEMA).parquet(history_path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def record_schemas(
     spark: SparkSession, history_path: str, snapshots: dict[str, tuple[list[str], dict[str, str]]]
 ) -> dict[str, dict]:
-    """``record_schema`` for a batch of quarters: one read and one write of the history.
+    """Stores the columns and types of each quarter and compares each with the latest earlier one.
 
-    Quarters are processed in ascending order, so a quarter of the batch is the
-    prior of the next one. The history is metadata (quarters x columns), so it is
-    read once to the driver; added / removed keep the column order.
+    Status: ``baseline`` (nothing earlier), ``changed`` (other columns, or another order),
+    ``retyped`` (the quarter's own columns with other types) or ``unchanged``, which is not written
+    again. One write; the differences are those of ``drift_report`` over the history so far.
     """
-    try:
-        rows = spark.read.parquet(history_path).select("quarter", "ordinal", "column_name").collect()
-    except Exception:  # noqa: BLE001 - no history yet
-        rows = []
-    stored: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.quarter, r.ordinal)):
-        stored.setdefault(r.quarter, []).append(r.column_name)
-    out: dict[str, dict] = {}
-    changed_rows = []
-    for q in sorted(snapshots):
-        columns, types = snapshots[q]
-        priors = [p for p in stored if p < q]
-        prior_q = max(priors) if priors else None
-        d = {"quarter": q, "columns": len(columns), "prior_quarter": prior_q, "added": [], "removed": []}
-        if stored.get(q) == columns:
-            d["status"] = "unchanged"
-        elif prior_q is None:
-            d["status"] = "baseline"
+    old = read_history(spark, history_path)
+    stored: dict[str, list[tuple[str, str]]] = {}
+    for r in sorted(old.collect(), key=lambda r: (r.quarter, r.ordinal)) if old is not None else ():
+        stored.setdefault(r.quarter, []).append((r.column_name, r.data_type))
+    fresh = {q: [(c, types.get(c, "string")) for c in columns] for q, (columns, types) in snapshots.items()}
+    status = {}
+    for q, now in fresh.items():
+        before = stored.get(q)
+        if before == now:
+            status[q] = "unchanged"
+        elif before is not None and [c for c, _ in before] == [c for c, _ in now]:
+            status[q] = "retyped"
         else:
-            prev = stored[prior_q]
-            d.update(status="changed", prior_columns=len(prev),
-                     added=[c for c in columns if c not in set(prev)],
-                     removed=[c for c in prev if c not in set(columns)])
-        if d["status"] != "unchanged":
-            changed_rows += [(q, i + 1, c, types.get(c, "string")) for i, c in enumerate(columns)]
-            stored[q] = list(columns)
-        out[q] = d
-    if changed_rows:
+            status[q] = "baseline" if min({*stored, *fresh}) == q else "changed"
+    rows = [(q, i, c, t) for q in fresh if status[q] != "unchanged" for i, (c, t) in enumerate(fresh[q], start=1)]
+    if rows:
         (
-            spark.createDataFrame(changed_rows, HISTORY_SCHEMA)
+            spark.createDataFrame(rows, HISTORY_SCHEMA)
             .coalesce(1)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("quarter")
             .parquet(history_path)
         )
-    return out
+    told = {r.quarter: r for r in drift_report(read_history(spark, history_path)).collect()}
+    sizes = {q: r.columns for q, r in told.items()}
+    return {
+        q: {
+            "quarter": q,
+            "status": status[q],
+            "columns": told[q].columns,
+            "prior_quarter": told[q].prior_quarter,
+            "prior_columns": sizes.get(told[q].prior_quarter),
+            "added": told[q].added,
+            "removed": told[q].removed,
+        }
+        for q in fresh
+    }
 
 
 def drift_report(history: DataFrame) -> DataFrame:
@@ -365,187 +358,110 @@ def drift_report(history: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- the job
 
 
-_QUARTER_IN_PATH = re.compile(r"(?:^|/)(?:quarter=)?(\d{4}Q[1-4])(?=/)")
-
-
 def quarter_of_path(path: str) -> str | None:
     """The quarter named by a folder of the path (``quarter=2026Q1`` or ``2026Q1``), innermost wins."""
-    found = _QUARTER_IN_PATH.findall(path)
-    return found[-1] if found else None
-
-
-def _type_code(c: str):
-    """Per value: 1 bigint, 2 double (not bigint), 3 date, 4 boolean, 5 other; NULL stays NULL.
-
-    A CASE short-circuits, so most values cost one cast.
-    """
-    v = f"`{c}`"
-    return F.expr(
-        f"CASE WHEN {v} IS NULL THEN NULL WHEN try_cast({v} AS bigint) IS NOT NULL THEN 1 "
-        f"WHEN try_cast({v} AS double) IS NOT NULL THEN 2 WHEN try_cast({v} AS date) IS NOT NULL THEN 3 "
-        f"WHEN try_cast({v} AS boolean) IS NOT NULL THEN 4 ELSE 5 END"
-    )
-
+    for folder in reversed(path.split("/")[:-1]):
+        label = folder.removeprefix("quarter=")
+        if is_quarter(label):
+            return label
+    return None
 
-def _typed_counts(strings: DataFrame, columns: list[str]):
-    """ONE hash aggregate grouped by quarter: rows, and per column count / min / max of the type code."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(columns):
-        code = _type_code(c)
-        aggs += [F.count(F.col(c)).alias(f"n{i}"), F.min(code).alias(f"lo{i}"), F.max(code).alias(f"hi{i}")]
-    return strings.groupBy("quarter").agg(*aggs).collect()
 
-
-def _type_from_codes(c: str, n: int, lo: int | None, hi: int | None, null_types: dict[str, str]) -> str:
-    """bigint if every value is an integer, double if every value is a number, date / boolean if every
-    value is one, else string; an all-NULL column takes its ``null_types`` default."""
-    if not n:
-        return next((t for pre, t in null_types.items() if c.startswith(pre)), "string")
-    if hi == 1:
-        return "bigint"
-    if hi == 2:
-        return "double"
-    if lo == hi == 3:
-        return "date"
-    if lo == hi == 4:
-        return "boolean"
-    return "string"
+def _partition_bytes(spark: SparkSession, raw_root: str, quarters: Iterable[str]) -> dict[str, int]:
+    """Bytes of the Parquet files of each quarter (a listing)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(raw_root)
+    sizes = files.where(F.col("quarter").isin(list(quarters))).groupBy("quarter").agg(F.sum("length").alias("n"))
+    return {r.quarter: r.n for r in sizes.collect()}
 
 
-def ingest_quarters(
-    spark: SparkSession,
-    sources: dict[str, list[str]],
-    raw_root: str,
-    meta_root: str,
-    staged_publish: bool = False,
-) -> list[IngestReport]:
+def ingest_quarters(spark: SparkSession, sources: dict[str, list[str]], raw_root: str, meta_root: str) -> list[IngestReport]:
     """Load quarter -> CSV files into ``raw_root`` (see module doc); one report per quarter.
 
-    With ``staged_publish`` the batch is first written under ``meta_root/_staging``
-    and only quarters that reconcile there are published to the raw zone (dynamic
-    partition overwrite), so a failed load never replaces a good partition. Without
-    it, a mismatching partition stays written but the job raises. Raises
-    ``ReconciliationError`` after auditing every quarter if any mismatches.
+    A quarter that does not pass leaves the raw zone, the schema history and the drift log as
+    they were; after the run log is written it raises ``ReconciliationError``.
     """
     t0 = time.perf_counter()
-    for q in sources:
-        parse_quarter(q)
-    sources = {q: sorted(fs) for q, fs in sources.items() if fs}
+    sources = {require_quarter(q): sorted(fs) for q, fs in sorted(sources.items()) if fs}
     if not sources:
         raise FileNotFoundError("no CSV files to ingest")
-
-    # headers -> per-quarter column lists; files grouped by header across quarters (metadata only)
-    file_quarter = _file_quarter_table(spark, sources)
-    q_columns: dict[str, list[str]] = {q: [] for q in sources}
-    groups: dict[tuple[str, ...], list[str]] = {}
-    headers = read_headers(spark, [f for fs in sources.values() for f in fs])
-    for q, files in sorted(sources.items()):
+    drops = scan_files(spark, [f for fs in sources.values() for f in fs])
+    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    q_columns: dict[str, list[str]] = {}
+    for q, files in sources.items():
         for f in files:
-            header = tuple(headers[f])
-            groups.setdefault(header, []).append(f)
-            q_columns[q] += [c for c in header if c not in q_columns[q]]
-    frames = []
-    for header, paths in groups.items():
-        schema = StructType([StructField(c, StringType(), True) for c in header])
-        frames.append(
-            spark.read.option("header", True).schema(schema).csv(paths).withColumn("_file", F.col("_metadata.file_path"))
-        )
-    all_columns: list[str] = []
-    for q in sorted(q_columns):
-        all_columns += [c for c in q_columns[q] if c not in all_columns]
-    strings = (
-        reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
-        .join(F.broadcast(file_quarter), "_file")
-        .select(*all_columns, "quarter")
-    )
-
-    # one aggregate: per-quarter rows and type evidence (the write parses the files
-    # again; caching the parsed strings measured slower than re-reading them)
-    rows = {r.quarter: r for r in _typed_counts(strings, all_columns)}
-    csv_rows = {q: rows[q]["_rows"] if q in rows else 0 for q in sources}
-    batch_types = {c: INGEST_CASTS[c] for c in all_columns if c in INGEST_CASTS}
-    q_types: dict[str, dict[str, str]] = {q: dict(batch_types) for q in sources}
-    for i, c in enumerate(all_columns):
-        if c in INGEST_CASTS:
-            continue
-        present = [r for r in rows.values() if r[f"n{i}"]]
-        tot_n = sum(r[f"n{i}"] for r in present)
-        lo = min((r[f"lo{i}"] for r in present), default=None)
-        hi = max((r[f"hi{i}"] for r in present), default=None)
-        batch_types[c] = _type_from_codes(c, tot_n, lo, hi, NULL_COLUMN_TYPES)
-        for q, r in rows.items():
-            q_types[q][c] = _type_from_codes(c, r[f"n{i}"], r[f"lo{i}"], r[f"hi{i}"], NULL_COLUMN_TYPES)
-
-    drift = record_schemas(
-        spark, f"{meta_root}/schema_history", {q: (q_columns[q], q_types[q]) for q in sources}
-    )
-    append_drift_log(spark, f"{meta_root}/schema_drift_log", [drift[q] for q in sorted(drift)])
-
-    csv_lines = count_data_lines_by_quarter(spark, sources)
-    typed = apply_types(strings, {**batch_types, "quarter": "string"})
-
-    def publish(df: DataFrame) -> None:
+            groups.setdefault((q, drops[f].header), []).append(f)
+        q_columns[q] = list(dict.fromkeys(c for f in files for c in drops[f].header))
+    columns = list(dict.fromkeys(c for cs in q_columns.values() for c in cs))
+
+    stage = f"{meta_root.rstrip('/')}/_staging"
+    strings = read_by_header(spark, groups).select(*columns, CORRUPT, "quarter")
+    strings.write.mode("overwrite").option("compression", "zstd").parquet(stage)
+    staged = spark.read.schema(strings.schema).parquet(stage)
+
+    kinds = [F.bit_or(kind_of(c)).alias(f"k{i}") for i, c in enumerate(columns)]
+    facts = {
+        r["quarter"]: r
+        for r in staged.groupBy("quarter").agg(F.count(F.lit(1)).alias("_rows"), F.count(CORRUPT).alias("_corrupt"), *kinds).collect()
+    }
+    csv_rows = {q: facts[q]["_rows"] if q in facts else 0 for q in sources}
+    corrupt = {q: facts[q]["_corrupt"] if q in facts else 0 for q in sources}
+    csv_lines = {q: sum(drops[f].lines for f in files) for q, files in sources.items()}
+    good = [q for q in sources if not corrupt[q] and csv_rows[q] == csv_lines[q]]
+
+    seen = {q: {c: INGEST_CASTS.get(c) or type_of(facts[q][f"k{i}"] if q in facts else None) for i, c in enumerate(columns)} for q in sources}
+    types = {c: reduce(wider, (seen[q][c] for q in good), "void") for c in columns}
+    written: dict[str, int] = {}
+    sizes: dict[str, int] = {}
+    if good:
+        typed = apply_types(staged.where(F.col("quarter").isin(good)).drop(CORRUPT), types)
         (
-            df.write.mode("overwrite")
+            typed.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "zstd")
             .partitionBy("quarter")
             .parquet(raw_root)
         )
-
-    def counts_in(root: str) -> dict[str, int]:
-        got = spark.read.parquet(root).where(F.col("quarter").isin(list(sources))).groupBy("quarter").count()
-        return {r.quarter: r["count"] for r in got.collect()}
-
-    if staged_publish:
-        stage = f"{meta_root.rstrip('/')}/_staging/batch-{int(time.time() * 1000)}"
-        typed.write.mode("overwrite").option("compression", "zstd").partitionBy("quarter").parquet(stage)
-        staged = counts_in(stage)
-        good = [q for q in sources if csv_rows[q] == csv_lines[q] == staged.get(q, 0)]
-        if good:
-            publish(spark.read.parquet(stage).where(F.col("quarter").isin(good)))
-        written = counts_in(raw_root)
-        pq_rows = {q: (written.get(q, 0) if q in good else staged.get(q, 0)) for q in sources}
-    else:
-        publish(typed)
-        written = counts_in(raw_root)
-        pq_rows = {q: written.get(q, 0) for q in sources}
-
-    seconds = time.perf_counter() - t0
-    reports = [
-        IngestReport(q, len(sources[q]), csv_rows[q], csv_lines[q], pq_rows[q], seconds, q_columns[q], q_types[q],
-                     drift[q])
-        for q in sorted(sources)
-    ]
+        counts = spark.read.schema("quarter string").parquet(raw_root).where(F.col("quarter").isin(good)).groupBy("quarter").count()
+        written = {r.quarter: r["count"] for r in counts.collect()}
+        sizes = _partition_bytes(spark, raw_root, good)
+    # the staged copy goes: an empty table takes its place
+    spark.createDataFrame([], strings.schema).coalesce(1).write.mode("overwrite").parquet(stage)
+
+    done = [q for q in good if written.get(q, 0) == csv_rows[q]]
+    # a quarter is written under the batch's types, so those are what the history holds
+    drift = record_schemas(spark, f"{meta_root}/schema_history", {q: (q_columns[q], types) for q in done}) if done else {}
+    append_drift_log(spark, f"{meta_root}/schema_drift_log", [drift[q] for q in done])
+
+    seconds, total = time.perf_counter() - t0, sum(d.size for d in drops.values()) or 1
+    reports = []
+    for q, files in sources.items():
+        size = sum(drops[f].size for f in files)
+        reports.append(
+            IngestReport(q, len(files), csv_rows[q], csv_lines[q], corrupt[q], written.get(q, 0), size / 1e9,
+                         sizes.get(q, 0) / 1e9, seconds * size / total, q_columns[q], {c: types[c] for c in q_columns[q]},
+                         drift.get(q, {"quarter": q, "status": "failed"}))
+        )
     append_audits(spark, f"{meta_root}/ingest_log", reports)
     bad = [r for r in reports if not r.ok]
     if bad:
         raise ReconciliationError(
-            "; ".join(f"{r.quarter}: csv rows {r.csv_rows}, csv lines {r.csv_lines}, parquet rows {r.parquet_rows}"
-                      for r in bad)
+            "; ".join(
+                f"{r.quarter}: {r.csv_lines} lines, {r.csv_rows} rows of which {r.corrupt_rows} corrupt, {r.parquet_rows} published"
+                for r in bad
+            )
         )
     return reports
 
 
-def ingest_quarter(
-    spark: SparkSession,
-    quarter: str,
-    csv_dir: str,
-    raw_root: str,
-    meta_root: str,
-    staged_publish: bool = False,
-) -> IngestReport:
+def ingest_quarter(spark: SparkSession, quarter: str, csv_dir: str, raw_root: str, meta_root: str) -> IngestReport:
     """One quarter: every CSV under ``csv_dir`` (recursively) -> ``raw_root/quarter=Q``."""
-    parse_quarter(quarter)
     files = list_csv_files(spark, csv_dir)
     if not files:
         raise FileNotFoundError(f"no CSV files under {csv_dir}")
-    return ingest_quarters(spark, {quarter: files}, raw_root, meta_root, staged_publish)[0]
+    return ingest_quarters(spark, {quarter: files}, raw_root, meta_root)[0]
 
 
-def ingest_landing(
-    spark: SparkSession, landing_root: str, raw_root: str, meta_root: str, staged_publish: bool = False
-) -> list[IngestReport]:
+def ingest_landing(spark: SparkSession, landing_root: str, raw_root: str, meta_root: str) -> list[IngestReport]:
     """Every quarter found under ``landing_root`` (folders ``quarter=YYYYQn`` or ``YYYYQn``), as one batch."""
     sources: dict[str, list[str]] = {}
     for f in list_csv_files(spark, landing_root):
@@ -553,16 +469,53 @@ def ingest_landing(
         if q is None:
             raise ValueError(f"cannot tell the quarter of {f}: put it under a quarter=YYYYQn folder")
         sources.setdefault(q, []).append(f)
-    return ingest_quarters(spark, sources, raw_root, meta_root, staged_publish)
+    return ingest_quarters(spark, sources, raw_root, meta_root)
+
+
+# --------------------------------------------------------------------------- reading
 
 
 def read_raw_zone(spark: SparkSession, raw_root: str, quarters: list[str] | None = None) -> DataFrame:
-    """The raw zone across quarters (``mergeSchema``: a column absent in a quarter reads as NULL).
+    """The raw zone, or some of its quarters, joined by column name.
 
-    Pass ``quarters`` to prune partitions: the filter on the partition column is
-    applied to the file listing (PartitionFilters), so other quarters are never read.
+    Each quarter is read under its own schema (one footer per quarter, and only of the quarters
+    asked for), quarters of one schema together; a column's type is the widest of the quarters
+    read, and a column that a quarter lacks, or holds no value of, is NULL there.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(raw_root)
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(raw_root).select("path", "quarter")
     if quarters:
-        df = df.where(F.col("quarter").isin(quarters))
-    return df
+        names = names.where(F.col("quarter").isin(quarters))
+    first = names.groupBy("quarter").agg(F.min("path").alias("path")).orderBy("quarter").collect()
+    if not first:
+        raise FileNotFoundError(f"no quarter to read under {raw_root}")
+    root = raw_root.rstrip("/")
+    groups: dict[tuple[tuple[str, str], ...], list[str]] = {}
+    for r in first:
+        fields = spark.read.parquet(r.path).schema.fields
+        groups.setdefault(tuple((f.name, f.dataType.simpleString()) for f in fields), []).append(r.quarter)
+    columns: dict[str, str] = {}
+    for fields in groups:
+        for name, t in fields:
+            columns[name] = wider(columns[name], t) if name in columns else t
+    if len(groups) > 1:
+        # text may only stand for a column without any value: then the others' type holds
+        for name in [c for c, t in columns.items() if t == "string"]:
+            types = {t for fields in groups for c, t in fields if c == name}
+            if len(types) > 1:
+                texts = [(fields, qs) for fields, qs in groups.items() if (name, "string") in fields]
+                frames = [_quarters_frame(spark, root, fields, qs).select(name) for fields, qs in texts]
+                if all(f.where(F.col(name).isNotNull()).isEmpty() for f in frames):
+                    columns[name] = reduce(wider, types - {"string"})
+    frames = []
+    for fields, qs in groups.items():
+        df = _quarters_frame(spark, root, fields, qs)
+        frames.append(df.select(*[F.col(c).cast(columns[c]).alias(c) for c, _ in fields], "quarter"))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return out.select(*columns, "quarter")
+
+
+def _quarters_frame(spark: SparkSession, root: str, fields: tuple[tuple[str, str], ...], quarters: list[str]) -> DataFrame:
+    """Some quarters of one schema, pruned by partition."""
+    schema = ", ".join(f"`{c}` {t}" for c, t in (*fields, ("quarter", "string")))
+    df = spark.read.schema(schema).parquet(root)
+    return df.where(F.col("quarter").isin(quarters))

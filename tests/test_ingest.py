@@ -75,7 +75,7 @@ def test_drift_added_removed_and_null_then_typed_column(spark, raw_pdf, scratch)
     p1["smart_200_raw"] = None  # all-NULL in the first quarter
     _write_csv(p1, f"{scratch}/a/{q1}.csv", list(p1.columns))
     r1 = ingest.ingest_quarter(spark, q1, f"{scratch}/a", f"{scratch}/raw", f"{scratch}/meta")
-    assert r1.drift["status"] == "baseline" and r1.types["smart_200_raw"] == "bigint"
+    assert r1.drift["status"] == "baseline" and r1.types["smart_200_raw"] == "void"
     p2 = raw_pdf[raw_pdf.quarter == q2].drop(columns=["quarter", "smart_188_raw"]).copy()
     p2["smart_200_raw"] = 7
     _write_csv(p2, f"{scratch}/b/{q2}.csv", list(p2.columns))
@@ -93,10 +93,83 @@ def test_drift_added_removed_and_null_then_typed_column(spark, raw_pdf, scratch)
     assert row.prior_quarter == q1 and row.added == ["smart_9_raw"] and row.removed == ["smart_188_raw"]
 
 
-def test_bad_quarter_rejected():
+def test_bad_quarter_rejected(spark):
+    good = ["2026Q1", "1999Q4"]
+    bad = ["2026Q5", "2026Q0", "26Q1", "2026q1", "2026Q11", " 2026Q1", "2026Q1\n", "", "２０２６Q1"]
+    assert [q for q in good + bad if ingest.is_quarter(q)] == good
     with pytest.raises(ValueError):
-        ingest.parse_quarter("2026Q5")
-    assert ingest.parse_quarter("2026Q1") == (2026, 1)
+        ingest.ingest_quarters(spark, {"2026Q5": ["x"]}, "r", "m")
+
+
+def _drop(scratch, quarter, header, *lines, name="a"):
+    os.makedirs(f"{scratch}/land/quarter={quarter}", exist_ok=True)
+    with open(f"{scratch}/land/quarter={quarter}/{name}.csv", "w") as f:
+        f.write("\n".join([header, *lines]) + "\n")
+
+
+def _load(spark, scratch, quarter):
+    return ingest.ingest_quarter(spark, quarter, f"{scratch}/land/quarter={quarter}", f"{scratch}/raw", f"{scratch}/meta")
+
+
+def test_ragged_rows_fail_the_load(spark, scratch):
+    _drop(scratch, "2026Q1", "date,serial_number,failure", "2026-01-01,S1,0,9,9", "2026-01-01,S2", "2026-01-01,S3,1")
+    with pytest.raises(ingest.ReconciliationError, match="2 corrupt"):
+        _load(spark, scratch, "2026Q1")
+    assert not os.path.exists(f"{scratch}/raw")
+    assert not os.path.exists(f"{scratch}/meta/schema_history")
+
+
+def test_values_survive_the_type_pass(spark, scratch):
+    _drop(
+        scratch, "2026Q1", 'date,serial_number,at,day,flag,tag,code,n,x,yes,"a,b"',
+        "2026-01-01,S1,2026-01-01 13:45:10,2026-01-02,Y,1D,007,-5,1.5,true,q",
+        "2026-01-01,S2,2026-01-02,2026-01-03,n,2F,008,123456789012345678,2,FALSE,",
+    )
+    rep = _load(spark, scratch, "2026Q1")
+    types = {c: rep.types[c] for c in ("at", "day", "flag", "tag", "code", "n", "x", "yes", "a,b")}
+    assert types == {
+        "at": "timestamp_ntz", "day": "date", "flag": "string", "tag": "string", "code": "string", "n": "bigint",
+        "x": "double", "yes": "boolean", "a,b": "string",
+    }
+    row = ingest.read_raw_zone(spark, f"{scratch}/raw").where("serial_number = 'S1'").first()
+    assert (str(row["at"]), row["flag"], row["tag"], row["code"], row["n"]) == ("2026-01-01 13:45:10", "Y", "1D", "007", -5)
+
+
+def test_types_widen_across_batches(spark, scratch):
+    """Quarters that type a column differently stay readable, whichever comes first."""
+    _drop(scratch, "2026Q1", "date,serial_number,smart_5_raw,late,word", "2026-01-01,S1,7,,5", "2026-01-02,S1,8,,6")
+    _drop(scratch, "2026Q2", "date,serial_number,smart_5_raw,late,word", "2026-04-01,S1,1.5,3,x")
+    _drop(scratch, "2025Q4", "date,serial_number,late,word", "2025-12-31,S1,2.5,7")
+    for q in ("2026Q1", "2026Q2", "2025Q4"):
+        assert _load(spark, scratch, q).ok
+    back = ingest.read_raw_zone(spark, f"{scratch}/raw")
+    assert {c: t for c, t in back.dtypes if c in ("smart_5_raw", "late", "word")} == {
+        "smart_5_raw": "double", "late": "double", "word": "string"
+    }
+    got = {(r.quarter, r.smart_5_raw, r.late, r.word) for r in back.collect()}
+    assert got == {
+        ("2026Q1", 7.0, None, "5"), ("2026Q1", 8.0, None, "6"), ("2026Q2", 1.5, 3.0, "x"), ("2025Q4", None, 2.5, "7")
+    }
+    some = ingest.read_raw_zone(spark, f"{scratch}/raw", ["2026Q1"])
+    assert dict(some.dtypes)["smart_5_raw"] == "bigint" and some.count() == 2
+
+
+def test_retyped_quarter_is_stored(spark, scratch):
+    _drop(scratch, "2026Q1", "date,serial_number,n", "2026-01-01,S1,7")
+    assert _load(spark, scratch, "2026Q1").drift["status"] == "baseline"
+    _drop(scratch, "2026Q1", "date,serial_number,n", "2026-01-01,S1,7.5")
+    assert _load(spark, scratch, "2026Q1").drift["status"] == "retyped"
+    types = {r.column_name: r.data_type for r in spark.read.parquet(f"{scratch}/meta/schema_history").collect()}
+    assert types["n"] == "double"
+
+
+def test_unreadable_history_is_an_error(spark, scratch):
+    _drop(scratch, "2026Q1", "date,serial_number,n", "2026-01-01,S1,7")
+    os.makedirs(f"{scratch}/meta/schema_history/quarter=2025Q4")
+    with open(f"{scratch}/meta/schema_history/quarter=2025Q4/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        _load(spark, scratch, "2026Q1")
 
 
 def test_landing_batch_many_quarters_fixed_jobs(spark, raw_pdf, scratch):

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from fleetlens.operators import checks, dims, spans
 from fleetlens.plans.export import export_gold
 from fleetlens.plans.warehouse import WarehouseBuild, read_raw, write_table
@@ -67,24 +69,24 @@ def test_unique_and_relationship_checks_fail_on_bad_frames(spark):
     assert res == {"unique": 1, "relationships": 1}
 
 
-def test_staged_publish_keeps_good_partition_on_failure(spark, scratch, monkeypatch):
+def test_a_failed_load_keeps_the_good_partition(spark, scratch):
     pdf = raw_drive_stats(spark, SF001).toPandas()
     q = sorted(pdf.quarter.unique())[2]
     part = pdf[pdf.quarter == q].drop(columns=["quarter", "pod_slot_num", "smart_197_raw", "smart_198_raw"])
     os.makedirs(f"{scratch}/csv")
     part.to_csv(f"{scratch}/csv/a.csv", index=False)
-    rep = ingest.ingest_quarter(spark, q, f"{scratch}/csv", f"{scratch}/raw", f"{scratch}/meta", staged_publish=True)
-    assert rep.ok and rep.parquet_rows == len(part)
-    # A later load whose line count disagrees must not replace the good partition.
-    monkeypatch.setattr(ingest, "count_data_lines_by_quarter", lambda spark, sources: {q: -1 for q in sources})
-    try:
-        ingest.ingest_quarter(spark, q, f"{scratch}/csv", f"{scratch}/raw", f"{scratch}/meta", staged_publish=True)
-        raise AssertionError("expected ReconciliationError")
-    except ingest.ReconciliationError:
-        pass
-    assert spark.read.parquet(f"{scratch}/raw/quarter={q}").count() == len(part)
+    rep = ingest.ingest_quarter(spark, q, f"{scratch}/csv", f"{scratch}/raw", f"{scratch}/meta")
+    assert rep.ok and rep.parquet_rows == len(part) and rep.gb_in > 0 and rep.gb_out > 0
+    # a later drop with a ragged row must not replace the good partition
+    with open(f"{scratch}/csv/a.csv", "a") as f:
+        f.write("1999-01-01,S1\n")
+    with pytest.raises(ingest.ReconciliationError, match="1 corrupt"):
+        ingest.ingest_quarter(spark, q, f"{scratch}/csv", f"{scratch}/raw", f"{scratch}/meta")
+    assert ingest.read_raw_zone(spark, f"{scratch}/raw").count() == len(part)
     results = [r.result for r in spark.read.parquet(f"{scratch}/meta/ingest_log").orderBy("logged_at").collect()]
     assert sorted(results) == ["FAIL", "PASS"]
+    assert spark.read.parquet(f"{scratch}/meta/schema_drift_log").count() == 1
+    assert spark.read.parquet(f"{scratch}/meta/_staging").count() == 0
 
 
 def test_export_gold_parquet_and_csv(spark, scratch):
