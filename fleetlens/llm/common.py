@@ -111,7 +111,7 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return others.select(*plain.columns).unionByName(left.select(*plain.columns)).toDF(*docs.columns)
 
 
-def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, rows, bytes, row offsets) of consecutive row ranges of a string column.
 
     A range holds about ``max_bytes`` of UTF-8, or one longer row. Null rows are empty.

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import KEY, ngrams_of, rows_of, text_slices, with_key, words_of, written
 
 WINDOW = 13
+#: Text of one chunk: the larger, the fewer rows it takes to reach all parts.
+CHUNK_BYTES = 2 << 20
 
 #: One row: what a chunk sends to a part, or gets back from it. ``ids`` has a value per document
 #: of the chunk that the row names by its place (``docs``); ``keys`` is set in one row of a chunk.
@@ -73,7 +75,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], more: str | None = None) -> Itera
         keys = np.stack([batch.column(c).to_numpy() for c in KEY], axis=1) if batch.num_rows else np.zeros((0, 2), np.int64)
         ids = batch.column("doc_id").fill_null(0).to_numpy()
         extra = batch.column(more).to_pylist() if more else None
-        for first, rows, data, offsets in text_slices(batch.column("text")):
+        for first, rows, data, offsets in text_slices(batch.column("text"), CHUNK_BYTES):
             words, at = words_of(data, offsets)
             end = first + rows
             yield number, keys[first:end], words, at, ids[first:end], extra[first:end] if more else None
