@@ -262,13 +262,11 @@ ORACLE: dict[str, str] = {
     "int_drive_spans": f"{O.with_ctes(*O.BASE, O.SPANS_CTE)} select * from spans",
     "dim_drive": f"{O.with_ctes(*O.BASE, O.SPANS_CTE, O.DIM_DRIVE_CTE)} "
     "select * from dim_drive",
-    "capacity_repair": f"""{O.with_ctes(*O.BASE, O.SPANS_CTE, O.DIM_DRIVE_CTE)}
-select a.serial_number, a.model, a.drive_capacity_bytes, mc.model_capacity_bytes,
-  coalesce(a.drive_capacity_bytes, mc.model_capacity_bytes) as capacity_bytes,
-  case when a.drive_capacity_bytes is not null then 'drive'
-       when mc.model_capacity_bytes is not null then 'model' else 'none' end as repair_source
-from drive_attr a left join model_cap mc on mc.model = a.model
-where a.serial_number is not null""",
+    "capacity_repair": f"""{O.with_ctes(*O.BASE, O.CAPACITY_CTE)}
+select serial_number, model, own_size as drive_capacity_bytes, model_size as model_capacity_bytes,
+  coalesce(own_size, model_size) as capacity_bytes,
+  if(own_size is not null, 'drive', if(model_size is not null, 'model', 'none')) as repair_source
+from capacities""",
     "dim_model": f"{O.with_ctes(*O.BASE, O.DIM_MODEL_CTE)} select * from dim_model",
     "dim_date": f"{O.with_ctes(*O.BASE, O.DIM_DATE_CTE)} select * from dim_date",
     "fct_drive_daily": f"{O.with_ctes(*O.BASE, O.FACT_CTE)} select * from fct_drive_daily",
