@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.config import AfrThresholds, PUBLISHED_THRESHOLDS
-from fleetlens.functions.columns import afr_pct, quarter_label, surrogate_key
+from fleetlens.functions.columns import afr_pct, normalize_model, quarter_label, surrogate_key
 
 
 def drive_quarter_counts(fct_daily: DataFrame) -> DataFrame:
@@ -28,6 +28,24 @@ def drive_quarter_counts(fct_daily: DataFrame) -> DataFrame:
     )
 
 
+def model_quarter_counts_from_partials(quarter_partials: DataFrame, dim_drive: DataFrame) -> DataFrame:
+    """``model_quarter_counts`` from ``dims.drive_quarter_partials``: drive-sized rows only."""
+    per_drive = (
+        quarter_partials.where(F.col("serial_number").isNotNull() & F.col("quarter_label").isNotNull())
+        .groupBy("serial_number", "quarter_label")
+        .agg(F.sum("rows").alias("drive_days"), F.sum("failures").alias("failures"))
+    )
+    return (
+        per_drive.join(dim_drive.select("serial_number", "model"), "serial_number")
+        .groupBy("model", "quarter_label")
+        .agg(
+            F.count(F.lit(1)).alias("drive_count"),
+            F.sum("drive_days").alias("drive_days"),
+            F.sum("failures").alias("failures"),
+        )
+    )
+
+
 def model_quarter_counts(fct_daily: DataFrame, dim_drive: DataFrame) -> DataFrame:
     """(model, quarter_label, drive_count, drive_days, failures) over all models and quarters.
 
@@ -116,7 +134,11 @@ def excluded_models_above_cutoff(
     """Model-quarters that pass the cutoff but are left out of the mart as boot drives:
     (model, quarter_label, manufacturer, drive_count, drive_days, failures). Explains a
     gap between the fleet's drive count and the mart's."""
-    counts = model_quarter_counts(fct_daily, dim_drive)
+    return excluded_of_counts(model_quarter_counts(fct_daily, dim_drive), dim_model, thresholds)
+
+
+def excluded_of_counts(counts: DataFrame, dim_model: DataFrame, thresholds: AfrThresholds | None) -> DataFrame:
+    """``excluded_models_above_cutoff`` from the model-quarter counts."""
     boot = dim_model.where(F.col("drive_type") == "boot").select("model", "manufacturer")
     out = counts.join(boot, "model")
     if thresholds is not None:
@@ -194,3 +216,35 @@ def model_daily_counts(fct_daily: DataFrame, dim_drive: DataFrame) -> DataFrame:
             F.count(F.when(F.col("failure_flag") == 1, F.lit(1))).alias("failures"),
         )
     )
+
+
+def model_daily_counts_by_row(stg: DataFrame, partials: DataFrame) -> DataFrame:
+    """``model_daily_counts`` without a join or shuffle of drive-day rows.
+
+    Rows are counted by their own normalized model and day, map-side first. That is the drive's
+    model but for drives seen under several (``partials``: one row per serial and model, written):
+    only the rows of those drives whose model is not the drive's are moved to it.
+    """
+    rows = stg.where(F.col("serial_number").isNotNull() & F.col("snapshot_date").isNotNull()).select(
+        "serial_number", normalize_model("model").alias("model"), "snapshot_date", (F.col("failure_flag") == 1).alias("failed")
+    )
+
+    def counted(df: DataFrame, model: str, sign: int) -> DataFrame:
+        return df.groupBy(F.col(model).alias("model"), "snapshot_date").agg(
+            (F.count(F.lit(1)) * sign).alias("drive_days"), (F.count(F.when(F.col("failed"), 1)) * sign).alias("failures")
+        )
+
+    several = (
+        partials.where(F.col("serial_number").isNotNull())
+        .groupBy("serial_number")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("model").alias("drive_model"))
+        .where("n > 1")
+        .drop("n")
+    )
+    moved = rows.join(several, "serial_number").where("not model <=> drive_model")
+    parts = counted(rows, "model", 1).unionByName(counted(moved, "model", -1)).unionByName(counted(moved, "drive_model", 1))
+    return (
+        parts.groupBy("model", "snapshot_date")
+        .agg(F.sum("drive_days").alias("drive_days"), F.sum("failures").alias("failures"))
+        .where("drive_days > 0")
+    )

@@ -111,15 +111,6 @@ WAREHOUSE_SUITE: list[CheckSpec] = (
 # --------------------------------------------------------------------------- offending rows
 
 
-def not_null_failures(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
-
-
-def accepted_values_failures(df: DataFrame, column: str, values) -> DataFrame:
-    """Rows whose value is outside the list; NULL passes (as in the generic test)."""
-    return df.where(~F.col(column).isin(list(values)))
-
-
 def unique_failures(df: DataFrame, column: str, via: tuple = ()) -> DataFrame:
     """Duplicated non-NULL key values with their counts (hash aggregate, partial counts).
 
@@ -130,12 +121,6 @@ def unique_failures(df: DataFrame, column: str, via: tuple = ()) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(*keys).count().where(F.col("count") > 1)
 
 
-def relationship_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Non-NULL child rows with no parent row (left-anti join)."""
-    keys = parent.select(F.col(parent_column).alias(column))
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
-
-
 def orphan_row_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """One row: the number of non-NULL child rows whose key has no parent.
 
@@ -159,16 +144,6 @@ def failure_only_on_last_seen(stg: DataFrame, spans_df: DataFrame) -> DataFrame:
     )
 
 
-def row_parity(staged: DataFrame, raw: DataFrame) -> DataFrame:
-    """One row (staged_rows, raw_rows) if the counts differ, else no row (raw count as a scalar subquery)."""
-    raw_rows = raw.agg(F.count(F.lit(1))).scalar()
-    return (
-        staged.agg(F.count(F.lit(1)).alias("staged_rows"))
-        .withColumn("raw_rows", raw_rows)
-        .where(F.col("staged_rows") != F.col("raw_rows"))
-    )
-
-
 # --------------------------------------------------------------------------- runner
 
 

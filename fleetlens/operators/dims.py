@@ -35,6 +35,62 @@ def drive_model_partials(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -
     )
 
 
+def drive_quarter_partials(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """One row per (serial_number, normalized model, calendar quarter of the date): what every
+    drive, model, quarter and day-count measure merges from, in one pass over the staged rows.
+
+    As ``drive_model_partials``, and with the failures of the quarter and its observed days as
+    bits (day 0-63 in ``days_low``, the rest in ``days_high``), so that distinct drives per day
+    need no shuffle at drive-day grain. All buffers are fixed-width.
+    """
+    d = F.col(cols.date)
+    day = F.datediff(d, F.trunc(d, "quarter"))
+    return stg.groupBy(
+        F.col(cols.entity).alias("serial_number"),
+        normalize_model(cols.model).alias("model"),
+        quarter_label(d).alias("quarter_label"),
+    ).agg(
+        F.min(d).alias("first_seen"),
+        F.max(d).alias("last_seen"),
+        F.count(F.lit(1)).alias("rows"),
+        F.max(encode_day_flag(d, F.col(cols.failure))).alias("last_day_code"),
+        F.count(cols.slot).alias("slot_rows"),
+        F.max(non_sentinel(F.col(cols.capacity), F.col(cols.sentinel))).alias("capacity_bytes"),
+        F.count(F.when(F.col(cols.failure) == 1, F.lit(1))).alias("failures"),
+        F.bit_or(F.when(day < 64, F.call_function("shiftleft", F.lit(1).cast("long"), day))).alias("days_low"),
+        F.bit_or(F.when(day >= 64, F.call_function("shiftleft", F.lit(1).cast("long"), day - 64))).alias("days_high"),
+    )
+
+
+def merge_quarters(quarter_partials: DataFrame) -> DataFrame:
+    """``drive_model_partials`` merged from the quarter partials."""
+    return quarter_partials.groupBy("serial_number", "model").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.sum("rows").alias("rows"),
+        F.max("last_day_code").alias("last_day_code"),
+        F.sum("slot_rows").alias("slot_rows"),
+        F.max("capacity_bytes").alias("capacity_bytes"),
+    )
+
+
+def active_drives_by_day(quarter_partials: DataFrame) -> DataFrame:
+    """(snapshot_date, active_drives): distinct non-NULL serials per day, from the day bits of the
+    drives' quarters (the bits of several models of a drive are merged first)."""
+    bits = (
+        quarter_partials.where("serial_number is not null and quarter_label is not null")
+        .groupBy("serial_number", F.trunc("first_seen", "quarter").alias("start"))
+        .agg(F.bit_or("days_low").alias("low"), F.bit_or("days_high").alias("high"))
+    )
+    # 92 candidates at most per row, counted per day before the shuffle
+    return (
+        bits.select("start", "low", "high", F.explode(F.sequence(F.lit(0), F.lit(91))).alias("day"))
+        .where("(case when day < 64 then shiftright(low, day) else shiftright(high, day - 64) end) & 1 = 1")
+        .groupBy(F.expr("date_add(start, day)").alias("snapshot_date"))
+        .agg(F.count(F.lit(1)).alias("active_drives"))
+    )
+
+
 def model_rollup(partials: DataFrame) -> DataFrame:
     """Per normalized model (NULL included): fleet_drive_count, observations, slot_observations, capacity_bytes.
 
@@ -137,9 +193,9 @@ def dim_drive(
 ) -> DataFrame:
     """serial_number, model, capacity_bytes (repaired), first_seen, last_seen, drive_days, status.
 
-    The reference builds spans and drive attributes in two scans plus an inner join,
-    and the model fallback in a third; here all three merge from one set of
-    (serial, model) partials. The inner join's effect (a NULL serial never matches)
+    Spans, drive attributes and the model fallback all merge from (serial, model) partials.
+    Catalyst plans the partials once per use, so over staged rows write them first and call
+    ``dim_drive_from_partials`` (as the warehouse build and the registered queries do). The inner join's effect (a NULL serial never matches)
     is the ``isNotNull`` filter. Capacity repair: the drive's own non-sentinel value,
     else its model's, else NULL. The fallback is model-sized; AQE broadcasts it when
     its measured size is under the threshold, else it is a sort-merge join.
@@ -161,7 +217,11 @@ def dim_drive(
 
 def repair_capacity(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
     """(serial_number, model, drive_capacity_bytes, model_capacity_bytes, capacity_bytes, repair_source)."""
-    partials = drive_model_partials(stg, cols)
+    return repair_capacity_from_partials(drive_model_partials(stg, cols))
+
+
+def repair_capacity_from_partials(partials: DataFrame) -> DataFrame:
+    """``repair_capacity`` from (serial, model) partials."""
     drives = drive_rollup(partials).where(F.col("serial_number").isNotNull())
     fallback = model_rollup(partials).select("model", F.col("capacity_bytes").alias("model_capacity_bytes"))
     out = drives.join(fallback, "model", "left")
@@ -376,6 +436,13 @@ def calendar_columns(date_day: Column) -> list[Column]:
     ]
 
 
+def dim_date_from_partials(partials: DataFrame) -> DataFrame:
+    """``dim_date`` over the dates that the partials (of either kind) span."""
+    bounds = partials.agg(F.min("first_seen").alias("a"), F.max("last_seen").alias("b"))
+    days = bounds.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("date_day"))
+    return days.select(*calendar_columns(F.col("date_day")))
+
+
 def dim_date(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
     """Calendar dimension over the loaded date range: 14 columns, one row per day."""
     return date_spine(stg, cols).select(*calendar_columns(F.col("date_day")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.config import DEFAULT_COLUMNS, FleetColumns
 from fleetlens.functions.columns import non_sentinel
+from fleetlens.operators.dims import active_drives_by_day
 
 
 def fleet_daily(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
@@ -31,6 +32,32 @@ def fleet_daily(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFra
     )
 
 
+def fleet_daily_from_partials(stg: DataFrame, quarter_partials: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """``fleet_daily`` without a shuffle at drive-day grain: one hash aggregate by day over the
+    staged rows, and the distinct drives from the day bits of ``dims.drive_quarter_partials``."""
+    t = F.col(cols.temperature)
+    daily = (
+        stg.where(F.col(cols.date).isNotNull())
+        .groupBy(F.col(cols.date).alias("snapshot_date"))
+        .agg(
+            F.count(F.lit(1)).alias("drive_days"),
+            F.count(F.when(F.col(cols.failure) == 1, 1)).alias("failures"),
+            F.sum(non_sentinel(F.col(cols.capacity), F.col(cols.sentinel))).alias("capacity_bytes"),
+            F.avg(t).alias("avg_temperature"),
+            F.count(t).alias("temperature_readings"),
+        )
+    )
+    return daily.join(active_drives_by_day(quarter_partials), "snapshot_date", "left").select(
+        "snapshot_date",
+        "drive_days",
+        F.coalesce("active_drives", F.lit(0)).cast("long").alias("active_drives"),
+        "failures",
+        "capacity_bytes",
+        "avg_temperature",
+        "temperature_readings",
+    )
+
+
 def dedupe_grain(
     stg: DataFrame,
     keys: tuple[str, ...] = ("serial_number", "snapshot_date"),

@@ -8,16 +8,6 @@ from pyspark.sql import functions as F
 from fleetlens.config import DEFAULT_COLUMNS, STATUS_ACTIVE, STATUS_EXITED, STATUS_FAILED, FleetColumns
 
 
-def last_day_value(date: Column, value: Column) -> Column:
-    """Aggregate: the max of ``value`` over the rows on the group's latest non-NULL date.
-
-    Replaces a self-join of the rows to their own max date: ``max(struct(date, v))``
-    orders by date first and then by value (NULL lowest), so it is one algebraic
-    aggregate with map-side partials. Returns NULL if every date is NULL.
-    """
-    return F.max(F.when(date.isNotNull(), F.struct(date.alias("d"), value.alias("v"))))["v"]
-
-
 # Encoding of (date, small integer flag) into one long so that "flag on the last
 # day" is a plain max() over a fixed-width value (HashAggregate) instead of a max
 # over a struct (sort-based aggregate). flag + 129 lies in 1..256 for a TINYINT,
@@ -41,7 +31,7 @@ def decode_day_flag(encoded: Column) -> Column:
 def last_day_flag(date: Column, flag: Column) -> Column:
     """Aggregate: max(flag) over the rows on the latest non-NULL date of the group.
 
-    Same result as ``last_day_value`` for TINYINT flags, but hash-aggregatable.
+    For TINYINT flags; hash-aggregatable.
     """
     return decode_day_flag(F.max(encode_day_flag(date, flag)))
 
@@ -74,10 +64,9 @@ def span_aggregates(cols: FleetColumns = DEFAULT_COLUMNS) -> list[Column]:
 def observation_spans(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, grace_days: int = 0) -> DataFrame:
     """One row per drive: first_seen, last_seen, observed_days, final_day_failure_flag, censoring_status.
 
-    One shuffle (``groupBy(entity)``, partial aggregation absorbs hot drives). The
-    dataset max date is the max of the per-drive last_seen (the NULL-entity group
-    included), a scalar subquery over the reduced span rows: Catalyst runs it once
-    and inlines the value, so no join is planned (AQE reuses the span shuffle).
+    One hash aggregate by entity (partial aggregation absorbs hot drives) and a scalar
+    subquery for the last date of the data (the NULL-entity group included). Both read the
+    staged rows: over written partials ``dims.spans_from_partials`` reads drive-sized rows only.
     """
     spans = stg.groupBy(cols.entity).agg(*span_aggregates(cols))
     dataset_max = spans.agg(F.max("last_seen")).scalar()

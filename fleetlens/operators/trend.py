@@ -18,20 +18,8 @@ def _day(c: str = "snapshot_date") -> Column:
     return F.unix_date(F.col(c)).cast("bigint")
 
 
-def control_limits(value: Column, order_day: Column, partition: list[str], baseline_days: int, min_points: int, sigmas: float):
-    """(mean, sd, n) of ``value`` over the trailing ``baseline_days`` days, today excluded.
-
-    The flag (``_flag``) is set only when the baseline has at least ``min_points``
-    values and sd > 0: 'high' above mean + k*sd, 'low' below mean - k*sd, else
-    'normal'; NULL when there is not enough baseline.
-    """
-    w = Window.partitionBy(*partition).orderBy(order_day).rangeBetween(-baseline_days, -1)
-    mean, sd, n = F.avg(value).over(w), F.stddev_samp(value).over(w), F.count(value).over(w)
-    return mean, sd, n
-
-
 def exact_limits(value: Column, order_day: Column, partition: list[str], baseline_days: int, scale: int = 100):
-    """(mean, sd, n) like ``control_limits``, for values with a fixed number of decimals.
+    """(mean, sd, n) of the trailing baseline, today excluded, for values with a fixed number of decimals.
 
     The values are taken as exact integers k = round(value * scale); the window sums
     k and k*k as BIGINT (exact, so independent of summation order) and
@@ -72,7 +60,14 @@ def trend_anomaly(
     anomaly ('high' / 'low' / 'normal' / NULL). The baseline mean and sample standard
     deviation come from exact integer sums (``exact_limits``); reported rounded to 6 places.
     """
-    daily = model_daily_counts(fct_daily, dim_drive).withColumn("_day", _day())
+    return trend_of_daily(model_daily_counts(fct_daily, dim_drive), window_days, baseline_days, min_points, sigmas)
+
+
+def trend_of_daily(
+    daily: DataFrame, window_days: int = 30, baseline_days: int = 90, min_points: int = 30, sigmas: float = 3.0
+) -> DataFrame:
+    """``trend_anomaly`` from (model, snapshot_date, drive_days, failures)."""
+    daily = daily.withColumn("_day", _day())
     w = Window.partitionBy("model").orderBy("_day").rangeBetween(-(window_days - 1), 0)
     r = daily.select(
         "model",
@@ -184,7 +179,11 @@ def rolling_failure_rate(
     ``method='window'`` uses a RANGE window; ``method='expand'`` the window-free
     equi-grouping form. Both give identical rows.
     """
-    daily = model_daily_counts(fct_daily, dim_drive)
+    return rolling_of_daily(model_daily_counts(fct_daily, dim_drive), days, method)
+
+
+def rolling_of_daily(daily: DataFrame, days: int = 90, method: str = "window") -> DataFrame:
+    """``rolling_failure_rate`` from (model, snapshot_date, drive_days, failures)."""
     if method == "window":
         return rolling_rate_window(daily, days)
     if method == "expand":

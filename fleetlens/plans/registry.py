@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +49,11 @@ def materialized_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 class Warehouse:
     """Frames of the warehouse DAG for one input directory.
 
-    ``materialize``: write the derived raw zone once first (``materialized_raw``); for
-    queries that read the staged rows more than once. Otherwise everything stays lazy.
+    The dimensions, the spans and the mart all merge from the (serial, model, quarter) partials,
+    written once in the shared checkpoint folder: drive-sized, from one scan and one shuffle of the
+    drive-days. Facts and day measures read the derived rows lazily, without a shuffle at their grain.
+    ``materialize``: also write the derived raw rows once; for queries that aggregate them along
+    several branches.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
@@ -57,21 +61,31 @@ class Warehouse:
         raw = materialized_raw(spark, sf_dir) if materialize else raw_drive_stats(spark, sf_dir)
         self.stg = contract.stage_contract(raw)
 
+    @cached_property
+    def quarter_partials(self) -> DataFrame:
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/fleetlens-partials-{uuid.uuid4().hex}"
+        write_table(dims.drive_quarter_partials(self.stg), path)
+        return self.spark.read.parquet(path)
+
+    @property
+    def partials(self) -> DataFrame:
+        return dims.merge_quarters(self.quarter_partials)
+
     @property
     def spans(self) -> DataFrame:
-        return spans.observation_spans(self.stg)
+        return dims.spans_from_partials(self.partials)
 
     @property
     def dim_drive(self) -> DataFrame:
-        return dims.dim_drive(self.stg)
+        return dims.dim_drive_from_partials(self.partials)
 
     @property
     def dim_model(self) -> DataFrame:
-        return dims.dim_model(self.stg, manufacturer_seed(self.spark))
+        return dims.dim_model_from_partials(self.partials, manufacturer_seed(self.spark))
 
     @property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date(self.stg)
+        return dims.dim_date_from_partials(self.quarter_partials)
 
     @property
     def fct_drive_daily(self) -> DataFrame:
@@ -81,8 +95,16 @@ class Warehouse:
     def fct_failures(self) -> DataFrame:
         return facts.fct_failures(self.stg)
 
+    @property
+    def model_daily(self) -> DataFrame:
+        return afr.model_daily_counts_by_row(self.stg, self.partials)
+
+    @property
+    def model_quarters(self) -> DataFrame:
+        return afr.model_quarter_counts_from_partials(self.quarter_partials, self.dim_drive)
+
     def mart(self, thresholds=TEST_SCALE_THRESHOLDS) -> DataFrame:
-        return afr.afr_quarterly(self.fct_drive_daily, self.dim_drive, self.dim_model, thresholds)
+        return afr.afr_from_counts(self.model_quarters, self.dim_model, thresholds)
 
 
 FRESHNESS_AS_OF = "2002-06-30"
@@ -183,9 +205,9 @@ def afr_reconciliation(w: "Warehouse") -> DataFrame:
     return checks.reconcile_published(computed, published, key="model_quarter_key")
 
 
-def _wh(fn: Callable[[Warehouse], DataFrame], materialize: bool = True) -> Query:
-    """A registered query over the warehouse frames; ``materialize=False`` for queries that
-    read the staged rows once (a projection or a single aggregate), which stay lazy."""
+def _wh(fn: Callable[[Warehouse], DataFrame], materialize: bool = False) -> Query:
+    """A registered query over the warehouse frames; ``materialize`` for the few queries that
+    aggregate the staged rows along several branches."""
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Warehouse(spark, sf_dir, materialize))
@@ -198,11 +220,11 @@ QUERIES: dict[str, Query] = {
     "stg_drive_stats": staged,
     "int_drive_spans": _wh(lambda w: w.spans),
     "dim_drive": _wh(lambda w: w.dim_drive),
-    "capacity_repair": _wh(lambda w: dims.repair_capacity(w.stg)),
+    "capacity_repair": _wh(lambda w: dims.repair_capacity_from_partials(w.partials)),
     "dim_model": _wh(lambda w: w.dim_model),
     "dim_date": _wh(lambda w: w.dim_date),
-    "fct_drive_daily": _wh(lambda w: w.fct_drive_daily, materialize=False),
-    "fct_failures": _wh(lambda w: w.fct_failures, materialize=False),
+    "fct_drive_daily": _wh(lambda w: w.fct_drive_daily),
+    "fct_failures": _wh(lambda w: w.fct_failures),
     "mart_model_afr_quarterly": _wh(lambda w: w.mart(TEST_SCALE_THRESHOLDS)),
     "afr_published_cutoff": _wh(lambda w: w.mart(PUBLISHED_THRESHOLDS)),
     "afr_all_data_model_quarters": _wh(lambda w: w.mart(None)),
@@ -211,43 +233,41 @@ QUERIES: dict[str, Query] = {
     "afr_lowest_afr_models": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 5, "afr_pct", descending=False)),
     "afr_highest_afr_models": _wh(lambda w: afr.top_models(w.mart(TEST_SCALE_THRESHOLDS), 5, "afr_pct")),
     "afr_yoy": _wh(lambda w: afr.yoy_afr(w.mart(None))),
-    "rolling_30d_failure_rate": _wh(lambda w: trend.rolling_failure_rate(w.fct_drive_daily, w.dim_drive, 30)),
-    "rolling_90d_failure_rate": _wh(lambda w: trend.rolling_failure_rate(w.fct_drive_daily, w.dim_drive, 90)),
-    "rolling_90d_failure_rate_expand": _wh(
-        lambda w: trend.rolling_failure_rate(w.fct_drive_daily, w.dim_drive, 90, method="expand")
-    ),
-    "trend_anomaly": _wh(lambda w: trend.trend_anomaly(w.fct_drive_daily, w.dim_drive)),
+    "rolling_30d_failure_rate": _wh(lambda w: trend.rolling_of_daily(w.model_daily, 30)),
+    "rolling_90d_failure_rate": _wh(lambda w: trend.rolling_of_daily(w.model_daily, 90)),
+    "rolling_90d_failure_rate_expand": _wh(lambda w: trend.rolling_of_daily(w.model_daily, 90, method="expand")),
+    "trend_anomaly": _wh(lambda w: trend.trend_of_daily(w.model_daily)),
     "temperature_anomaly": _wh(lambda w: trend.temperature_anomaly(w.fct_drive_daily)),
     "cohort_survival": _wh(lambda w: survival.cohort_survival(w.dim_drive)),
     "cohort_survival_by_vintage": _wh(lambda w: survival.cohort_survival(w.dim_drive, by_vintage=True)),
-    "fleet_daily": _wh(lambda w: fleet.fleet_daily(w.stg), materialize=False),
-    "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg), materialize=False),
+    "fleet_daily": _wh(lambda w: fleet.fleet_daily_from_partials(w.stg, w.quarter_partials)),
+    "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg)),
     "afr_by_model": _wh(lambda w: afr.afr_by_model(w.mart(TEST_SCALE_THRESHOLDS))),
     "fleet_summary": _wh(lambda w: afr.fleet_summary(w.mart(TEST_SCALE_THRESHOLDS))),
     "manufacturer_fleet": _wh(lambda w: dims.manufacturer_fleet(w.dim_model)),
     "observation_gaps": _wh(lambda w: spans.observation_gaps(w.spans)),
-    "attribute_consistency": _wh(lambda w: dims.attribute_consistency(w.stg)),
+    "attribute_consistency": _wh(lambda w: dims.attribute_consistency(w.stg), materialize=True),
     "excluded_boot_models": _wh(
-        lambda w: afr.excluded_models_above_cutoff(w.fct_drive_daily, w.dim_drive, w.dim_model, TEST_SCALE_THRESHOLDS)
+        lambda w: afr.excluded_of_counts(w.model_quarters, w.dim_model, TEST_SCALE_THRESHOLDS)
     ),
-    "drive_modal_capacity": _wh(lambda w: dims.dim_drive(w.stg, capacity_rule="mode")),
-    "int_drive_spans_grace_30d": _wh(lambda w: spans.observation_spans(w.stg, grace_days=30)),
+    "drive_modal_capacity": _wh(lambda w: dims.dim_drive(w.stg, capacity_rule="mode"), materialize=True),
+    "int_drive_spans_grace_30d": _wh(lambda w: dims.spans_from_partials(w.partials, grace_days=30)),
     "dim_model_slot_quarters": _wh(
-        lambda w: dims.dim_model(w.stg, manufacturer_seed(w.spark), drive_type_scope="slot_quarters")
+        lambda w: dims.dim_model(w.stg, manufacturer_seed(w.spark), drive_type_scope="slot_quarters"), materialize=True
     ),
     "month_drive_days": lambda spark, sf_dir: month_drive_days(raw_drive_stats(spark, sf_dir), *MONTH),
-    "ci_sample_drives": _wh(lambda w: sample_drives(w.stg, SAMPLE_FRACTION), materialize=False),
+    "ci_sample_drives": _wh(lambda w: sample_drives(w.stg, SAMPLE_FRACTION)),
     "afr_reconciliation": _wh(afr_reconciliation),
     "ingest_roundtrip": ingest_roundtrip,
     "schema_drift_report": schema_drift_report,
     "data_checks": _data_checks,
     "source_freshness": _wh(
-        lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF), materialize=False
+        lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF)
     ),
     "failure_only_on_last_seen": _wh(lambda w: checks.failure_only_on_last_seen(w.stg, w.spans)),
     "model_manufacturer": _wh(
         lambda w: dims.longest_prefix_match(
-            dims.model_rollup(dims.drive_model_partials(w.stg)), "model", manufacturer_seed(w.spark),
+            dims.model_rollup(w.partials), "model", manufacturer_seed(w.spark),
             broadcast_table=True,
         )
     ),
