@@ -20,12 +20,20 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver did, whatever its working folder."""
+#: Environment of the Python workers: large numpy and Arrow buffers go back to the system when they are
+#: freed, so that a reused worker does not keep the peak of every task it has run.
+WORKER_ENV = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did, whatever its working
+    folder, under WORKER_ENV. Called before an operator makes its first Python function."""
     home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if home not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [home, env.get("PYTHONPATH")]))
+    for name, value in WORKER_ENV.items():
+        env.setdefault(name, value)
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -54,6 +62,7 @@ KEY = ["k_id", "k_text"]
 
 def with_key(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text (as they are), any further named columns, and the row key; other columns go."""
+    prepare(docs.sparkSession)
     return docs.select("doc_id", "text", *more, *row_key())
 
 
@@ -111,7 +120,7 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return others.select(*plain.columns).unionByName(left.select(*plain.columns)).toDF(*docs.columns)
 
 
-def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, rows, bytes, row offsets) of consecutive row ranges of a string column.
 
     A range holds about ``max_bytes`` of UTF-8, or one longer row. Null rows are empty.

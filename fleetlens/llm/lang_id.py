@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from fleetlens.llm.common import plain_names, text_slices
+from fleetlens.llm.common import plain_names, prepare, text_slices
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -92,6 +92,7 @@ def train(labelled: DataFrame, smoothing: float = 0.5) -> Model:
     Labels beyond the MAX_LANGUAGES most frequent (ties by name) are not learned. Without any
     labelled row the model has no language.
     """
+    prepare(labelled.sparkSession)
     rows = labelled.select("text", "lang").where("text is not null and lang is not null")
     top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     languages = [r["lang"] for r in top]
@@ -141,6 +142,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     A null text, one without a letter, and every text of a model without languages are
     ``und`` with score 0. Ties go to the more frequent language. Ids may repeat or be null.
     """
+    prepare(spark)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     shared = spark.sparkContext.broadcast(model)
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import written
+from fleetlens.llm.common import prepare, written
 
 CAPACITY = 1024
 #: Documents per bin of each class; a piece of class k is at most CAPACITY // k tokens long.
@@ -211,6 +211,7 @@ def pack(spark: SparkSession, docs: DataFrame, encoder: Callable[[], Encoder] =
     null; an empty table gives no piece; other columns are ignored. Sequences hold at most
     CAPACITY tokens, gapless from 0; sequence ids are the same for the same input splits.
     """
+    prepare(spark)
     first = written(
         spark,
         docs.select("doc_id", "text").mapInArrow(lambda batches: _pack_task(encoder, batches), PIECE_SCHEMA),

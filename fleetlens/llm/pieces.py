@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetlens.llm.common import prepare
+
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 #: Bytes a fallback piece loses against the least likely piece.
@@ -250,6 +252,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary) -> Data
     empty table gives no row; other columns are ignored. The vocabulary and its trie are
     broadcast; their size is that of the model file, whatever the corpus.
     """
+    prepare(spark)
     shared = spark.sparkContext.broadcast((vocabulary, build_trie(vocabulary)))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,6 +269,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary) -> Data
 
 def decode(spark: SparkSession, encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id and text of rows of ids."""
+    prepare(spark)
     shared = spark.sparkContext.broadcast((vocabulary, Trie(*(np.zeros(0, np.int64),) * 3)))
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,6 +283,7 @@ def decode(spark: SparkSession, encoded: DataFrame, vocabulary: Vocabulary) -> D
 
 def measured(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """FIELDS of every row: pieces, byte pieces, CRC-32 of the ids, and whether decoding them gives the text back."""
+    prepare(spark)
     shared = spark.sparkContext.broadcast((vocabulary, build_trie(vocabulary)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

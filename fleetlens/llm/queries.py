@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens.llm import chat, exact_dedup, lang_id, near_dedup, packing, pieces, quality, substring_dedup, suffix_dedup, topk
-from fleetlens.llm.common import importable
+from fleetlens.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _ready(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        importable(spark)
+        prepare(spark)
         return query(spark, sf_dir)
 
     return run

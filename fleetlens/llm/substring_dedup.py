@@ -26,7 +26,7 @@ from fleetlens.llm.common import KEY, ngrams_of, rows_of, text_slices, with_key,
 
 WINDOW = 13
 #: Text of one chunk: the larger, the fewer rows it takes to reach all parts.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: One row: what a chunk sends to a part, or gets back from it. ``ids`` has a value per document
 #: of the chunk that the row names by its place (``docs``); ``keys`` is set in one row of a chunk.

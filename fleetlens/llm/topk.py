@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import written
+from fleetlens.llm.common import prepare, written
 
 SLICES = 4
 BLOCK_VECTORS, BLOCK_QUERIES = 4096, 512
@@ -158,6 +158,7 @@ def top_k(spark: SparkSession, queries: DataFrame, vectors: DataFrame, k: int =
     part; vectors meet queries of their own dimension only; repeated rows are candidates of
     their own; empty tables give no row; other columns are ignored.
     """
+    prepare(spark)
     blocks = written(
         spark, vectors.select("vec_id", "embedding").mapInArrow(lambda x: _blocks(BLOCK_VECTORS, x), BLOCK_FIELDS), "vectors"
     )
