@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetlens.llm import exact_dedup, lang_id, near_dedup, packing, suffix_dedup
-from fleetlens.llm.common import importable, written
+from fleetlens.llm.common import prepare, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``, each written and read again."""
-    importable(spark)
+    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
