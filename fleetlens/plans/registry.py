@@ -17,10 +17,11 @@ from fleetlens.config import PUBLISHED_THRESHOLDS, TEST_SCALE_THRESHOLDS
 from fleetlens.operators import afr, checks, contract, dims, facts, fleet, spans, survival, trend
 from fleetlens.functions.columns import normalize_model, quarter_label, surrogate_key
 from fleetlens.plans import oracle as O
-from fleetlens.plans.export import month_drive_days, sample_drives, sample_threshold
-from fleetlens.plans.warehouse import write_table
+from fleetlens.plans.export import export_gold, month_drive_days, sample_drives, sample_threshold
+from fleetlens.plans.incremental import refresh_quarters
+from fleetlens.plans.warehouse import WarehouseBuild, write_table
 from fleetlens.session import checkpoint_dir
-from fleetlens.sources.ingest import drift_report, ingest_landing, read_raw_zone
+from fleetlens.sources.ingest import drift_report, ingest_landing, ingest_quarter, read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
 from fleetlens.sources.telemetry import RAW_COLUMNS, raw_drive_stats
 
@@ -142,31 +143,78 @@ def _data_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.checks_suite_with_singular(tables, raw)
 
 
-def land_and_ingest(spark: SparkSession, sf_dir: str) -> str:
-    """Land the derived telemetry as quarterly CSV drops and batch-ingest them; returns the folder.
+#: Quarters from this one on are landed and loaded as a second batch.
+SECOND_BATCH = "1996Q1"
+
+
+def land_and_ingest(spark: SparkSession, sf_dir: str, rerun: str | None = None) -> str:
+    """Land the derived telemetry as quarterly CSV drops and load them in two batches; returns the folder.
 
     The landing is a new folder under the session's checkpoint directory. Quarters 3
     and 4 of every year are landed with a drifted header (columns in reverse order,
-    ``pod_slot_num`` absent), so the ingest must join files by name and the raw
-    zone must merge the quarters' schemas. Every quarter is ingested in one batch
-    (reconciled, or it raises). Layout: ``landing/``, ``raw/``, ``meta/``.
+    ``pod_slot_num`` absent), so files must be joined by name. From SECOND_BATCH on, SMART 5 is
+    landed as decimals, so the raw zone must widen it across batches. Every quarter reconciles, or
+    the load raises. ``rerun``: load that quarter once more. Layout: ``landing-1/``, ``landing-2/``, ``raw/``, ``meta/``.
     """
     root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-ingest-{uuid.uuid4().hex}"
     raw = raw_drive_stats(spark, sf_dir)
+    late = raw.withColumn("smart_5_raw", F.concat(F.col("smart_5_raw").cast("string"), F.lit(".25")))
     qn = F.substring("quarter", 6, 1)
-    raw.where(qn.isin("1", "2")).write.partitionBy("quarter").option("header", True).csv(f"{root}/landing/a")
     drifted = [c for c in reversed(RAW_COLUMNS) if c not in ("quarter", "pod_slot_num")] + ["quarter"]
-    (
-        raw.where(qn.isin("3", "4"))
-        .select(*drifted)
-        .write.partitionBy("quarter")
-        .option("header", True)
-        .csv(f"{root}/landing/b")
-    )
-    ingest_landing(spark, f"{root}/landing", f"{root}/raw", f"{root}/meta")
+    for landing, rows in (
+        ("landing-1", raw.where(F.col("quarter") < SECOND_BATCH)),
+        ("landing-2", late.where(F.col("quarter") >= SECOND_BATCH)),
+    ):
+        rows.where(qn.isin("1", "2")).write.partitionBy("quarter").option("header", True).csv(f"{root}/{landing}/a")
+        rows.where(qn.isin("3", "4")).select(*drifted).write.partitionBy("quarter").option("header", True).csv(f"{root}/{landing}/b")
+        ingest_landing(spark, f"{root}/{landing}", f"{root}/raw", f"{root}/meta")
+    if rerun:
+        landing = "landing-1" if rerun < SECOND_BATCH else "landing-2"
+        folder = "a" if rerun[-1] in "12" else "b"
+        ingest_quarter(spark, rerun, f"{root}/{landing}/{folder}/quarter={rerun}", f"{root}/raw", f"{root}/meta")
     return root
 
 
+def raw_zone_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw zone after two batches and a rerun of one quarter: one copy of every row, SMART 5
+    widened to a decimal over both batches."""
+    root = land_and_ingest(spark, sf_dir, rerun=SECOND_BATCH)
+    return read_raw_zone(spark, f"{root}/raw").select("serial_number", "date", "smart_5_raw", "quarter")
+
+
+def ingest_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log of the two batches: what was counted in each quarter."""
+    root = land_and_ingest(spark, sf_dir)
+    return spark.read.parquet(f"{root}/meta/ingest_log").select(
+        "quarter", "csv_rows", "csv_lines", "corrupt_rows", "parquet_rows", "delta", "result"
+    )
+
+
+def schema_drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drift log of the two batches: each quarter against the latest earlier one stored then."""
+    root = land_and_ingest(spark, sf_dir)
+    return spark.read.parquet(f"{root}/meta/schema_drift_log").select("quarter", "status", "prior_quarter", "columns", "prior_columns")
+
+
+def incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart after newer quarters, then a backfill of older ones, then one quarter again."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-incremental-{uuid.uuid4().hex}"
+    raw_root = write_table(raw_drive_stats(spark, sf_dir), f"{root}/raw", partition_by="quarter")
+    quarters = sorted(r.quarter for r in spark.read.parquet(raw_root).select("quarter").distinct().collect())
+    newer, older = [q for q in quarters if q >= SECOND_BATCH], [q for q in quarters if q < SECOND_BATCH]
+    for some in (newer, older, newer[:1]):
+        paths = refresh_quarters(spark, raw_root, f"{root}/warehouse", some, TEST_SCALE_THRESHOLDS)
+    return spark.read.parquet(paths["mart_model_afr_quarterly"])
+
+
+def gold_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported day aggregate of data drives, read back from the gold folder."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-gold-{uuid.uuid4().hex}"
+    built = WarehouseBuild(spark, raw_drive_stats(spark, sf_dir), f"{root}/warehouse", TEST_SCALE_THRESHOLDS).run()
+    out = export_gold(spark, built.tables, f"{root}/gold", "parquet")
+    return spark.read.parquet(out["fct_model_daily"])
+
+
 def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV drops -> batch ingest -> raw zone -> staging, over every row of the derived telemetry."""
     root = land_and_ingest(spark, sf_dir)
@@ -260,6 +308,11 @@ QUERIES: dict[str, Query] = {
     "afr_reconciliation": _wh(afr_reconciliation),
     "ingest_roundtrip": ingest_roundtrip,
     "schema_drift_report": schema_drift_report,
+    "raw_zone_rerun": raw_zone_rerun,
+    "ingest_run_log": ingest_run_log,
+    "schema_drift_log": schema_drift_log,
+    "incremental_refresh": incremental_refresh,
+    "gold_export": gold_export,
     "data_checks": _data_checks,
     "source_freshness": _wh(
         lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF)
@@ -381,6 +434,23 @@ select quarter, prior_quarter,
   case when substr(quarter, 6, 1) in ('3', '4') and substr(prior_quarter, 6, 1) in ('1', '2')
        then 'pod_slot_num' else '' end as removed
 from lp""",
+    "raw_zone_rerun": f"""{O.with_ctes(O.RAW_CTE)}
+select serial_number, date, quarter,
+  cast(smart_5_raw as double) + if(quarter >= '{SECOND_BATCH}', 0.25, 0) as smart_5_raw
+from raw_drive_stats""",
+    "ingest_run_log": f"""{O.with_ctes(O.RAW_CTE)}
+select quarter, count(*) as csv_rows, count(*) as csv_lines, cast(0 as bigint) as corrupt_rows,
+  count(*) as parquet_rows, cast(0 as bigint) as delta, 'PASS' as result
+from raw_drive_stats group by quarter""",
+    "schema_drift_log": f"""{O.with_ctes(O.RAW_CTE)},
+sizes as (select distinct quarter, cast(if(quarter[-1] in ('3', '4'), 12, 13) as bigint) as columns from raw_drive_stats)
+select quarter, if(lag(quarter) over w is null, 'baseline', 'changed') as status, lag(quarter) over w as prior_quarter,
+  columns, lag(columns) over w as prior_columns
+from sizes window w as (order by quarter)""",
+    "incremental_refresh": O.mart_sql(TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days),
+    "gold_export": f"""{O.with_ctes(*O.WAREHOUSE, O.MODEL_DAILY_CTE)}
+select model, snapshot_date, drive_days, failures
+from md where model in (select model from dim_model where drive_type = 'data')""",
     "data_checks": O.checks_sql(
         checks.WAREHOUSE_SUITE, TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days
     ),
