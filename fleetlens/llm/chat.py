@@ -191,3 +191,40 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(CONTROLS).alias("text"),
     )
     return read_back(windows(conversations.unionByName(extra)))
+
+
+_MARKS = len(OPEN + HEADER_END + CLOSE)
+_B = Budget()
+
+SQL = f"""
+with turns as (
+    select conv_id, turn, role, coalesce(text, '') as text from conversations
+    union all select -1, unnest([0, 1]), unnest(['user', 'assistant']), '{CONTROLS}'
+), sized as (
+    select *, row_number() over (partition by conv_id order by turn) as place,
+           {_MARKS} + len(role) + len(text) + len(regexp_replace(role || text, '[^<\\[\\]\\\\]', '', 'g')) as chars
+    from turns
+), counted as (
+    select *, (chars + 3) // 4 as tokens, coalesce(sum((chars + 3) // 4) over before, 0) as ahead,
+           first(if(role = 'system', chars, 0)) over whole as system_chars
+    from sized
+    window whole as (partition by conv_id order by place rows between unbounded preceding and unbounded following),
+           before as (partition by conv_id order by place rows between unbounded preceding and 1 preceding)
+), spanned as (
+    select *, greatest(1, ({_B.window} - {_B.history} - (system_chars + 3) // 4) // 2) as span_tokens,
+           ahead // span_tokens as span, tokens > span_tokens as long
+    from counted
+), parts as (
+    select *, sum(long::int) over (partition by conv_id, span order by place) as part from spanned
+), placed as (
+    select *, max(ahead + tokens) over (partition by conv_id, span, part) as span_end,
+           max(ahead + tokens) over (partition by conv_id) as conv_end
+    from parts
+)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,
+       cast(sum(if(role = 'assistant', len(text), 0)) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by place) filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(sum(chars) + sum(if(span_end < conv_end and span_end - ahead <= {_B.history} and not (place = 1 and role = 'system'), chars, 0))
+            + any_value(system_chars) * (count(distinct [span, part]) - 1) as bigint) as formatted_chars
+from placed group by conv_id
+"""

@@ -345,3 +345,32 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One document of each group of near copies (five-word shingles, 0.8), with all its columns."""
     dropped = near_dedup(spark, docs).where("not kept").select(*KEY)
     return without_rows(docs, written(spark, dropped, "dropped"))
+
+
+SQL = """
+with recursive split as (
+    select doc_id, list_filter(
+        regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+        lambda w: w <> '') as ws
+    from documents
+), shingles as (
+    select distinct doc_id, array_to_string(ws[i : i + 2], ' ') as s
+    from (select doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 2, least(len(ws), 1)))) as i from split)
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), pairs as (
+    select a.doc_id as a, b.doc_id as b, count(*) as common
+    from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+), links as (
+    select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * common >= 85 * (x.n + y.n - common)
+), sides as (
+    select a, b from links union all select b, a from links
+), reach(doc_id, other) as (
+    select a, b from sides union select r.doc_id, s.b from reach r join sides s on s.a = r.other
+), least_of as (
+    select doc_id, min(other) as other from reach group by doc_id
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(other, d.doc_id)) as component_id,
+       d.doc_id = component_id as kept
+from documents d left join sizes using (doc_id) left join least_of using (doc_id)
+"""

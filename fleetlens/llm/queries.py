@@ -39,6 +39,10 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_substring_dedup": substring_dedup.SQL,
+    "op2_chat": chat.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
+    "op6_near_dedup": near_dedup.SQL,
+    "op7_suffix_dedup": suffix_dedup.SQL,
     "op8_topk": topk.SQL,
 }

@@ -299,3 +299,27 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW)
 
 def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = f"""
+with split as (
+    select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as ws
+    from documents
+), windows as (
+    select doc_id, i, array_to_string(ws[i : i + {WINDOW - 1}], ' ') as w
+    from (select doc_id, ws, unnest(generate_series(1, len(ws) - {WINDOW - 1})) as i from split)
+), firsts as (
+    select w, min(doc_id) as first_id from windows group by w
+), gone as (
+    select distinct doc_id, unnest(generate_series(i, i + {WINDOW - 1})) as j
+    from windows join firsts using (w) where first_id < doc_id
+), words as (
+    select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as j from split
+), kept as (
+    select doc_id, string_agg(word, ' ' order by j) as text from words anti join gone using (doc_id, j) group by doc_id
+), lost as (
+    select doc_id, count(*) as n from gone group by doc_id
+)
+select doc_id, len(ws) as n_words, coalesce(n, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from split left join lost using (doc_id) left join kept using (doc_id)
+"""

@@ -327,3 +327,29 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, length: int = 200) -> Data
     hit, others = split_maybe(plain.select("*", *row_key()), cuts)
     new = [F.coalesce("kept_text", "text").alias("text") if c == "text" else F.col(c) for c in plain.columns]
     return others.select(*plain.columns).unionByName(hit.join(cuts, KEY, "left").select(*new)).toDF(*docs.columns)
+
+
+SQL = """
+with bytes as (
+    select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents
+), windows as (
+    select doc_id, i, md5(substr(h, 2 * i + 1, 800)) as w from (select *, unnest(generate_series(0, n - 400)) as i from bytes)
+), again as (
+    select doc_id, i from (select doc_id, i, count(*) over (partition by w) as c from windows) where c > 1
+), marked as (
+    select doc_id, i, coalesce(i - lag(i) over (partition by doc_id order by i) > 400, true) as opens from again
+), numbered as (
+    select doc_id, i, sum(opens::int) over (partition by doc_id order by i) as k from marked
+), runs as (
+    select doc_id, k, min(i) as a, max(i) + 400 as b from numbered group by all
+), gaps as (
+    select doc_id, a, b, lag(b, 1, 0) over (partition by doc_id order by a) as before from runs
+), cut as (
+    select doc_id, sum(b - a) as n_removed, count(*) as n_spans,
+           string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) || substr(any_value(h), 2 * max(b) + 1) as kept
+    from gaps join bytes using (doc_id) group by doc_id
+)
+select doc_id, n as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(kept, h))) as kept_sha256
+from bytes left join cut using (doc_id)
+"""
