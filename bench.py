@@ -14,7 +14,8 @@ build with its tests), and the analytics marts, each reading the written tables.
 
 A warm-up build on sf0.001 runs first in the same session (JVM start, class
 loading, code generation) and is reported separately as ``warmup_sec``; the
-headline ``value`` is the timed run on ``$BENCH_SF_DIR`` only.
+headline ``value`` is the timed run on ``$BENCH_SF_DIR`` only. The same steps also run on
+sf0.01 (``small``), and ``marginal_rows_per_sec`` is the slope between both sizes.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from fleetlens.plans.incremental import refresh_quarters  # noqa: E402
 from fleetlens.plans.warehouse import BuildResult, WarehouseBuild, read_raw, write_table  # noqa: E402
 from fleetlens.session import local_session  # noqa: E402
 from fleetlens.sources.ingest import ingest_landing  # noqa: E402
-from fleetlens.sources.telemetry import raw_drive_stats  # noqa: E402
+from fleetlens.sources.telemetry import RAW_COLUMNS, raw_drive_stats  # noqa: E402
 
 
 # Drive-keyed tables bucketed by serial (0 = plain Parquet); default 2 x cpus.
@@ -49,6 +50,9 @@ def land_csv(spark, sf_dir: str, out: str) -> str:
     return landing
 
 
+SMALL_DIR = "/root/testdata/sf0.01"  # the second size, for the marginal rates
+
+
 COUNTS: dict[str, int] = {}  # non-time facts of the timed run (reported outside "queries")
 TIMES: dict[str, float] = {}  # seconds per step of the timed run
 
@@ -96,6 +100,12 @@ def main() -> None:
     run_all(spark, land_csv(spark, "/root/testdata/sf0.001", f"{out}/warmup"), f"{out}/warmup", {})
     warmup = time.perf_counter() - t0
 
+    small: dict[str, float] = {}
+    small_rows = 0
+    if os.path.isdir(SMALL_DIR) and os.path.realpath(SMALL_DIR) != os.path.realpath(sf_dir):
+        built = run_all(spark, land_csv(spark, SMALL_DIR, f"{out}/small"), f"{out}/small", small)
+        small_rows = built.read(spark, "fct_drive_daily").count()
+
     t0 = time.perf_counter()
     landing = land_csv(spark, sf_dir, f"{out}/run")
     prep = time.perf_counter() - t0
@@ -117,7 +127,12 @@ def main() -> None:
     inc_one = time.perf_counter() - t0
 
     rows = result.read(spark, "fct_drive_daily").count()
+    log = spark.read.parquet(f"{out}/run/meta/ingest_log").groupBy().sum("gb_in", "gb_out").first()
     spark.stop()
+    # rows per second that a step takes on beyond the smaller size (null where the difference is noise)
+    marginal = {
+        k: round((rows - small_rows) / (v - small[k]), 1) if small and v - small[k] > 0.2 else None for k, v in times.items()
+    }
     print(
         json.dumps(
             {
@@ -129,6 +144,11 @@ def main() -> None:
                 "drive_days": rows,
                 "drive_days_per_sec": round(rows / total, 1) if total else None,
                 "csv_ingest_rows_per_sec": round(rows / times["csv_ingest"], 1),
+                "csv_ingest_cells_per_sec": round(rows * len(RAW_COLUMNS) / times["csv_ingest"], 1),
+                "csv_gb_in": round(log[0], 4),
+                "parquet_gb_out": round(log[1], 4),
+                "small": {"drive_days": small_rows, "queries": {k: round(v, 3) for k, v in small.items()}},
+                "marginal_rows_per_sec": marginal,
                 "cpus": int(cpus),
                 "warmup_sec": round(warmup, 3),
                 "landing_prep_sec": round(prep, 3),
