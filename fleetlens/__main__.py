@@ -3,6 +3,7 @@
     ingest  --quarter 2026Q1 --csv DIR --raw RAW --meta META   one quarter (exit 2 if it does not reconcile)
     ingest  --landing DIR --raw RAW --meta META                every quarter=YYYYQn folder, one batch
     build   --raw RAW --out WAREHOUSE [--buckets N] [--min-drive-count 100 --min-drive-days 10000]
+    refresh --raw RAW --out WAREHOUSE --quarters Q [Q ...]     load some quarters, rebuild what depends on all
     check   --raw RAW --out WAREHOUSE                          data tests; exit 1 if an error-level check fails
 
 Uses the active SparkSession (or creates one from spark-submit's configuration).
@@ -18,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from fleetlens.config import AfrThresholds
 from fleetlens.operators import checks
+from fleetlens.plans.incremental import refresh_quarters
 from fleetlens.plans.warehouse import BuildResult, WarehouseBuild, read_raw
 from fleetlens.sources import ingest
 
@@ -53,6 +55,12 @@ def cmd_build(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def cmd_refresh(spark: SparkSession, a: argparse.Namespace) -> int:
+    thr = AfrThresholds(a.min_drive_count, a.min_drive_days)
+    print(json.dumps({"tables": refresh_quarters(spark, a.raw, a.out, a.quarters, thr)}))
+    return 0
+
+
 def cmd_check(spark: SparkSession, a: argparse.Namespace) -> int:
     res = BuildResult(a.out.rstrip("/"), {t: f"{a.out.rstrip('/')}/{t}" for t in TABLES})
     tables = {t: res.read(spark, t) for t in TABLES}
@@ -75,11 +83,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     i.add_argument("--raw", required=True)
     i.add_argument("--meta", required=True)
     b = sub.add_parser("build")
-    b.add_argument("--raw", required=True)
-    b.add_argument("--out", required=True)
     b.add_argument("--buckets", type=int, default=None)
-    b.add_argument("--min-drive-count", type=int, default=100)
-    b.add_argument("--min-drive-days", type=int, default=10_000)
+    f = sub.add_parser("refresh")
+    f.add_argument("--quarters", nargs="+", required=True)
+    for v in (b, f):
+        v.add_argument("--raw", required=True)
+        v.add_argument("--out", required=True)
+        v.add_argument("--min-drive-count", type=int, default=100)
+        v.add_argument("--min-drive-days", type=int, default=10_000)
     c = sub.add_parser("check")
     c.add_argument("--raw", required=True)
     c.add_argument("--out", required=True)
@@ -89,7 +100,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.cmd == "ingest" and a.quarter and not ingest.is_quarter(a.quarter):
         p.error(f"--quarter must look like 2026Q1, got {a.quarter!r}")
     spark = spark or _session()
-    return {"ingest": cmd_ingest, "build": cmd_build, "check": cmd_check}[a.cmd](spark, a)
+    return {"ingest": cmd_ingest, "build": cmd_build, "refresh": cmd_refresh, "check": cmd_check}[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

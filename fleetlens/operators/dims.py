@@ -35,13 +35,14 @@ def drive_model_partials(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -
     )
 
 
-def drive_quarter_partials(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+def drive_quarter_partials(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, by: tuple[str, ...] = ()) -> DataFrame:
     """One row per (serial_number, normalized model, calendar quarter of the date): what every
     drive, model, quarter and day-count measure merges from, in one pass over the staged rows.
 
     As ``drive_model_partials``, and with the failures of the quarter and its observed days as
     bits (day 0-63 in ``days_low``, the rest in ``days_high``), so that distinct drives per day
-    need no shuffle at drive-day grain. All buffers are fixed-width.
+    need no shuffle at drive-day grain. All buffers are fixed-width. ``by``: further grouping
+    columns (the partition of an incremental load).
     """
     d = F.col(cols.date)
     day = F.datediff(d, F.trunc(d, "quarter"))
@@ -49,6 +50,7 @@ def drive_quarter_partials(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS)
         F.col(cols.entity).alias("serial_number"),
         normalize_model(cols.model).alias("model"),
         quarter_label(d).alias("quarter_label"),
+        *by,
     ).agg(
         F.min(d).alias("first_seen"),
         F.max(d).alias("last_seen"),

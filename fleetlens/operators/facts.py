@@ -25,14 +25,16 @@ def fct_drive_daily(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, keep:
     )
 
 
-def fct_failures(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
+def fct_failures(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per failure event (failure_flag = 1), SMART values as of that day.
 
-    The predicate is pushed into the Parquet scan when ``stg`` reads Parquet.
+    The predicate is pushed into the Parquet scan when ``stg`` reads Parquet. ``keep`` as in
+    ``fct_drive_daily``.
     """
     return stg.where(F.col(cols.failure) == 1).select(
         surrogate_key(cols.entity, cols.date).alias("failure_event_key"),
         F.col(cols.entity).alias("serial_number"),
         F.col(cols.date).alias("failure_date"),
         *SMART_COLUMNS,
+        *keep,
     )

@@ -2,93 +2,50 @@
 
 A date high-water mark would skip a backfilled older quarter, so refreshes are
 keyed on partitions: only the touched quarters of the raw zone are read
-(partition pruning), and only their partitions of three per-quarter tables are
+(partition pruning), and only their partitions of two per-quarter tables are
 replaced (dynamic partition overwrite):
 
-* ``fct_drive_daily``                   the fact itself (drive-day rows),
-* ``int_drive_model_quarter_partials``  per (serial, model, quarter) span/capacity/slot partials,
-* ``int_drive_quarter_counts``          per (serial, calendar quarter, partition) days and failures.
+* ``fct_drive_daily``             the fact itself (drive-day rows),
+* ``int_drive_quarter_partials``  per (serial, model, calendar quarter, partition) partials.
 
-Spans, dimensions and the AFR mart depend on ALL quarters (first_seen, status,
-drive_type, capacity), so they are rebuilt, but from the drive-sized partials:
-min, max, sum and max-of-encoded merge exactly, so a rebuild never rescans the
-fact or the raw zone.
+``fct_failures`` is small and a reloaded quarter may have no failure left, which a partition
+overwrite would not notice: it is written as the other quarters' events and the new ones.
+
+Spans, dimensions and the AFR mart depend on all quarters (first_seen, status,
+drive_type, capacity), so they are rebuilt, but from the drive-sized partials, which merge
+exactly: a rebuild never rescans the fact or the raw zone. The merged partials are written
+once (``int_drive_model_partials``) and every table reads them. A quarter that is gone from
+the raw zone is not a refresh: its partitions stay until they are dropped.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.config import DEFAULT_COLUMNS, AfrThresholds, PUBLISHED_THRESHOLDS, FleetColumns
-from fleetlens.functions.columns import non_sentinel, normalize_model, quarter_label
+from fleetlens.config import AfrThresholds, PUBLISHED_THRESHOLDS
 from fleetlens.operators import afr, contract, dims, facts
-from fleetlens.operators.spans import encode_day_flag
 from fleetlens.plans.warehouse import write_table
+from fleetlens.session import checkpoint_dir
 from fleetlens.sources.ingest import read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
 
 PARTITION = "quarter"
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
 
-def quarter_partials(stg: DataFrame, cols: FleetColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """Per (serial, normalized model, partition quarter) partials (same measures as the full build)."""
-    d = F.col(cols.date)
-    return stg.groupBy(
-        F.col(cols.entity).alias("serial_number"),
-        normalize_model(cols.model).alias("model"),
-        F.col(cols.partition).alias(PARTITION),
-    ).agg(
-        F.min(d).alias("first_seen"),
-        F.max(d).alias("last_seen"),
-        F.count(F.lit(1)).alias("rows"),
-        F.max(encode_day_flag(d, F.col(cols.failure))).alias("last_day_code"),
-        F.count(cols.slot).alias("slot_rows"),
-        F.max(non_sentinel(F.col(cols.capacity), F.col(cols.sentinel))).alias("capacity_bytes"),
-    )
-
-
-def merge_quarter_partials(qp: DataFrame) -> DataFrame:
-    """Collapse per-quarter partials to (serial, model) partials (one more algebraic merge)."""
-    return qp.groupBy("serial_number", "model").agg(
-        F.min("first_seen").alias("first_seen"),
-        F.max("last_seen").alias("last_seen"),
-        F.sum("rows").alias("rows"),
-        F.max("last_day_code").alias("last_day_code"),
-        F.sum("slot_rows").alias("slot_rows"),
-        F.max("capacity_bytes").alias("capacity_bytes"),
-    )
-
-
-def quarter_counts(fct: DataFrame) -> DataFrame:
-    """(serial_number, quarter_label, quarter, drive_days, failures) from fact rows with a serial and a date."""
-    return (
-        fct.where(F.col("serial_number").isNotNull() & F.col("snapshot_date").isNotNull())
-        .groupBy("serial_number", quarter_label("snapshot_date").alias("quarter_label"), PARTITION)
-        .agg(
-            F.count(F.lit(1)).alias("drive_days"),
-            F.count(F.when(F.col("failure_flag") == 1, F.lit(1))).alias("failures"),
-        )
-    )
-
-
-def mart_from_counts(
-    counts: DataFrame, dim_drive: DataFrame, dim_model: DataFrame, thresholds: AfrThresholds | None
-) -> DataFrame:
-    """The AFR mart from per-(serial, quarter) counts: same columns and rules as ``afr.afr_quarterly``."""
-    per_drive = counts.groupBy("serial_number", "quarter_label").agg(
-        F.sum("drive_days").alias("drive_days"), F.sum("failures").alias("failures")
-    )
-    mq = (
-        per_drive.join(dim_drive.select("serial_number", "model"), "serial_number")
-        .groupBy("model", "quarter_label")
-        .agg(
-            F.count(F.lit(1)).alias("drive_count"),
-            F.sum("drive_days").alias("drive_days"),
-            F.sum("failures").alias("failures"),
-        )
-    )
-    return afr.afr_from_counts(mq, dim_model, thresholds)
+TABLES = (
+    "fct_drive_daily", "fct_failures", "int_drive_quarter_partials", "int_drive_model_partials",
+    "int_drive_spans", "dim_drive", "dim_model", "dim_date", "mart_model_afr_quarterly",
+)
 
 
 def refresh_quarters(
@@ -106,33 +63,31 @@ def refresh_quarters(
     """
     root = root.rstrip("/")
     seed = seed if seed is not None else manufacturer_seed(spark)
-    stg = contract.stage_contract(read_raw_zone(spark, raw_root, quarters))
-    paths = {n: f"{root}/{n}" for n in (
-        "fct_drive_daily", "int_drive_model_quarter_partials", "int_drive_quarter_counts",
-        "int_drive_spans", "dim_drive", "dim_model", "dim_date", "mart_model_afr_quarterly",
-    )}
+    paths = {name: f"{root}/{name}" for name in TABLES}
 
-    def dyn(df: DataFrame, name: str) -> None:
+    def replace(df: DataFrame, name: str) -> None:
         write_table(df, paths[name], partition_by=PARTITION, dynamic=True)
 
-    fct_new = facts.fct_drive_daily(stg, keep=(PARTITION,))
-    dyn(fct_new, "fct_drive_daily")
-    dyn(quarter_partials(stg), "int_drive_model_quarter_partials")
-    dyn(quarter_counts(spark.read.parquet(paths["fct_drive_daily"]).where(F.col(PARTITION).isin(quarters))),
-        "int_drive_quarter_counts")
-
-    partials = merge_quarter_partials(spark.read.parquet(paths["int_drive_model_quarter_partials"]))
-    write_table(dims.spans_from_partials(partials), paths["int_drive_spans"])
-    write_table(dims.dim_drive_from_partials(partials), paths["dim_drive"])
-    write_table(dims.dim_model_from_partials(partials, seed), paths["dim_model"])
-    bounds = partials.agg(F.min("first_seen").alias("min_date"), F.max("last_seen").alias("max_date"))
-    spine = bounds.select(F.explode(F.sequence("min_date", "max_date", F.expr("interval 1 day"))).alias("date_day"))
-    write_table(spine.select(*dims.calendar_columns(F.col("date_day"))), paths["dim_date"])
-    mart = mart_from_counts(
-        spark.read.parquet(paths["int_drive_quarter_counts"]),
-        spark.read.parquet(paths["dim_drive"]),
-        spark.read.parquet(paths["dim_model"]),
-        thresholds,
-    )
-    write_table(mart, paths["mart_model_afr_quarterly"])
+    def rebuilt(df: DataFrame, name: str) -> DataFrame:
+        write_table(df, paths[name])
+        return spark.read.parquet(paths[name])
+
+    stg = contract.stage_contract(read_raw_zone(spark, raw_root, quarters))
+    replace(facts.fct_drive_daily(stg, keep=(PARTITION,)), "fct_drive_daily")
+    events = facts.fct_failures(stg, keep=(PARTITION,))
+    old = _stored(spark, paths["fct_failures"])
+    if old is not None:
+        events = old.where(~F.col(PARTITION).isin(quarters)).unionByName(events)
+    checkpoint_dir(spark)
+    rebuilt(events.checkpoint(), "fct_failures")
+    replace(dims.drive_quarter_partials(stg, by=(PARTITION,)), "int_drive_quarter_partials")
+
+    by_quarter = spark.read.parquet(paths["int_drive_quarter_partials"])
+    partials = rebuilt(dims.merge_quarters(by_quarter), "int_drive_model_partials")
+    rebuilt(dims.spans_from_partials(partials), "int_drive_spans")
+    rebuilt(dims.dim_date_from_partials(partials), "dim_date")
+    drives = rebuilt(dims.dim_drive_from_partials(partials), "dim_drive")
+    models = rebuilt(dims.dim_model_from_partials(partials, seed), "dim_model")
+    counts = afr.model_quarter_counts_from_partials(by_quarter, drives)
+    rebuilt(afr.afr_from_counts(counts, models, thresholds), "mart_model_afr_quarterly")
     return paths

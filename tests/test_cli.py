@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 from fleetlens.__main__ import main
@@ -21,6 +23,11 @@ def test_ingest_build_check(spark, scratch, capsys):
     assert "71 checks" in out
     # the warehouse built from the derived telemetry passes every error-level check
     assert code == 0 and "0 failed" in out
+    # a refreshed warehouse has every table the checks read
+    quarters = sorted(q.removeprefix("quarter=") for q in os.listdir(f"{scratch}/raw") if q.startswith("quarter="))
+    args = ["--raw", f"{scratch}/raw", "--out", f"{scratch}/inc"]
+    assert main(["refresh", *args, "--min-drive-count", "1", "--min-drive-days", "2", "--quarters", *quarters], spark) == 0
+    assert main(["check", *args], spark) == 0
 
 
 def test_ingest_rejects_bad_quarter(spark):
