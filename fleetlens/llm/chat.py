@@ -41,17 +41,20 @@ def unescape(c: Column) -> Column:
 
 
 def _turns(conversations: DataFrame) -> DataFrame:
-    """One row per turn: conv_id, order columns, chunk, escaped piece with its length, loss place, tokens."""
-    role = escape(F.coalesce(F.col("role"), F.lit("")))
-    text = escape(F.coalesce(F.col("text"), F.lit("")))
+    """One row per turn: conv_id, turn, role, key of the row (k1, k2), its formatted piece with its
+    length, the place of its text in it, tokens, and the chunk of turn numbers."""
+    plain_role, plain_text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
+    role, text = escape(plain_role), escape(plain_text)
     head = F.concat(F.lit(OPEN), role, F.lit(HEADER_END))
+    key = [F.col("conv_id").isNull(), F.col("conv_id"), F.col("turn").isNull(), F.col("turn"), plain_role, plain_text]
     rows = conversations.select(
         "conv_id",
         "turn",
-        F.coalesce(F.col("role"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text"), F.lit("")).alias("own_text"),
+        plain_role.alias("role"),
+        F.xxhash64(*key).alias("k1"),
+        F.xxhash64(F.lit(1), *key).alias("k2"),
         F.length(head).alias("head"),
-        F.length(text).alias("body"),
+        F.length(text).cast("long").alias("body"),
         F.concat(head, text, F.lit(CLOSE)).alias("piece"),
     )
     return rows.select(
@@ -65,68 +68,75 @@ def _turns(conversations: DataFrame) -> DataFrame:
 def windows(conversations: DataFrame, budget: Budget = Budget()) -> DataFrame:
     """conv_id, window (from 0), text, turns, repeats (leading turns that repeat), loss (start, length).
 
-    Turns go by turn number (null first), then role and text, so ties and repeated rows have one
-    order; null roles and texts are empty; rows of a null conv_id are one conversation. A window
+    Turns go by turn number (null first), then role, then a hash of the text, so ties have one
+    order, and repeated rows are turns of their own; null roles and texts are empty; rows of a
+    null conv_id are one conversation. Windows are planned on lengths alone; a text moves when
+    its turns' windows are known, and again into its window. A window
     holds at most ``budget.window`` tokens unless its system turn or one turn is longer than half of what
     the budget leaves: such a turn has a window of its own, uncut. The system turn is the
     conversation's first one if its role is ``system``. Other columns are ignored.
     """
-    rows = _turns(conversations)
-    in_chunk = Window.partitionBy("conv_id", "chunk").orderBy("turn", "role", "own_text")
+    turns = _turns(conversations)
+    texts = turns.groupBy("k1", "k2").agg(F.first("piece").alias("piece"))  # repeated rows have one piece
+    rows = turns.drop("piece")
+    in_chunk = Window.partitionBy("conv_id", "chunk").orderBy("turn", "role", "k1", "k2")
     chunks = Window.partitionBy("conv_id").orderBy("chunk")
-    before = -1
+    ahead = Window.unboundedPreceding, -1
+    first = F.min(F.struct("turn", "role", "k1", "k2", "chars", "tokens")).alias("first")
+    is_system = F.col("lead.role") == "system"
     sums = (
         rows.groupBy("conv_id", "chunk")
-        .agg(F.sum("tokens").alias("c_tokens"), F.count("*").alias("c_turns"),
-             F.min(F.struct("turn", "role", "own_text", "piece", "tokens")).alias("first"))
-        .withColumn("tokens_ahead", F.coalesce(F.sum("c_tokens").over(chunks.rowsBetween(Window.unboundedPreceding, before)), F.lit(0)))
-        .withColumn("turns_ahead", F.coalesce(F.sum("c_turns").over(chunks.rowsBetween(Window.unboundedPreceding, before)), F.lit(0)))
+        .agg(F.sum("tokens").alias("c_tokens"), F.count("*").alias("c_turns"), first)
+        .withColumn("tokens_ahead", F.coalesce(F.sum("c_tokens").over(chunks.rowsBetween(*ahead)), F.lit(0)))
+        .withColumn("turns_ahead", F.coalesce(F.sum("c_turns").over(chunks.rowsBetween(*ahead)), F.lit(0)))
         .withColumn("lead", F.first("first").over(chunks))
         .select(
             F.col("conv_id").alias("s_conv"), F.col("chunk").alias("s_chunk"), "tokens_ahead", "turns_ahead",
-            F.when(F.col("lead.role") == "system", F.col("lead.piece")).alias("system"),
-            F.when(F.col("lead.role") == "system", F.col("lead.tokens")).otherwise(0).alias("system_tokens"),
+            F.when(is_system, F.col("lead")).alias("system"),
         )
     )
+    room = F.lit(budget.window - budget.history) - F.coalesce("system.tokens", F.lit(0))
     placed = (
-        rows.withColumn("own_ahead", F.coalesce(F.sum("tokens").over(in_chunk.rowsBetween(Window.unboundedPreceding, before)), F.lit(0)))
+        rows.withColumn("own_ahead", F.coalesce(F.sum("tokens").over(in_chunk.rowsBetween(*ahead)), F.lit(0)))
         .withColumn("own_place", F.row_number().over(in_chunk) - 1)
         .join(sums, F.col("conv_id").eqNullSafe(F.col("s_conv")) & (F.col("chunk") == F.col("s_chunk")))
         .withColumn("ahead", F.col("own_ahead") + F.col("tokens_ahead"))
         .withColumn("place", F.col("own_place") + F.col("turns_ahead"))
-        .withColumn("span_tokens", F.greatest(F.lit(1), F.expr(f"({budget.window} - {budget.history} - system_tokens) div 2")))
+        .withColumn("span_tokens", F.greatest(F.lit(1), F.floor(room / 2)))
         .withColumn("span", F.expr("ahead div span_tokens"))
         .withColumn("long", F.expr("tokens > span_tokens"))
-        .select("conv_id", "place", "role", "piece", "chars", "head", "body", "tokens", "ahead", "span", "long", "system")
+        .drop("own_ahead", "own_place", "s_conv", "s_chunk", "tokens_ahead", "turns_ahead", "turn", "chunk", "span_tokens")
     )
     # the turns of a span share a window, but for a long turn, which starts its own
     by_span = Window.partitionBy("conv_id", "span").orderBy("place")
     spans = placed.withColumn("part", F.sum(F.col("long").cast("int")).over(by_span))
     whole = Window.partitionBy("conv_id", "span", "part")
     spans = spans.withColumn("span_end", F.max(F.col("ahead") + F.col("tokens")).over(whole)).withColumn("span_first", F.min("place").over(whole))
+    by_start = Window.partitionBy("conv_id").orderBy("span_first")
     starts = (
-        spans.groupBy("conv_id", "span_first").agg(F.first("system").alias("w_system"))
-        .withColumn("window", F.row_number().over(Window.partitionBy("conv_id").orderBy("span_first")) - 1)
-        .withColumn("next_first", F.lead("span_first").over(Window.partitionBy("conv_id").orderBy("span_first")))
+        spans.groupBy("conv_id", "span_first")
+        .agg(F.first("system").alias("w_system"))
+        .withColumn("window", F.row_number().over(by_start) - 1)
+        .withColumn("next_first", F.lead("span_first").over(by_start))
         .select(F.col("conv_id").alias("w_conv"), F.col("span_first").alias("w_first"), "window", "next_first", "w_system")
     )
     joined = spans.join(starts, F.col("conv_id").eqNullSafe(F.col("w_conv")) & (F.col("span_first") == F.col("w_first")))
     near_next = F.col("next_first").isNotNull() & (F.col("span_end") - F.col("ahead") <= budget.history)
-    is_system = (F.col("place") == 0) & (F.col("role") == "system")
-    copies = F.when(near_next & ~is_system, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    leads = (F.col("place") == 0) & (F.col("role") == "system")
+    copies = F.when(near_next & ~leads, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     shown = joined.withColumn("copy", F.explode(copies)).select(
-        "conv_id", (F.col("window") + F.col("copy")).alias("window"), "place", "copy", "piece", "chars",
+        "conv_id", (F.col("window") + F.col("copy")).alias("window"), "place", "copy", "k1", "k2", "chars",
         F.when((F.col("copy") == 0) & (F.col("role") == "assistant"), F.col("head")).alias("loss_at"),
         F.col("body").alias("loss_length"),
     )
     system = starts.where("w_system is not null and window > 0").select(
         F.col("w_conv").alias("conv_id"), "window", F.lit(-1).cast("long").alias("place"), F.lit(1).alias("copy"),
-        F.col("w_system").alias("piece"), F.length("w_system").cast("long").alias("chars"),
-        F.lit(None).cast("int").alias("loss_at"), F.lit(0).alias("loss_length"),
+        "w_system.k1", "w_system.k2", "w_system.chars", F.lit(None).cast("int").alias("loss_at"),
+        F.lit(0).cast("long").alias("loss_length"),
     )
-    shown = shown.unionByName(system)
-    offset = F.sum("chars").over(Window.partitionBy("conv_id", "window").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
-    shown = shown.withColumn("loss_start", F.coalesce(offset, F.lit(0)) + F.col("loss_at"))
+    offset = F.sum("chars").over(Window.partitionBy("conv_id", "window").orderBy("place").rowsBetween(*ahead))
+    shown = shown.unionByName(system).withColumn("loss_start", F.coalesce(offset, F.lit(0)) + F.col("loss_at"))
+    shown = shown.join(texts, ["k1", "k2"])
     items = F.array_sort(F.collect_list(F.struct("place", "copy", "piece", "loss_start", "loss_length")))
     packed = shown.groupBy("conv_id", "window").agg(items.alias("items"))
     return packed.select(
@@ -137,7 +147,7 @@ def windows(conversations: DataFrame, budget: Budget = Budget()) -> DataFrame:
         F.size(F.filter("items", lambda x: x["copy"] == 1)).alias("repeats"),
         F.transform(
             F.filter("items", lambda x: x["loss_start"].isNotNull()),
-            lambda x: F.struct(x["loss_start"].alias("start"), x["loss_length"].cast("long").alias("length")),
+            lambda x: F.struct(x["loss_start"].alias("start"), x["loss_length"].alias("length")),
         ).alias("loss"),
     )
 
