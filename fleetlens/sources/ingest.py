@@ -508,14 +508,15 @@ def read_raw_zone(spark: SparkSession, raw_root: str, quarters: list[str] | None
                     columns[name] = reduce(wider, types - {"string"})
     frames = []
     for fields, qs in groups.items():
-        df = _quarters_frame(spark, root, fields, qs)
+        # one schema for all quarters: nothing to tell apart
+        df = _quarters_frame(spark, root, fields, qs if quarters or len(groups) > 1 else None)
         frames.append(df.select(*[F.col(c).cast(columns[c]).alias(c) for c, _ in fields], "quarter"))
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return out.select(*columns, "quarter")
 
 
-def _quarters_frame(spark: SparkSession, root: str, fields: tuple[tuple[str, str], ...], quarters: list[str]) -> DataFrame:
-    """Some quarters of one schema, pruned by partition."""
+def _quarters_frame(spark: SparkSession, root: str, fields: tuple[tuple[str, str], ...], quarters: list[str] | None) -> DataFrame:
+    """Some quarters of one schema, pruned by partition; None for all."""
     schema = ", ".join(f"`{c}` {t}" for c, t in (*fields, ("quarter", "string")))
     df = spark.read.schema(schema).parquet(root)
-    return df.where(F.col("quarter").isin(quarters))
+    return df.where(F.col("quarter").isin(quarters)) if quarters else df
