@@ -61,6 +61,7 @@ def _rel(table: str, col: str, to_table: str, to_col: str) -> CheckSpec:
 # The suite (the reference's generic tests per model, plus the D1 temperature bound).
 TEMPERATURE_BOUNDS = (0, 100)  # degrees Celsius; the blueprint names the test but gives no bounds
 
+# Which columns are checked for what is the contract of the tables.
 WAREHOUSE_SUITE: list[CheckSpec] = (
     _nn("stg_drive_stats", "snapshot_date", "serial_number", "model", "failure_flag")
     + [_acc("stg_drive_stats", "failure_flag", (0, 1))]
