@@ -202,15 +202,29 @@ def _meeting(members: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndar
         yield i, np.flatnonzero(ok) + i + 1
 
 
+def _earlier_bands(sigs: np.ndarray, band: int) -> np.ndarray:
+    """For each class of a band, numbers that tell its keys apart in the bands before that one."""
+    keys = _band_keys(sigs)
+    place = int(np.flatnonzero((keys == band).all(0))[0])
+    out = np.empty((len(sigs), place), np.uint16 if len(sigs) < 1 << 16 else np.uint32)
+    for c in range(place):
+        out[:, c] = np.unique(keys[:, c], return_inverse=True)[1]
+    return out
+
+
 _SUSPECT = "band long, lo int, hi int, side int, node long, component long, n_shingles long"
 
 
 def _suspects(percent: int, least: float, members: pd.DataFrame) -> pd.DataFrame:
-    """The classes of a block that by signature may be linked with one of another component."""
+    """The classes of a block that by signature may be linked with one of another component, and
+    meet it in no earlier band."""
     sigs = np.frombuffer(b"".join(members["sig"]), np.uint16).reshape(-1, HASHES)
     near = np.zeros(len(members), bool)
+    early = _earlier_bands(sigs, int(members["band"].iloc[0]))
     for i, others in _meeting(members, percent):
         if len(others):
+            # a pair that meets in an earlier band is judged there
+            others = others[~(early[others] == early[i]).any(1)]
             likely = others[(sigs[others] == sigs[i]).sum(1) >= least * HASHES]
             near[likely] = True
             near[i] |= len(likely) > 0
