@@ -19,13 +19,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the largest doc_id) of each group of equal texts, A-Z lower-cased."""
-    return exact_dedup.drop_copies(spark, docs)
+    """One document (the largest doc_id) of each group of equal texts, A-Z lower-cased; one row also
+    where several rows have that id or all ids are null."""
+    return exact_dedup.one_of_copies(spark, docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest doc_id) of each component of near copies: five-word shingles, 0.8."""
-    return near_dedup.drop_near_copies(spark, docs)
+    """One document (the smallest doc_id) of each component of near copies: five-word shingles, 0.8; one
+    row also where several rows have that id or all ids are null."""
+    return near_dedup.one_of_near_copies(spark, docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

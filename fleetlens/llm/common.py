@@ -120,6 +120,30 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return others.select(*plain.columns).unionByName(left.select(*plain.columns)).toDF(*docs.columns)
 
 
+def one_per_group(spark: SparkSession, docs: DataFrame, judged: DataFrame, apart: Column | None = None) -> DataFrame:
+    """One row of ``docs`` (all columns) for each group of ``judged`` (KEY, group, kept; one row per row of docs).
+
+    Among the kept rows of a group the smallest KEY stays, and of the rows that share it the one whose
+    columns come first as JSON. Rows without a group stay as they are; ``apart`` must be true for their rows
+    of ``docs``. No step brings a group, or the rows of one KEY, together but by aggregates with partial results.
+    """
+    keys = judged.where("group is not null").groupBy(*KEY, "group", "kept").agg(F.count("*").alias("n"))
+    keys = written(spark, keys, "group-keys")
+    stay = keys.where("kept").groupBy("group").agg(F.min(F.struct(*KEY)).alias("k")).select("k.*")
+    dropped = written(spark, keys.select(*KEY).join(stay, KEY, "left_anti"), "dropped")
+    again = written(spark, keys.where("n > 1").select(*KEY), "repeated-rows")
+    if not again.isEmpty():
+        plain = plain_names(docs)
+        maybe, others = split_maybe(plain.select("*", *row_key()), again)
+        # a row to be left apart is a group of its own
+        own = F.monotonically_increasing_id()
+        maybe = maybe.withColumn("k_apart", F.lit(0).cast("long") if apart is None else F.when(apart, own).otherwise(-1))
+        row = F.struct(*plain.columns)
+        one = maybe.groupBy(*KEY, "k_apart").agg(F.min_by(row, F.to_json(row)).alias("k_row")).select("k_row.*")
+        docs = others.select(*plain.columns).unionByName(one).toDF(*docs.columns)
+    return without_rows(docs, dropped)
+
+
 def text_slices(column: pa.Array | pa.ChunkedArray, max_bytes: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, rows, bytes, row offsets) of consecutive row ranges of a string column.
 

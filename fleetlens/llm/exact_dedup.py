@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import fuse
-from fleetlens.llm.common import KEY, LOWER, UPPER, rows_of, split_maybe, with_key, without_rows, written
+from fleetlens.llm.common import KEY, LOWER, UPPER, one_per_group, rows_of, split_maybe, with_key, without_rows, written
 
 #: Digests that one filter holds on average.
 FILTER_KEYS = 1 << 15
@@ -116,7 +116,7 @@ def _clashing(spark: SparkSession, docs: DataFrame, rows: DataFrame, groups: Dat
 def exact_dedup(
     spark: SparkSession, batches: Sequence[DataFrame], digest: Callable[[Column], Column] = lambda c: F.sha2(c, 256)
 ) -> DataFrame:
-    """One row per input row of all batches: doc_id, KEY, digest, keep_id, group_size, kept.
+    """One row per input row of all batches: doc_id, KEY, digest, keep_id, group_size, kept, group (its name).
 
     The first batch becomes a snapshot, against which later batches are screened, and so on;
     an only batch is grouped by itself. Of equal texts (null as empty) the row with the largest
@@ -136,12 +136,12 @@ def exact_dedup(
     docs = batches[0].select("doc_id", "text")
     for more in batches[1:]:
         docs = docs.unionByName(more.select("doc_id", "text"))
-    out = rows.join(groups.withColumnRenamed("rows_n", "group_size"), "digest")
+    out = rows.join(groups.withColumnRenamed("rows_n", "group_size"), "digest").withColumn("group", F.col("digest"))
     clash = written(spark, _clashing(spark, docs, rows, groups, made), "clashes").distinct()
     if not clash.isEmpty():
         texts = with_key(docs).withColumn("digest", made).join(clash, "digest").withColumn("own_text", normalized())
         exact = texts.groupBy("digest", "own_text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        again = texts.join(exact, ["digest", "own_text"])
+        again = texts.join(exact, ["digest", "own_text"]).withColumn("group", F.concat_ws(":", "digest", "own_text"))
         out = out.join(clash, "digest", "left_anti").unionByName(again.select(*out.columns))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 
@@ -165,6 +165,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return without_rows(docs, written(spark, dropped, "dropped"))
 
 
+def one_of_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One document of each group of equal texts, with all its columns, repeated and null ids included."""
+    return one_per_group(spark, docs, exact_dedup(spark, halves(docs)))
+
+
 SQL = f"""
 with d as (select doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as t from documents)
 select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import KEY, mix64, ngrams_of, row_key, rows_of, text_slices, without_rows, with_key, words_of, written
+from fleetlens.llm.common import KEY, mix64, ngrams_of, one_per_group, row_key, rows_of, text_slices, without_rows, with_key, words_of, written
 from fleetlens.llm.components import connected_components
 
 #: 28 bands of 5 minima: a pair at similarity 0.85 misses all bands with probability 7e-8.
@@ -273,7 +273,8 @@ def _links(percent: int, members: pd.DataFrame) -> pd.DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: doc_id, KEY, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, KEY, n_shingles, component_id, kept, group (the component's
+    own name, null for a row that is linked with nothing for want of words).
 
     Texts are lower-cased (A-Z), words are split at ASCII white space. Two rows are linked when
     100 * intersection >= percent * union of their shingle sets. component_id is the smallest
@@ -343,9 +344,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, words: int = 5, percent: in
     )
     least_of = written(spark, least_of, "placed")
     names = written(spark, least_of.groupBy("component").agg(F.min("least_id").alias("component_id")), "names")
-    named = written(spark, least_of.join(names, "component").select("node", "component_id"), "named")
+    named = written(spark, least_of.join(names, "component").select("node", "component_id", F.col("component").alias("group")), "named")
     out = some.drop("sig").join(named, "node").drop("node").unionByName(
-        rows.where("node is null").drop("sig", "node").withColumn("component_id", F.col("doc_id"))
+        rows.where("node is null")
+        .drop("sig", "node")
+        .withColumn("component_id", F.col("doc_id"))
+        .withColumn("group", F.lit(None).cast("long"))
     )
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -361,6 +365,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return without_rows(docs, written(spark, dropped, "dropped"))
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """As drop_near_copies, but one row of each group also where ids repeat or are null."""
+    wordless = ~F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    return one_per_group(spark, docs, near_dedup(spark, docs), apart=wordless)
+
+
 SQL = """
 with recursive split as (
     select doc_id, list_filter(
