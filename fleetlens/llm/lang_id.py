@@ -1,29 +1,33 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams (operator 9).
 
 Training counts the n-grams of every labelled text in one pass: each task adds up its own
-(language, bucket) counts, Spark sums them. The matrix of log probabilities (languages x
-BUCKETS, at most MAX_LANGUAGES rows) is broadcast, and texts are scored in numpy batches as
-sums of matrix rows over the n-grams they hold.
+(language, bucket) counts, Spark sums them into a written table. The matrices of log
+probabilities (BUCKETS x languages) are broadcast in blocks of at most BLOCK_LANGUAGES
+languages, and texts are scored in numpy batches as sums of matrix rows over the n-grams they
+hold; the best language and the sum of all scores are carried from block to block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from fleetlens.llm.common import plain_names, prepare, text_slices
+from fleetlens.llm.common import plain_names, prepare, text_slices, written
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-#: The broadcast model holds at most so many languages (the most frequent labels): 64 x 2**15 floats, 8 MB.
-MAX_LANGUAGES = 64
+#: A broadcast block holds at most so many languages: 64 x 2**15 floats, 8 MB; a pass over the texts
+#: scores so many blocks.
+BLOCK_LANGUAGES, PASS_BLOCKS = 64, 8
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -51,12 +55,33 @@ def grams(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 @dataclass
-class Model:
+class Block:
+    """Up to BLOCK_LANGUAGES languages, in the order of the model."""
+
     languages: list[str]
     log_prob: np.ndarray  # BUCKETS x languages
     log_prior: np.ndarray
 
 
+@dataclass
+class Model:
+    languages: list[str]  # the most frequent first, ties by name
+    log_prior: np.ndarray
+    counts: DataFrame | None = None  # written: lang, bucket, n
+    smoothing: float = 0.5
+
+    def block(self, first: int) -> Block:
+        """The languages from place ``first`` on, with their matrix."""
+        languages = self.languages[first : first + BLOCK_LANGUAGES]
+        # at most BLOCK_LANGUAGES * BUCKETS rows
+        own = self.counts.where(F.col("lang").isin(languages)).toArrow()
+        places = pc.index_in(own.column("lang").combine_chunks(), pa.array(languages, pa.string())).to_numpy()
+        counts = np.zeros((BUCKETS, len(languages)))
+        counts[own.column("bucket").to_numpy(), places] = own.column("n").to_numpy()
+        log_prob = np.log(counts + self.smoothing) - np.log(counts.sum(0) + self.smoothing * BUCKETS)
+        return Block(languages, log_prob.astype(np.float32), self.log_prior[first : first + BLOCK_LANGUAGES])
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
 
@@ -75,13 +100,21 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             points, at = _code_points(data, offsets)
             names, code = np.unique(langs[first : first + rows].astype(str), return_inverse=True)
             code = np.repeat(code, np.diff(at))
+            if len(names) > BLOCK_LANGUAGES:  # short texts of many languages
+                own = [(code[: len(bucket)] * BUCKETS + bucket)[inside] for bucket, inside in grams(points, at)]
+                cells, n = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[cells // BUCKETS], pa.string()), pa.array((cells % BUCKETS).astype(np.int32)), pa.array(n)],
+                    ["lang", "bucket", "n"],
+                )
+                continue
             total = np.zeros(len(names) * BUCKETS, np.int64)
             for bucket, inside in grams(points, at):
                 total += np.bincount((code[: len(bucket)] * BUCKETS + bucket)[inside], minlength=len(total))
             for i, name in enumerate(names):
                 own = total[i * BUCKETS : (i + 1) * BUCKETS]
                 counts[name] = counts[name] + own if name in counts else own
-            if len(counts) > MAX_LANGUAGES:
+            if len(counts) > BLOCK_LANGUAGES:
                 yield from flush()
     yield from flush()
 
@@ -89,51 +122,46 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, smoothing: float = 0.5) -> Model:
     """The model of all rows of ``labelled`` (text, lang) with both present; every text counts whole.
 
-    Labels beyond the MAX_LANGUAGES most frequent (ties by name) are not learned. Without any
-    labelled row the model has no language.
+    Every label is learned, however many there are: the counts stay a written table, of which the
+    driver reads one block of languages at a time (it holds all labels, but no other per-label
+    data). Without any labelled row the model has no language.
     """
-    prepare(labelled.sparkSession)
+    spark = labelled.sparkSession
+    prepare(spark)
     rows = labelled.select("text", "lang").where("text is not null and lang is not null")
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = [r["lang"] for r in top]
-    if not languages:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+    labels = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
+    if not labels:
+        return Model([], np.zeros(0))
     counted = (
-        rows.where(F.col("lang").isin(languages))
-        .mapInArrow(_counted, "lang string, bucket int, n long")
+        rows.mapInArrow(_counted, "lang string, bucket int, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
-        .toPandas()  # at most MAX_LANGUAGES * BUCKETS rows
     )
-    counts = np.zeros((BUCKETS, len(languages)))
-    counts[counted["bucket"], counted["lang"].map({x: i for i, x in enumerate(languages)})] = counted["n"]
-    log_prob = np.log(counts + smoothing) - np.log(counts.sum(0) + smoothing * BUCKETS)
-    docs = np.array([r["count"] for r in top], float)
-    return Model(languages, log_prob.astype(np.float32), np.log(docs / docs.sum()))
-
-
-def score_batch(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray]:
-    """Language and posterior probability of every text of a string column."""
-    names: list[str] = []
-    scores: list[np.ndarray] = []
-    has_letter = np.array([t is not None and bool(_LETTER.search(t)) for t in column.to_pylist()], bool)
+    docs = np.array([r["count"] for r in labels], float)
+    return Model([r["lang"] for r in labels], np.log(docs / docs.sum()), written(spark, counted, "languages"), smoothing)
+
+
+def _scored(blocks: list[Block], column: pa.Array, names: list, top: np.ndarray, total: np.ndarray) -> None:
+    """Takes ``blocks`` into what earlier ones gave each text: the best language (``names``), its log
+    score (``top``) and the sum of all scores as a multiple of the best one (``total``)."""
     for first, rows, data, offsets in text_slices(column):
         points, at = _code_points(data, offsets)
-        total = np.tile(model.log_prior, (rows, 1))
         row = np.repeat(np.arange(rows), np.diff(at))
-        for bucket, inside in grams(points, at):
-            bucket, own = bucket[inside], row[: len(bucket)][inside]
-            for j in range(len(model.languages)):
-                total[:, j] += np.bincount(own, model.log_prob[bucket, j], rows)
-        if model.languages:
-            best = total.argmax(1)
-            share = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-        else:
-            best, share = np.zeros(rows, int), np.zeros(rows)
-        known = has_letter[first : first + rows] & bool(model.languages)
-        names += [model.languages[b] if k else UNDETERMINED for b, k in zip(best, known)]
-        scores.append(np.where(known, share, 0.0))
-    return names, np.concatenate(scores) if scores else np.zeros(0)
+        found = [(bucket[inside], row[: len(bucket)][inside]) for bucket, inside in grams(points, at)]
+        for block in blocks:
+            scores = np.tile(block.log_prior, (rows, 1))
+            for bucket, own in found:
+                for j in range(len(block.languages)):
+                    scores[:, j] += np.bincount(own, block.log_prob[bucket, j], rows)
+            best = scores.argmax(1)
+            new = scores.max(1)
+            old = top[first : first + rows]
+            both = np.maximum(old, new)
+            own_total = np.exp(scores - new[:, None]).sum(1)
+            total[first : first + rows] = total[first : first + rows] * np.exp(old - both) + own_total * np.exp(new - both)
+            for i in np.flatnonzero(new > old):  # ties stay with the more frequent language
+                names[first + i] = block.languages[best[i]]
+            top[first : first + rows] = both
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
@@ -141,22 +169,50 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
 
     A null text, one without a letter, and every text of a model without languages are
     ``und`` with score 0. Ties go to the more frequent language. Ids may repeat or be null.
+    The blocks of a model of more than PASS_BLOCKS * BLOCK_LANGUAGES languages are scored in
+    several passes, between which ``docs`` is written with the best language so far.
     """
     prepare(spark)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    shared = spark.sparkContext.broadcast(model)
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = score_batch(shared.value, batch.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"],
-            )
-
-    docs = docs.select(*kept)
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.mapInArrow(scored, schema)
+    docs = docs.select(*[c for c in docs.columns if c not in ("lang_pred", "score")])
+    fields = docs.schema.fields
+    state = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("k_total", DoubleType())]
+    step = PASS_BLOCKS * BLOCK_LANGUAGES
+    passes = range(0, max(1, len(model.languages)), step)
+
+    def scorer(shared: list[Broadcast], begins: bool, ends: bool) -> Callable:
+        def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                text, n = batch.column("text"), batch.num_rows
+                if begins:
+                    names, top, total = [UNDETERMINED] * n, np.full(n, -np.inf), np.zeros(n)
+                else:
+                    names = batch.column(len(fields)).to_pylist()
+                    top, total = (batch.column(len(fields) + k).to_numpy().copy() for k in (1, 2))
+                _scored([x.value for x in shared], text, names, top, total)
+                out = [*batch.columns[: len(fields)]]
+                if ends:
+                    known = np.array([t is not None and bool(_LETTER.search(t)) for t in text.to_pylist()], bool) & (total > 0)
+                    names = [x if k else UNDETERMINED for x, k in zip(names, known)]
+                    out += [pa.array(names, pa.string()), pa.array(np.where(known, 1 / np.where(known, total, 1), 0.0))]
+                else:
+                    out += [pa.array(names, pa.string()), pa.array(top), pa.array(total)]
+                yield pa.RecordBatch.from_arrays(out, [*batch.schema.names[: len(fields)], *[f.name for f in state[: 2 if ends else 3]]])
+
+        return scored
+
+    for at in passes:
+        ends = at == passes[-1]
+        shared = [
+            spark.sparkContext.broadcast(model.block(first))
+            for first in range(at, min(at + step, len(model.languages)), BLOCK_LANGUAGES)
+        ]
+        schema = StructType([*fields, *state[: 2 if ends else 3]])
+        docs = docs.mapInArrow(scorer(shared, at == 0, ends), schema)
+        if not ends:
+            docs = written(spark, docs, "scored")
+            for x in shared:
+                x.destroy()
+    return docs
 
 
 def held_out() -> Column:
