@@ -39,6 +39,9 @@ from fleetlens.llm.common import (
 
 #: Symbols (byte blocks) of a window in a transform.
 SYMBOLS = 8
+#: Starts of the shortest cells: in cells of one start the hashed core would be the whole window, and
+#: nothing would be left to the transforms.
+LEAST_CELL = 3
 #: Windows of one shard's transform, and windows that one task merges on average.
 SHARD_WINDOWS, TASK_WINDOWS = 4096, 60_000
 
@@ -219,7 +222,7 @@ class _Search:
         length = self.length
         width = length - gram_size(length) + 1
         left = self.judge(self.docs.mapInArrow(lambda x: _all_runs(length, x), RUN_FIELDS), "whole")
-        for cell in sorted({max(1, width // 12), max(1, width // 112)}, reverse=True):
+        for cell in sorted({min(width, max(LEAST_CELL, width // k)) for k in (12, 112)}, reverse=True):
             split = self.texts(left).mapInArrow(lambda x, cell=cell: _split_runs(length, cell, x), RUN_FIELDS)
             left = self.judge(split, f"cell{cell}")
         windows = written(self.spark, self.texts(left).mapInArrow(lambda x: _windows(length, x), WINDOW_FIELDS), "windows")
