@@ -232,8 +232,16 @@ def lang_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([t is not None and bool(_LETTER.search(t)) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+
 def drop_undetermined(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents whose language could be told, with all their columns."""
+    """The documents whose language could be told, with all their columns; where no row has a label
+    to learn from, those with a letter."""
     model = train_on(docs)
     plain = plain_names(docs)  # the table may have columns called lang_pred or score
+    if not model.languages:
+        return plain.mapInArrow(_lettered, plain.schema).toDF(*docs.columns)
     return identify(spark, plain, model).where(F.col("lang_pred") != UNDETERMINED).drop("lang_pred", "score").toDF(*docs.columns)
