@@ -5,8 +5,9 @@ follows each of ``<``, ``[``, ``]`` and ``\\``, so no control string (they start
 ``[``) can occur there, and dropping that backslash gives the text back.
 
 Prefix sums of turn tokens give each turn the span it starts in; spans are turn-aligned. A
-window holds the conversation's system turn, as many of the last turns before its span as the
-history budget allows, and its span. Only assistant turns of the span are targets: the loss
+window holds the conversation's system turn, as many of the last turns of the window before it
+as the history budget allows (none of earlier windows, even where that one is short), and its
+span. Only assistant turns of the span are targets: the loss
 mask lists their texts as (start, length) in code points; repeated turns are not in it.
 """
 
