@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import bench
 
-from conftest import SF001
+from helpers import SF001
 
 
 def test_bench_run_all_smoke(spark, scratch):

@@ -9,7 +9,7 @@ import pytest
 from fleetlens.__main__ import main
 from fleetlens.sources.telemetry import raw_drive_stats
 
-from conftest import SF001
+from helpers import SF001
 
 
 def test_ingest_build_check(spark, scratch, capsys):

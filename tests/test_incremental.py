@@ -8,7 +8,7 @@ from fleetlens.plans.incremental import refresh_quarters
 from fleetlens.plans.warehouse import WarehouseBuild, read_raw, write_table
 from fleetlens.sources.telemetry import raw_drive_stats
 
-from conftest import SF001
+from helpers import SF001
 
 
 def _rows(spark, path, cols=None):

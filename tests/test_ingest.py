@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens.sources import ingest
 from fleetlens.sources.telemetry import raw_drive_stats
 
-from conftest import SF001
+from helpers import SF001
 from helpers import int_columns
 
 

@@ -9,7 +9,7 @@ from fleetlens.plans.registry import Warehouse
 from fleetlens.config import TEST_SCALE_THRESHOLDS
 from fleetlens.operators import afr, dims
 
-from conftest import SF001, SF01
+from helpers import SF001, SF01
 
 # (sf_dir, rows, drives, active, exited, failed, capacity filled from model, data model-quarters)
 FACTS = [

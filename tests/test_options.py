@@ -14,7 +14,7 @@ from fleetlens.sources import ingest
 from fleetlens.sources.seed import manufacturer_seed
 from fleetlens.sources.telemetry import raw_drive_stats
 
-from conftest import SF001
+from helpers import SF001
 from helpers import staged_rows
 
 

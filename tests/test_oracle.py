@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, norm  # noqa: E402
 
-from conftest import SF001  # noqa: E402
+from helpers import SF001  # noqa: E402
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ from fleetlens.plans.export import month_drive_days, sample_drives
 from fleetlens.plans.warehouse import read_raw, write_table
 from fleetlens.sources.telemetry import raw_drive_stats
 
-from conftest import SF001
+from helpers import SF001
 
 
 def _plan(df) -> str:

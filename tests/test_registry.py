@@ -25,7 +25,7 @@ def test_oracles_read_the_given_tables():
 
 
 def test_merged_queries_read_the_written_partials(spark):
-    from conftest import SF001
+    from helpers import SF001
 
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     for name in ("int_drive_spans", "dim_drive", "dim_model", "mart_model_afr_quarterly", "dim_date"):

@@ -9,7 +9,7 @@ import pytest
 from fleetlens.sources.telemetry import RAW_COLUMNS, raw_drive_stats
 from fleetlens.streaming.loader import load_available
 
-from conftest import SF001
+from helpers import SF001
 from helpers import int_columns
 
 TYPES = {"date": "date", "failure": "tinyint", "capacity_bytes": "bigint", "serial_number": "string",
