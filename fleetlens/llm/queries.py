@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import chat, exact_dedup, lang_id, near_dedup, packing, pieces, quality, substring_dedup, suffix_dedup, topk
+from fleetlens.llm import (
+    chat, collocations, exact_dedup, hard_negatives, lang_id, near_dedup, packing, pieces, quality, substring_dedup, suffix_dedup, topk, toxicity,
+)
 from fleetlens.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +37,9 @@ QUERIES: dict[str, Query] = {
         "op8_topk": topk.topk_query,
         "op9_lang_id": lang_id.lang_query,
         "op10_sentencepiece": pieces.pieces_query,
+        "op11_toxicity": toxicity.toxicity_query,
+        "op12_hard_negatives": hard_negatives.negatives_query,
+        "op13_collocations": collocations.collocations_query,
     }.items()
 }
 
@@ -45,4 +50,6 @@ SQL: dict[str, str] = {
     "op6_near_dedup": near_dedup.SQL,
     "op7_suffix_dedup": suffix_dedup.SQL,
     "op8_topk": topk.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_collocations": collocations.SQL,
 }
