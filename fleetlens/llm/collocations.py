@@ -8,9 +8,9 @@ a row. A part adds the counts up and keeps the pointers of the fingerprints that
 least count. Their texts are read at the pointers and counted by text, so that a collision
 between slices can neither add to a phrase nor hide one.
 
-n-grams of three words and more are sent only where both shorter ones in them may be frequent:
-a bit table over the frequent fingerprints (at most BITS bits, broadcast) decides; a fuller
-table only lets more through.
+Lengths are taken one after the other, and an n-gram is sent only where both shorter ones in it may be
+frequent: a bit table over the frequent fingerprints (at most BITS bits, broadcast) decides; a
+fuller table only lets more through.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import BYTE_VALUES, POWERS, mix64, prepare, text_slices, written
+from fleetlens.llm.common import mix64, prepare, text_slices, written
 
 SLICE_BYTES = 1 << 23
 #: Bytes of text whose n-grams make a part, bits of the table of frequent fingerprints at most.
@@ -36,18 +36,16 @@ _SPACE = _ENDS.copy()
 _SPACE[[32, 9]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
-_VALUES = np.where(_SPACE, np.uint64(0), BYTE_VALUES)
 #: Base of the polynomials over words, modulo 2**64.
 _BASE = 0xD1342543DE82EF95
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 
 _SENT = "part long, n int, doc binary, docs binary, prints binary, counts binary, starts binary"
 _NUMBERS = ("doc", "docs", "prints", "counts", "starts")
-#: A text is named by two 64-bit hashes.
-_NAME = np.dtype([("doc", np.int64), ("doc2", np.int64)])
-_TYPES = {"doc": _NAME, "docs": np.dtype(np.uint32), "prints": np.dtype(np.uint64), "counts": np.dtype(np.uint32), "starts": np.dtype(np.uint32)}
-_KEPT = "doc long, doc2 long, n int, counts binary, starts binary"
-_DOC = ["doc", "doc2"]
+_TYPES = {"doc": np.dtype(np.int64), "docs": np.dtype(np.uint32), "prints": np.dtype(np.uint64), "counts": np.dtype(np.uint32), "starts": np.dtype(np.uint32)}
+_KEPT = "doc long, n int, counts binary, starts binary"
+#: Groups in which the words of each lang are added up.
+TOTALS = 64
 _READ = "lang string, n int, phrase string, f long"
 
 
@@ -72,16 +70,23 @@ class Pieces:
         begins[first], closes[last] = word[first], word[last]
         self.starts, self.stops = np.flatnonzero(begins), np.flatnonzero(closes) + 1
         self.before = np.searchsorted(self.starts, offsets)
-        piece = np.cumsum(_ENDS[self.data], dtype=np.int64)
-        text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.before))
+        self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.before))
         # consecutive words of a piece share this number (and the text)
-        self.piece = piece[self.starts]
-        self.text = text
-        if len(self.starts):
-            up, down = POWERS.get(len(data) + 1)
-            self.words = mix64(np.add.reduceat(_VALUES[self.data] * up[: len(data)], self.starts) * down[self.starts])
-        else:
-            self.words = np.zeros(0, np.uint64)
+        self.piece = np.searchsorted(np.flatnonzero(_ENDS[self.data]), self.starts)
+        # the words' bytes, eight at a time: (places of the words that reach so far, numbers)
+        eights = np.ndarray(len(data) + 1, "<u8", np.append(self.data, np.zeros(8, np.uint8)), strides=(1,))
+        self.sizes = self.stops - self.starts
+        self.blocks: list[tuple[np.ndarray, np.ndarray]] = []
+        self.words = self.sizes.astype(np.uint64)
+        at = np.arange(len(self.starts))
+        while len(at):
+            k = 8 * len(self.blocks)
+            block = eights[self.starts[at] + k]
+            left = 8 - np.minimum(self.sizes[at] - k, 8)
+            block &= ~np.uint64(0) >> (left * 8).astype(np.uint64)
+            self.blocks.append((at, block))
+            self.words[at] = mix64(self.words[at] * np.uint64(_BASE) + block)
+            at = at[self.sizes[at] > k + 8]
 
     def within(self, n: int) -> np.ndarray:
         """Whether the n words from each place on are of one piece of one text."""
@@ -103,38 +108,36 @@ def fingerprints(values: np.ndarray, n: int) -> np.ndarray:
     return mix64((prefix[n:] - prefix[:m]) * _powers(m, _BASE_INV) + np.uint64(n))
 
 
-def _same_bytes(p: Pieces, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Whether the words at two lists of places are equal byte by byte."""
-    size = p.stops[one] - p.starts[one]
-    same = size == p.stops[other] - p.starts[other]
-    at, limit = np.flatnonzero(same), 1 << 22
-    ends = np.cumsum(size[at])
-    a = 0
-    while a < len(at):
-        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, side="right")))
-        own = at[a:b]
-        within = np.arange(size[own].sum()) - np.repeat(np.cumsum(size[own]) - size[own], size[own])
-        differ = p.data[np.repeat(p.starts[one[own]], size[own]) + within] != p.data[np.repeat(p.starts[other[own]], size[own]) + within]
-        same[own] = np.add.reduceat(differ, np.cumsum(size[own]) - size[own], dtype=np.int64) == 0
-        a = b
-    return same
-
-
-def exact_words(p: Pieces, values: np.ndarray) -> np.ndarray:
-    """Number of every word occurrence in its slice: equal only for equal bytes under one lang."""
-    _, first, number = np.unique(values, return_index=True, return_inverse=True)
-    odd = ~_same_bytes(p, np.arange(len(values)), first[number])
+def exact_words(p: Pieces, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of every word occurrence in its slice, place of the first of each): equal only for equal bytes under one lang."""
+    order = np.argsort(values)
+    edge = np.concatenate([[True], values[order][1:] != values[order][:-1]])
+    number = np.empty(len(values), np.int64)
+    number[order] = np.cumsum(edge) - 1
+    first = order[edge]
+    lead = first[number]
+    odd = p.sizes != p.sizes[lead]
+    rank = np.empty(len(values), np.int64)
+    for at, block in p.blocks:
+        rank[at] = np.arange(len(at))
+        alike = at[~odd[at]]  # as long as its first one, so that both are in this block
+        odd[alike] = block[rank[alike]] != block[rank[lead[alike]]]
     if odd.any():  # two words under one value: told apart by their bytes
         names: dict[tuple, int] = {}
-        for i in np.flatnonzero(odd):
+        more = []
+        for i in np.flatnonzero(odd).tolist():
             key = (int(values[i]), p.data[p.starts[i] : p.stops[i]].tobytes())
-            number[i] = names.setdefault(key, len(first) + len(names))
-    return number
+            if key not in names:
+                names[key] = len(first) + len(names)
+                more.append(i)
+            number[i] = names[key]
+        first = np.concatenate([first, more])
+    return number, first
 
 
 def counted(prints: np.ndarray, places: np.ndarray, numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(fingerprint, occurrences, first place) of each n-gram of a slice; n-grams that share a fingerprint stay apart."""
-    order = np.argsort(prints, kind="stable")
+    order = np.argsort(prints)
     h, at = prints[order], places[order]
     new = np.concatenate([[True], h[1:] != h[:-1]])
     lead = at[np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))]
@@ -149,15 +152,13 @@ def counted(prints: np.ndarray, places: np.ndarray, numbers: np.ndarray, n: int)
     return tuple(np.concatenate(x) for x in zip(out, rest)) if odd.any() else out
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Pieces, np.ndarray, np.ndarray]]:
-    """(pieces, names of the texts, values of their langs) of slices of about SLICE_BYTES."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Pieces, np.ndarray, np.ndarray, pa.Array]]:
+    """(pieces, names of the texts, values of their langs, langs) of slices of about SLICE_BYTES."""
     for batch in batches:
-        docs = np.empty(batch.num_rows, _NAME)
-        for c in _DOC:
-            docs[c] = batch.column(c).to_numpy()
-        lang = batch.column("lang_value").to_numpy().view(np.uint64)
+        docs, lang = (batch.column(c).to_numpy() for c in ("doc", "lang_value"))
         for first, rows, data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
-            yield Pieces(data, offsets), docs[first : first + rows], lang[first : first + rows]
+            own = slice(first, first + rows)
+            yield Pieces(data, offsets), docs[own], lang[own].view(np.uint64), batch.column("lang").slice(first, rows)
 
 
 def may_be(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
@@ -165,13 +166,20 @@ def may_be(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
-def _sent(parts: int, lengths: list[int], bits: np.ndarray | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for p, docs, lang in _slices(batches):
-        values = word_values(p, lang)
-        if not len(values):
+def _sent(parts: int, n: int, bits: np.ndarray | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-grams of each slice by part; with the single words also their number by lang (parts below 0)."""
+    for slice_, (p, docs, lang, names) in enumerate(_slices(batches)):
+        if not len(p.words):
             continue
-        numbers = exact_words(p, values)
-        for n in lengths:
+        values = word_values(p, lang)
+        numbers, first = exact_words(p, values)
+        if n == 1:
+            h, count, at = fingerprints(values, 1)[first], np.bincount(numbers), first
+            coded = names.dictionary_encode()
+            words = np.bincount(coded.indices.to_numpy(), np.diff(p.before), len(coded.dictionary)).astype(np.int64)
+            totals = [x.encode() for x in coded.dictionary.to_pylist()], [str(x).encode() for x in words.tolist()]
+            yield _message([-1 - slice_ % TOTALS] * len(words), 0, [*[[None] * len(words)] * 3, *totals])
+        else:
             inside = p.within(n)
             if bits is not None and len(inside):
                 shorter = may_be(bits, fingerprints(values, n - 1))
@@ -180,24 +188,26 @@ def _sent(parts: int, lengths: list[int], bits: np.ndarray | None, batches: Iter
             if not len(places):
                 continue
             h, count, at = counted(fingerprints(values, n)[places], places, numbers, n)
-            # by part, then by text: texts are named once a part
-            part = (h >> np.uint64(32)) % np.uint64(parts)
-            order = np.lexsort((at, part))
-            h, count, at, part = h[order], count[order], at[order], part[order]
-            text = p.text[at]
-            # pointers are bytes from the text's first word on
-            start = p.starts[at] - p.starts[p.before[text]]
-            edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            columns: list[list] = [[] for _ in _NUMBERS]
-            for a, b in zip(edge, np.append(edge[1:], len(h))):
-                run = np.flatnonzero(np.concatenate([[True], text[a + 1 : b] != text[a : b - 1]]))
-                row = (docs[text[a:b][run]], np.diff(np.append(run, b - a)), h[a:b], count[a:b], start[a:b])
-                for column, name, x in zip(columns, _NUMBERS, row):
-                    column.append(_shut(name, x))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[edge].astype(np.int64)), pa.array([n] * len(edge), pa.int32()), *(pa.array(c, pa.binary()) for c in columns)],
-                [f.split()[0] for f in _SENT.split(", ")],
-            )
+        # by part, then by place: texts are named once a part
+        part = (h >> np.uint64(32)) % np.uint64(parts)
+        order = np.argsort(part.astype(np.int64) * len(p.words) + at)
+        h, count, at, part = h[order], count[order], at[order], part[order]
+        text = p.text[at]
+        # pointers are bytes from the text's first word on
+        start = p.starts[at] - p.starts[p.before[text]]
+        edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        columns: list[list] = [[] for _ in _NUMBERS]
+        for a, b in zip(edge, np.append(edge[1:], len(h))):
+            run = np.flatnonzero(np.concatenate([[True], text[a + 1 : b] != text[a : b - 1]]))
+            row = (docs[text[a:b][run]], np.diff(np.append(run, b - a)), h[a:b], count[a:b], start[a:b])
+            for column, name, x in zip(columns, _NUMBERS, row):
+                column.append(_shut(name, x))
+        yield _message(part[edge].astype(np.int64).tolist(), n, columns)
+
+
+def _message(parts: list[int], n: int, columns: list[list]) -> pa.RecordBatch:
+    arrays = [pa.array(parts, pa.int64()), pa.array([n] * len(parts), pa.int32()), *(pa.array(c, pa.binary()) for c in columns)]
+    return pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in _SENT.split(", ")])
 
 
 def _shut(name: str, x: np.ndarray) -> bytes:
@@ -217,18 +227,24 @@ def _frequent(least: int, table: pa.Table) -> pa.Table:
     Pointers to one place of one text (copies, met in many slices) are one pointer.
     """
     n = table.column("n")[0].as_py()
+    if n == 0:  # words of each lang
+        words: dict[bytes, int] = {}
+        for name, x in zip(table.column("counts").to_pylist(), table.column("starts").to_pylist()):
+            words[name] = words.get(name, 0) + int(x)
+        out = [pa.array([0] * len(words), pa.int64()), pa.array([0] * len(words), pa.int32()), pa.array([str(x).encode() for x in words.values()], pa.binary()), pa.array(list(words), pa.binary())]
+        return pa.table(out, names=[f.split()[0] for f in _KEPT.split(", ")])
     got = {k: [_open(k, x) for x in table.column(k).to_pylist()] for k in _NUMBERS}
     prints, counts, starts = (np.concatenate(got[k]) for k in ("prints", "counts", "starts"))
     doc = np.concatenate([np.repeat(d, s) for d, s in zip(got["doc"], got["docs"])])
     del got
-    order = np.argsort(prints, kind="stable")
+    order = np.argsort(prints)
     h = prints[order]
     edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     total = np.add.reduceat(counts[order].astype(np.int64), edge)
     many = np.zeros(len(h), bool)
     many[order] = np.repeat(total >= least, np.diff(np.append(edge, len(h))))
     doc, counts, starts = doc[many], counts[many].astype(np.int64), starts[many]
-    order = np.lexsort((starts, doc["doc2"], doc["doc"]))
+    order = np.lexsort((starts, doc))
     doc, counts, starts = doc[order], counts[order], starts[order]
     if len(doc):
         other = np.concatenate([[True], doc[1:] != doc[:-1]])
@@ -239,9 +255,9 @@ def _frequent(least: int, table: pa.Table) -> pa.Table:
         run = np.zeros(0, np.int64)
     ends = np.append(run[1:], len(doc))
     frequent = h[edge][total >= least]
-    names = [pa.array(np.append(doc[c][run], 0)) for c in _DOC]
+    name = pa.array(np.append(doc[run], 0))
     blobs = [pa.array([x[a:b].tobytes() for a, b in zip(run, ends)] + last, pa.binary()) for x, last in ((counts, [frequent.tobytes()]), (starts, [None]))]
-    return pa.table([*names, pa.array([n] * (len(run) + 1), pa.int32()), *blobs], names=[f.split()[0] for f in _KEPT.split(", ")])
+    return pa.table([name, pa.array([n] * (len(run) + 1), pa.int32()), *blobs], names=[f.split()[0] for f in _KEPT.split(", ")])
 
 
 def _bit_table(spark: SparkSession, kept: DataFrame, n: int) -> np.ndarray:
@@ -272,27 +288,36 @@ def _bit_table(spark: SparkSession, kept: DataFrame, n: int) -> np.ndarray:
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phrases at the pointers of each text; words are joined by one space."""
     for batch in batches:
-        for row in batch.to_pylist():
-            data = np.frombuffer(row["text"].encode("utf-8", "surrogatepass"), np.uint8)
-            p = Pieces(data, np.array([0, len(data)]))
-            for own in row["found"]:
-                n = own["n"]
-                counts, starts = np.frombuffer(own["counts"], np.int64), np.frombuffer(own["starts"], np.uint32)
-                place = np.searchsorted(p.starts, starts.astype(np.int64) + p.starts[0])
-                last = np.cumsum((p.stops[place + n - 1] - p.starts[place]))
+        langs, found = batch.column("lang"), batch.column("found")
+        for first, rows, data, offsets in text_slices(batch.column("text"), READ_BYTES):
+            p = Pieces(data, offsets)
+            own = found.slice(first, rows)
+            entries, text = own.flatten(), np.repeat(np.arange(rows), own.value_lengths().to_numpy())
+            counts, sizes = _concatenated(entries.field("counts"), np.int64)
+            starts, _ = _concatenated(entries.field("starts"), np.uint32)
+            length, text = np.repeat(entries.field("n").to_numpy(), sizes), np.repeat(text, sizes)
+            place = np.searchsorted(p.starts, starts.astype(np.int64) + p.starts[p.before[text]])
+            for n in np.unique(length).tolist():
+                at = np.flatnonzero(length == n)
+                last = np.cumsum(p.stops[place[at] + n - 1] - p.starts[place[at]])
                 a = 0
-                while a < len(place):
+                while a < len(at):
                     b = max(a + 1, int(np.searchsorted(last, (last[a - 1] if a else 0) + READ_BYTES, side="right")))
-                    phrases = _joined(p, place[a:b], n)
-                    size = len(phrases)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["lang"]] * size, pa.string()), pa.array([n] * size, pa.int32()), phrases,
-                         pa.array(counts[a:b])],
-                        [f.split()[0] for f in _READ.split(", ")],
-                    )
+                    some = at[a:b]
+                    names = langs.take(pa.array(first + text[some]))
+                    columns = [names, pa.array(np.full(len(some), n, np.int32)), _joined(p, place[some], n), pa.array(counts[some])]
+                    yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _READ.split(", ")])
                     a = b
 
 
+def _concatenated(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers of a column of their bytes, how many each row holds)."""
+    _, off, data = column.buffers()
+    offsets = np.frombuffer(off, np.int32, column.offset + len(column) + 1)[column.offset :]
+    raw = data.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes() if data is not None and len(column) else b""
+    return np.frombuffer(raw, kind), np.diff(offsets) // np.dtype(kind).itemsize
+
+
 def _joined(p: Pieces, place: np.ndarray, n: int) -> pa.Array:
     words = (place[:, None] + np.arange(n)).ravel()
     size = p.stops[words] - p.starts[words] + 1  # a space after each
@@ -305,30 +330,15 @@ def _joined(p: Pieces, place: np.ndarray, n: int) -> pa.Array:
     return pa.StringArray.from_buffers(len(place), pa.py_buffer(offsets.tobytes()), pa.py_buffer(out[keep].tobytes()))
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[str, tuple[int, int]] = {}
-
-    def rows() -> pa.RecordBatch:
-        n, size = zip(*total.values())
-        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(n, pa.int64()), pa.array(size, pa.int64())], ["lang", "n", "size"])
-
-    for batch in batches:
-        names = batch.column("lang").to_pylist()
-        for first, rows_, data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
-            word = ~_SPACE[data]
-            begins = word.copy()
-            begins[1:] &= ~word[:-1]
-            edge = offsets[:-1][offsets[:-1] < offsets[1:]]
-            begins[edge] = word[edge]
-            n = np.diff(np.concatenate([[0], np.cumsum(begins)])[offsets])
-            for name, x, size in zip(names[first : first + rows_], n.tolist(), np.diff(offsets).tolist()):
-                had = total.get(name, (0, 0))
-                total[name] = (had[0] + x, had[1] + size)
-        if len(total) > 10000:
-            yield rows()
-            total.clear()
-    if total:
-        yield rows()
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``doc``, a 64-bit name of (lang, text) that no two of them share: a seed under which two do is passed over."""
+    for seed in range(100):
+        doc, check = F.xxhash64(F.lit(seed), "lang", "text"), F.xxhash64("text", "lang", F.lit(seed))
+        named = rows.select("lang", "text", doc.alias("doc"), F.xxhash64("lang", F.lit(13)).alias("lang_value"))
+        both = rows.select(doc.alias("doc"), check.alias("check")).groupBy("doc").agg(F.min("check").alias("a"), F.max("check").alias("b"))
+        if both.where("a <> b").isEmpty():
+            return named
+    raise RuntimeError("no seed names all texts apart")
 
 
 def frequent_phrases(spark: SparkSession, docs: DataFrame, longest: int = 3, least: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -336,32 +346,27 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, longest: int = 3, lea
     prepare(spark)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     rows = docs.where("text is not null and text != ''").select(lang.alias("lang"), F.col("text").cast("string").alias("text"))
-    words = rows.mapInArrow(_words, "lang string, n long, size long").groupBy("lang").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
-    words = written(spark, words, "lang-words")
-    parts = max(1, -(-(words.select(F.sum("size")).first()[0] or 0) // PART_BYTES))
-    hashed = rows.select(
-        "lang", "text", F.xxhash64("lang", "text").alias("doc"), F.xxhash64(F.lit(29), "text", "lang").alias("doc2"), F.xxhash64("lang", F.lit(13)).alias("lang_value")
-    )
+    parts = max(1, -(-(rows.select(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES))
+    named = _named(rows)
     kept = None
-    for lengths in [[1, 2], *([n] for n in range(3, longest + 1))]:
-        bits = None if kept is None else _bit_table(spark, kept, lengths[0] - 1)
-        shared = spark.sparkContext.broadcast(bits)
+    for n in range(1, longest + 1):
+        shared = spark.sparkContext.broadcast(None if kept is None else _bit_table(spark, kept, n - 1))
 
-        def sent(batches: Iterator[pa.RecordBatch], lengths: list = lengths, shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            return _sent(parts, lengths, shared.value, batches)
+        def sent(batches: Iterator[pa.RecordBatch], n: int = n, shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            return _sent(parts, n, shared.value, batches)
 
         def frequent(table: pa.Table) -> pa.Table:
             return _frequent(least, table)
 
-        found = hashed.mapInArrow(sent, _SENT).groupBy("part", "n").applyInArrow(frequent, _KEPT)
-        found = written(spark, found, f"phrases-{lengths[0]}")
+        found = written(spark, named.mapInArrow(sent, _SENT).groupBy("part", "n").applyInArrow(frequent, _KEPT), f"phrases-{n}")
         kept = found if kept is None else kept.unionByName(found)
-    pointers = kept.where("starts is not null").groupBy(*_DOC).agg(F.collect_list(F.struct("n", "counts", "starts")).alias("found"))
+    words = kept.where("n = 0").groupBy(F.col("starts").cast("string").alias("lang")).agg(F.sum(F.col("counts").cast("string").cast("long")).alias("n"))
+    pointers = kept.where("n > 0 and starts is not null").groupBy("doc").agg(F.collect_list(F.struct("n", "counts", "starts")).alias("found"))
     # copies of a text under one lang are one text: one row of each is read
-    texts = hashed.groupBy(*_DOC).agg(F.first("lang").alias("lang"), F.first("text").alias("text"))
-    read = pointers.join(texts, _DOC).select("lang", "text", "found").mapInArrow(_read, _READ)
+    texts = named.groupBy("doc").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))
+    read = pointers.join(texts, "doc").select("lang", "text", "found").mapInArrow(_read, _READ)
     phrases = read.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    return written(spark, phrases, "phrases"), words.select("lang", "n")
+    return written(spark, phrases, "phrases"), words
 
 
 def collocations(spark: SparkSession, docs: DataFrame, longest: int = 3, least: int = 10, best: int = 2000, covered: int = 50) -> DataFrame:
