@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import mix64, prepare, text_slices, written
+from fleetlens.llm.common import mix64, prepare, reused_memory, text_slices, written
 
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 22
 #: Bytes of text whose n-grams make a part, bits of the table of frequent fingerprints at most.
 PART_BYTES, BITS = 1 << 22, 1 << 26
 #: Bytes of text read at pointers that are in memory at once, rows of a lang that are ranked in one group at first.
@@ -43,7 +43,9 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 _SENT = "part long, n int, doc binary, docs binary, prints binary, counts binary, starts binary"
 _NUMBERS = ("doc", "docs", "prints", "counts", "starts")
 _TYPES = {"doc": np.dtype(np.int64), "docs": np.dtype(np.uint32), "prints": np.dtype(np.uint64), "counts": np.dtype(np.uint32), "starts": np.dtype(np.uint32)}
-_KEPT = "doc long, n int, counts binary, starts binary"
+#: A kept pointer is (text, count, words, first byte) with the last three in one number; n = 0 marks the words of a lang.
+_KEPT = "n int, doc long, at long, prints binary, lang string"
+_COUNT, _LENGTH, _MOST = 36, 32, (1 << 27) - 1
 #: Groups in which the words of each lang are added up.
 TOTALS = 64
 _READ = "lang string, n int, phrase string, f long"
@@ -168,6 +170,11 @@ def may_be(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
 
 def _sent(parts: int, n: int, bits: np.ndarray | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The n-grams of each slice by part; with the single words also their number by lang (parts below 0)."""
+    with reused_memory():
+        yield from _messages(parts, n, bits, batches)
+
+
+def _messages(parts: int, n: int, bits: np.ndarray | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for slice_, (p, docs, lang, names) in enumerate(_slices(batches)):
         if not len(p.words):
             continue
@@ -221,8 +228,13 @@ def _open(name: str, blob: bytes) -> np.ndarray:
     return np.frombuffer(pa.decompress(blob[8:], int(np.frombuffer(blob[:8], np.int64)[0]), "zstd", asbytes=True), _TYPES[name])
 
 
+def _kept(n: int, rows: int, **columns: pa.Array) -> pa.Table:
+    types = {"doc": pa.int64(), "at": pa.int64(), "prints": pa.binary(), "lang": pa.string()}
+    return pa.table({"n": pa.array(np.full(rows, n, np.int32)), **{k: columns.get(k, pa.nulls(rows, t)) for k, t in types.items()}})
+
+
 def _frequent(least: int, table: pa.Table) -> pa.Table:
-    """One part and n: the pointers of the fingerprints that occur ``least`` times, one row a text, and a row of the fingerprints.
+    """One part and n: the pointers of the fingerprints that occur ``least`` times, and a row of the fingerprints.
 
     Pointers to one place of one text (copies, met in many slices) are one pointer.
     """
@@ -231,8 +243,7 @@ def _frequent(least: int, table: pa.Table) -> pa.Table:
         words: dict[bytes, int] = {}
         for name, x in zip(table.column("counts").to_pylist(), table.column("starts").to_pylist()):
             words[name] = words.get(name, 0) + int(x)
-        out = [pa.array([0] * len(words), pa.int64()), pa.array([0] * len(words), pa.int32()), pa.array([str(x).encode() for x in words.values()], pa.binary()), pa.array(list(words), pa.binary())]
-        return pa.table(out, names=[f.split()[0] for f in _KEPT.split(", ")])
+        return _kept(0, len(words), at=pa.array(list(words.values()), pa.int64()), lang=pa.array([w.decode() for w in words]))
     got = {k: [_open(k, x) for x in table.column(k).to_pylist()] for k in _NUMBERS}
     prints, counts, starts = (np.concatenate(got[k]) for k in ("prints", "counts", "starts"))
     doc = np.concatenate([np.repeat(d, s) for d, s in zip(got["doc"], got["docs"])])
@@ -243,34 +254,33 @@ def _frequent(least: int, table: pa.Table) -> pa.Table:
     total = np.add.reduceat(counts[order].astype(np.int64), edge)
     many = np.zeros(len(h), bool)
     many[order] = np.repeat(total >= least, np.diff(np.append(edge, len(h))))
+    frequent = _kept(n, 1, prints=pa.array([h[edge][total >= least].tobytes()], pa.binary()))
+    if not many.any():
+        return frequent
     doc, counts, starts = doc[many], counts[many].astype(np.int64), starts[many]
     order = np.lexsort((starts, doc))
     doc, counts, starts = doc[order], counts[order], starts[order]
-    if len(doc):
-        other = np.concatenate([[True], doc[1:] != doc[:-1]])
-        place = np.flatnonzero(other | np.concatenate([[True], starts[1:] != starts[:-1]]))
-        counts, starts, doc, other = np.add.reduceat(counts, place), starts[place], doc[place], other[place]
-        run = np.flatnonzero(other)
-    else:
-        run = np.zeros(0, np.int64)
-    ends = np.append(run[1:], len(doc))
-    frequent = h[edge][total >= least]
-    name = pa.array(np.append(doc[run], 0))
-    blobs = [pa.array([x[a:b].tobytes() for a, b in zip(run, ends)] + last, pa.binary()) for x, last in ((counts, [frequent.tobytes()]), (starts, [None]))]
-    return pa.table([name, pa.array([n] * (len(run) + 1), pa.int32()), *blobs], names=[f.split()[0] for f in _KEPT.split(", ")])
+    place = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (starts[1:] != starts[:-1])]))
+    doc, counts, starts = doc[place], np.add.reduceat(counts, place), starts[place]
+    if counts.max() > _MOST:  # a count beyond its bits is several pointers
+        times = -(-counts // _MOST)
+        left = np.repeat(counts, times) - _MOST * (np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times))
+        doc, starts, counts = np.repeat(doc, times), np.repeat(starts, times), np.minimum(left, _MOST)
+    at = counts << _COUNT | n << _LENGTH | starts.astype(np.int64)
+    return pa.concat_tables([_kept(n, len(doc), doc=pa.array(doc), at=pa.array(at)), frequent])
 
 
 def _bit_table(spark: SparkSession, kept: DataFrame, n: int) -> np.ndarray:
     """Bits of the frequent fingerprints of n words; their number follows the fingerprints up to BITS."""
-    prints = kept.where((F.col("n") == n) & F.col("starts").isNull()).select("counts")
-    total = prints.select(F.sum(F.octet_length("counts"))).first()[0] or 0
+    prints = kept.where((F.col("n") == n) & F.col("prints").isNotNull()).select("prints")
+    total = prints.select(F.sum(F.octet_length("prints"))).first()[0] or 0
     bits = 1 << 12
     while bits < min(2 * total, BITS):
         bits *= 2
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blob in batch.column("counts").to_pylist():
+            for blob in batch.column("prints").to_pylist():
                 at = np.unique(np.frombuffer(blob, np.uint64) & np.uint64(bits - 1))
                 word = (at >> np.uint64(6)).astype(np.int64)
                 if not len(word):
@@ -287,16 +297,19 @@ def _bit_table(spark: SparkSession, kept: DataFrame, n: int) -> np.ndarray:
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phrases at the pointers of each text; words are joined by one space."""
+    with reused_memory():
+        yield from _phrases(batches)
+
+
+def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs, found = batch.column("lang"), batch.column("found")
         for first, rows, data, offsets in text_slices(batch.column("text"), READ_BYTES):
             p = Pieces(data, offsets)
             own = found.slice(first, rows)
-            entries, text = own.flatten(), np.repeat(np.arange(rows), own.value_lengths().to_numpy())
-            counts, sizes = _concatenated(entries.field("counts"), np.int64)
-            starts, _ = _concatenated(entries.field("starts"), np.uint32)
-            length, text = np.repeat(entries.field("n").to_numpy(), sizes), np.repeat(text, sizes)
-            place = np.searchsorted(p.starts, starts.astype(np.int64) + p.starts[p.before[text]])
+            pointers, text = own.flatten().to_numpy(), np.repeat(np.arange(rows), own.value_lengths().to_numpy())
+            counts, length = pointers >> _COUNT, pointers >> _LENGTH & 15
+            place = np.searchsorted(p.starts, (pointers & 0xFFFFFFFF) + p.starts[p.before[text]])
             for n in np.unique(length).tolist():
                 at = np.flatnonzero(length == n)
                 last = np.cumsum(p.stops[place[at] + n - 1] - p.starts[place[at]])
@@ -310,14 +323,6 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     a = b
 
 
-def _concatenated(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """(all numbers of a column of their bytes, how many each row holds)."""
-    _, off, data = column.buffers()
-    offsets = np.frombuffer(off, np.int32, column.offset + len(column) + 1)[column.offset :]
-    raw = data.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes() if data is not None and len(column) else b""
-    return np.frombuffer(raw, kind), np.diff(offsets) // np.dtype(kind).itemsize
-
-
 def _joined(p: Pieces, place: np.ndarray, n: int) -> pa.Array:
     words = (place[:, None] + np.arange(n)).ravel()
     size = p.stops[words] - p.starts[words] + 1  # a space after each
@@ -344,6 +349,8 @@ def _named(rows: DataFrame) -> DataFrame:
 def frequent_phrases(spark: SparkSession, docs: DataFrame, longest: int = 3, least: int = 10) -> tuple[DataFrame, DataFrame]:
     """(lang, n, phrase, f of every phrase of 1 to ``longest`` words that occurs ``least`` times; lang, n of all words), written."""
     prepare(spark)
+    if not 1 <= longest <= 15:
+        raise ValueError("phrases have 1 to 15 words")
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     rows = docs.where("text is not null and text != ''").select(lang.alias("lang"), F.col("text").cast("string").alias("text"))
     parts = max(1, -(-(rows.select(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES))
@@ -356,12 +363,13 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, longest: int = 3, lea
             return _sent(parts, n, shared.value, batches)
 
         def frequent(table: pa.Table) -> pa.Table:
-            return _frequent(least, table)
+            with reused_memory():
+                return _frequent(least, table)
 
         found = written(spark, named.mapInArrow(sent, _SENT).groupBy("part", "n").applyInArrow(frequent, _KEPT), f"phrases-{n}")
         kept = found if kept is None else kept.unionByName(found)
-    words = kept.where("n = 0").groupBy(F.col("starts").cast("string").alias("lang")).agg(F.sum(F.col("counts").cast("string").cast("long")).alias("n"))
-    pointers = kept.where("n > 0 and starts is not null").groupBy("doc").agg(F.collect_list(F.struct("n", "counts", "starts")).alias("found"))
+    words = kept.where("n = 0").groupBy("lang").agg(F.sum("at").alias("n"))
+    pointers = kept.where("doc is not null").groupBy("doc").agg(F.collect_list("at").alias("found"))
     # copies of a text under one lang are one text: one row of each is read
     texts = named.groupBy("doc").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))
     read = pointers.join(texts, "doc").select("lang", "text", "found").mapInArrow(_read, _READ)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -36,6 +38,25 @@ def prepare(spark: SparkSession) -> None:
         env.setdefault(name, value)
 
 
+@contextlib.contextmanager
+def reused_memory() -> Iterator[None]:
+    """Within a task of many large numpy steps: freed buffers are kept for the next step (each new one would be
+    mapped page by page), and go back to the system at the end. Where the C library has no such setting, nothing."""
+    libc = ctypes.CDLL(None)
+    if not hasattr(libc, "mallopt") or not hasattr(libc, "malloc_trim"):
+        yield
+        return
+    mapped_from, trimmed_from = -3, -1  # M_MMAP_THRESHOLD, M_TRIM_THRESHOLD of <malloc.h>
+    libc.mallopt(mapped_from, 1 << 27)
+    libc.mallopt(trimmed_from, 1 << 28)
+    try:
+        yield
+    finally:
+        libc.mallopt(mapped_from, int(WORKER_ENV["MALLOC_MMAP_THRESHOLD_"]))
+        libc.mallopt(trimmed_from, int(WORKER_ENV["MALLOC_MMAP_THRESHOLD_"]))
+        libc.malloc_trim(0)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in a new folder of the shared checkpoint directory and read back.
 
