@@ -152,14 +152,16 @@ def features(data: np.ndarray, offsets: np.ndarray, stats: np.ndarray) -> np.nda
     return out
 
 
-def fit(x: np.ndarray, target: np.ndarray, rounds: int = 120, ridge: float = 1e-4) -> np.ndarray:
-    """Weights (the last is the bias) of a logistic scorer on soft targets, by Adam on all rows."""
+def fit(x: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None, rounds: int = 120, ridge: float = 1e-4) -> np.ndarray:
+    """Weights (the last is the bias) of a logistic scorer on soft targets, by Adam on all rows; a row counts ``weight`` times."""
+    share = np.full(len(x), 1 / max(1, len(x))) if weight is None else weight / max(1, weight.sum())
     w = np.zeros(x.shape[1] + 1, np.float64)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1 if len(x) else 1):
         z = x @ w[:-1].astype(np.float32) + w[-1]
         e = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - target
-        g = np.append(x.T @ e.astype(np.float32) / len(x) + ridge * w[:-1], e.mean())
+        e = e * share
+        g = np.append(x.T @ e.astype(np.float32) + ridge * w[:-1], e.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     return w
@@ -189,20 +191,23 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, rows, data, offsets in _pieces(batch):
             x = features(data, offsets, statistics(data, offsets)).astype(np.float16)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("votes").slice(first, rows), pa.array([r.tobytes() for r in x], pa.binary())], ["votes", "x"]
-            )
+            own = [batch.column(c).slice(first, rows) for c in ("votes", "n")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([r.tobytes() for r in x], pa.binary())], ["votes", "n", "x"])
 
 
 def train(spark: SparkSession, docs: DataFrame, voted: DataFrame, sample: int = SAMPLE) -> tuple[Labels, np.ndarray]:
-    """The label model of all votes, and the scorer's weights from at most ``sample`` texts."""
+    """The label model of all votes, and the scorer's weights from at most ``sample`` texts.
+
+    Rows that repeat an id and a text are one text of the sample, which counts as often as it occurs.
+    """
     patterns = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}  # at most 3 ** len(LABELLERS) rows
     labels = expectation_maximisation(patterns)
-    told = voted.where(F.col("votes") != ABSTAIN * len(LABELLERS))
-    chosen = written(spark, told.orderBy(F.xxhash64(*KEY, F.lit(3)), *KEY).limit(sample).select(*KEY, "votes"), "sample")
-    rows = rows_of(docs, chosen).select("text", "votes").mapInArrow(_sampled, "votes string, x binary").collect()
+    told = voted.where(F.col("votes") != ABSTAIN * len(LABELLERS)).groupBy(*KEY, "votes").agg(F.count(F.lit(1)).alias("n"))
+    chosen = written(spark, told.orderBy(F.xxhash64(*KEY, F.lit(3)), *KEY).limit(sample), "sample")
+    texts = rows_of(docs, chosen).dropDuplicates(KEY).select("text", "votes", "n")
+    rows = sorted(texts.mapInArrow(_sampled, "votes string, n long, x binary").collect(), key=lambda r: (r["x"], r["votes"]))
     x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32) if rows else np.zeros((0, FEATURES), np.float32)
-    return labels, fit(x, np.array([labels.posterior[r["votes"]] for r in rows]))
+    return labels, fit(x, np.array([labels.posterior[r["votes"]] for r in rows]), np.array([r["n"] for r in rows], float))
 
 
 def quality(spark: SparkSession, docs: DataFrame, threshold: float = 0.5) -> DataFrame:
