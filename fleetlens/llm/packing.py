@@ -35,7 +35,7 @@ NEIGHBOURS = 16
 SPECIAL = "<|endoftext|>"
 END_ID = 0
 #: Words in each of the two generations of an encoder's table.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
