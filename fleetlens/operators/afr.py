@@ -28,16 +28,17 @@ def drive_quarter_counts(fct_daily: DataFrame) -> DataFrame:
     )
 
 
-def model_quarter_counts_from_partials(quarter_partials: DataFrame, dim_drive: DataFrame) -> DataFrame:
-    """``model_quarter_counts`` from ``dims.drive_quarter_partials``: drive-sized rows only."""
+def model_quarter_counts_from_partials(quarter_partials: DataFrame, dim_drive: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``model_quarter_counts`` from ``dims.drive_quarter_partials``: drive-sized rows only. ``by``: further
+    grouping columns of ``dim_drive``."""
     per_drive = (
         quarter_partials.where(F.col("serial_number").isNotNull() & F.col("quarter_label").isNotNull())
         .groupBy("serial_number", "quarter_label")
         .agg(F.sum("rows").alias("drive_days"), F.sum("failures").alias("failures"))
     )
     return (
-        per_drive.join(dim_drive.select("serial_number", "model"), "serial_number")
-        .groupBy("model", "quarter_label")
+        per_drive.join(dim_drive.select("serial_number", "model", *by), "serial_number")
+        .groupBy(*by, "model", "quarter_label")
         .agg(
             F.count(F.lit(1)).alias("drive_count"),
             F.sum("drive_days").alias("drive_days"),
@@ -46,6 +47,13 @@ def model_quarter_counts_from_partials(quarter_partials: DataFrame, dim_drive: D
     )
 
 
+def merge_model_quarter_counts(parts: DataFrame) -> DataFrame:
+    """``model_quarter_counts`` of all drives from those of disjoint sets of drives."""
+    return parts.groupBy("model", "quarter_label").agg(
+        F.sum("drive_count").alias("drive_count"), F.sum("drive_days").alias("drive_days"), F.sum("failures").alias("failures")
+    )
+
+
 def model_quarter_counts(fct_daily: DataFrame, dim_drive: DataFrame) -> DataFrame:
     """(model, quarter_label, drive_count, drive_days, failures) over all models and quarters.
 

@@ -93,14 +93,15 @@ def active_drives_by_day(quarter_partials: DataFrame) -> DataFrame:
     )
 
 
-def model_rollup(partials: DataFrame) -> DataFrame:
+def model_rollup(partials: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Per normalized model (NULL included): fleet_drive_count, observations, slot_observations, capacity_bytes.
 
     ``capacity_bytes`` is the max non-sentinel capacity over the model's rows (the
     capacity fallback); ``fleet_drive_count`` counts distinct non-NULL serials,
-    exact because the partials are unique per (serial, model).
+    exact because the partials are unique per (serial, model). ``by``: further grouping columns that
+    are functions of the serial.
     """
-    return partials.groupBy("model").agg(
+    return partials.groupBy(*by, "model").agg(
         F.count("serial_number").alias("fleet_drive_count"),
         F.sum("rows").alias("observations"),
         F.sum("slot_rows").alias("slot_observations"),
@@ -108,6 +109,16 @@ def model_rollup(partials: DataFrame) -> DataFrame:
     )
 
 
+def merge_model_rollups(parts: DataFrame) -> DataFrame:
+    """``model_rollup`` of all drives from that of disjoint sets of drives."""
+    return parts.groupBy("model").agg(
+        F.sum("fleet_drive_count").alias("fleet_drive_count"),
+        F.sum("observations").alias("observations"),
+        F.sum("slot_observations").alias("slot_observations"),
+        F.max("capacity_bytes").alias("capacity_bytes"),
+    )
+
+
 def drive_rollup(partials: DataFrame) -> DataFrame:
     """Per serial (NULL included): span aggregates, its model (max) and own non-sentinel capacity."""
     return partials.groupBy("serial_number").agg(
@@ -156,6 +167,12 @@ def dim_drive_from_partials(
         fallback = model_capacity_df
     if drive_capacity is not None:
         drives = drives.drop("drive_capacity_bytes").join(drive_capacity, "serial_number", "left")
+    return dim_drive_of(drives, fallback, dataset_max, grace_days)
+
+
+def dim_drive_of(drives: DataFrame, fallback: DataFrame, dataset_max: Column, grace_days: int = 0) -> DataFrame:
+    """dim_drive from ``drive_rollup`` rows (all drives or some), the capacity of each model
+    (model, model_capacity_bytes) and the last date of the data."""
     return (
         drives.where(F.col("serial_number").isNotNull())
         .withColumn("dataset_max_date", dataset_max)
@@ -243,7 +260,11 @@ def repair_capacity_from_partials(partials: DataFrame) -> DataFrame:
 def spans_from_partials(partials: DataFrame, grace_days: int = 0) -> DataFrame:
     """int_drive_spans merged from the (serial, model) partials (NULL serial kept, as in the spans model)."""
     drives = drive_rollup(partials)
-    dataset_max = drives.agg(F.max("last_seen")).scalar()
+    return spans_of(drives, drives.agg(F.max("last_seen")).scalar(), grace_days)
+
+
+def spans_of(drives: DataFrame, dataset_max: Column, grace_days: int = 0) -> DataFrame:
+    """int_drive_spans from ``drive_rollup`` rows (all drives or some) and the last date of the data."""
     return drives.withColumn("dataset_max_date", dataset_max).select(
         "serial_number",
         "first_seen",
@@ -358,9 +379,14 @@ def is_local_relation(df: DataFrame) -> bool:
 
 def dim_model_from_partials(partials: DataFrame, seed: DataFrame, broadcast_seed: bool | None = None) -> DataFrame:
     """dim_model from (serial, model) partials; see ``dim_model``."""
+    return dim_model_of(model_rollup(partials), seed, broadcast_seed)
+
+
+def dim_model_of(stats: DataFrame, seed: DataFrame, broadcast_seed: bool | None = None) -> DataFrame:
+    """dim_model from ``model_rollup`` rows; see ``dim_model``."""
     if broadcast_seed is None:
         broadcast_seed = is_local_relation(seed)
-    stats = model_rollup(partials).where(F.col("model").isNotNull())
+    stats = stats.where(F.col("model").isNotNull())
     maker = longest_prefix_match(stats, "model", seed, broadcast_table=broadcast_seed)
     return stats.join(maker, "model").select(
         "model",

@@ -8,40 +8,31 @@ replaced (dynamic partition overwrite):
 * ``fct_drive_daily``             the fact itself (drive-day rows),
 * ``int_drive_quarter_partials``  per (serial, model, calendar quarter, partition) partials.
 
-``fct_failures`` is small and a reloaded quarter may have no failure left, which a partition
-overwrite would not notice: it is written as the other quarters' events and the new ones.
+``fct_failures`` is partitioned alike. A reloaded quarter may have no failure left, which a partition
+overwrite would not notice: its partition is dropped.
 
 Spans, dimensions and the AFR mart depend on all quarters (first_seen, status,
 drive_type, capacity), so they are rebuilt, but from the drive-sized partials, which merge
 exactly: a rebuild never rescans the fact or the raw zone. The merged partials are written
 once (``int_drive_model_partials``) and every table reads them. A quarter that is gone from
-the raw zone is not a refresh: its partitions stay until they are dropped.
+the raw zone is not a refresh: its partitions stay until they are dropped. ``plans/refresh.py`` finds
+changed and vanished quarters by itself and rewrites only the drives that they touch; this module
+is the form in which the caller names the quarters.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fleetlens.config import AfrThresholds, PUBLISHED_THRESHOLDS
 from fleetlens.operators import afr, contract, dims, facts
 from fleetlens.plans.warehouse import write_table
-from fleetlens.session import checkpoint_dir
+from fleetlens.sources.files import drop_folders, keep_readable
 from fleetlens.sources.ingest import read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
 
 PARTITION = "quarter"
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 TABLES = (
     "fct_drive_daily", "fct_failures", "int_drive_quarter_partials", "int_drive_model_partials",
     "int_drive_spans", "dim_drive", "dim_model", "dim_date", "mart_model_afr_quarterly",
@@ -75,11 +66,10 @@ def refresh_quarters(
     stg = contract.stage_contract(read_raw_zone(spark, raw_root, quarters))
     replace(facts.fct_drive_daily(stg, keep=(PARTITION,)), "fct_drive_daily")
     events = facts.fct_failures(stg, keep=(PARTITION,))
-    old = _stored(spark, paths["fct_failures"])
-    if old is not None:
-        events = old.where(~F.col(PARTITION).isin(quarters)).unionByName(events)
-    checkpoint_dir(spark)
-    rebuilt(events.checkpoint(), "fct_failures")
+    replace(events, "fct_failures")
+    failed = {r[0] for r in stg.where("failure_flag = 1").select(PARTITION).distinct().collect()}
+    drop_folders(spark, [f"{paths['fct_failures']}/{PARTITION}={q}" for q in quarters if q not in failed])
+    keep_readable(spark, events, paths["fct_failures"], PARTITION)
     replace(dims.drive_quarter_partials(stg, by=(PARTITION,)), "int_drive_quarter_partials")
 
     by_quarter = spark.read.parquet(paths["int_drive_quarter_partials"])
