@@ -72,7 +72,7 @@ def run_all(spark, landing: str, out: str, times: dict[str, float]) -> BuildResu
     t0 = time.perf_counter()
     tables = {name: result.read(spark, name) for name in result.tables}
     tables["stg_drive_stats"] = result.staged(spark, raw_root)
-    summary = checks.checks_suite_with_singular(tables, read_raw(spark, raw_root)).collect()
+    summary = checks.checks_suite_with_singular(tables, read_raw(spark, raw_root), result.counts).collect()
     times["data_checks"] = time.perf_counter() - t0
     COUNTS["data_checks"] = len(summary)
     COUNTS["data_checks_failed"] = sum(r.status == "fail" for r in summary)

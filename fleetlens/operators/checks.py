@@ -1,22 +1,28 @@
 """Data-quality checks as Spark jobs: generic tests, singular tests, reconciliations.
 
-A check returns its offending rows (a lazy DataFrame) or, in the runner, their
-count. Generic column checks of one table (not_null, accepted_values, bounds)
-are evaluated together in ONE aggregate pass over that table; unique is a
-``groupBy(key)`` with map-side partial counts; relationships is a left-anti
-join. Nothing is collected except the final one-row-per-check summary.
+``run_checks`` counts offending rows, ``failing_rows`` returns them.
+
+* Column checks (not_null, accepted_values, expressions) of a table are one aggregate over it, or none: ``observed``
+  counts them with ``DataFrame.observe`` while the table is written, so that no scan is added.
+* The unique checks of all tables are one grouped pass over (check, key), the relationship checks one
+  anti-join of (check, key) counts, whatever their number. A key that needs no shuffle (``via``) is grouped on its own.
+* For the rows themselves, one pass over a table tags each row with the array of the rules it breaks.
+
+Nothing is collected except the final one-row-per-check summary and the observed counts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fleetlens.config import DRIVE_TYPES, STATUSES
 from fleetlens.functions.columns import afr_pct
+from fleetlens.sources.files import keep_readable
 
 
 @dataclass(frozen=True)
@@ -162,44 +168,175 @@ def _summary_row(df: DataFrame, spec: CheckSpec, count_expr: Column) -> DataFram
     )
 
 
-def run_checks(tables: dict[str, DataFrame], suite: list[CheckSpec] = WAREHOUSE_SUITE) -> DataFrame:
+def breaks(spec: CheckSpec) -> Column | None:
+    """True for a row that breaks a column check; None for a kind that looks at more than one row."""
+    if spec.kind == "not_null":
+        return F.col(spec.column).isNull()
+    if spec.kind == "accepted_values":
+        return ~F.col(spec.column).isin(list(spec.values))
+    if spec.kind == "expression":
+        return F.expr(spec.predicate)
+    if spec.kind in ("unique", "relationships"):
+        return None
+    raise ValueError(f"unknown check kind {spec.kind}")
+
+
+def column_checks(table: str, suite: list[CheckSpec]) -> list[CheckSpec]:
+    return [s for s in suite if s.table == table and breaks(s) is not None]
+
+
+def observed(df: DataFrame, specs: list[CheckSpec]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` with the column checks counted as it is written (or read by any one action), and a function that
+    returns check name -> offending rows after that action."""
+    if not specs:
+        return df, dict
+    seen = Observation()
+    metrics = [F.count(F.when(breaks(s), 1)).alias(f"c{i}") for i, s in enumerate(specs)]
+    return df.observe(seen, *metrics), lambda: {s.check_name: seen.get[f"c{i}"] for i, s in enumerate(specs)}
+
+
+_SUMMARY = "check_name string, table_name string, kind string, severity string"
+
+
+def _counted(like: DataFrame, specs: list[CheckSpec], counts: DataFrame) -> DataFrame:
+    """A summary row for each of ``specs``; ``counts`` has (check_name, failing_rows) of those that fail."""
+    named = like.sparkSession.createDataFrame([(s.check_name, s.table, s.kind, s.severity) for s in specs], _SUMMARY)
+    joined = named.join(counts, "check_name", "left")
+    return joined.select(*named.columns, F.coalesce("failing_rows", F.lit(0)).cast("bigint").alias("failing_rows"))
+
+
+def _keys(df: DataFrame, keys: list[tuple[CheckSpec, str]]) -> DataFrame:
+    """(check_name, key) of every non-NULL key of each row: one pass for all checks of a table."""
+    each = [F.struct(F.lit(s.check_name).alias("check_name"), F.col(c).cast("string").alias("key")) for s, c in keys]
+    return df.select(F.explode(F.array(*each)).alias("k")).select("k.*").where(F.col("key").isNotNull())
+
+
+def _by_table(specs: list[CheckSpec], key: Callable[[CheckSpec], str]) -> dict[str, list[CheckSpec]]:
+    out: dict[str, list[CheckSpec]] = {}
+    for s in specs:
+        out.setdefault(key(s), []).append(s)
+    return out
+
+
+def _unique_counts(tables: dict[str, DataFrame], specs: list[CheckSpec]) -> DataFrame:
+    """(check_name, failing_rows): duplicated keys of each check."""
+    parts = [_keys(tables[t], [(s, s.column) for s in own]) for t, own in _by_table(specs, lambda s: s.table).items()]
+    twice = reduce(DataFrame.unionByName, parts).groupBy("check_name", "key").count().where(F.col("count") > 1)
+    return twice.groupBy("check_name").agg(F.count(F.lit(1)).alias("failing_rows"))
+
+
+def _orphan_counts(tables: dict[str, DataFrame], specs: list[CheckSpec]) -> DataFrame:
+    """(check_name, failing_rows): child rows without a parent. Children are counted by key map-side first, so
+    a fact sends one row per key and task."""
+    children = [_keys(tables[t], [(s, s.column) for s in own]) for t, own in _by_table(specs, lambda s: s.table).items()]
+    parents = [_keys(tables[t], [(s, s.to_column) for s in own]) for t, own in _by_table(specs, lambda s: s.to_table).items()]
+    rows = reduce(DataFrame.unionByName, children).groupBy("check_name", "key").agg(F.count(F.lit(1)).alias("rows"))
+    orphans = rows.join(reduce(DataFrame.unionByName, parents), ["check_name", "key"], "left_anti")
+    return orphans.groupBy("check_name").agg(F.sum("rows").alias("failing_rows"))
+
+
+def run_checks(
+    tables: dict[str, DataFrame], suite: list[CheckSpec] = WAREHOUSE_SUITE, counts: dict[str, int] | None = None
+) -> DataFrame:
     """Summary (check_name, table_name, kind, severity, failing_rows, status), one row per check.
 
-    Column checks of a table share one aggregate (one scan); the result is unpivoted
-    with ``stack``. unique and relationships checks are one job each.
+    ``counts``: what was ``observed`` when the tables were written; those checks cost nothing here. The other
+    column checks of a table share one aggregate (one scan), unpivoted with ``stack``.
     """
+    counts = counts or {}
     parts: list[DataFrame] = []
-    by_table: dict[str, list[tuple[CheckSpec, Column]]] = {}
+    by_table: dict[str, list[CheckSpec]] = {}
+    told = [s for s in suite if s.check_name in counts]
     for spec in suite:
-        if spec.kind == "not_null":
-            by_table.setdefault(spec.table, []).append((spec, F.count(F.when(F.col(spec.column).isNull(), 1))))
-        elif spec.kind == "accepted_values":
-            bad = ~F.col(spec.column).isin(list(spec.values))
-            by_table.setdefault(spec.table, []).append((spec, F.count(F.when(bad, 1))))
-        elif spec.kind == "expression":
-            by_table.setdefault(spec.table, []).append((spec, F.count(F.when(F.expr(spec.predicate), 1))))
-        elif spec.kind == "unique":
-            d = unique_failures(tables[spec.table], spec.column, spec.via)
-            parts.append(_summary_row(d, spec, F.count(F.lit(1))))
-        elif spec.kind == "relationships":
-            d = orphan_row_count(tables[spec.table], spec.column, tables[spec.to_table], spec.to_column)
-            parts.append(_summary_row(d, spec, F.sum("_orphans")))
-        else:
-            raise ValueError(f"unknown check kind {spec.kind}")
-    for table, items in by_table.items():
-        counts = tables[table].agg(*[c.cast("bigint").alias(f"c{i}") for i, (_, c) in enumerate(items)])
-        stack_args = ", ".join(
-            f"'{s.check_name}', '{s.table}', '{s.kind}', '{s.severity}', c{i}" for i, (s, _) in enumerate(items)
-        )
+        if breaks(spec) is not None and spec.check_name not in counts:
+            by_table.setdefault(spec.table, []).append(spec)
+    grouped = [s for s in suite if s.kind == "unique" and not s.via]
+    related = [s for s in suite if s.kind == "relationships"]
+    any_table = next(iter(tables.values()))
+    if told:
+        rows = [(s.check_name, s.table, s.kind, s.severity, counts[s.check_name]) for s in told]
+        parts.append(any_table.sparkSession.createDataFrame(rows, f"{_SUMMARY}, failing_rows bigint"))
+    if grouped:
+        parts.append(_counted(any_table, grouped, _unique_counts(tables, grouped)))
+    if related:
+        parts.append(_counted(any_table, related, _orphan_counts(tables, related)))
+    for spec in suite:
+        if spec.kind == "unique" and spec.via:
+            parts.append(_summary_row(unique_failures(tables[spec.table], spec.column, spec.via), spec, F.count(F.lit(1))))
+    for table, specs in by_table.items():
+        totals = tables[table].agg(*[F.count(F.when(breaks(s), 1)).cast("bigint").alias(f"c{i}") for i, s in enumerate(specs)])
+        stack_args = ", ".join(f"'{s.check_name}', '{s.table}', '{s.kind}', '{s.severity}', c{i}" for i, s in enumerate(specs))
         parts.append(
-            counts.selectExpr(
-                f"stack({len(items)}, {stack_args}) as (check_name, table_name, kind, severity, failing_rows)"
-            )
+            totals.selectExpr(f"stack({len(specs)}, {stack_args}) as (check_name, table_name, kind, severity, failing_rows)")
         )
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("status", _status(F.col("failing_rows"), F.col("severity")))
 
 
+# --------------------------------------------------------------------------- the rows themselves
+
+
+def tag_rows(df: DataFrame, specs: list[CheckSpec], out: str = "broken") -> DataFrame:
+    """``df`` with the array of the names of the column checks that each row breaks (empty where it breaks none)."""
+    names = [F.when(breaks(s), F.lit(s.check_name)) for s in specs]
+    found = F.filter(F.array(*names), lambda x: x.isNotNull()) if names else F.array().cast("array<string>")
+    return df.withColumn(out, found)
+
+
+def failing_rows(
+    tables: dict[str, DataFrame], suite: list[CheckSpec] = WAREHOUSE_SUITE, singular: dict[str, tuple[str, DataFrame]] | None = None
+) -> DataFrame:
+    """(check_name, table_name, kind, severity, row): every row that breaks a check, as JSON of its columns.
+
+    A row that breaks several checks is there once for each. Column checks are one pass over a table; a unique check gives all
+    rows of its duplicated keys, a relationship check the child rows without a parent; ``singular`` adds
+    check name -> (table name, its rows).
+    """
+    parts: list[DataFrame] = []
+
+    def rows(df: DataFrame, *named: Column) -> DataFrame:
+        columns = [c for c in df.columns if c != "broken"]
+        return df.select(*named, F.to_json(F.struct(*columns)).alias("row"))
+
+    def of(spec: CheckSpec, df: DataFrame) -> DataFrame:
+        return rows(df, *[F.lit(x).alias(n) for x, n in ((spec.check_name, "check_name"), (spec.table, "table_name"), (spec.kind, "kind"), (spec.severity, "severity"))])
+
+    for table, specs in _by_table([s for s in suite if breaks(s) is not None], lambda s: s.table).items():
+        tagged = tag_rows(tables[table], specs).where(F.size("broken") > 0)
+        about = F.create_map(*[F.lit(x) for s in specs for x in (s.check_name, f"{s.kind}/{s.severity}")])
+        parts.append(
+            rows(tagged, F.explode("broken").alias("check_name")).select(
+                "check_name",
+                F.lit(table).alias("table_name"),
+                F.split(about[F.col("check_name")], "/")[0].alias("kind"),
+                F.split(about[F.col("check_name")], "/")[1].alias("severity"),
+                "row",
+            )
+        )
+    for spec in suite:
+        df = tables[spec.table]
+        if spec.kind == "unique":
+            keys = list(spec.via) or [spec.column]
+            twice = unique_failures(df, spec.column, spec.via).select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            parts.append(of(spec, df.where(F.col(spec.column).isNotNull()).join(twice, same, "left_semi")))
+        elif spec.kind == "relationships":
+            parent = tables[spec.to_table].select(F.col(spec.to_column).alias("_key"))
+            child = df.where(F.col(spec.column).isNotNull())
+            lost = child.select(F.col(spec.column).alias("_child")).distinct().join(parent, F.col("_child") == F.col("_key"), "left_anti")
+            parts.append(of(spec, child.join(lost, F.col(spec.column) == F.col("_child"), "left_semi")))
+    for name, (table, df) in (singular or {}).items():
+        parts.append(of(CheckSpec("singular", table, "", name=name), df))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_failing_rows(df: DataFrame, path: str) -> str:
+    """``failing_rows`` as a table with a partition for each check that has some."""
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy("check_name").parquet(path)
+    keep_readable(df.sparkSession, df, path, "check_name")
+    return path
+
+
 # --------------------------------------------------------------------------- freshness and published figures
 
 
@@ -260,9 +397,11 @@ def reconcile_published(
     )
 
 
-def checks_suite_with_singular(tables: dict[str, DataFrame], raw: DataFrame | None = None) -> DataFrame:
+def checks_suite_with_singular(
+    tables: dict[str, DataFrame], raw: DataFrame | None = None, counts: dict[str, int] | None = None
+) -> DataFrame:
     """run_checks plus the two singular tests that need a join (last-seen, row parity)."""
-    summary = run_checks(tables)
+    summary = run_checks(tables, counts=counts)
     extra = [
         failure_only_on_last_seen(tables["stg_drive_stats"], tables["int_drive_spans"])
         .agg(F.count(F.lit(1)).cast("bigint").alias("failing_rows"))

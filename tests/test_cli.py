@@ -30,6 +30,22 @@ def test_ingest_build_check(spark, scratch, capsys):
     assert main(["check", *args], spark) == 0
 
 
+def test_sync_stream_and_failing_rows(spark, scratch, capsys):
+    few = raw_drive_stats(spark, SF001).where("quarter < '1996Q1'").repartition("quarter")
+    few.write.partitionBy("quarter").option("header", True).csv(f"{scratch}/landing")
+    roots = ["--raw", f"{scratch}/raw", "--out", f"{scratch}/wh"]
+    limits = ["--min-drive-count", "1", "--min-drive-days", "2", "--drive-buckets", "4"]
+    drops = ["--landing", f"{scratch}/landing", "--meta", f"{scratch}/meta", "--checkpoint", f"{scratch}/checkpoint"]
+    assert main(["stream", *roots, *limits, *drops], spark) == 0
+    assert '{"batches": 1}' in capsys.readouterr().out
+    assert main(["sync", *roots, *limits], spark) == 0  # the stream left nothing to do
+    assert '"changed": [], "vanished": []' in capsys.readouterr().out
+    assert main(["check", *roots, "--rows", f"{scratch}/failing"], spark) == 0
+    assert "0 failed" in capsys.readouterr().out
+    found = spark.read.parquet(f"{scratch}/failing").where("severity = 'error'")
+    assert found.isEmpty()
+
+
 def test_ingest_rejects_bad_quarter(spark):
     with pytest.raises(SystemExit):
         main(["ingest", "--quarter", "2026Q9", "--csv", "/x", "--raw", "/y", "--meta", "/z"], spark)
