@@ -2,8 +2,10 @@
 
 ``ingest_quarters`` loads any number of quarters in a fixed number of Spark jobs:
 
-1. one text scan of the drops gives, per file, the header line, the data lines and the bytes:
-   a count of the rows that does not depend on the CSV parser;
+1. one text scan of the drops gives, per file, the header line, the data records, the bytes and the
+   dialect (delimiter and quote): a count of the rows that does not depend on the CSV parser. Where
+   quoted fields span lines, a second scan of those files carries the open quote over lines and
+   splits, so that their records are counted and not their lines;
 2. files of one quarter and one header are read together, all columns as strings, and
    everything is joined by column name. The CSV is parsed once, into a staged Parquet
    copy; a row with too few or too many fields is kept there as a corrupt record;
@@ -24,6 +26,7 @@ from __future__ import annotations
 import csv
 import re
 import time
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -67,55 +70,165 @@ def list_csv_files(spark: SparkSession, root: str) -> list[str]:
     return sorted(r.path for r in files.collect())
 
 
+#: Delimiters and quotes that a drop may use, in the order in which ties are decided.
+DELIMITERS = (",", ";", "\t", "|")
+QUOTES = ('"', "'")
+
+
+@dataclass(frozen=True)
+class Dialect:
+    delimiter: str = ","
+    quote: str = '"'
+    multiline: bool = False  # a quoted field spans lines: the parser must read the file as a whole
+
+
 @dataclass
 class DropFile:
     path: str
     header: tuple[str, ...]
-    lines: int
+    lines: int  # data records
     size: int
+    dialect: Dialect = Dialect()
+
+
+def split_header(line: str | None, dialect: Dialect = Dialect()) -> tuple[str, ...]:
+    """Column names of a header line; a delimiter inside quotes does not separate."""
+    text = (line or "").lstrip("﻿")
+    return tuple(c.strip() for c in next(csv.reader([text], delimiter=dialect.delimiter, quotechar=dialect.quote), []))
+
+
+def _count_of(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark)))
 
 
-def split_header(line: str | None) -> tuple[str, ...]:
-    """Column names of a header line; a comma inside quotes does not separate."""
-    return tuple(c.strip() for c in next(csv.reader([(line or "").lstrip("﻿")]), []))
+def _bare(text: Column, quote: str) -> Column:
+    """The text without its quoted parts."""
+    return F.regexp_replace(text, f"{quote}[^{quote}]*{quote}", "")
+
+
+def _drop_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Non-empty lines with their file, split and a number that grows along each split by one a line."""
+    return (
+        spark.read.text(files)
+        .where(F.length(F.trim("value")) > 0)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_size").alias("size"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+    )
 
 
 def scan_files(spark: SparkSession, files: list[str]) -> dict[str, DropFile]:
-    """Header, non-empty data lines and bytes of every file, from one text scan.
+    """Header, data records, bytes and dialect of every file, from one text scan (two where quoted fields span
+    lines, three where a header holds several delimiters).
 
-    The header is the first line of a file: the one that its first split reads first. Quoted fields may not
-    span lines (they do not in telemetry drops).
+    The header is the first line of a file: the one that its first split reads first. What reaches the driver is one
+    row a file.
     """
-    lines = spark.read.text(files).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("size"),
-        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
-    )
-    per_file = lines.groupBy("path").agg(
-        F.min_by("value", "place").alias("header"),
-        F.sum((F.length(F.trim("value")) > 0).cast("long")).alias("lines"),
-        F.first("size").alias("size"),
+    fields = "".join(re.escape(d) for d in DELIMITERS)
+    per_file = (
+        _drop_lines(spark, files)
+        .groupBy("path")
+        .agg(
+            F.min_by("value", F.when(F.col("split") == 0, F.col("place"))).alias("header"),
+            F.count(F.lit(1)).alias("lines"),
+            F.first("size").alias("size"),
+            *[F.count(F.when(_count_of(F.col("value"), q) % 2 == 1, 1)).alias(f"odd{i}") for i, q in enumerate(QUOTES)],
+            # fields that are quoted as a whole
+            *[
+                F.count(F.when(F.col("value").rlike(f"(^|[{fields}]){q}[^{q}]*({q}([{fields}]|$)|$)"), 1)).alias(f"quoted{i}")
+                for i, q in enumerate(QUOTES)
+            ],
+        )
     )
     rows = {_plain(r.path): r for r in per_file.collect()}
+    quotes = {f: QUOTES[1] if r.quoted1 and not r.quoted0 else QUOTES[0] for f, r in rows.items()}
+    delimiters = _delimiters(spark, {f: (r.header or "", quotes[f]) for f, r in rows.items()})
+    open_ = {f: quotes[f] for f, r in rows.items() if r[f"odd{QUOTES.index(quotes[f])}"]}
+    inside = _continuations(spark, open_) if open_ else {}
     out = {}
     for f in files:
-        r = rows.get(_plain(f))
-        out[f] = DropFile(f, split_header(r.header) if r else (), max(0, r.lines - 1) if r else 0, r.size if r else 0)
+        key = _plain(f)
+        r = rows.get(key)
+        if r is None:
+            out[f] = DropFile(f, (), 0, 0)
+            continue
+        dialect = Dialect(delimiters[key], quotes[key], key in open_)
+        out[f] = DropFile(f, split_header(r.header, dialect), max(0, r.lines - 1 - inside.get(key, 0)), r.size, dialect)
     return out
 
 
+def _delimiters(spark: SparkSession, headers: dict[str, tuple[str, str]]) -> dict[str, str]:
+    """file -> delimiter. A header with one kind of delimiter outside quotes decides at once; where it has several,
+    the file's lines vote: the one that most lines have as often as the header, then the one with more columns."""
+    counts: dict[str, dict[str, int]] = {}
+    for f, (header, quote) in headers.items():
+        bare = re.sub(f"{quote}[^{quote}]*{quote}", "", header)
+        counts[f] = {d: bare.count(d) for d in DELIMITERS if d in bare}
+    out = {f: next(iter(c), DELIMITERS[0]) for f, c in counts.items()}
+    unsure = {f: c for f, c in counts.items() if len(c) > 1}
+    if not unsure:
+        return out
+    votes = spark.createDataFrame(
+        [(f, headers[f][1], [c.get(d, 0) for d in DELIMITERS]) for f, c in unsure.items()], "file string, quote string, counts array<int>"
+    )
+    bare = F.when(F.col("quote") == QUOTES[0], _bare(F.col("value"), QUOTES[0])).otherwise(_bare(F.col("value"), QUOTES[1]))
+    lines = _drop_lines(spark, sorted(unsure)).select(F.regexp_replace("path", "^file:/*", "/").alias("file"), "value")
+    lines = lines.join(votes, "file").select("file", "counts", bare.alias("bare"))
+    alike = [F.count(F.when(_count_of(F.col("bare"), d) == F.col("counts")[i], 1)).alias(f"v{i}") for i, d in enumerate(DELIMITERS)]
+    for r in lines.groupBy("file").agg(*alike).collect():
+        choices = [(r[f"v{i}"], unsure[r.file][d], -i) for i, d in enumerate(DELIMITERS) if d in unsure[r.file]]
+        out[r.file] = DELIMITERS[-max(choices)[2]]
+    return out
+
+
+def _continuations(spark: SparkSession, quotes: dict[str, str]) -> dict[str, int]:
+    """file -> lines that continue a record: those after a line that leaves a quote open, up to the one that closes it.
+
+    A line with an odd number of quotes opens or closes. Lines are numbered along a file by the lines of the splits before
+    and the place in the split; only the odd lines are then paired by a window over the file. A quote
+    that is never closed holds no line: the counts then differ, and the load fails.
+    """
+    lines = _drop_lines(spark, sorted(quotes)).withColumn("file", F.regexp_replace("path", "^file:/*", "/"))
+    splits = lines.groupBy("file", "split").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    single = [f for f, q in quotes.items() if q == QUOTES[1]]
+    marks = F.when(F.col("file").isin(single), _count_of(F.col("value"), QUOTES[1])).otherwise(_count_of(F.col("value"), QUOTES[0]))
+    odd = lines.where(marks % 2 == 1).select("file", "split", "place").join(splits, ["file", "split"])
+    odd = odd.select("file", (F.col("before") + F.col("place") - F.col("first")).alias("line"))
+    along = Window.partitionBy("file").orderBy("line")
+    paired = odd.select("file", "line", F.row_number().over(along).alias("nth"), F.lead("line").over(along).alias("next"))
+    held = paired.where("nth % 2 = 1").groupBy("file").agg(F.coalesce(F.sum(F.col("next") - F.col("line")), F.lit(0)).alias("held"))
+    return {r.file: r.held for r in held.collect()}
+
+
 def _plain(path: str) -> str:
     """A path without the spelling differences of local URIs (``file:///a`` and ``/a``)."""
     return re.sub(r"^file:/*", "/", path)
 
 
-def read_by_header(spark: SparkSession, groups: dict[tuple[str, tuple[str, ...]], list[str]]) -> DataFrame:
-    """(quarter, header) -> files, read as strings and joined by name, with ``quarter`` and the corrupt record."""
+Group = tuple[str, tuple[str, ...], Dialect]
+
+
+def read_by_header(spark: SparkSession, groups: dict[Group, list[str]]) -> DataFrame:
+    """(quarter, header, dialect) -> files, read as strings and joined by name, with ``quarter`` and the corrupt record.
+
+    A quote inside a quoted field is doubled. Only files whose records span lines are read as a whole; others split.
+    """
     frames = []
-    for (quarter, header), paths in sorted(groups.items()):
+    for (quarter, header, dialect), paths in sorted(groups.items(), key=lambda g: (*g[0][:2], str(g[0][2]))):
         schema = StructType([StructField(c, StringType()) for c in (*header, CORRUPT)])
-        df = spark.read.option("header", True).option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(paths)
+        df = (
+            spark.read.option("header", True)
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .options(sep=dialect.delimiter, quote=dialect.quote, escape=dialect.quote, multiLine=dialect.multiline)
+            .schema(schema)
+            .csv(paths)
+        )
         frames.append(df.withColumn("quarter", F.lit(quarter)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
@@ -385,15 +498,16 @@ def ingest_quarters(spark: SparkSession, sources: dict[str, list[str]], raw_root
     if not sources:
         raise FileNotFoundError("no CSV files to ingest")
     drops = scan_files(spark, [f for fs in sources.values() for f in fs])
-    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    groups: dict[Group, list[str]] = {}
     q_columns: dict[str, list[str]] = {}
     for q, files in sources.items():
         for f in files:
-            groups.setdefault((q, drops[f].header), []).append(f)
+            groups.setdefault((q, drops[f].header, drops[f].dialect), []).append(f)
         q_columns[q] = list(dict.fromkeys(c for f in files for c in drops[f].header))
     columns = list(dict.fromkeys(c for cs in q_columns.values() for c in cs))
 
-    stage = f"{meta_root.rstrip('/')}/_staging"
+    # a folder of this load: another one may run beside it
+    stage = f"{meta_root.rstrip('/')}/_staging/load={uuid.uuid4().hex}"
     strings = read_by_header(spark, groups).select(*columns, CORRUPT, "quarter")
     strings.write.mode("overwrite").option("compression", "zstd").parquet(stage)
     staged = spark.read.schema(strings.schema).parquet(stage)
