@@ -171,13 +171,37 @@ def rolling_rate_expand(daily: DataFrame, days: int) -> DataFrame:
     )
 
 
+def rolling_rate_join(daily: DataFrame, days: int) -> DataFrame:
+    """The same rolling sums as a self-join: every day against the days of its frame.
+
+    A join on a date range alone would be a nested loop. Days are cut into bins as long as the frame, so that a frame lies
+    in a day's own bin and the one before: each source row goes to its bin and the next, the sides meet
+    by (model, bin), and the exact range is a condition on the rows that met. At most twice the pairs of the frame are
+    compared, whatever the length of the calendar.
+    """
+    d = daily.withColumn("_day", _day()).withColumn("_bin", F.floor(F.col("_day") / days))
+    target = d.select("model", "snapshot_date", "_day", "_bin")
+    source = d.select(
+        F.col("model").alias("_model"), F.col("_day").alias("_source"), "drive_days", "failures",
+        F.explode(F.array(F.col("_bin"), F.col("_bin") + 1)).alias("_met"),
+    )
+    met = F.col("model").eqNullSafe(F.col("_model")) & (F.col("_bin") == F.col("_met"))
+    inside = (F.col("_source") <= F.col("_day")) & (F.col("_source") > F.col("_day") - days)
+    return (
+        target.join(source, met & inside)
+        .groupBy("model", "snapshot_date")
+        .agg(F.sum("drive_days").alias("window_drive_days"), F.sum("failures").alias("window_failures"))
+        .withColumn("rolling_afr_pct", afr_pct(F.col("window_failures"), F.col("window_drive_days")))
+    )
+
+
 def rolling_failure_rate(
     fct_daily: DataFrame, dim_drive: DataFrame, days: int = 90, method: str = "window"
 ) -> DataFrame:
     """Rolling ``days``-day failure rate per model and observation day (BI measure).
 
     ``method='window'`` uses a RANGE window; ``method='expand'`` the window-free
-    equi-grouping form. Both give identical rows.
+    equi-grouping form, ``method='join'`` a self-join by bins of days. All give identical rows.
     """
     return rolling_of_daily(model_daily_counts(fct_daily, dim_drive), days, method)
 
@@ -188,4 +212,6 @@ def rolling_of_daily(daily: DataFrame, days: int = 90, method: str = "window") -
         return rolling_rate_window(daily, days)
     if method == "expand":
         return rolling_rate_expand(daily, days)
-    raise ValueError(f"method must be 'window' or 'expand', got {method!r}")
+    if method == "join":
+        return rolling_rate_join(daily, days)
+    raise ValueError(f"method must be 'window', 'expand' or 'join', got {method!r}")

@@ -8,22 +8,26 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.config import PUBLISHED_THRESHOLDS, TEST_SCALE_THRESHOLDS
-from fleetlens.operators import afr, checks, contract, dims, facts, fleet, spans, survival, trend
+from fleetlens.config import PUBLISHED_THRESHOLDS, TEST_SCALE_THRESHOLDS, FleetColumns
+from fleetlens.operators import afr, checks, contract, dims, facts, fleet, gaps, spans, survival, trend
 from fleetlens.functions.columns import normalize_model, quarter_label, surrogate_key
 from fleetlens.plans import oracle as O
-from fleetlens.plans.export import export_gold, month_drive_days, sample_drives, sample_threshold
+from fleetlens.plans.export import export_gold, export_marts, month_drive_days, sample_drives, sample_rows, sample_threshold
 from fleetlens.plans.incremental import refresh_quarters
+from fleetlens.plans.refresh import read_table, refresh
 from fleetlens.plans.warehouse import WarehouseBuild, write_table
 from fleetlens.session import checkpoint_dir
+from fleetlens.sources.files import drop_folders, statistics_session
 from fleetlens.sources.ingest import drift_report, ingest_landing, ingest_quarter, read_raw_zone
 from fleetlens.sources.seed import manufacturer_seed
 from fleetlens.sources.telemetry import RAW_COLUMNS, raw_drive_stats
+from fleetlens.streaming.refresher import refresh_from_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,9 +46,12 @@ def materialized_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     is derived once, keeps column pruning and statistics, and cuts the lineage: a lost
     executor re-reads the table instead of re-deriving it.
     """
+    return spark.read.parquet(_raw_path(spark, sf_dir))
+
+
+def _raw_path(spark: SparkSession, sf_dir: str, partition_by: str | None = None) -> str:
     path = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-raw-{uuid.uuid4().hex}"
-    write_table(raw_drive_stats(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return write_table(raw_drive_stats(spark, sf_dir), path, partition_by)
 
 
 class Warehouse:
@@ -111,6 +118,7 @@ class Warehouse:
 FRESHNESS_AS_OF = "2002-06-30"
 MONTH = (1996, 5)  # the partition-pruning query's month (O25)
 SAMPLE_FRACTION = 0.25  # the CI sample's share of drives (A16)
+SAMPLE_ROWS = 20_000  # rows of the CI sample of a stated size
 
 
 def check_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -143,6 +151,43 @@ def _data_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.checks_suite_with_singular(tables, raw)
 
 
+#: The checks whose rows are asked for, and what is planted in the frame that they look at (SQL that both engines read).
+PLANTED_CHECKS = {
+    "not_null:stg_drive_stats.model", "accepted_values:stg_drive_stats.failure_flag", "temperature_within_bounds",
+    "quarter_label_matches_partition", "unique:fct_drive_daily.drive_day_key",
+    "relationships:fct_drive_daily.serial_number->dim_drive.serial_number", "dim_drive_capacity_positive",
+}
+PLANTED = {
+    "model": "case when smart_5_reallocated_sectors_raw % 37 = 0 then null else model end",
+    "failure_flag": "case when smart_5_reallocated_sectors_raw % 41 = 0 then 7 else failure_flag end",
+    "smart_194_temperature_celsius_raw": "case when smart_188_command_timeout_raw = 7 and smart_5_reallocated_sectors_raw % 5 = 0 "
+    "then 130 else smart_194_temperature_celsius_raw end",
+    "quarter": "case when smart_5_reallocated_sectors_raw % 43 = 0 then '1900Q1' else quarter end",
+}
+TWICE = "smart_5_reallocated_sectors_raw % 47 = 0"
+WITHOUT_DIM, WITHOUT_CAPACITY = "serial_number like '%77'", "serial_number like '%5'"
+
+
+def failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that break a check, over a frame with planted defects, as written to the table of offending rows."""
+    stg = contract.stage_contract(materialized_raw(spark, sf_dir))
+    whole = dims.dim_drive(stg)
+    bad = stg.unionByName(stg.where(TWICE)).selectExpr(*[f"{PLANTED.get(c, c)} as {c}" for c in stg.columns])
+    bad = bad.withColumn("failure_flag", F.col("failure_flag").cast("tinyint"))
+    drives = whole.where(f"not ({WITHOUT_DIM})").withColumn("capacity_bytes", F.expr(f"case when {WITHOUT_CAPACITY} then -1 else capacity_bytes end"))
+    tables = {"stg_drive_stats": bad, "dim_drive": drives, "fct_drive_daily": facts.fct_drive_daily(bad)}
+    suite = [s for s in checks.WAREHOUSE_SUITE if s.check_name in PLANTED_CHECKS]
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-failing-{uuid.uuid4().hex}"
+    rows = spark.read.parquet(checks.write_failing_rows(checks.failing_rows(tables, suite), root))
+    return rows.select(
+        "check_name",
+        "table_name",
+        "severity",
+        F.get_json_object("row", "$.serial_number").alias("serial_number"),
+        F.get_json_object("row", "$.snapshot_date").alias("snapshot_date"),
+    )
+
+
 #: Quarters from this one on are landed and loaded as a second batch.
 SECOND_BATCH = "1996Q1"
 
@@ -175,6 +220,20 @@ def land_and_ingest(spark: SparkSession, sf_dir: str, rerun: str | None = None)
     return root
 
 
+def ingest_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw zone of drops with a free-text column whose quoted values hold delimiters, quotes, line ends and empty
+    lines; the drops of every third and fourth quarter are delimited by semicolons."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-dialects-{uuid.uuid4().hex}"
+    note = F.concat(F.lit('said "'), "serial_number", F.lit('";\n\nthen, '), F.col("smart_188_raw").cast("string"))
+    rows = raw_drive_stats(spark, sf_dir).withColumn("note", F.when(F.col("smart_5_raw") % 3 == 0, note))
+    qn = F.substring("quarter", 6, 1)
+    for folder, mark, some in (("a", ",", ("1", "2")), ("b", ";", ("3", "4"))):
+        drops = rows.where(qn.isin(*some)).write.partitionBy("quarter").options(header=True, sep=mark, escape='"')
+        drops.csv(f"{root}/landing/{folder}")
+    ingest_landing(spark, f"{root}/landing", f"{root}/raw", f"{root}/meta")
+    return read_raw_zone(spark, f"{root}/raw").select("serial_number", "date", "failure", "note", "quarter")
+
+
 def raw_zone_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw zone after two batches and a rerun of one quarter: one copy of every row, SMART 5
     widened to a decimal over both batches."""
@@ -207,6 +266,69 @@ def incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(paths["mart_model_afr_quarterly"])
 
 
+#: Drive buckets of the refreshed warehouses of the registered queries.
+REFRESH_BUCKETS = 8
+
+
+def manifest_refresh(table: str) -> Query:
+    """A table of a warehouse that was refreshed twice without naming a quarter: first the older half of the raw zone, one
+    quarter of it with wrong rows; then the newer half is added, the wrong quarter replaced and the oldest one removed."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-manifest-{uuid.uuid4().hex}"
+        raw = materialized_raw(spark, sf_dir)
+        quarters = sorted(r.quarter for r in raw.select("quarter").distinct().collect())
+        older, wrong = quarters[: len(quarters) // 2], quarters[len(quarters) // 3]
+        in_older = raw.where(F.col("quarter").isin(older))
+        # every third drive is missing from the wrong quarter, the others have failed in it
+        tampered = in_older.where((F.col("quarter") != wrong) | (F.crc32("serial_number") % 3 != 0)).withColumn(
+            "failure", F.when(F.col("quarter") == wrong, 1).otherwise(F.col("failure")).cast("tinyint")
+        )
+        raw_root = write_table(tampered, f"{root}/raw", partition_by="quarter")
+        refresh(spark, raw_root, f"{root}/warehouse", TEST_SCALE_THRESHOLDS, buckets=REFRESH_BUCKETS)
+        fresh = raw.where(~F.col("quarter").isin(older) | (F.col("quarter") == wrong))
+        write_table(fresh, raw_root, partition_by="quarter", dynamic=True)
+        drop_folders(spark, [f"{raw_root}/quarter={quarters[0]}"])
+        done = refresh(spark, raw_root, f"{root}/warehouse", TEST_SCALE_THRESHOLDS, buckets=REFRESH_BUCKETS)
+        return read_table(spark, done, table)
+
+    return run
+
+
+class StoppedInBatch(RuntimeError):
+    pass
+
+
+def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart after three drops, the last one of older quarters, taken in by the stream; it stops in the middle of the
+    second batch, after the load and before the refresh, and is started again."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-stream-{uuid.uuid4().hex}"
+    raw = materialized_raw(spark, sf_dir)
+    quarters = sorted(r.quarter for r in raw.select("quarter").distinct().collect())
+    third = len(quarters) // 3
+    stops = [1]
+
+    def stop(batch_id: int) -> None:
+        if batch_id in stops:
+            stops.remove(batch_id)
+            raise StoppedInBatch(f"batch {batch_id}")
+
+    for n, some in enumerate((quarters[third : 2 * third], quarters[2 * third :], quarters[:third])):
+        rows = raw.where(F.col("quarter").isin(some))
+        rows.repartition("quarter").write.partitionBy("quarter").option("header", True).csv(f"{root}/landing/drop-{n}")
+        for attempt in (1, 2):
+            try:
+                refresh_from_landing(
+                    spark, f"{root}/landing", f"{root}/raw", f"{root}/meta", f"{root}/warehouse", f"{root}/checkpoint",
+                    TEST_SCALE_THRESHOLDS, REFRESH_BUCKETS, after_load=stop,
+                )
+                break
+            except StreamingQueryException:
+                if attempt == 2 or stops:
+                    raise
+    return spark.read.parquet(f"{root}/warehouse/mart_model_afr_quarterly")
+
+
 def gold_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exported day aggregate of data drives, read back from the gold folder."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-gold-{uuid.uuid4().hex}"
@@ -215,6 +337,63 @@ def gold_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out["fct_model_daily"])
 
 
+def gold_export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One measure of each exported mart, read back from the gold folder: (mart, row_key, measure)."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-marts-{uuid.uuid4().hex}"
+    raw = materialized_raw(spark, sf_dir)
+    built = WarehouseBuild(spark, raw, f"{root}/warehouse", TEST_SCALE_THRESHOLDS).run()
+    out = export_marts(spark, built.tables, contract.stage_contract(raw), f"{root}/gold")
+    measures = {
+        "int_drive_spans": ("serial_number", "observed_days"),
+        "mart_cohort_survival": ("concat_ws('|', model, age_bucket)", "survival"),
+        "mart_cohort_survival_late_entry": ("concat_ws('|', model, age_bucket)", "at_risk"),
+        "mart_trend_anomaly": ("concat_ws('|', model, snapshot_date)", "rolling_afr_pct"),
+        "mart_rolling_90d": ("concat_ws('|', model, snapshot_date)", "window_drive_days"),
+        "fleet_daily": ("cast(snapshot_date as string)", "active_drives"),
+    }
+    parts = [
+        spark.read.parquet(out[m]).selectExpr(f"'{m}' as mart", f"{key} as row_key", f"cast({value} as double) as measure")
+        for m, (key, value) in measures.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def fleet_by_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the views of a built warehouse, the staging view included: drives, drive-days and readings by manufacturer and status."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fleetlens-views-{uuid.uuid4().hex}"
+    raw_root = write_table(raw_drive_stats(spark, sf_dir), f"{root}/raw", partition_by="quarter")
+    WarehouseBuild(spark, read_raw_zone(spark, raw_root), f"{root}/warehouse", TEST_SCALE_THRESHOLDS).run().register_views(spark, raw_root)
+    return spark.sql(FLEET_BY_VIEW)
+
+
+#: One statement for both engines: over the registered views here, over the SQL of the tables there.
+FLEET_BY_VIEW = """
+select m.manufacturer, d.status, count(*) as drives, cast(sum(d.drive_days) as bigint) as drive_days, cast(sum(s.readings) as bigint) as readings
+from dim_drive d
+join dim_model m on m.model = d.model
+join (select serial_number, count(smart_9_power_on_hours_raw) as readings from stg_drive_stats group by serial_number) s
+  on s.serial_number = d.serial_number
+group by m.manufacturer, d.status"""
+
+
+def freshness_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness of the written raw zone from its files' statistics: no row is read."""
+    return checks.source_freshness(statistics_session(spark).read.parquet(_raw_path(spark, sf_dir)), "date", FRESHNESS_AS_OF)
+
+
+def dim_date_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar over the written raw zone, its bounds from its files' statistics."""
+    raw = statistics_session(spark).read.parquet(_raw_path(spark, sf_dir))
+    return dims.date_spine(raw, FleetColumns(date="date")).select(*dims.calendar_columns(F.col("date_day")))
+
+
+def raw_zone_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, first and last day of every quarter of the written raw zone, from its files' statistics."""
+    raw = statistics_session(spark).read.parquet(_raw_path(spark, sf_dir, "quarter"))
+    days = (F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    return raw.groupBy("quarter").agg(F.count(F.lit(1)).alias("rows"), *days)
+
+
 def ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV drops -> batch ingest -> raw zone -> staging, over every row of the derived telemetry."""
     root = land_and_ingest(spark, sf_dir)
@@ -284,10 +463,18 @@ QUERIES: dict[str, Query] = {
     "rolling_30d_failure_rate": _wh(lambda w: trend.rolling_of_daily(w.model_daily, 30)),
     "rolling_90d_failure_rate": _wh(lambda w: trend.rolling_of_daily(w.model_daily, 90)),
     "rolling_90d_failure_rate_expand": _wh(lambda w: trend.rolling_of_daily(w.model_daily, 90, method="expand")),
+    "rolling_90d_failure_rate_join": _wh(lambda w: trend.rolling_of_daily(w.model_daily, 90, method="join")),
     "trend_anomaly": _wh(lambda w: trend.trend_of_daily(w.model_daily)),
     "temperature_anomaly": _wh(lambda w: trend.temperature_anomaly(w.fct_drive_daily)),
     "cohort_survival": _wh(lambda w: survival.cohort_survival(w.dim_drive)),
     "cohort_survival_by_vintage": _wh(lambda w: survival.cohort_survival(w.dim_drive, by_vintage=True)),
+    "cohort_survival_late_entry": _wh(lambda w: survival.late_entry_survival(survival.drive_ages(w.stg), w.dim_drive)),
+    "cohort_survival_late_entry_observed": _wh(
+        lambda w: survival.late_entry_survival(survival.drive_ages(w.stg, "observed"), w.dim_drive)
+    ),
+    "cohort_survival_late_entry_vintage": _wh(
+        lambda w: survival.late_entry_survival(survival.drive_ages(w.stg), w.dim_drive, by_vintage=True, actuarial=True)
+    ),
     "fleet_daily": _wh(lambda w: fleet.fleet_daily_from_partials(w.stg, w.quarter_partials)),
     "dedupe_drive_days": _wh(lambda w: fleet.dedupe_grain(w.stg)),
     "afr_by_model": _wh(lambda w: afr.afr_by_model(w.mart(TEST_SCALE_THRESHOLDS))),
@@ -304,16 +491,30 @@ QUERIES: dict[str, Query] = {
         lambda w: dims.dim_model(w.stg, manufacturer_seed(w.spark), drive_type_scope="slot_quarters"), materialize=True
     ),
     "month_drive_days": lambda spark, sf_dir: month_drive_days(raw_drive_stats(spark, sf_dir), *MONTH),
+    "ci_sample_rows": _wh(lambda w: sample_rows(w.stg, w.dim_drive, SAMPLE_ROWS)),
+    "drive_gaps": _wh(lambda w: gaps.drive_gaps(gaps.observed_runs(w.quarter_partials), gaps.fleet_days(w.quarter_partials))),
+    "fleet_outages": _wh(lambda w: gaps.fleet_days(w.quarter_partials).drop("outages_so_far")),
+    "spans_beside_outages": _wh(lambda w: gaps.spans_beside_outages(w.partials, gaps.fleet_days(w.quarter_partials))),
     "ci_sample_drives": _wh(lambda w: sample_drives(w.stg, SAMPLE_FRACTION)),
     "afr_reconciliation": _wh(afr_reconciliation),
     "ingest_roundtrip": ingest_roundtrip,
+    "ingest_dialects": ingest_dialects,
     "schema_drift_report": schema_drift_report,
     "raw_zone_rerun": raw_zone_rerun,
     "ingest_run_log": ingest_run_log,
     "schema_drift_log": schema_drift_log,
     "incremental_refresh": incremental_refresh,
+    "manifest_refresh": manifest_refresh("mart_model_afr_quarterly"),
+    "manifest_refresh_drives": manifest_refresh("dim_drive"),
+    "stream_refresh": stream_refresh,
     "gold_export": gold_export,
+    "gold_export_marts": gold_export_marts,
+    "fleet_by_view": fleet_by_view,
+    "source_freshness_files": freshness_of_files,
+    "dim_date_files": dim_date_of_files,
+    "raw_zone_counts": raw_zone_counts,
     "data_checks": _data_checks,
+    "failing_rows": failing_rows,
     "source_freshness": _wh(
         lambda w: checks.source_freshness(w.stg, "snapshot_date", FRESHNESS_AS_OF)
     ),
@@ -359,10 +560,16 @@ from mart group by quarter_label""",
     "rolling_30d_failure_rate": O.rolling_sql(30),
     "rolling_90d_failure_rate": O.rolling_sql(90),
     "rolling_90d_failure_rate_expand": O.rolling_sql(90),
+    "rolling_90d_failure_rate_join": O.rolling_sql(90),
     "trend_anomaly": O.TREND_SQL,
     "temperature_anomaly": O.TEMPERATURE_SQL,
     "cohort_survival": O.survival_sql(False),
     "cohort_survival_by_vintage": O.survival_sql(True),
+    "cohort_survival_late_entry": O.late_entry_sql("smart_9_power_on_hours_raw // 24"),
+    "cohort_survival_late_entry_observed": O.late_entry_sql(
+        "datediff('day', min(snapshot_date) over (partition by serial_number), snapshot_date)"
+    ),
+    "cohort_survival_late_entry_vintage": O.late_entry_sql("smart_9_power_on_hours_raw // 24", by_vintage=True, actuarial=True),
     "fleet_daily": O.FLEET_DAILY_SQL,
     "dedupe_drive_days": O.DEDUPE_SQL,
     "afr_by_model": O.by_model_sql(_MART),
@@ -397,6 +604,28 @@ where dm.drive_type = 'boot' and mq.drive_count > {TEST_SCALE_THRESHOLDS.min_dri
     "int_drive_spans_grace_30d": f"{O.with_ctes(*O.BASE, O.spans_cte(30))} select * from spans",
     "dim_model_slot_quarters": O.SLOT_SCOPED_DIM_MODEL_SQL,
     "month_drive_days": O.month_sql(*MONTH),
+    "ci_sample_rows": f"""{O.with_ctes(*O.BASE, O.SPANS_CTE, O.DIM_DRIVE_CTE)},
+hashed as (select *, md5(serial_number || '|42') as h from dim_drive),
+strata as (
+  select serial_number, drive_days from hashed
+  where h in (select min(h) from hashed group by model) or h in (select min(h) from hashed group by status)),
+others as (
+  select serial_number, coalesce(sum(drive_days) over (order by h rows between unbounded preceding and 1 preceding), 0) as start
+  from hashed where serial_number not in (select serial_number from strata))
+select * from stg where serial_number in (select serial_number from strata)
+  or serial_number in (select serial_number from others where start < {SAMPLE_ROWS} - (select sum(drive_days) from strata))""",
+    "drive_gaps": f"""{O.with_ctes(*O.BASE, O.OUTAGE_CTE)},
+seen as (select distinct serial_number, snapshot_date as day from stg where serial_number is not null and snapshot_date is not null),
+pairs as (select serial_number, lag(day) over (partition by serial_number order by day) as prior, day from seen)
+select serial_number, prior + 1 as gap_start, day - 1 as gap_end, cast(day - prior - 1 as bigint) as missing_days,
+  (select count(*) from fleet f where f.is_outage and f.snapshot_date > prior and f.snapshot_date < day) as outage_days
+from pairs where day - prior > 1""",
+    "fleet_outages": f"{O.with_ctes(*O.BASE, O.OUTAGE_CTE)} select * from fleet",
+    "spans_beside_outages": f"""{O.with_ctes(*O.BASE, O.SPANS_CTE, O.OUTAGE_CTE)}
+select * replace (case when final_day_failure_flag = 1 then 'failed'
+    when last_seen < (select max(snapshot_date) from fleet where not is_outage) then 'exited_without_failure'
+    else 'active' end as censoring_status)
+from spans where serial_number is not null""",
     "ci_sample_drives": f"""{O.with_ctes(*O.BASE)}
 select * from stg
 where substr(md5(serial_number || '|42'), 1, 6) < '{sample_threshold(SAMPLE_FRACTION)}'""",
@@ -434,6 +663,10 @@ select quarter, prior_quarter,
   case when substr(quarter, 6, 1) in ('3', '4') and substr(prior_quarter, 6, 1) in ('1', '2')
        then 'pod_slot_num' else '' end as removed
 from lp""",
+    "ingest_dialects": f"""{O.with_ctes(O.RAW_CTE)}
+select serial_number, date, failure, quarter,
+  case when smart_5_raw % 3 = 0 then 'said "' || serial_number || '";' || chr(10) || chr(10) || 'then, ' || smart_188_raw end as note
+from raw_drive_stats""",
     "raw_zone_rerun": f"""{O.with_ctes(O.RAW_CTE)}
 select serial_number, date, quarter,
   cast(smart_5_raw as double) + if(quarter >= '{SECOND_BATCH}', 0.25, 0) as smart_5_raw
@@ -448,12 +681,32 @@ select quarter, if(lag(quarter) over w is null, 'baseline', 'changed') as status
   columns, lag(columns) over w as prior_columns
 from sizes window w as (order by quarter)""",
     "incremental_refresh": O.mart_sql(TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days),
+    "manifest_refresh": O.without_first_quarter(O.mart_sql(TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days)),
+    "manifest_refresh_drives": O.without_first_quarter(
+        f"{O.with_ctes(*O.BASE, O.SPANS_CTE, O.DIM_DRIVE_CTE)} select * from dim_drive"
+    ),
+    "stream_refresh": O.mart_sql(TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days),
     "gold_export": f"""{O.with_ctes(*O.WAREHOUSE, O.MODEL_DAILY_CTE)}
 select model, snapshot_date, drive_days, failures
 from md where model in (select model from dim_model where drive_type = 'data')""",
+    "gold_export_marts": f"""
+select 'int_drive_spans' as mart, serial_number as row_key, cast(observed_days as double) as measure
+from ({O.with_ctes(*O.BASE, O.SPANS_CTE)} select * from spans)
+union all select 'mart_cohort_survival', concat_ws('|', model, age_bucket), survival from ({O.survival_sql(False)})
+union all select 'mart_cohort_survival_late_entry', concat_ws('|', model, age_bucket), at_risk
+from ({O.late_entry_sql("smart_9_power_on_hours_raw // 24")})
+union all select 'mart_trend_anomaly', concat_ws('|', model, snapshot_date), rolling_afr_pct from ({O.TREND_SQL})
+union all select 'mart_rolling_90d', concat_ws('|', model, snapshot_date), window_drive_days from ({O.rolling_sql(90)})
+union all select 'fleet_daily', cast(snapshot_date as varchar), active_drives from ({O.FLEET_DAILY_SQL})""",
+    "fleet_by_view": f"{O.with_ctes(*O.WAREHOUSE)}, stg_drive_stats as (select * from stg) {FLEET_BY_VIEW}",
+    "source_freshness_files": O.freshness_sql(FRESHNESS_AS_OF),
+    "dim_date_files": f"{O.with_ctes(*O.BASE, O.DIM_DATE_CTE)} select * from dim_date",
+    "raw_zone_counts": f"""{O.with_ctes(O.RAW_CTE)}
+select quarter, count(*) as rows, min(date) as first_day, max(date) as last_day from raw_drive_stats group by quarter""",
     "data_checks": O.checks_sql(
         checks.WAREHOUSE_SUITE, TEST_SCALE_THRESHOLDS.min_drive_count, TEST_SCALE_THRESHOLDS.min_drive_days
     ),
+    "failing_rows": O.failing_rows_sql(PLANTED, TWICE, WITHOUT_DIM, WITHOUT_CAPACITY),
     "source_freshness": O.freshness_sql(FRESHNESS_AS_OF),
     "failure_only_on_last_seen": O.LAST_SEEN_SQL,
     "model_manufacturer": O.MANUFACTURER_SQL,
