@@ -202,33 +202,67 @@ def _meeting(members: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndar
         yield i, np.flatnonzero(ok) + i + 1
 
 
-def _earlier_bands(sigs: np.ndarray, band: int) -> np.ndarray:
-    """For each class of a band, numbers that tell its keys apart in the bands before that one."""
-    keys = _band_keys(sigs)
-    place = int(np.flatnonzero((keys == band).all(0))[0])
-    out = np.empty((len(sigs), place), np.uint16 if len(sigs) < 1 << 16 else np.uint32)
-    for c in range(place):
-        out[:, c] = np.unique(keys[:, c], return_inverse=True)[1]
-    return out
+_SUSPECT = "band long, lo int, hi int, side int, node long, component long, n_shingles long"
 
 
-_SUSPECT = "band long, lo int, hi int, side int, node long, component long, n_shingles long"
+def _suspects(percent: int, least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of each block (rows sorted by block) that by signature may be linked with one of another component,
+    and meet it in no earlier band. Many small blocks are judged at once, in whole batches."""
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        starts = _block_starts(held)
+        if len(starts) > 1:  # the last block may go on
+            yield from _suspects_of(percent, least, held.slice(0, int(starts[-1])))
+            held = held.slice(int(starts[-1]))
+    if held is not None and held.num_rows:
+        yield from _suspects_of(percent, least, held)
 
 
-def _suspects(percent: int, least: float, members: pd.DataFrame) -> pd.DataFrame:
-    """The classes of a block that by signature may be linked with one of another component, and
-    meet it in no earlier band."""
-    sigs = np.frombuffer(b"".join(members["sig"]), np.uint16).reshape(-1, HASHES)
-    near = np.zeros(len(members), bool)
-    early = _earlier_bands(sigs, int(members["band"].iloc[0]))
-    for i, others in _meeting(members, percent):
-        if len(others):
-            # a pair that meets in an earlier band is judged there
-            others = others[~(early[others] == early[i]).any(1)]
-            likely = others[(sigs[others] == sigs[i]).sum(1) >= least * HASHES]
-            near[likely] = True
-            near[i] |= len(likely) > 0
-    return members.loc[near, [f.split()[0] for f in _SUSPECT.split(", ")]]
+def _block_starts(rows: pa.Table) -> np.ndarray:
+    if not rows.num_rows:
+        return np.zeros(0, np.int64)
+    names = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("band", "lo", "hi")])
+    return np.flatnonzero(np.concatenate([[True], (names[:, 1:] != names[:, :-1]).any(0)]))
+
+
+#: Blocks of at most so many classes are judged together, pair distance by pair distance.
+SMALL_BLOCK = 64
+
+
+def _suspects_of(percent: int, least: float, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    band, sides, comps, sizes = (rows.column(c).to_numpy() for c in ("band", "side", "component", "n_shingles"))
+    sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
+    starts = _block_starts(rows)
+    count = np.diff(np.append(starts, len(band)))
+    keys = _band_keys(sigs)
+    # the place of a block's own band: where all its classes have that key
+    own = np.logical_and.reduceat(keys == band[:, None], starts, axis=0).argmax(1)
+    block = np.repeat(np.arange(len(starts)), count)
+    left = count[block] - (np.arange(len(band)) - starts[block])  # classes from this one to the block's end
+    near = np.zeros(len(band), bool)
+
+    def judge(i: np.ndarray, j: np.ndarray) -> None:
+        ok = (comps[i] != comps[j]) & ((sides[i] != sides[j]) | (sides[i] == 0))
+        ok &= 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
+        i, j = i[ok], j[ok]
+        # a pair that meets in an earlier band is judged there
+        fresh = ~((keys[i] == keys[j]) & (np.arange(BANDS) < own[block[i]][:, None])).any(1)
+        i, j = i[fresh], j[fresh]
+        likely = (sigs[i] == sigs[j]).sum(1) >= least * HASHES
+        near[i[likely]] = near[j[likely]] = True
+
+    small = count[block] <= SMALL_BLOCK
+    for d in range(1, int(count[count <= SMALL_BLOCK].max(initial=0))):
+        i = np.flatnonzero(small & (left > d))
+        judge(i, i + d)
+    for b in np.flatnonzero(count > SMALL_BLOCK):
+        end = starts[b] + count[b]
+        for i in range(starts[b], end - 1):
+            others = np.arange(i + 1, end)
+            judge(np.full(len(others), i), others)
+    yield from rows.select([f.split()[0] for f in _SUSPECT.split(", ")]).filter(pa.array(near)).to_batches()
 
 
 def _intersections(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -324,10 +358,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, words: int = 5, percent: in
         .withColumn("side", F.when(F.col("lo") == F.col("hi"), 0).when(F.col("own") == F.col("lo"), 1).otherwise(2))
         .select("band", "lo", "hi", "side", "node", "component", "n_shingles", "sig")
         .repartition(parts, "band", "lo", "hi")
+        .sortWithinPartitions("band", "lo", "hi")
     )
     least = LEAST_ESTIMATE.get(percent, 0.0)
-    suspects = members.groupBy("band", "lo", "hi").applyInPandas(lambda pdf: _suspects(percent, least, pdf), _SUSPECT)
-    suspects = written(spark, suspects, "suspects")
+    suspects = written(spark, members.mapInArrow(lambda x: _suspects(percent, least, x), _SUSPECT), "suspects")
     sets = judge.sets(suspects.select("node").distinct(), "rest")
     more = (
         suspects.join(sets, "node")
