@@ -24,15 +24,14 @@ def blocks(rng, sizes):
 
 def plain(rows, percent, least):
     out = set()
+    sigs = [np.frombuffer(r[7], np.uint16) for r in rows]
+    keys = N._band_keys(np.stack(sigs))
     for i, a in enumerate(rows):
-        sa = np.frombuffer(a[7], np.uint16)
-        for b in rows[i + 1 :]:
+        for j, b in enumerate(rows[i + 1 :], i + 1):
             if a[:3] != b[:3] or a[5] == b[5] or (a[3] == b[3] and a[3] != 0) or 100 * min(a[6], b[6]) < percent * max(a[6], b[6]):
                 continue
-            sb = np.frombuffer(b[7], np.uint16)
-            ka, kb = (N._band_keys(s[None])[0] for s in (sa, sb))
-            first = int(np.flatnonzero(ka == kb)[0])
-            if ka[first] == a[0] and (sa == sb).sum() >= least * N.HASHES:
+            first = int(np.flatnonzero(keys[i] == keys[j])[0])
+            if keys[i, first] == a[0] and (sigs[i] == sigs[j]).sum() >= least * N.HASHES:
                 out |= {a[4], b[4]}
     return sorted(out)
 
