@@ -127,10 +127,10 @@ class Tree:
         self.label = row["label"]
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.rows = np.frombuffer(row["matrix"], np.float64).reshape(row["n"], dims)
-        self.boxes = np.frombuffer(row["boxes"], np.float64).reshape(-1, 2 * dims)
+        self.sizes = levels(row["n"])
+        self.boxes = np.frombuffer(row["boxes"], np.float64).reshape(sum(self.sizes), 2 * dims)
         if whole:
             self.rows, self.boxes = _whole(self.rows), _whole(self.boxes)
-        self.sizes = levels(row["n"])
         self.first = np.concatenate([[0], np.cumsum(self.sizes)]).tolist()
 
 

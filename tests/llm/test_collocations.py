@@ -91,7 +91,8 @@ def test_colliding_fingerprints_stay_apart(spark, monkeypatch):
     texts = [words(rng, np.array(list("abcdefghijkl")), 60) for _ in range(40)]
     pieces = C.Pieces(np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0] + [len(t) for t in texts]))
     values = C.word_values(pieces, np.zeros(len(texts), np.uint64))
-    numbers = C.exact_words(pieces, values)
+    numbers, lead = C.exact_words(pieces, values)
+    assert sorted(numbers[lead].tolist()) == sorted(set(numbers.tolist()))
     names = [pieces.data[a:b].tobytes() for a, b in zip(pieces.starts, pieces.stops)]
     assert len(set(zip(numbers.tolist(), names))) == len(set(names)) == len(set(numbers.tolist()))
     for n in (1, 2, 3):

@@ -98,7 +98,12 @@ def test_edge_cases_have_defined_results(spark, frame):
     told = {r["doc_id"]: r["predicted"] for r in got.where("doc_id is not null").collect()}
     assert all(told[i] == 1 for i, _ in bad) and all(told[i] == 0 for i, _ in good if i != 7)
     assert [r["score"] for r in got.where("doc_id in (500, 501, 502)").collect()] == [0.0] * 3
-    assert told[504] == 1  # the last window of a long text counts as any other
+    # a long text has the score of the highest of its windows
+    words = ("some words here and a house there " * 400 + "idiot").split()
+    starts = [*range(0, len(words) - gru.WINDOW, gru.STRIDE), len(words) - gru.WINDOW]
+    parts = [(i, " ".join(words[a : a + gru.WINDOW])) for i, a in enumerate(starts)]
+    scores = {r["doc_id"]: r["score"] for r in T.toxicity(spark, frame([(-1, " ".join(words)), *parts]), model).collect()}
+    assert scores.pop(-1) == pytest.approx(max(scores.values()), abs=1e-5)
     assert got.where("doc_id is null and predicted = 1").count() == 1
     assert T.toxicity(spark, frame([]), model).count() == 0
 
