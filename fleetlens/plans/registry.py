@@ -267,7 +267,7 @@ def incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Drive buckets of the refreshed warehouses of the registered queries.
-REFRESH_BUCKETS = 8
+REFRESH_BUCKETS = 4
 
 
 def manifest_refresh(table: str) -> Query:
