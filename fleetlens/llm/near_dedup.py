@@ -258,10 +258,21 @@ def _suspects_of(percent: int, least: float, rows: pa.Table) -> Iterator[pa.Reco
         i = np.flatnonzero(small & (left > d))
         judge(i, i + d)
     for b in np.flatnonzero(count > SMALL_BLOCK):
-        end = starts[b] + count[b]
-        for i in range(starts[b], end - 1):
-            others = np.arange(i + 1, end)
-            judge(np.full(len(others), i), others)
+        one = slice(int(starts[b]), int(starts[b] + count[b]))
+        # small numbers that tell the keys of the earlier bands apart
+        early = np.empty((count[b], own[b]), np.uint16 if count[b] < 1 << 16 else np.uint32)
+        for c in range(own[b]):
+            early[:, c] = np.unique(keys[one, c], return_inverse=True)[1]
+        c, s, n, sig, found = comps[one], sides[one], sizes[one], sigs[one], near[one]
+        for i in range(count[b] - 1):
+            ok = (c[i + 1 :] != c[i]) & ((s[i + 1 :] != s[i]) | (s[i] == 0))
+            ok &= 100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i])
+            others = np.flatnonzero(ok) + i + 1
+            if len(others):
+                others = others[~(early[others] == early[i]).any(1)]
+                likely = others[(sig[others] == sig[i]).sum(1) >= least * HASHES]
+                found[likely] = True
+                found[i] |= len(likely) > 0
     yield from rows.select([f.split()[0] for f in _SUSPECT.split(", ")]).filter(pa.array(near)).to_batches()
 
 
