@@ -199,11 +199,11 @@ class Refresh:
             dims.merge_quarters(parts).withColumn(BUCKET, bucket_of(F.col("serial_number"), self.buckets)), "merged"
         )
         drives = dims.drive_rollup(merged).withColumn(BUCKET, bucket_of(F.col("serial_number"), self.buckets))
-        self._replace(drives.repartition(BUCKET), "int_drives", [BUCKET], keys)
+        self._replace(drives.hint("rebalance", F.col(BUCKET)), "int_drives", [BUCKET], keys)
         drives = self._read("int_drives", DRIVES).where(F.col(BUCKET).isin(touched))
-        self._replace(dims.model_rollup(merged, (BUCKET,)).repartition(BUCKET), "int_model_parts", [BUCKET], keys)
+        self._replace(dims.model_rollup(merged, (BUCKET,)).hint("rebalance", F.col(BUCKET)), "int_model_parts", [BUCKET], keys)
         counts = afr.model_quarter_counts_from_partials(parts, drives, (BUCKET,))
-        self._replace(counts.repartition(BUCKET), "int_model_quarter_parts", [BUCKET], keys)
+        self._replace(counts.hint("rebalance", F.col(BUCKET)), "int_model_quarter_parts", [BUCKET], keys)
 
     def _moved(self, drives: DataFrame, old_max: object, new_max: object, old_models: DataFrame, models: DataFrame) -> list[int]:
         """Buckets of drives whose status follows the last date, or whose capacity follows their model's."""
@@ -240,7 +240,7 @@ class Refresh:
         if pairs:
             of_pairs = F.concat_ws("/", BUCKET, "quarter").isin([f"{b}/{q}" for b, q in pairs])
             rows = new.where(F.col(BUCKET).isin(result.touched_buckets) & of_pairs)
-            self._replace(rows.repartition(BUCKET), "int_drive_quarter_partials", [BUCKET, "quarter"], pairs)
+            self._replace(rows.hint("rebalance", F.col(BUCKET)), "int_drive_quarter_partials", [BUCKET, "quarter"], pairs)
         if touched:
             self._per_drive(touched)
 
@@ -258,9 +258,9 @@ class Refresh:
             keys, own = [(b,) for b in result.rewritten_buckets], drives.where(F.col(BUCKET).isin(result.rewritten_buckets))
             last = F.lit(new_max).cast("date")
             bucket = bucket_of(F.col("serial_number"), self.buckets)
-            self._replace(dims.spans_of(own, last).withColumn(BUCKET, bucket).repartition(BUCKET), "int_drive_spans", [BUCKET], keys)
+            self._replace(dims.spans_of(own, last).withColumn(BUCKET, bucket).hint("rebalance", F.col(BUCKET)), "int_drive_spans", [BUCKET], keys)
             dim_drive = dims.dim_drive_of(own, fallback, last).withColumn(BUCKET, bucket)
-            self._replace(dim_drive.repartition(BUCKET), "dim_drive", [BUCKET], keys)
+            self._replace(dim_drive.hint("rebalance", F.col(BUCKET)), "dim_drive", [BUCKET], keys)
         self._replace_whole(dims.dim_model_of(stats, self.seed), "dim_model")
         self._replace_whole(dims.dim_date_from_partials(drives), "dim_date")
         result.mart_quarters = self._mart()
