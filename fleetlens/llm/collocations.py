@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import mix64, prepare, reused_memory, text_slices, written
 
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 #: Bytes of text whose n-grams make a part, bits of the table of frequent fingerprints at most.
 PART_BYTES, BITS = 1 << 22, 1 << 26
 #: Bytes of text read at pointers that are in memory at once, rows of a lang that are ranked in one group at first.
@@ -43,8 +44,10 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 _SENT = "part long, n int, doc binary, docs binary, prints binary, counts binary, starts binary"
 _NUMBERS = ("doc", "docs", "prints", "counts", "starts")
 _TYPES = {"doc": np.dtype(np.int64), "docs": np.dtype(np.uint32), "prints": np.dtype(np.uint64), "counts": np.dtype(np.uint32), "starts": np.dtype(np.uint32)}
-#: A kept pointer is (text, count, words, first byte) with the last three in one number; n = 0 marks the words of a lang.
-_KEPT = "n int, doc long, at long, prints binary, lang string"
+#: A kept pointer is (text, count, words, first byte) with the last three in one number; a part writes one row of them for
+#: every bucket of texts. n = 0 marks the words of a lang.
+_KEPT = "n int, bucket long, docs binary, ats binary, prints binary, at long, lang string"
+_FOUND = "doc long, found binary"
 _COUNT, _LENGTH, _MOST = 36, 32, (1 << 27) - 1
 #: Groups in which the words of each lang are added up.
 TOTALS = 64
@@ -233,6 +236,38 @@ def _kept(n: int, rows: int, **columns: pa.Array) -> pa.Table:
     return pa.table({"n": pa.array(np.full(rows, n, np.int32)), **{k: columns.get(k, pa.nulls(rows, t)) for k, t in types.items()}})
 
 
+def _runs(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(distinct keys, the bytes of the values of each); ``keys`` are sorted."""
+    edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    offsets = (np.append(edge, len(keys)) * values.itemsize).astype(np.int32)
+    return keys[edge], pa.Array.from_buffers(pa.binary(), len(edge), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
+
+
+def _by_text(table: pa.Table) -> pa.Table:
+    """The pointers of one bucket, a row a text."""
+    docs, ats = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("docs", "ats"))
+    order = np.argsort(docs, kind="stable")
+    doc, found = _runs(docs[order], ats[order])
+    return pa.table({"doc": doc, "found": found})
+
+
+def _packed(buckets: int, kept: pa.Table) -> pa.Table:
+    """``kept`` with its pointers in one row for each bucket of texts."""
+    pointers, others = kept.filter(pc.is_valid(kept.column("doc"))), kept.filter(pc.is_null(kept.column("doc")))
+    out = [others.drop_columns("doc")]
+    if pointers.num_rows:
+        doc, at = (pointers.column(c).to_numpy() for c in ("doc", "at"))
+        bucket = doc % buckets
+        order = np.argsort(bucket, kind="stable")
+        own, docs = _runs(bucket[order], doc[order])
+        _, ats = _runs(bucket[order], at[order])
+        n = pa.array(np.full(len(own), pointers.column("n")[0].as_py(), np.int32))
+        out.append(pa.table({"n": n, "bucket": own, "docs": docs, "ats": ats}))
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    schema = pa.schema([(name, types[t]) for name, t in (f.split() for f in _KEPT.split(", "))])
+    return pa.concat_tables([pa.table([t.column(f.name) if f.name in t.column_names else pa.nulls(t.num_rows, f.type) for f in schema], schema) for t in out])
+
+
 def _frequent(least: int, table: pa.Table) -> pa.Table:
     """One part and n: the pointers of the fingerprints that occur ``least`` times, and a row of the fingerprints.
 
@@ -307,7 +342,9 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, rows, data, offsets in text_slices(batch.column("text"), READ_BYTES):
             p = Pieces(data, offsets)
             own = found.slice(first, rows)
-            pointers, text = own.flatten().to_numpy(), np.repeat(np.arange(rows), own.value_lengths().to_numpy())
+            blobs = own.to_pylist()
+            pointers = np.frombuffer(b"".join(blobs), np.int64)
+            text = np.repeat(np.arange(rows), [len(b) // pointers.itemsize for b in blobs])
             counts, length = pointers >> _COUNT, pointers >> _LENGTH & 15
             place = np.searchsorted(p.starts, (pointers & 0xFFFFFFFF) + p.starts[p.before[text]])
             for n in np.unique(length).tolist():
@@ -364,12 +401,13 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, longest: int = 3, lea
 
         def frequent(table: pa.Table) -> pa.Table:
             with reused_memory():
-                return _frequent(least, table)
+                return _packed(parts, _frequent(least, table))
 
         found = written(spark, named.mapInArrow(sent, _SENT).groupBy("part", "n").applyInArrow(frequent, _KEPT), f"phrases-{n}")
         kept = found if kept is None else kept.unionByName(found)
     words = kept.where("n = 0").groupBy("lang").agg(F.sum("at").alias("n"))
-    pointers = kept.where("doc is not null").groupBy("doc").agg(F.collect_list("at").alias("found"))
+    # as many buckets of texts as parts: both follow the bytes of text
+    pointers = kept.where("docs is not null").select("bucket", "docs", "ats").groupBy("bucket").applyInArrow(_by_text, _FOUND)
     # copies of a text under one lang are one text: one row of each is read
     texts = named.groupBy("doc").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))
     read = pointers.join(texts, "doc").select("lang", "text", "found").mapInArrow(_read, _READ)

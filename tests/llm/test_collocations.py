@@ -115,3 +115,21 @@ def test_parts_with_collisions_keep_every_pointer(spark):
     table = pa.table({k: [v if k in ("part", "n") else C._shut(k, v)] for k, v in row.items()})
     out = [r["at"] for r in C._frequent(10, table).to_pylist() if r["at"] is not None]
     assert sum(x >> C._COUNT for x in out) == C._MOST + 3 * (C._MOST // 2) and {x & 0xFFFFFFFF for x in out} == {7}
+
+
+def test_pointers_travel_packed_and_come_back():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    doc = np.array([7, 7, -3, 12, 12, 12, 5], np.int64)
+    at = np.arange(len(doc), dtype=np.int64)
+    table = pa.concat_tables([C._kept(2, len(doc), doc=pa.array(doc), at=pa.array(at)), C._kept(2, 1, prints=pa.array([b"x" * 8], pa.binary()))])
+    packed = C._packed(2, table)
+    rows = [r for r in packed.to_pylist() if r["docs"] is not None]
+    assert len(rows) == 2 and packed.num_rows == 3  # a row a bucket, not a row a pointer
+    back = {}
+    for bucket in (0, 1):
+        for r in C._by_text(packed.filter(pc.equal(packed.column("bucket"), bucket))).to_pylist():
+            back[r["doc"]] = np.frombuffer(r["found"], np.int64).tolist()
+    assert back == {7: [0, 1], -3: [2], 12: [3, 4, 5], 5: [6]}
+    assert C._packed(2, C._kept(0, 1, at=pa.array([4]), lang=pa.array(["en"]))).select(["n", "at", "lang"]).to_pylist() == [{"n": 0, "at": 4, "lang": "en"}]
