@@ -133,3 +133,46 @@ def test_pointers_travel_packed_and_come_back():
             back[r["doc"]] = np.frombuffer(r["found"], np.int64).tolist()
     assert back == {7: [0, 1], -3: [2], 12: [3, 4, 5], 5: [6]}
     assert C._packed(2, C._kept(0, 1, at=pa.array([4]), lang=pa.array(["en"]))).select(["n", "at", "lang"]).to_pylist() == [{"n": 0, "at": 4, "lang": "en"}]
+
+
+def arrow_batch(texts, lang="en"):
+    import pyarrow as pa
+
+    columns = [pa.array([lang] * len(texts)), pa.array(texts), pa.array(range(len(texts)), pa.int64()), pa.array([77] * len(texts), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "text", "doc", "lang_value"])
+
+
+def test_slices_of_a_chunk_send_a_phrase_once(monkeypatch):
+    """What is sent, kept and read follows the chunks and not the slices: one pointer of each phrase a chunk."""
+    rng = np.random.default_rng(6)
+    texts = [words(rng, np.array(["a", "b", "über", "the", "new", "york"]), 80) for _ in range(40)]
+    want = {n: Counter() for n in (1, 2, 3)}
+    for text in texts:
+        for piece in re.split("[.,;:!?\\x0a-\\x0d]", text):
+            w = piece.split()
+            for n in want:
+                want[n].update(" ".join(w[i : i + n]) for i in range(len(w) - n + 1))
+    monkeypatch.setattr(C, "SLICE_BYTES", 700)
+    monkeypatch.setattr(C, "HELD", 50)
+    tables = [np.full(512, 255, np.uint8)] * 3  # every bit is set
+    rows = [r for b in C._messages(2, tables, iter([arrow_batch(texts[:25]), arrow_batch(texts[25:])])) for r in b.to_pylist()]
+    sent = {n: [r for r in rows if r["n"] == n] for n in want}
+    for n in want:
+        assert len(sent[n]) <= 2  # a row for every part
+        assert sum(len(C._open("prints", r["prints"])) for r in sent[n]) == len(want[n])
+        assert sum(int(C._open("counts", r["counts"]).sum()) for r in sent[n]) == sum(want[n].values())
+    assert sum(int(r["starts"]) for r in rows if r["n"] == 0) == sum(want[1].values())
+
+
+def test_screen_keeps_every_frequent_phrase(monkeypatch):
+    """Counts of all chunks are added up by part; nothing that reaches the least count goes missing."""
+    import pyarrow as pa
+
+    texts = ["x y z. " * 3 + f"only{i} here{i}" for i in range(30)]
+    monkeypatch.setattr(C, "SLICE_BYTES", 60)
+    monkeypatch.setattr(C, "CHUNK_BYTES", 200)
+    rows = pa.Table.from_batches(list(C._screened(1, 2, None, iter([arrow_batch(texts)]))))
+    assert 1 < rows.num_rows < 30
+    lows = np.frombuffer(C._may_reach(10, rows).column("lows")[0].as_py(), np.uint32)
+    p = C.Pieces(np.frombuffer(b"x y z", np.uint8), np.array([0, 5]))
+    assert set(lows.tolist()) == {int(h) & 0xFFFFFFFF for h in C.fingerprints(C.word_values(p, np.array([77], np.uint64)), 2)}
