@@ -1,12 +1,14 @@
 """Exact top-k by inner product with a three-phase uniform threshold (operator 8).
 
-A score is the sum of the partial scores of SLICES dimension slices. Phase 1: every block of
+A score is the sum of the partial scores of SLICES dimension slices. Phase 1: every cell of
 vectors lists its best entries of each slice for each query; the k-th best total among them is
 a safe cutoff for the query. Phase 2: a vector whose total reaches the cutoff has a slice that
 reaches cutoff / SLICES, so only entries above this uniform threshold are collected, less those
 whose upper bound stays below the cutoff. Phase 3: their totals are resolved exactly.
 
-Blocks of vectors meet blocks of queries by a salted equi-join, so neither side is broadcast.
+Blocks of vectors meet blocks of queries in cogrouped cells of bounded size (`_cells`). How often a
+block is copied follows the bytes of the two tables, not the number of shuffle partitions, and no copy
+goes through the driver: the joins here that Spark may broadcast have a row for each number of dimensions.
 """
 
 from __future__ import annotations
@@ -19,13 +21,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import prepare, written
+from fleetlens.llm.common import prepare, reused_memory, written
 
 SLICES = 4
 BLOCK_VECTORS, BLOCK_QUERIES = 4096, 512
 SCALE = 1024
+#: Bytes of vectors and of queries that a cell holds, about.
+CELL_VECTORS, CELL_QUERIES = 1 << 25, 1 << 23
+#: Cells for each shuffle partition, as far as there are blocks, and copies of the queries that are always allowed.
+CELLS_PER_PARTITION, COPIES = 4, 32
+#: Partitions that cells are dealt to, at most.
+MAX_PARTITIONS = 10_000
 
-BLOCK_FIELDS = "dims int, ids binary, matrix binary, n int, place long"
+BLOCK_FIELDS = "dims int, ids binary, matrix binary, n int, width int, place long"
+CELL = ["dims", "v_cell", "q_cell"]
 
 
 def valid(column: pa.Array) -> list[np.ndarray | None]:
@@ -39,6 +48,12 @@ def valid(column: pa.Array) -> list[np.ndarray | None]:
     return out
 
 
+def _packed(matrix: np.ndarray) -> np.ndarray:
+    """``matrix`` in the smallest of int16, int32 and double that holds its integers."""
+    most = np.abs(matrix).max(initial=0)
+    return matrix.astype(np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.float64)
+
+
 def _blocks(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of up to ``size`` vectors of one dimension."""
     held: dict[int, list[tuple[int, np.ndarray]]] = {}
@@ -48,9 +63,10 @@ def _blocks(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         nonlocal place
         part = held.pop(dims)
         place += 1
+        matrix = _packed(np.concatenate([v for _, v in part]))
         return pa.RecordBatch.from_arrays(
             [pa.array([dims], pa.int32()), pa.array([np.array([i for i, _ in part], np.int64).tobytes()], pa.binary()),
-             pa.array([np.concatenate([v for _, v in part]).tobytes()], pa.binary()), pa.array([len(part)], pa.int32()),
+             pa.array([matrix.tobytes()], pa.binary()), pa.array([len(part)], pa.int32()), pa.array([matrix.itemsize], pa.int32()),
              pa.array([place], pa.int64())],
             [f.split()[0] for f in BLOCK_FIELDS.split(", ")],
         )
@@ -66,35 +82,28 @@ def _blocks(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield row(dims)
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b.T of integer-valued doubles, exact: in floating point where no sum passes 2**53."""
-    if not a.size or not b.size:
-        return np.zeros((len(a), len(b)))
-    if np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2.0**53:
-        return a @ b.T
-    whole = np.vectorize(int, otypes=[object])
-    return whole(a) @ whole(b).T
+class _Block:
+    """A row of BLOCK_FIELDS: ids, whole-numbered vectors, and a bound of their lengths."""
 
+    def __init__(self, table: pa.Table, i: int) -> None:
+        get = lambda name: table.column(name)[i]
+        n, dims, width = (get(name).as_py() for name in ("n", "dims", "width"))
+        self.ids = np.frombuffer(get("ids").as_buffer(), np.int64)
+        self.matrix = np.frombuffer(get("matrix").as_buffer(), {2: np.int16, 4: np.int32, 8: np.float64}[width]).reshape(n, dims)
+        self.order = np.argsort(self.ids, kind="stable")
+        with np.errstate(over="ignore"):
+            self.length = 1.001 * np.sqrt(np.square(self.matrix, dtype=np.float64).sum(axis=1).max())
 
-def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k highest scores, ties to smaller ids."""
-    return np.lexsort((ids, -scores))[:k]
 
+def _kind(queries: _Block, vectors: _Block) -> type:
+    """The type in which sums of products, and SLICES of them, are exact: no sum passes the product of the lengths."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        most = queries.length * vectors.length * SLICES
+    return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else object
 
-def _pairs(batch: pa.RecordBatch) -> Iterator[tuple]:
-    for r in batch.to_pylist():
-        dims = r["dims"]
-        yield (
-            np.frombuffer(r["ids"], np.int64), np.frombuffer(r["matrix"], np.float64).reshape(r["n"], dims),
-            np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["q_matrix"], np.float64).reshape(r["q_n"], dims), r,
-        )
 
-
-def _entries(rows: list[tuple]) -> pa.RecordBatch:
-    q, v, s = zip(*rows) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array([int(x) for x in s], pa.int64())], ["query_id", "vec_id", "score"]
-    )
+def _as(kind: type, matrix: np.ndarray) -> np.ndarray:
+    return np.vectorize(int, otypes=[object])(matrix) if kind is object and matrix.size else matrix.astype(kind)
 
 
 def _slices(dims: int) -> list[slice]:
@@ -102,51 +111,159 @@ def _slices(dims: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
 
 
-def _phase1(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The best k totals of each block and query among the vectors that lead a slice's list."""
-    for batch in batches:
-        for ids, matrix, q_ids, q_matrix, _ in _pairs(batch):
-            lists = [_exact(matrix[:, s], q_matrix[:, s]) for s in _slices(matrix.shape[1])]
-            rows = []
-            for j, q in enumerate(q_ids):
-                other = ids != q
-                lead = []
-                for part in lists:
-                    column = np.where(other, part[:, j], -np.inf) if part.dtype != object else np.where(other, part[:, j], -(1 << 200))
-                    top = np.argpartition(-column, min(k, len(column) - 1))[:k] if part.dtype != object else best(column, ids, k)
-                    lead.append(top)
-                at = np.unique(np.concatenate(lead))
-                at = at[other[at]]
-                total = sum(part[at, j] for part in lists)
-                rows += [(q, ids[at[x]], total[x]) for x in best(total, ids[at], k)]
-            yield _entries(rows)
-
-
-def _phase23(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries of a block that reach the uniform threshold in a slice, with exact totals that reach the cutoff."""
-    for batch in batches:
-        for ids, matrix, q_ids, q_matrix, row in _pairs(batch):
-            cutoff = {c["query_id"]: c["cutoff"] for c in row["cutoffs"] or []}
-            lists = [_exact(matrix[:, s], q_matrix[:, s]) for s in _slices(matrix.shape[1])]
-            rows = []
-            for j, q in enumerate(q_ids):
-                tau = cutoff.get(q)
-                parts = [part[:, j] for part in lists]
-                near = ids != q
-                if tau is not None:
-                    uniform = -(-tau // len(parts))  # an integer part reaches cutoff / m if it reaches its ceiling
-                    reach = np.zeros(len(ids), bool)
-                    bound = np.zeros(len(ids), parts[0].dtype)
-                    for p in parts:
-                        reach |= p >= uniform
-                        bound = bound + np.maximum(p, uniform)
-                    near &= reach & (bound >= tau)
-                at = np.flatnonzero(near)
-                total = sum(p[at] for p in parts)
-                if tau is not None:
-                    at, total = at[total >= tau], total[total >= tau]
-                rows += [(q, ids[at[x]], total[x]) for x in best(total, ids[at], k)]
-            yield _entries(rows)
+def _parts(queries: _Block, vectors: _Block) -> list[np.ndarray]:
+    """Exact scores of each slice, a row for each query; -inf where a query meets its own id."""
+    kind = _kind(queries, vectors)
+    q, v = _as(kind, queries.matrix), _as(kind, vectors.matrix)
+    out = [q[:, s] @ v[:, s].T if q.shape[1] else np.zeros((len(q), len(v)), kind) for s in _slices(q.shape[1])]
+    ids = vectors.ids[vectors.order]
+    first, last = np.searchsorted(ids, queries.ids, "left"), np.searchsorted(ids, queries.ids, "right")
+    for j in np.flatnonzero(first < last):
+        for part in out:
+            part[j, vectors.order[first[j] : last[j]]] = -np.inf
+    return out
+
+
+def _hits(part: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Places, in the flat ``part``, of what reaches its row's value of ``low`` (rounding to a part's type is monotone)."""
+    return np.flatnonzero(part >= low.astype(part.dtype)[:, None])
+
+
+def _wide(values: np.ndarray) -> np.ndarray:
+    """In a type in which SLICES of the values add up exactly."""
+    return values if values.dtype == object else values.astype(np.float64)
+
+
+def best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores of every row, ties to smaller ids."""
+    order = np.lexsort((ids, -scores, rows))
+    ranked = rows[order]
+    return order[np.arange(len(order)) - np.searchsorted(ranked, ranked) < k]
+
+
+class _List:
+    """The best k entries of a slice for each query so far, with their totals and the places of their vectors."""
+
+    def __init__(self, queries: int, k: int) -> None:
+        self.k = k
+        self.values, self.totals = np.full((queries, k), -np.inf), np.full((queries, k), -np.inf)
+        self.places = np.full((queries, k), -1)
+
+    def take(self, parts: list[np.ndarray], s: int, begin: int) -> None:
+        part, k = parts[s], self.k
+        n = part.shape[1]
+        low = self.values.min(axis=1)
+        if n >= k and (low == -np.inf).any():
+            # k groups or more with a value each that reaches the k-th best of their highest values
+            groups = min(n, 4 * k)
+            highest = part[:, : n // groups * groups].reshape(len(part), groups, -1).max(axis=2)
+            low = np.maximum(low + 1, np.sort(highest, axis=1)[:, groups - k])
+        else:
+            low = low + 1
+        flat = _hits(part, low)
+        flat = flat[part.ravel()[flat] > -np.inf]
+        if not len(flat):
+            return
+        row, col = np.divmod(flat, n)
+        at = k + np.arange(len(row)) - np.searchsorted(row, row)
+        found = [_wide(p.ravel()[flat]) for p in parts]
+
+        def longer(held: np.ndarray, more: np.ndarray, none: float) -> np.ndarray:
+            out = np.full((len(held), at.max() + 1), none, np.result_type(held, more))
+            out[:, :k] = held
+            out[row, at] = more
+            return out
+
+        values = longer(self.values, found[s], -np.inf)
+        if values.dtype == object:
+            top = np.argsort(-values, axis=1, kind="stable")[:, :k]
+        else:
+            top = np.argpartition(values, values.shape[1] - k, axis=1)[:, -k:]
+        self.values = np.take_along_axis(values, top, 1)
+        self.totals = np.take_along_axis(longer(self.totals, sum(found), -np.inf), top, 1)
+        self.places = np.take_along_axis(longer(self.places, begin + col, -1), top, 1)
+
+
+def _phase1(k: int, queries: _Block, cutoffs: dict, cell: list[_Block]) -> tuple[np.ndarray, ...]:
+    """The best k totals of each query among the vectors of a cell that lead a slice's list."""
+    lists = [_List(len(queries.ids), k) for _ in _slices(queries.matrix.shape[1])]
+    begin = 0
+    for vectors in cell:
+        parts = _parts(queries, vectors)
+        for s, leaders in enumerate(lists):
+            leaders.take(parts, s, begin)
+        begin += len(vectors.ids)
+    rows = np.repeat(np.arange(len(queries.ids)), k)
+    rows, places, totals = (np.concatenate(x) for x in zip(*((rows, x.places.ravel(), x.totals.ravel()) for x in lists)))
+    _, once = np.unique(rows * (begin + 1) + places, return_index=True)
+    once = once[places[once] >= 0]
+    rows, totals, ids = rows[once], totals[once], np.concatenate([x.ids for x in cell])[places[once]]
+    top = best(rows, totals, ids, k)
+    return rows[top], ids[top], totals[top]
+
+
+def _phase23(k: int, queries: _Block, cutoffs: dict, cell: list[_Block]) -> tuple[np.ndarray, ...]:
+    """Entries of a cell that reach the uniform threshold in a slice, with exact totals that reach the cutoff."""
+    cutoff = [cutoffs.get(q) for q in queries.ids.tolist()]
+    m = len(_slices(queries.matrix.shape[1]))
+    # an integer part reaches cutoff / m if it reaches its ceiling
+    tau, uniform = ([-np.inf if c is None else f(c) for c in cutoff] for f in (int, lambda c: -(-c // m)))
+    rows, ids, totals = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    for vectors in cell:
+        parts = _parts(queries, vectors)
+        kind = np.result_type(parts[0], np.float64)
+        least, reach = np.array(tau, kind), np.array(uniform, kind)
+        highest = parts[0]
+        for part in parts[1:]:
+            highest = np.maximum(highest, part)
+        flat = _hits(highest, reach)
+        row, col = np.divmod(flat, len(vectors.ids))
+        found = [_wide(part.ravel()[flat]) for part in parts]
+        near = np.flatnonzero(sum(np.maximum(x, reach[row]) for x in found) >= least[row])
+        total = sum(x[near] for x in found)
+        near, total = near[keep := (total >= least[row[near]]) & (total > -np.inf)], total[keep]
+        if len(near):
+            rows, ids, totals = (np.concatenate(x) for x in ((rows, row[near]), (ids, vectors.ids[col[near]]), (totals, total)))
+            top = best(rows, totals, ids, k)
+            rows, ids, totals = rows[top], ids[top], totals[top]
+    return rows, ids, totals
+
+
+ENTRIES = "query_id long, vec_id long, score long"
+
+
+def _cell(phase, k: int, vectors: pa.Table, queries: pa.Table) -> pa.Table:
+    """Entries of ``phase`` for every query of a cell."""
+    found = []
+    if len(vectors) and len(queries):
+        with reused_memory():
+            cell = [_Block(vectors, i) for i in range(len(vectors))]
+            for i in range(len(queries)):
+                asked = _Block(queries, i)
+                cutoffs = queries.column("cutoffs")[i].as_py() if "cutoffs" in queries.column_names else None
+                rows, ids, scores = phase(k, asked, {c["query_id"]: c["cutoff"] for c in cutoffs or []}, cell)
+                # beyond 64 bits an error
+                scores = pa.array([int(x) for x in scores], pa.int64()) if scores.dtype == object else pa.array(scores.astype(np.int64))
+                found.append(pa.table([pa.array(asked.ids[rows]), pa.array(ids), scores], ["query_id", "vec_id", "score"]))
+    return pa.concat_tables(found) if found else pa.schema([(f.split()[0], pa.int64()) for f in ENTRIES.split(", ")]).empty_table()
+
+
+def _cells(blocks: DataFrame, asked: DataFrame, partitions: int) -> DataFrame:
+    """dims, v_cells, q_cells: into how many groups the blocks of vectors and of queries fall, for each number of dimensions.
+
+    A group of vectors meets every group of queries. Groups are of bounded size; smaller ones, for the sake of
+    parallel work, only as far as the copies of the queries stay below the vectors (or COPIES).
+    """
+    size = F.sum(F.col("n").cast("long") * (F.col("dims") * F.col("width").cast("long") + 8))
+    v = blocks.groupBy("dims").agg(size.alias("v_bytes"), F.count("*").alias("v_blocks"))
+    q = asked.groupBy("dims").agg(size.alias("q_bytes"))
+    return (
+        v.join(q, "dims")
+        .withColumn("q_cells", F.expr(f"1 + (q_bytes - 1) div {CELL_QUERIES}"))
+        .withColumn("spread", F.expr(f"least(v_blocks, 1 + ({CELLS_PER_PARTITION * partitions} - 1) div q_cells, greatest(v_bytes div q_bytes, {COPIES}))"))
+        .withColumn("v_cells", F.expr(f"greatest(1 + (v_bytes - 1) div {CELL_VECTORS}, spread)"))
+        .select("dims", "v_cells", "q_cells")
+    )
 
 
 def top_k(spark: SparkSession, queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
@@ -167,22 +284,24 @@ def top_k(spark: SparkSession, queries: DataFrame, vectors: DataFrame, k: int =
         queries.select("vec_id", "embedding").mapInArrow(lambda x: _blocks(BLOCK_QUERIES, x), BLOCK_FIELDS),
         "queries",
     )
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = written(spark, _cells(blocks, asked, int(spark.conf.get("spark.sql.shuffle.partitions"))), "cells")
+    parts = min(cells.agg(F.sum(F.expr("v_cells * q_cells"))).first()[0] or 1, MAX_PARTITIONS)
+
+    def met(phase, question: DataFrame) -> DataFrame:
+        def dealt(table: DataFrame, own: str, other: str) -> DataFrame:
+            table = table.join(cells, "dims").withColumn(f"{own}_cell", F.expr(f"pmod(xxhash64(place), {own}_cells)"))
+            table = table.withColumn(f"{other}_cell", F.expr(f"explode(sequence(0L, {other}_cells - 1))"))
+            return table.drop("v_cells", "q_cells", "place").repartition(parts, *CELL).groupBy(*CELL)
 
-    def met(question: DataFrame) -> DataFrame:
-        q = question.select("dims", F.col("place").alias("q_place"), *(F.col(c).alias(f"q_{c}") for c in ("ids", "matrix", "n")), *[c for c in ("cutoffs",) if c in question.columns])
-        q = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        v = blocks.withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(salts)).cast("int"))
-        return v.join(q, ["dims", "salt"])
+        return dealt(blocks, "v", "q").cogroup(dealt(question, "q", "v")).applyInArrow(lambda v, q: _cell(phase, k, v, q), ENTRIES)
 
-    fields = "query_id long, vec_id long, score long"
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    first = met(asked).mapInArrow(lambda x: _phase1(k, x), fields)
+    first = met(_phase1, asked)
     cutoffs = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff"))
     ids = written(spark, _named(asked), "asked")
-    per_block = ids.join(cutoffs, "query_id").groupBy("place").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs"))
-    bounded = written(spark, asked.join(per_block, "place", "left"), "cutoffs")
-    last = met(bounded).mapInArrow(lambda x: _phase23(k, x), fields)
+    per_block = ids.join(cutoffs.hint("merge"), "query_id").groupBy("place").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs"))
+    bounded = written(spark, asked.join(per_block.hint("merge"), "place", "left"), "cutoffs")
+    last = met(_phase23, bounded)
     return last.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
