@@ -28,8 +28,8 @@ BLOCK_VECTORS, BLOCK_QUERIES = 4096, 512
 SCALE = 1024
 #: Bytes of vectors and of queries that a cell holds, about.
 CELL_VECTORS, CELL_QUERIES = 1 << 25, 1 << 23
-#: Cells for each shuffle partition, as far as there are blocks, and copies of the queries that are always allowed.
-CELLS_PER_PARTITION, COPIES = 4, 32
+#: Copies of the queries that are allowed even where they outweigh the vectors.
+COPIES = 32
 #: Partitions that cells are dealt to, at most.
 MAX_PARTITIONS = 10_000
 
@@ -41,11 +41,14 @@ def valid(column: pa.Array) -> list[np.ndarray | None]:
     """floor(SCALE * x) of every vector, as doubles; None for null vectors and null or non-finite components."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    out: list[np.ndarray | None] = []
-    for v in column:
-        x = None if not v.is_valid else v.values.to_numpy(zero_copy_only=False).astype(np.float64)
-        out.append(np.floor(SCALE * x) if x is not None and np.isfinite(x).all() else None)
-    return out
+    offsets = column.offsets.to_numpy()
+    x = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False).astype(np.float64)
+    offsets = offsets - offsets[0]
+    finite = np.isfinite(x)
+    odd = np.concatenate([[0], np.cumsum(~finite)])[offsets]
+    whole = column.is_valid().to_numpy(zero_copy_only=False) & (odd[1:] == odd[:-1])
+    x = np.floor(SCALE * x, where=finite, out=x)
+    return [x[a:b].copy() if ok else None for a, b, ok in zip(offsets[:-1].tolist(), offsets[1:].tolist(), whole.tolist())]
 
 
 def _packed(matrix: np.ndarray) -> np.ndarray:
@@ -124,14 +127,17 @@ def _parts(queries: _Block, vectors: _Block) -> list[np.ndarray]:
     return out
 
 
-def _hits(part: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Places, in the flat ``part``, of what reaches its row's value of ``low`` (rounding to a part's type is monotone)."""
-    return np.flatnonzero(part >= low.astype(part.dtype)[:, None])
-
-
-def _wide(values: np.ndarray) -> np.ndarray:
-    """In a type in which SLICES of the values add up exactly."""
-    return values if values.dtype == object else values.astype(np.float64)
+def _hits(part: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place in the flat ``part`` of all that reaches its row's value of ``low`` (rounding to a part's type is monotone)."""
+    rows, n = part.shape
+    reached = (part >= low.astype(part.dtype)[:, None]).ravel()
+    if reached.size % 8:
+        flat = np.flatnonzero(reached)
+    else:  # few places are hit, so eight are looked at at once
+        some = np.flatnonzero(reached.view(np.uint64))
+        flat = np.flatnonzero(reached.reshape(-1, 8)[some])
+        flat = some[flat >> 3] * 8 + (flat & 7)
+    return np.repeat(np.arange(rows), np.diff(np.searchsorted(flat, np.arange(rows + 1) * n))), flat
 
 
 def best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -154,19 +160,20 @@ class _List:
         n = part.shape[1]
         low = self.values.min(axis=1)
         if n >= k and (low == -np.inf).any():
-            # k groups or more with a value each that reaches the k-th best of their highest values
-            groups = min(n, 4 * k)
-            highest = part[:, : n // groups * groups].reshape(len(part), groups, -1).max(axis=2)
-            low = np.maximum(low + 1, np.sort(highest, axis=1)[:, groups - k])
+            # k groups or more have a value each that reaches the k-th best of the groups' highest values
+            highest = part
+            while (half := highest.shape[1] // 2) >= 4 * k:
+                highest = np.maximum(highest[:, :half], highest[:, half : 2 * half])
+            low = np.maximum(low + 1, np.sort(highest, axis=1)[:, -k])
         else:
             low = low + 1
-        flat = _hits(part, low)
-        flat = flat[part.ravel()[flat] > -np.inf]
-        if not len(flat):
+        row, flat = _hits(part, low)
+        real = np.flatnonzero(np.take(part, flat) > -np.inf)
+        if not len(real):
             return
-        row, col = np.divmod(flat, n)
+        row, flat = row[real], flat[real]
         at = k + np.arange(len(row)) - np.searchsorted(row, row)
-        found = [_wide(p.ravel()[flat]) for p in parts]
+        found = [np.take(p, flat) for p in parts]
 
         def longer(held: np.ndarray, more: np.ndarray, none: float) -> np.ndarray:
             out = np.full((len(held), at.max() + 1), none, np.result_type(held, more))
@@ -181,7 +188,7 @@ class _List:
             top = np.argpartition(values, values.shape[1] - k, axis=1)[:, -k:]
         self.values = np.take_along_axis(values, top, 1)
         self.totals = np.take_along_axis(longer(self.totals, sum(found), -np.inf), top, 1)
-        self.places = np.take_along_axis(longer(self.places, begin + col, -1), top, 1)
+        self.places = np.take_along_axis(longer(self.places, begin + flat - row * n, -1), top, 1)
 
 
 def _phase1(k: int, queries: _Block, cutoffs: dict, cell: list[_Block]) -> tuple[np.ndarray, ...]:
@@ -216,14 +223,16 @@ def _phase23(k: int, queries: _Block, cutoffs: dict, cell: list[_Block]) -> tupl
         highest = parts[0]
         for part in parts[1:]:
             highest = np.maximum(highest, part)
-        flat = _hits(highest, reach)
-        row, col = np.divmod(flat, len(vectors.ids))
-        found = [_wide(part.ravel()[flat]) for part in parts]
-        near = np.flatnonzero(sum(np.maximum(x, reach[row]) for x in found) >= least[row])
+        row, flat = _hits(highest, reach)
+        found = [np.take(part, flat) for part in parts]
+        low, floor = (np.take(x.astype(highest.dtype), row) for x in (least, reach))
+        near = np.flatnonzero(sum(np.maximum(x, floor) for x in found) >= low)
         total = sum(x[near] for x in found)
-        near, total = near[keep := (total >= least[row[near]]) & (total > -np.inf)], total[keep]
+        keep = np.flatnonzero((total >= low[near]) & (total > -np.inf))
+        near, total = near[keep], total[keep]
         if len(near):
-            rows, ids, totals = (np.concatenate(x) for x in ((rows, row[near]), (ids, vectors.ids[col[near]]), (totals, total)))
+            more = row[near], vectors.ids[flat[near] - row[near] * len(vectors.ids)], total
+            rows, ids, totals = (np.concatenate(x) for x in zip((rows, ids, totals), more))
             top = best(rows, totals, ids, k)
             rows, ids, totals = rows[top], ids[top], totals[top]
     return rows, ids, totals
@@ -252,7 +261,7 @@ def _cells(blocks: DataFrame, asked: DataFrame, partitions: int) -> DataFrame:
     """dims, v_cells, q_cells: into how many groups the blocks of vectors and of queries fall, for each number of dimensions.
 
     A group of vectors meets every group of queries. Groups are of bounded size; smaller ones, for the sake of
-    parallel work, only as far as the copies of the queries stay below the vectors (or COPIES).
+    parallel work, up to a cell for each partition and as far as the copies of the queries stay below the vectors (or COPIES).
     """
     size = F.sum(F.col("n").cast("long") * (F.col("dims") * F.col("width").cast("long") + 8))
     v = blocks.groupBy("dims").agg(size.alias("v_bytes"), F.count("*").alias("v_blocks"))
@@ -260,7 +269,7 @@ def _cells(blocks: DataFrame, asked: DataFrame, partitions: int) -> DataFrame:
     return (
         v.join(q, "dims")
         .withColumn("q_cells", F.expr(f"1 + (q_bytes - 1) div {CELL_QUERIES}"))
-        .withColumn("spread", F.expr(f"least(v_blocks, 1 + ({CELLS_PER_PARTITION * partitions} - 1) div q_cells, greatest(v_bytes div q_bytes, {COPIES}))"))
+        .withColumn("spread", F.expr(f"least(v_blocks, 1 + ({partitions} - 1) div q_cells, greatest(v_bytes div q_bytes, {COPIES}))"))
         .withColumn("v_cells", F.expr(f"greatest(1 + (v_bytes - 1) div {CELL_VECTORS}, spread)"))
         .select("dims", "v_cells", "q_cells")
     )
